@@ -5,11 +5,17 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from comanda.operators import cubes, dashboards as tab, star
+from comanda.operators import copurchase, cubes, dashboards as tab, grafo, quality, rank, similarity, social, star
+from comanda.operators import summaries as resumenes
+from comanda.functions import expr, geo
 from comanda.sources.derivadas import Dominio
 
+UMBRAL_USUARIOS = 0.05
+UMBRAL_PRODUCTOS = 0.04
+
 Consulta = Callable[[SparkSession, str], DataFrame]
 
 
@@ -28,6 +34,21 @@ class Almacen:
     fp = cached_property(lambda a: tab.fact_pedidos(a.d.pedidos))
     fp_cabecera = cached_property(lambda a: tab.fact_pedidos_cabecera(a.d.pedidos_cabecera))
     fr = cached_property(lambda a: tab.fact_reservas(a.d.reservas_cabecera))
+    detalle = cached_property(
+        lambda a: grafo.incluye_detalle(a.d.pedido_detalle, a.d.pedidos_cabecera, a.d.menus))
+    realizo = cached_property(lambda a: grafo.realizo(a.d.usuarios, a.d.pedidos_cabecera))
+    en_restaurante = cached_property(lambda a: grafo.en_restaurante(a.d.pedidos, a.d.restaurantes))
+    incluye = cached_property(lambda a: grafo.incluye(a.d.pedidos, a.d.menus))
+    reservo = cached_property(lambda a: grafo.reservo(a.d.reservas, a.d.usuarios, a.d.restaurantes))
+    compras = cached_property(lambda a: a.d.pedidos_cabecera.select(F.col("id").alias("src"), "usuario_id")
+                              .join(a.detalle, "src").select("usuario_id", F.col("dst").alias("producto_id"))
+                              .distinct())
+    similares = cached_property(lambda a: similarity.similitud(
+        a.compras.toDF("entidad", "item"), UMBRAL_USUARIOS))
+    influencia = cached_property(lambda a: similarity.resumen_por_entidad(a.similares))
+    # restaurants and customers with their road node, customers at the node of their own id
+    anclas_cliente = cached_property(lambda a: a.d.clientes.select(
+        "id", F.col("email").alias("nombre"), "lat", "lon", F.col("id").alias("osm_node_id")))
     t_usuario = cached_property(lambda a: tab.dim_usuario(a.d.usuarios))
     t_menu = cached_property(lambda a: tab.dim_menu(a.d.menus))
     t_restaurante = cached_property(lambda a: tab.dim_restaurante(a.d.restaurantes))
@@ -66,8 +87,135 @@ def _cubos() -> dict[str, Callable[[Almacen], DataFrame]]:
     }
 
 
+def _lista(c: str) -> Column:
+    """(canal, cantidad) pairs as text, for result comparison across engines."""
+    return F.array_join(F.transform(c, lambda x: F.concat(x["canal"], F.lit(":"), x["cantidad"].cast("string"))), ",")
+
+
+def _distancias_pedido(a: Almacen) -> DataFrame:
+    """Straight distances restaurant - customer of every order."""
+    d = a.d
+    r = d.restaurantes.select(F.col("id").alias("restaurante_id"), F.col("lat").alias("rlat"), F.col("lon").alias("rlon"))
+    c = d.clientes.select(F.col("id").alias("usuario_id"), "lat", "lon")
+    p = [F.col(x) for x in ("rlat", "rlon", "lat", "lon")]
+    metros = geo.haversine_m(*p)
+    return d.pedidos.join(r, "restaurante_id").join(c, "usuario_id").select(
+        "id", F.round(metros, 3).alias("haversine_m"), F.round(geo.plana_m(*p), 3).alias("plana_m"),
+        F.round(geo.manhattan_grados(*p), 6).alias("manhattan_grados"),
+        geo.minutos_viaje(metros).alias("minutos"))
+
+
+def _pedidos_activos(a: Almacen) -> DataFrame:
+    """Pending orders of customers and restaurants that are loaded, status recoded."""
+    d = a.d
+    return (d.pedidos.filter(F.col("estado").isin("pendiente", "completado"))
+            .join(d.usuarios.filter("rol = 'MACHINERY'").select(F.col("id").alias("usuario_id")), "usuario_id", "left_semi")
+            .join(d.restaurantes.select(F.col("id").alias("restaurante_id")), "restaurante_id", "left_semi")
+            .join(d.usuarios.select(F.col("id").alias("usuario_id"), expr.nombre_de_email(F.replace("email", F.lit("#"), F.lit("@"))).alias("nombre")), "usuario_id")
+            .select("id", "nombre", F.format_string("Item_%d", "menu_id").alias("item"), expr.recodificar_estado(
+                F.when(F.col("estado") == "completado", "PICKED_UP").otherwise("PENDING")).alias("estado")))
+
+
+def _grafo() -> dict[str, Callable[[Almacen], DataFrame]]:
+    return {
+        "a22_resumen": lambda a: resumenes.resumen(
+            a.d.restaurantes, a.d.usuarios, a.d.menus, a.d.pedidos_cabecera, a.d.pedido_detalle),
+        "a23_resumen_por_cocina": lambda a: resumenes.resumen_por_cocina(a.d.restaurantes, a.d.menus, a.d.pedidos),
+        "a24_conteo_hechos": lambda a: a.hechos_cabecera.agg(F.count("*").alias("total")),
+        "a25_estadisticas_cesta": lambda a: resumenes.estadisticas_cesta(a.detalle, a.d.pedidos_cabecera),
+        "a26_estado_sistema": lambda a: resumenes.estado_sistema(
+            a.d.clientes, a.d.repartidores, a.d.pedidos_entrega,
+            a.d.repartidores.filter("carga > 0").select(F.col("id").alias("repartidor_id"))),
+        "a27_estadisticas_carga": lambda a: resumenes.estadisticas_carga(
+            usuarios=a.d.usuarios, restaurantes=a.d.restaurantes, pedidos=a.d.pedidos_cabecera,
+            clientes=a.d.clientes, repartidores=a.d.repartidores, calles=a.d.calle),
+        "a28_mejores_clientes": lambda a: resumenes.mejores_clientes(a.d.usuarios, a.d.pedidos_cabecera),
+        "x12_distancias_pedido": _distancias_pedido,
+        "j09_pedidos_activos": _pedidos_activos,
+        "q02_huerfanos": lambda a: quality.huerfanos(a.d.pedidos_cabecera, a.d.reservas_cabecera),
+        "q06_informe": lambda a: quality.informe(
+            {"dim_usuario": a.usuario, "dim_restaurante": a.restaurante, "dim_menu": a.menu,
+             "dim_tiempo": star.dim_tiempo(a.d.reservas_cabecera), "hechos_reservas": a.hechos},
+            {"usuarios": a.d.usuarios, "restaurantes": a.d.restaurantes, "menus": a.d.menus,
+             "reservas": a.d.reservas_cabecera, "pedidos": a.d.pedidos_cabecera}),
+        "q07_reservas_completas": lambda a: star.reservas_completas(
+            a.d.reservas, a.d.pedidos_cabecera, F.add_months(F.lit("2001-01-31").cast("date"), -12)),
+        "q08_menus_activos": lambda a: star.menus_activos(a.d.menus, a.d.restaurantes),
+        "j12_realizo": lambda a: a.realizo,
+        "j12_en_restaurante": lambda a: a.en_restaurante,
+        "j12_incluye": lambda a: a.incluye,
+        "j13_incluye_detalle": lambda a: a.detalle,
+        "j13_reservo": lambda a: a.reservo,
+        "j11_nombres_de_calle": lambda a: grafo.actualizar_nombres(
+            a.d.calle, a.d.road.selectExpr("src AS node_id", "nombre AS street_name").filter("nombre <> ''")),
+        "j17_anclas_con_nodo": lambda a: grafo.anclas_con_nodo(a.anclas_cliente, a.d.calle),
+        "g01_nodos_por_tipo": lambda a: grafo.conteo_por_tipo(
+            "tipo_nodo", Usuario=a.d.usuarios, Restaurante=a.d.restaurantes, Producto=a.d.menus,
+            Pedido=a.d.pedidos_cabecera, Calle=a.d.calle),
+        "g02_relaciones_por_tipo": lambda a: grafo.conteo_por_tipo(
+            "tipo_relacion", REALIZO=a.realizo, EN_RESTAURANTE=a.en_restaurante, INCLUYE=a.incluye,
+            INCLUYE_DETALLE=a.detalle, RESERVO=a.reservo, RECOMIENDA=a.d.recomienda,
+            ROAD=grafo.simetrica(a.d.road)),
+        "g03_estadisticas_grafo": lambda a: grafo.estadisticas_grafo(
+            a.d.usuarios, a.d.restaurantes, a.d.menus, a.d.pedidos_cabecera, a.d.calle,
+            [a.realizo, a.en_restaurante, a.incluye, a.detalle, a.reservo]),
+        "g04_estadisticas_vial": lambda a: grafo.estadisticas_vial(
+            a.d.calle, a.d.road, a.d.restaurantes, a.d.clientes),
+        "g05_caminos_de_vias": lambda a: grafo.caminos_de_vias(_vias(a), a.d.calle),
+        "g08_cruces_principales": lambda a: grafo.cruces_principales(a.d.calle, a.d.road),
+        "g09_conectados_aislados": lambda a: grafo.conectados_aislados(a.d.calle, a.d.road.filter("nombre <> ''")),
+        "g10_conectividad_clientes": lambda a: grafo.conectividad_anclas(
+            a.anclas_cliente, a.d.calle, a.d.road.filter("nombre <> ''")),
+        "g11_calles_frecuentes": lambda a: grafo.calles_frecuentes(a.d.road),
+        "g11_calles_distintas": lambda a: grafo.calles_distintas(a.d.road),
+        "g11_estadisticas_nombres": lambda a: grafo.estadisticas_nombres(a.d.road),
+        "g12_co_compras": lambda a: copurchase.co_compras(a.detalle, a.d.menus),
+        "g13_co_compras_categoria": lambda a: copurchase.co_compras_categoria(a.detalle, a.d.menus),
+        "g13_co_compras_categoria_sin_minimo": lambda a: copurchase.co_compras_categoria(a.detalle, a.d.menus, 10, 1),
+        "g14_co_compras_valor": lambda a: copurchase.co_compras_valor(a.detalle, a.d.menus),
+        "g15_co_compras_mismo_restaurante": lambda a: copurchase.co_compras_mismo_restaurante(a.detalle, a.d.menus),
+        "g16_usuarios_influyentes": lambda a: rank.usuarios_influyentes(a.d.usuarios, a.realizo),
+        "g17_actividad_usuarios": lambda a: grafo.actividad_usuarios(a.d.usuarios, a.realizo),
+        "g18_influye_en": lambda a: social.pares_similares(a.similares, "productos_comunes"),
+        "g19_restaurantes_populares": lambda a: grafo.restaurantes_populares(a.d.restaurantes, a.en_restaurante),
+        "g19_restaurantes_populares_gourmet": lambda a: grafo.restaurantes_populares(
+            a.d.restaurantes, a.en_restaurante, "gourmet"),
+        "g20_mas_recomiendan": lambda a: social.ranking_recomendaciones(a.d.recomienda, a.d.usuarios).select(
+            "email", "rol", F.col("total").alias("total_recomendaciones"), _lista("canales").alias("canales_usados")),
+        "g20_mas_recomendados": lambda a: social.ranking_recomendaciones(a.d.recomienda, a.d.usuarios, "dst").select(
+            "email", "rol", F.col("total").alias("veces_recomendado"), _lista("canales").alias("canales_recibidos")),
+        "g21_estadisticas_recomendacion": lambda a: social.estadisticas_recomendacion(a.d.recomienda).withColumn(
+            "distribucion_canales", _lista("distribucion_canales")),
+        "g22_mas_influyentes": lambda a: social.mas_influyentes(a.influencia, a.d.usuarios),
+        "g23_mas_influidos": lambda a: social.mas_influidos(a.influencia, a.d.usuarios),
+        "g24_estadisticas_influencia": lambda a: social.estadisticas_influencia(a.influencia, a.influencia),
+        "g25_cadenas": lambda a: social.cadenas_con_email(social.cadenas(a.d.recomienda), a.d.usuarios).select(
+            F.array_join("cadena_emails", ">").alias("cadena"), "chain_length",
+            F.array_join("canales", ">").alias("canales")),
+        "g26_cadenas_de_dos": lambda a: social.cadenas_con_email(
+            social.cadenas(a.d.recomienda, 2, 2), a.d.usuarios).select(
+            F.col("cadena_emails")[0].alias("inicio"), F.col("cadena_emails")[1].alias("intermedio"),
+            F.col("cadena_emails")[2].alias("fin")),
+        "g27_mutuas": lambda a: social.mutuas(a.d.recomienda),
+        "g28_influencia_cruzada": lambda a: social.influencia_cruzada(a.d.recomienda, a.influencia, a.d.usuarios),
+        "g28_influencia_cruzada_literal": lambda a: social.influencia_cruzada(
+            a.d.recomienda, a.influencia, a.d.usuarios, literal=True),
+        "g29_comunidades": lambda a: rank.componentes(a.d.usuarios, a.d.recomienda),
+        "g30_productos_similares": lambda a: social.pares_similares(similarity.similitud(
+            a.detalle.select(F.col("dst").alias("entidad"), F.col("src").alias("item")).distinct(),
+            UMBRAL_PRODUCTOS), "pedidos_comunes"),
+        "g31_recomendar_productos": lambda a: social.recomendar_productos(a.compras, a.detalle),
+    }
+
+
+def _vias(a: Almacen) -> DataFrame:
+    """Ways: each row of the road grid in column order (at most 40 nodes per way)."""
+    return (a.d.calle.groupBy(F.floor(F.col("id") / 40).alias("id"))
+            .agg(F.sort_array(F.collect_list(F.col("id"))).alias("nd")))
+
+
 def consultas() -> dict[str, Consulta]:
     def sobre_almacen(f: Callable[[Almacen], DataFrame]) -> Consulta:
         return lambda spark, carpeta: f(Almacen(Dominio(spark, carpeta)))
 
-    return {k: sobre_almacen(f) for k, f in _cubos().items()}
+    return {k: sobre_almacen(f) for k, f in {**_cubos(), **_grafo()}.items()}
