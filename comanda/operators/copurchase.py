@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from comanda.functions.expr import cociente
+from comanda.plans.durable import Corte
 from comanda.plans.pares import pares_en_grupo
 
 SEMILLAS = 256
@@ -23,9 +24,9 @@ def cestas(detalle: DataFrame) -> DataFrame:
         F.sum(F.col("subtotal").cast("decimal(18,2)")).alias("s"))
 
 
-def pares_de_productos(cesta: DataFrame, grupo: list[str] | None = None) -> DataFrame:
+def pares_de_productos(cesta: DataFrame, grupo: list[str] | None = None, bloque: int | None = 512) -> DataFrame:
     """One row per product pair: times together and the summed units and amount of both lines."""
-    p = pares_en_grupo(cesta, grupo or ["src"], "dst", ["n", "u", "s"])
+    p = pares_en_grupo(cesta, grupo or ["src"], "dst", ["n", "u", "s"], bloque)
     n1, n2 = F.col("n_menor"), F.col("n_mayor")
     return p.groupBy(F.col("menor").alias("prod1"), F.col("mayor").alias("prod2")).agg(
         F.sum(n1 * n2).alias("veces"),
@@ -43,7 +44,8 @@ def _solo_posibles(cesta: DataFrame, k: int, grupo: list[str]) -> DataFrame:
     cota = (cesta.groupBy("dst").agg(F.sum("n").alias("lineas"))
             .withColumn("cota", F.col("lineas") * cesta.agg(F.max("n")).scalar()))
     semillas = cota.orderBy(F.desc("cota"), "dst").limit(SEMILLAS).select("dst")
-    entre = pares_de_productos(cesta.join(F.broadcast(semillas), "dst", "left_semi"), grupo)
+    # at most SEMILLAS products per basket are left, no basket needs to be cut into blocks
+    entre = pares_de_productos(cesta.join(F.broadcast(semillas), "dst", "left_semi"), grupo, bloque=None)
     corte = entre.orderBy(F.desc("veces")).limit(k).agg(
         F.when(F.count("*") == k, F.min("veces")).otherwise(F.lit(0)).alias("c"))
     vivos = cota.filter(F.col("cota") >= corte.scalar()).select("dst")
@@ -51,6 +53,7 @@ def _solo_posibles(cesta: DataFrame, k: int, grupo: list[str]) -> DataFrame:
 
 
 def _mejores(cesta: DataFrame, k: int, grupo: list[str], orden: list) -> DataFrame:
+    cesta, _ = Corte(cesta.sparkSession, "cestas").guardar(cesta)  # read three times below
     pares = pares_de_productos(_solo_posibles(cesta, k, grupo), grupo)
     return pares.withColumn("valor_promedio", cociente(F.col("importe"), F.col("veces"))).orderBy(*orden).limit(k)
 

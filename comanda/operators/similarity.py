@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from comanda.functions.expr import cociente
+from comanda.plans.durable import Corte
 from comanda.plans.pares import pares_en_grupo
 
 
@@ -28,7 +29,11 @@ class Similitud:
 
 
 def similitud(conjuntos: DataFrame, umbral: float) -> Similitud:
-    """``conjuntos(entidad, item)`` without repeated rows; pairs with score >= ``umbral`` > 0."""
+    """``conjuntos(entidad, item)`` without repeated rows; pairs with score >= ``umbral`` > 0.
+
+    Each table that several later steps read is written once."""
+    corte = Corte(conjuntos.sparkSession, "similitud")
+    conjuntos, _ = corte.guardar(conjuntos)
     huella = conjuntos.groupBy("entidad").agg(
         F.count("*").alias("n"), F.bit_xor(F.xxhash64("item")).alias("h1"),
         F.sum(F.xxhash64("item", F.lit(1)).cast("decimal(20,0)")).alias("h2"))
@@ -36,15 +41,16 @@ def similitud(conjuntos: DataFrame, umbral: float) -> Similitud:
     con_marca = huella.groupBy(*marca).agg(F.min("entidad").alias("perfil"), F.count("*").alias("entidades"))
     miembros = huella.join(con_marca.select(*marca, "perfil"), marca).select("entidad", "perfil")
     perfiles = con_marca.select("perfil", "n", "entidades")
-    aristas = _pares(conjuntos.withColumnRenamed("entidad", "perfil")
-                     .join(perfiles.select("perfil", "n"), "perfil"), umbral)
+    perfiles, _ = corte.guardar(perfiles)
+    aristas, _ = corte.guardar(_pares(conjuntos.withColumnRenamed("entidad", "perfil")
+                                      .join(perfiles.select("perfil", "n"), "perfil"), umbral, corte))
     return Similitud(miembros, perfiles, aristas)
 
 
-def _pares(sets: DataFrame, t: float) -> DataFrame:
+def _pares(sets: DataFrame, t: float, corte: Corte) -> DataFrame:
     """Pairs of ``sets(perfil, item, n)`` with Jaccard >= t and their shared item count."""
     frecuencia = sets.groupBy("item").agg(F.count("*").alias("f"))
-    s = sets.join(frecuencia.filter("f > 1"), "item")
+    s, _ = corte.guardar(sets.join(frecuencia.filter("f > 1"), "item"))
     # Items that nobody shares are rarest of all; they count as prefix and are already gone from s.
     ocultos = F.col("n") - F.col("visibles")
     faltan = F.col("n") - F.ceil(F.lit(t) * F.col("n")) + 1 - ocultos
@@ -55,11 +61,11 @@ def _pares(sets: DataFrame, t: float) -> DataFrame:
     # smallest frequency quantile that surely holds the prefix (1 of 10000 is the sketch's error)
     fraccion = (faltan + 1) / F.col("visibles") + 0.0002
     indice = F.least(F.lit(20), F.greatest(F.lit(1), F.ceil(fraccion * 20))).cast("int")
-    corte = por_perfil.select("perfil", F.when(indice >= 20, F.lit(None)).otherwise(
-        F.element_at("q", indice)).alias("corte"))
-    marcados = (s.join(corte, "perfil")
-                .withColumn("prefijo", F.col("corte").isNull() | (F.col("f") <= F.col("corte")))
-                .select("perfil", "item", "n", "prefijo"))
+    tope = por_perfil.select("perfil", F.when(indice >= 20, F.lit(None)).otherwise(
+        F.element_at("q", indice)).alias("tope"))
+    marcados, _ = corte.guardar(
+        s.join(tope, "perfil").withColumn("prefijo", F.col("tope").isNull() | (F.col("f") <= F.col("tope")))
+        .select("perfil", "item", "n", "prefijo"))
 
     prefijos, sufijos = marcados.filter("prefijo"), marcados.filter("NOT prefijo")
     n_suf = sufijos.groupBy("perfil").agg(F.count("*").alias("suf"))
@@ -74,8 +80,8 @@ def _pares(sets: DataFrame, t: float) -> DataFrame:
     resto = F.coalesce("suf_a", F.lit(0)) + F.coalesce("suf_b", F.lit(0))
     # most the pair can share: the prefix matches plus everything outside the prefixes
     maximo = F.least(F.col("pp") + resto, "na", "nb")
-    candidatos = (candidatos.filter(_score(maximo) >= t)
-                  .select("a", "b", "na", "nb", "pp", (resto > 0).alias("con_resto")))
+    candidatos, _ = corte.guardar(candidatos.filter(_score(maximo) >= t)
+                                  .select("a", "b", "na", "nb", "pp", (resto > 0).alias("con_resto")))
     # items in the suffix of a, and items in the prefix of a that are in the suffix of b
     pendientes = candidatos.filter("con_resto").select("a", "b")
     todos = marcados.select(F.col("perfil").alias("b"), "item")

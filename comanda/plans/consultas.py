@@ -8,7 +8,8 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from comanda.operators import copurchase, cubes, dashboards as tab, grafo, quality, rank, similarity, social, star
+from comanda.operators import copurchase, cubes, dashboards as tab, dispatch, grafo, paths, quality, rank, similarity
+from comanda.operators import social, spatial, star
 from comanda.operators import summaries as resumenes
 from comanda.functions import expr, geo
 from comanda.sources.derivadas import Dominio
@@ -46,6 +47,24 @@ class Almacen:
     similares = cached_property(lambda a: similarity.similitud(
         a.compras.toDF("entidad", "item"), UMBRAL_USUARIOS))
     influencia = cached_property(lambda a: similarity.resumen_por_entidad(a.similares))
+    ancla = cached_property(lambda a: spatial.anclar_restaurantes(a.d.restaurantes, a.d.calle))
+    # road node of the restaurant and of the customer of every order
+    pares_pedido = cached_property(lambda a: a.d.pedidos.select(
+        F.col("restaurante_id").alias("src"), F.col("usuario_id").alias("destino"))
+        .join(a.ancla.select("src", F.col("dst").alias("origen")), "src")
+        .join(a.d.calle.select(F.col("id").alias("destino")), "destino").select("origen", "destino").distinct())
+    ruta_pedido = cached_property(lambda a: paths.ruta_mas_corta(a.pares_pedido, a.d.road))
+    anclas_restaurante = cached_property(lambda a: a.d.restaurantes.join(
+        a.ancla.select(F.col("src").alias("id"), F.col("dst").alias("osm_node_id")), "id")
+        .select("id", "nombre", "osm_node_id"))
+    rutas_ancla = cached_property(lambda a: paths.rutas_entre_anclas(
+        a.anclas_restaurante, a.anclas_cliente, a.d.road))
+    asignacion = cached_property(lambda a: dispatch.asignar(
+        a.d.pedidos_entrega, a.d.repartidores, a.d.clientes))
+    tramos = cached_property(lambda a: dispatch.tramos(
+        a.asignacion, a.d.repartidores,
+        a.d.pedidos_entrega.select(F.col("id").alias("pedido_id"), F.col("cliente_id").alias("id"))
+        .join(a.d.clientes.select("id", "lat", "lon"), "id").drop("id"), a.d.calle, a.d.road))
     # restaurants and customers with their road node, customers at the node of their own id
     anclas_cliente = cached_property(lambda a: a.d.clientes.select(
         "id", F.col("email").alias("nombre"), "lat", "lon", F.col("id").alias("osm_node_id")))
@@ -208,6 +227,55 @@ def _grafo() -> dict[str, Callable[[Almacen], DataFrame]]:
     }
 
 
+def _rutas() -> dict[str, Callable[[Almacen], DataFrame]]:
+    return {
+        "g07_alcance": lambda a: paths.alcance(a.d.calle, a.d.road),
+        "r02_anclar_restaurantes": lambda a: a.ancla,
+        "r03_calle_mas_cercana": lambda a: spatial.calle_mas_cercana(
+            a.d.clientes.select("id", "lat", "lon"), a.d.calle).select("id", "calle_id", "distancia"),
+        "r04_registrar_clientes": lambda a: spatial.registrar_clientes(a.d.clientes, a.d.calle, 2.0)[0].select(
+            "id", "calle_id", "distancia"),
+        "r04_clientes_rechazados": lambda a: spatial.registrar_clientes(a.d.clientes, a.d.calle, 2.0)[1],
+        "r05_ruta_mas_corta": lambda a: a.ruta_pedido.select(
+            "origen", "destino", "num_calles", "distancia", F.size("calles").alias("nodos")),
+        "r07_ruta_menor_distancia": lambda a: paths.ruta_menor_distancia(a.pares_pedido, a.d.road).select(
+            "origen", "destino", "distancia"),
+        "r08_tramos": lambda a: a.tramos[0],
+        "r09_asignacion": lambda a: a.asignacion,
+        "r10_rutas": lambda a: dispatch.rutas(a.tramos[0]).withColumn(
+            "pedidos", F.array_join(F.col("pedidos").cast("array<string>"), ",")),
+        "r10_tiempos_estimados": lambda a: dispatch.tiempos_estimados(dispatch.rutas(a.tramos[0])),
+        "r10_trazado": lambda a: dispatch.trazado(*a.tramos).withColumn(
+            "calles_ruta", F.array_join(F.col("calles_ruta").cast("array<string>"), ",")),
+        "r11_progreso": lambda a: dispatch.progreso(
+            dispatch.rutas(a.tramos[0]), dispatch.completar_entregas(a.d.pedidos_entrega, _entregas(a))),
+        "r12_carga_tras_entregas": lambda a: dispatch.carga_actual(
+            a.d.repartidores, dispatch.completar_entregas(
+                a.d.pedidos_entrega.withColumn("repartidor_asignado", F.col("restaurante_id")), _entregas(a)))
+        .select("id", "carga"),
+        "r13_ultima_posicion": lambda a: spatial.ultima_posicion(a.d.repartidores, a.d.posiciones).select("id", "lat", "lon"),
+        "r14_registrar_repartidores": lambda a: spatial.registrar_repartidores(
+            a.d.repartidores, a.d.calle, 1000.0).select("id", "calle_actual"),
+        "r15_matriz_conectividad": lambda a: paths.matriz_conectividad(
+            a.anclas_restaurante, a.anclas_cliente, a.d.road),
+        "r16_rutas_cortas": lambda a: paths.rutas_extremas(a.rutas_ancla),
+        "r16_rutas_largas": lambda a: paths.rutas_extremas(a.rutas_ancla, largas=True),
+        "r17_segmentos_por_restaurante": lambda a: paths.segmentos_por_restaurante(a.rutas_ancla),
+        "r18_restaurante_centrico": lambda a: paths.promedio_segmentos(a.rutas_ancla, "restaurante"),
+        "r18_cliente_accesible": lambda a: paths.promedio_segmentos(a.rutas_ancla, "cliente"),
+        "r19_prueba_conectividad": lambda a: paths.prueba_conectividad(
+            a.rutas_ancla, a.anclas_restaurante, a.anclas_cliente),
+        "r20_primeros_pasos": lambda a: paths.pasos_de_ruta(
+            a.ruta_pedido, ["origen", "destino"], a.d.calle, a.d.road),
+        "r22_resumen_de_ruta": lambda a: paths.resumen_de_ruta(a.ruta_pedido, a.d.calle, ["origen", "destino"]),
+    }
+
+
+def _entregas(a: Almacen) -> DataFrame:
+    """Delivery reports: the order of every purchase event."""
+    return a.d.tabla("events").filter("event_type = 'purchase'").select(F.col("event_id").alias("pedido_id"))
+
+
 def _vias(a: Almacen) -> DataFrame:
     """Ways: each row of the road grid in column order (at most 40 nodes per way)."""
     return (a.d.calle.groupBy(F.floor(F.col("id") / 40).alias("id"))
@@ -218,4 +286,4 @@ def consultas() -> dict[str, Consulta]:
     def sobre_almacen(f: Callable[[Almacen], DataFrame]) -> Consulta:
         return lambda spark, carpeta: f(Almacen(Dominio(spark, carpeta)))
 
-    return {k: sobre_almacen(f) for k, f in {**_cubos(), **_grafo()}.items()}
+    return {k: sobre_almacen(f) for k, f in {**_cubos(), **_grafo(), **_rutas()}.items()}

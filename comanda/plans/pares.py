@@ -6,13 +6,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def pares_en_grupo(df: DataFrame, grupo: list[str], miembro: str, valores: list[str], bloque: int = 512) -> DataFrame:
+def pares_en_grupo(df: DataFrame, grupo: list[str], miembro: str, valores: list[str],
+                   bloque: int | None = 512) -> DataFrame:
     """Unordered member pairs (``menor`` < ``mayor``) per group, with both sides' values as
     ``x_menor`` and ``x_mayor``.  ``df`` has one row per group and member.
 
     A group of more than ``bloque`` members is cut into blocks by member hash; a pair of
-    blocks is one join key, so no key has more than about ``bloque`` rows on a side.
+    blocks is one join key, so no key has more than about ``bloque`` rows on a side.  ``None``
+    is for groups known to be small.
     """
+    if bloque is None:
+        a = df.select(*grupo, F.col(miembro).alias("menor"), *[F.col(v).alias(f"{v}_menor") for v in valores])
+        b = df.select(*grupo, F.col(miembro).alias("mayor"), *[F.col(v).alias(f"{v}_mayor") for v in valores])
+        return a.join(b, grupo).filter("menor < mayor")
     grandes = (df.groupBy(*grupo).agg(F.count("*").alias("_n")).filter(F.col("_n") > bloque)
                .select(*grupo, F.ceil(F.col("_n") / bloque).cast("int").alias("_nb")))
     base = (df.select(*grupo, miembro, *valores).join(grandes, grupo, "left")
