@@ -23,9 +23,15 @@ def red(aristas: DataFrame) -> DataFrame:
             .groupBy("src", "dst").agg(F.min("distancia").alias("distancia")))
 
 
-def _menor(df: DataFrame) -> DataFrame:
-    return df.groupBy("origen", "nodo").agg(F.min(F.struct("c1", "c2", "pred", "nuevo")).alias("l")).select(
-        "origen", "nodo", "l.*")
+_ETIQUETA = "origen, nodo, l.c1, l.c2, l.pred, l.nuevo"
+
+
+def _paso(desde: str) -> str:
+    """One segment further from the labels ``desde``, the best label per origin and node."""
+    return f"""SELECT {_ETIQUETA} FROM (
+        SELECT s.origen, r.dst AS nodo, min(struct(s.c1 + r.d1 AS c1, s.c2 + r.d2 AS c2,
+               if(r.avanza = 1, r.src, s.pred) AS pred, r.avanza AS nuevo)) AS l
+        FROM ({desde}) s JOIN {{r}} r ON s.nodo = r.src GROUP BY s.origen, r.dst)"""
 
 
 def etiquetas(origenes: DataFrame, aristas: DataFrame, por: str = "saltos", max_saltos: int | None = None,
@@ -37,7 +43,8 @@ def etiquetas(origenes: DataFrame, aristas: DataFrame, por: str = "saltos", max_
     """
     if por == "distancia" and max_saltos is not None:
         raise ValueError("a hop limit needs por='saltos'")
-    corte = Corte(origenes.sparkSession, "etiquetas")
+    spark = origenes.sparkSession
+    corte = Corte(spark, "etiquetas")
     c1, c2 = (F.lit(1.0), F.col("distancia")) if por == "saltos" else (F.col("distancia"), F.lit(1.0))
     r = red(aristas).select("src", F.col("dst"), c1.alias("d1"), c2.alias("d2"), F.lit(1).alias("avanza"))
     cero = F.lit(0.0)
@@ -51,14 +58,14 @@ def etiquetas(origenes: DataFrame, aristas: DataFrame, por: str = "saltos", max_
     hechos = 0
     while n and (max_saltos is None or hechos < max_saltos):
         hasta = pasos if max_saltos is None else min(pasos, max_saltos - hechos)
-        s = mejores.filter("nuevo = 1")
+        s = "SELECT * FROM {e} WHERE nuevo = 1"
         for _ in range(hasta):
-            s = _menor(s.join(r, s["nodo"] == r["src"]).select(
-                "origen", F.col("dst").alias("nodo"), (F.col("c1") + F.col("d1")).alias("c1"),
-                (F.col("c2") + F.col("d2")).alias("c2"),
-                F.when(F.col("avanza") == 1, F.col("src")).otherwise(F.col("pred")).alias("pred"),
-                F.col("avanza").alias("nuevo")))
-        mejores, _ = corte.guardar(_menor(mejores.withColumn("nuevo", F.lit(0)).unionByName(s)))
+            s = _paso(s)
+        mejores, _ = corte.guardar(spark.sql(
+            f"""SELECT {_ETIQUETA} FROM (
+                  SELECT origen, nodo, min(struct(c1, c2, pred, nuevo)) AS l FROM (
+                    SELECT origen, nodo, c1, c2, pred, 0 AS nuevo FROM {{e}}
+                    UNION ALL SELECT * FROM ({s})) GROUP BY origen, nodo)""", e=mejores, r=r))
         n = mejores.filter("nuevo = 1").limit(1).count()
         hechos += hasta
     saltos, metros = ("c1", "c2") if por == "saltos" else ("c2", "c1")
