@@ -11,7 +11,7 @@ PASO_SAL = 100_000
 
 
 def pagerank(nodos: DataFrame, aristas: DataFrame, iteraciones: int = 20, amortiguacion: float = 0.85,
-             pasos_por_corte: int = 5, paso_sal: int = PASO_SAL) -> DataFrame:
+             pasos_por_corte: int = 10, paso_sal: int = PASO_SAL) -> DataFrame:
     """Unnormalised PageRank (id, score) of ``nodos(id)`` over directed ``aristas(src, dst)``.
 
     A source with more than ``paso_sal`` edges is split into as many salted keys as needed, so
