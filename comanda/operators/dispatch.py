@@ -15,6 +15,7 @@ from comanda.plans.durable import Corte
 
 MINUTOS_POR_ENTREGA = 5
 MAX_SALTOS = 20
+PARTES_ZONA = 64
 
 _ASIGNACION = "zona string, pedido_id bigint, repartidor_id bigint, turno int, costo int"
 
@@ -55,13 +56,17 @@ def asignar(pedidos: DataFrame, repartidores: DataFrame, clientes: DataFrame) ->
     libres = repartidores.filter("activo AND carga < capacidad_max")
     plazas = libres.groupBy("zona").agg(F.sum(F.col("capacidad_max") - F.col("carga")).alias("plazas"))
     tope = plazas.agg(F.max("plazas")).first()[0] or 0
-    orden = W.partitionBy("zona").orderBy(F.desc("prioridad"), "fecha_creacion", "pedido_id")
+    turno = [F.desc("prioridad"), F.asc("fecha_creacion"), F.asc("pedido_id")]
+    por_parte, por_zona = W.partitionBy("zona", "_parte").orderBy(*turno), W.partitionBy("zona").orderBy(*turno)
     c = clientes.select(F.col("id").alias("cliente_id"), "lat", "lon")
     cola = (pedidos.filter("estado = 'pendiente'")
             .select("zona", F.col("id").alias("pedido_id"), "cliente_id", "prioridad", "fecha_creacion")
-            .join(c, "cliente_id").withColumn("turno", F.row_number().over(orden))
-            # the literal bound lets Spark cut each task's rows before the shuffle
-            .filter(F.col("turno") <= tope).join(plazas, "zona").filter(F.col("turno") <= F.col("plazas"))
+            .join(c, "cliente_id")
+            # first orders of each part of a zone, so that a zone with most orders is cut in parallel
+            .withColumn("_parte", F.pmod(F.xxhash64("pedido_id"), F.lit(PARTES_ZONA)))
+            .withColumn("_puesto", F.row_number().over(por_parte)).filter(F.col("_puesto") <= tope)
+            .withColumn("turno", F.row_number().over(por_zona))
+            .join(plazas, "zona").filter(F.col("turno") <= F.col("plazas"))
             .select("zona", "pedido_id", "turno", "lat", "lon"))
     r = libres.select("zona", "id", "lat", "lon", "velocidad_promedio", "carga", "capacidad_max")
     return cola.groupBy("zona").cogroup(r.groupBy("zona")).applyInPandas(_turnos, _ASIGNACION)

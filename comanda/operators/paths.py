@@ -51,9 +51,9 @@ def etiquetas(origenes: DataFrame, aristas: DataFrame, por: str = "saltos", max_
     quieto = r.select("src").distinct().select("src", F.col("src").alias("dst"), cero.alias("d1"), cero.alias("d2"),
                                                F.lit(0).alias("avanza"))
     # the zero step from a node to itself carries a label unchanged through a round
-    r, _ = corte.guardar(r.unionByName(quieto))
+    r = corte.guardar_por_clave(r.unionByName(quieto), ["src"])
     o = F.col("origen")
-    mejores, n = corte.guardar(origenes.select("origen").distinct().select(
+    mejores, n = corte.avanzar(origenes.select("origen").distinct().select(
         o, o.alias("nodo"), cero.alias("c1"), cero.alias("c2"), o.alias("pred"), F.lit(1).alias("nuevo")))
     hechos = 0
     while n and (max_saltos is None or hechos < max_saltos):
@@ -61,13 +61,14 @@ def etiquetas(origenes: DataFrame, aristas: DataFrame, por: str = "saltos", max_
         s = "SELECT * FROM {e} WHERE nuevo = 1"
         for _ in range(hasta):
             s = _paso(s)
-        mejores, _ = corte.guardar(spark.sql(
+        mejores, _ = corte.avanzar(spark.sql(
             f"""SELECT {_ETIQUETA} FROM (
                   SELECT origen, nodo, min(struct(c1, c2, pred, nuevo)) AS l FROM (
                     SELECT origen, nodo, c1, c2, pred, 0 AS nuevo FROM {{e}}
                     UNION ALL SELECT * FROM ({s})) GROUP BY origen, nodo)""", e=mejores, r=r))
         n = mejores.filter("nuevo = 1").limit(1).count()
         hechos += hasta
+    corte.cerrar()
     saltos, metros = ("c1", "c2") if por == "saltos" else ("c2", "c1")
     return mejores.select("origen", "nodo", F.col(saltos).cast("int").alias("saltos"),
                           F.col(metros).alias("distancia"), "pred")
@@ -80,7 +81,7 @@ def caminos(pares: DataFrame, et: DataFrame, pasos: int = 10) -> DataFrame:
     fin = et.select("origen", F.col("nodo").alias("destino"), "saltos", "distancia")
     act = pares.join(fin, ["origen", "destino"]).select(
         *pares.columns, "saltos", "distancia", F.col("destino").alias("_n"), F.array("destino").alias("calles"))
-    act, n = corte.guardar(act)
+    act, n = corte.avanzar(act)
     if not n:
         return act.drop("_n")
     p = et.select("origen", F.col("nodo").alias("_n"), F.col("pred").alias("_p"))
@@ -92,7 +93,7 @@ def caminos(pares: DataFrame, et: DataFrame, pasos: int = 10) -> DataFrame:
                 F.when(F.col("_n") == F.col("origen"), F.col("calles"))
                 .otherwise(F.array_prepend("calles", F.col("_p"))).alias("calles"))
         faltan -= pasos
-        act, _ = corte.guardar(act)
+        act, _ = corte.avanzar(act)
     return act.drop("_n")
 
 
@@ -178,14 +179,14 @@ def alcance(nodos: DataFrame, aristas: DataFrame, inicios: int = 100, max_saltos
     without edges do not count), and how many starts have a path."""
     r = red(aristas).select("src", "dst")
     primeros = nodos.select("id").orderBy("id").limit(inicios)
-    con_via = primeros.join(r.select(F.col("src").alias("id")), "id", "left_semi")
+    con_via = primeros.join(r.select(F.col("src").alias("id")).distinct(), "id", "left_semi")
     corte = Corte(nodos.sparkSession, "alcance")
-    inicio, total = corte.guardar(con_via)
+    inicio, total = corte.avanzar(con_via)
     visto = inicio
     for _ in range(max_saltos):
         # every node with an edge comes back to itself over that edge, so it stays reached
         llega = visto.join(r, visto["id"] == r["src"]).select(F.col("dst").alias("id"))
-        visto, _ = corte.guardar(llega.unionByName(visto).distinct())
+        visto, _ = corte.avanzar(llega.unionByName(visto).distinct())
     return visto.agg(F.count("*").alias("conectadas")).select("conectadas", F.lit(total).cast("bigint").alias("total"))
 
 

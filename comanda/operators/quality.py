@@ -38,7 +38,7 @@ def no_vacias(**tablas: DataFrame) -> DataFrame:
 
 def huerfanos(pedidos: DataFrame, reservas: DataFrame) -> DataFrame:
     """Orders that no reservation refers to."""
-    r = reservas.select(F.col("pedido_id").alias("id")).filter("id IS NOT NULL")
+    r = reservas.select(F.col("pedido_id").alias("id")).filter("id IS NOT NULL").distinct()
     n = pedidos.select("id").join(r, "id", "left_anti").agg(F.count("*").alias("n"))
     return _filas(n, [_fila("huerfanos", "pedidos", "id", F.col("n"), "= 0", F.col("n") == 0)])
 

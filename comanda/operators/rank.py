@@ -10,14 +10,24 @@ from comanda.plans.durable import Corte
 PASO_SAL = 100_000
 
 
+def _paso(rango: str, amortiguacion: float) -> str:
+    """One iteration over the ranks ``rango``: shares sent along the edges plus the fixed part."""
+    return f"""SELECT id, max(grado) AS grado, max(sales) AS sales, sum(score) AS score FROM (
+        SELECT e.dst AS id, CAST(NULL AS BIGINT) AS grado, CAST(NULL AS INT) AS sales, x.parte AS score
+        FROM (SELECT id, score / grado * {amortiguacion}D AS parte, explode(sequence(0, sales - 1)) AS sal
+              FROM ({rango}) WHERE grado > 0) x JOIN {{e}} e ON e.src = x.id AND e.sal = x.sal
+        UNION ALL SELECT id, grado, sales, score FROM {{fijo}}) GROUP BY id"""
+
+
 def pagerank(nodos: DataFrame, aristas: DataFrame, iteraciones: int = 20, amortiguacion: float = 0.85,
-             pasos_por_corte: int = 10, paso_sal: int = PASO_SAL) -> DataFrame:
+             pasos_por_corte: int = 5, paso_sal: int = PASO_SAL) -> DataFrame:
     """Unnormalised PageRank (id, score) of ``nodos(id)`` over directed ``aristas(src, dst)``.
 
     A source with more than ``paso_sal`` edges is split into as many salted keys as needed, so
     no join key carries more than that.  Sums into a target are combined before the shuffle.
     """
-    corte = Corte(nodos.sparkSession, "pagerank")
+    spark = nodos.sparkSession
+    corte = Corte(spark, "pagerank")
     base = 1.0 - amortiguacion
     grado = aristas.groupBy(F.col("src").alias("id")).agg(F.count("*").alias("grado"))
     estado, _ = corte.guardar(
@@ -26,21 +36,17 @@ def pagerank(nodos: DataFrame, aristas: DataFrame, iteraciones: int = 20, amorti
                 F.ceil(F.greatest(F.coalesce("grado", F.lit(1).cast("bigint")), F.lit(1)) / paso_sal)
                 .cast("int").alias("sales")))
     sales = estado.select(F.col("id").alias("src"), "sales")
-    e, _ = corte.guardar(aristas.join(sales, "src").select(
-        "src", "dst", F.pmod(F.xxhash64("dst"), F.col("sales")).cast("int").alias("sal")))
-    fijo = estado.select("id", "grado", "sales", F.lit(base).alias("s"))
-    rango = estado.select("id", "grado", "sales", F.lit(base).alias("score"))
-    for i in range(1, iteraciones + 1):
-        emite = (rango.filter("grado > 0")
-                 .select(F.col("id").alias("src"), (F.col("score") / F.col("grado") * amortiguacion).alias("s"),
-                         F.explode(F.sequence(F.lit(0), F.col("sales") - 1)).alias("sal")))
-        llega = emite.join(e, ["src", "sal"]).select(
-            F.col("dst").alias("id"), F.lit(None).cast("bigint").alias("grado"),
-            F.lit(None).cast("int").alias("sales"), "s")
-        rango = (llega.unionByName(fijo).groupBy("id")
-                 .agg(F.max("grado").alias("grado"), F.max("sales").alias("sales"), F.sum("s").alias("score")))
-        if i % pasos_por_corte == 0 and i < iteraciones:
-            rango, _ = corte.guardar(rango)
+    e = corte.guardar_por_clave(aristas.join(sales, "src").select(
+        "src", "dst", F.pmod(F.xxhash64("dst"), F.col("sales")).cast("int").alias("sal")), ["src", "sal"])
+    fijo = estado.select("id", "grado", "sales", F.lit(base).alias("score"))
+    rango, hechas = fijo, 0
+    while hechas < iteraciones:
+        texto = "SELECT * FROM {rango}"
+        for _ in range(min(pasos_por_corte, iteraciones - hechas)):
+            texto = _paso(texto, amortiguacion)
+            hechas += 1
+        rango, _ = corte.avanzar(spark.sql(texto, rango=rango, e=e, fijo=fijo))
+    corte.cerrar()
     return rango.select("id", "score")
 
 
@@ -67,7 +73,7 @@ def componentes(nodos: DataFrame, aristas: DataFrame) -> DataFrame:
     """
     corte = Corte(nodos.sparkSession, "componentes")
     # one row per edge, larger end first
-    e, n = corte.guardar(aristas.filter("src <> dst").select(
+    e, n = corte.avanzar(aristas.filter("src <> dst").select(
         F.greatest("src", "dst").alias("u"), F.least("src", "dst").alias("v")).distinct())
     firma = None
     while n:
@@ -83,7 +89,7 @@ def componentes(nodos: DataFrame, aristas: DataFrame) -> DataFrame:
                  .select(F.inline(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")),
                                           F.struct(F.col("u"), F.col("m").alias("v")))))
                  .filter("u <> v").distinct())
-        e, n = corte.guardar(chica)
+        e, n = corte.avanzar(chica)
         nueva = e.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")),
                       F.sum(F.xxhash64("v", "u").cast("decimal(20,0)"))).first()
         if nueva == firma:

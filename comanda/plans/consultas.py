@@ -8,10 +8,11 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from comanda.functions import expr, geo
 from comanda.operators import copurchase, cubes, dashboards as tab, dispatch, grafo, paths, quality, rank, similarity
 from comanda.operators import social, spatial, star
 from comanda.operators import summaries as resumenes
-from comanda.functions import expr, geo
+from comanda.sources import sinks
 from comanda.sources.derivadas import Dominio
 
 UMBRAL_USUARIOS = 0.05
@@ -157,6 +158,7 @@ def _grafo() -> dict[str, Callable[[Almacen], DataFrame]]:
              "dim_tiempo": star.dim_tiempo(a.d.reservas_cabecera), "hechos_reservas": a.hechos},
             {"usuarios": a.d.usuarios, "restaurantes": a.d.restaurantes, "menus": a.d.menus,
              "reservas": a.d.reservas_cabecera, "pedidos": a.d.pedidos_cabecera}),
+        "k06_documentos_busqueda": lambda a: sinks.documentos_busqueda(a.d.menus, F.lit("2024-01-31T02:00:00")),
         "q07_reservas_completas": lambda a: star.reservas_completas(
             a.d.reservas, a.d.pedidos_cabecera, F.add_months(F.lit("2001-01-31").cast("date"), -12)),
         "q08_menus_activos": lambda a: star.menus_activos(a.d.menus, a.d.restaurantes),
@@ -238,6 +240,8 @@ def _rutas() -> dict[str, Callable[[Almacen], DataFrame]]:
         "r04_clientes_rechazados": lambda a: spatial.registrar_clientes(a.d.clientes, a.d.calle, 2.0)[1],
         "r05_ruta_mas_corta": lambda a: a.ruta_pedido.select(
             "origen", "destino", "num_calles", "distancia", F.size("calles").alias("nodos")),
+        "r06_ruta_hasta_100": lambda a: paths.ruta_mas_corta(a.pares_pedido, a.d.road, 100).select(
+            "origen", "destino", F.col("num_calles").alias("segmentos")),
         "r07_ruta_menor_distancia": lambda a: paths.ruta_menor_distancia(a.pares_pedido, a.d.road).select(
             "origen", "destino", "distancia"),
         "r08_tramos": lambda a: a.tramos[0],

@@ -27,17 +27,55 @@ def carpeta_compartida(spark: SparkSession) -> str:
 
 
 class Corte:
-    """One iterative job: each ``guardar`` writes a state and returns it with its row count."""
+    """One iterative job: each ``guardar`` writes a table and returns it with its row count."""
 
     def __init__(self, spark: SparkSession, nombre: str):
         self.spark = spark
-        self.raiz = f"{carpeta_compartida(spark)}/{nombre}-{uuid.uuid4().hex}"
+        self.nombre = f"{nombre}_{uuid.uuid4().hex}"
+        self.raiz = f"{carpeta_compartida(spark)}/{self.nombre}"
         self.n = 0
+        self.estado: str | None = None
+        self.por_clave: list[tuple[str, str]] = []
 
-    def guardar(self, df: DataFrame) -> tuple[DataFrame, int]:
-        ruta = f"{self.raiz}/{self.n:05d}"
+    def _ruta(self) -> str:
         self.n += 1
+        return f"{self.raiz}/{self.n:05d}"
+
+    def guardar(self, df: DataFrame) -> tuple[DataFrame, int]:
+        ruta = self._ruta()
         df.write.parquet(ruta)
         leido = self.spark.read.schema(df.schema).parquet(ruta)
         # answered from the file footers, no data pages are read
         return leido, leido.count()
+
+    def avanzar(self, df: DataFrame) -> tuple[DataFrame, int]:
+        """Writes the next state of a loop.  It holds everything later rounds need, so the
+        state before it is removed and a long loop keeps one state on disk, not all of them."""
+        anterior = self.estado
+        leido, n = self.guardar(df)
+        self.estado = f"{self.raiz}/{self.n:05d}"
+        if anterior:
+            _borrar(self.spark, anterior)
+        return leido, n
+
+    def guardar_por_clave(self, df: DataFrame, claves: list[str]) -> DataFrame:
+        """Writes a table that every round joins on ``claves``, bucketed by them: each round
+        shuffles the state to it and never shuffles the table again."""
+        ruta, tabla = self._ruta(), f"{self.nombre}_{self.n:05d}"
+        cubetas = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        (df.repartition(cubetas, *claves).write.bucketBy(cubetas, *claves).format("parquet")
+         .option("path", ruta).saveAsTable(tabla))
+        self.por_clave.append((tabla, ruta))
+        return self.spark.table(tabla)
+
+    def cerrar(self) -> None:
+        """Drops the bucketed tables, once the last state that reads them is written."""
+        for tabla, ruta in self.por_clave:
+            self.spark.sql(f"DROP TABLE IF EXISTS {tabla}")
+            _borrar(self.spark, ruta)
+        self.por_clave = []
+
+
+def _borrar(spark: SparkSession, ruta: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(ruta)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)

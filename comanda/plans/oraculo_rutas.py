@@ -42,6 +42,8 @@ registrar(
     r04_clientes_rechazados=f"""SELECT * FROM clientes WHERE id IN (SELECT id FROM ({_cercana('clientes', '2')})
         WHERE calle_id IS NULL)""",
     r05_ruta_mas_corta=f"{RUTA} SELECT origen, destino, h AS num_calles, d AS distancia, h + 1 AS nodos FROM ruta",
+    r06_ruta_hasta_100=f"""WITH RECURSIVE {ANCLA}, {PARES}, {_saltos(100)}
+        SELECT p.origen, p.destino, c.h AS segmentos FROM pares p JOIN corta c ON c.origen = p.origen AND c.nodo = p.destino""",
     r07_ruta_menor_distancia=f"""WITH RECURSIVE {ANCLA}, {PARES}, {_saltos(110)}
         SELECT p.origen, p.destino, MIN(n.d) AS distancia FROM pares p
         JOIN nivel n ON n.origen = p.origen AND n.nodo = p.destino GROUP BY 1, 2""",
