@@ -74,6 +74,36 @@ def etiquetas(origenes: DataFrame, aristas: DataFrame, por: str = "saltos", max_
                           F.col(metros).alias("distancia"), "pred")
 
 
+def saltos_entre(origenes: DataFrame, aristas: DataFrame, max_saltos: int | None = None,
+                 pasos: int = 10) -> DataFrame:
+    """(origen, nodo, saltos) where only the number of segments is asked for.
+
+    The label is one integer, so every round stays in hash aggregation, and the nodes first met
+    in the last step of a round are exactly those with that many segments.
+    """
+    spark = origenes.sparkSession
+    corte = Corte(spark, "saltos")
+    r = red(aristas).select("src", "dst", F.lit(1).alias("d"))
+    quieto = r.select("src").distinct().select("src", F.col("src").alias("dst"), F.lit(0).alias("d"))
+    r = corte.guardar_por_clave(r.unionByName(quieto), ["src"])
+    o = F.col("origen")
+    vistos, n = corte.avanzar(origenes.select("origen").distinct().select(o, o.alias("nodo"), F.lit(0).alias("saltos")))
+    hechos = 0
+    while n and (max_saltos is None or hechos < max_saltos):
+        hasta = pasos if max_saltos is None else min(pasos, max_saltos - hechos)
+        s = f"SELECT * FROM {{v}} WHERE saltos = {hechos}"
+        for _ in range(hasta):
+            s = f"""SELECT s.origen, r.dst AS nodo, min(s.saltos + r.d) AS saltos
+                    FROM ({s}) s JOIN {{r}} r ON s.nodo = r.src GROUP BY s.origen, r.dst"""
+        vistos, _ = corte.avanzar(spark.sql(
+            f"""SELECT origen, nodo, min(saltos) AS saltos FROM (SELECT * FROM {{v}} UNION ALL SELECT * FROM ({s}))
+                GROUP BY origen, nodo""", v=vistos, r=r))
+        hechos += hasta
+        n = vistos.filter(F.col("saltos") == hechos).limit(1).count()
+    corte.cerrar()
+    return vistos
+
+
 def caminos(pares: DataFrame, et: DataFrame, pasos: int = 10) -> DataFrame:
     """Adds saltos, distancia and ``calles`` (node ids in order) to ``pares(origen, destino, ...)``
     by following predecessors.  Only requested pairs carry a path; unreached pairs are left out."""
@@ -197,7 +227,7 @@ def rutas_entre_anclas(restaurantes: DataFrame, clientes: DataFrame, aristas: Da
     """Segments between the road nodes of every restaurant and every customer that a path
     joins: (restaurante_id, restaurante, cliente_id, cliente, segmentos).  Anchors are
     (id, nombre, osm_node_id); anchors at one node share its labels."""
-    et = etiquetas(restaurantes.select(F.col("osm_node_id").alias("origen")), aristas, "saltos", max_saltos, pasos=10)
+    et = saltos_entre(restaurantes.select(F.col("osm_node_id").alias("origen")), aristas, max_saltos)
     r = restaurantes.select(F.col("id").alias("restaurante_id"), F.col("nombre").alias("restaurante"),
                             F.col("osm_node_id").alias("origen"))
     c = clientes.select(F.col("id").alias("cliente_id"), F.col("nombre").alias("cliente"),

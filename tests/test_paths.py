@@ -49,6 +49,14 @@ def test_etiquetas(spark, azar, por):
     assert r == e
 
 
+def test_solo_saltos(spark, azar):
+    o = spark.createDataFrame([(i,) for i in (0, 7, 99, 1234)], "origen long")
+    for tope in (None, 3):
+        e = sorted((i, v, c[0]) for i in (0, 7, 99, 1234) for v, c in _dijkstra(azar, i, "saltos").items()
+                   if tope is None or c[0] <= tope)
+        assert filas(paths.saltos_entre(o, _df(spark, azar), tope, pasos=2)) == e
+
+
 def test_limite_de_saltos(spark, azar):
     o = spark.createDataFrame([(0,), (7,)], "origen long")
     for tope in (1, 2, 3):
