@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from comanda.functions.geo import RADIO_TIERRA_M, VELOCIDAD_KMH, minutos_viaje
-from comanda.operators.paths import caminos, etiquetas
+from comanda.operators.paths import Trayectos, caminos_de_trayectos, entre_pares
 from comanda.operators.spatial import calle_mas_cercana
 from comanda.plans.durable import Corte
 
@@ -96,9 +96,9 @@ aggregate(paradas,
 
 
 def tramos(asignados: DataFrame, repartidores: DataFrame, destinos: DataFrame, nodos: DataFrame,
-           aristas: DataFrame, max_saltos: int = MAX_SALTOS) -> tuple[DataFrame, DataFrame]:
+           aristas: DataFrame, max_saltos: int = MAX_SALTOS) -> tuple[DataFrame, Trayectos]:
     """Nearest-neighbour tours: one row per leg (repartidor_id, orden, pedido_id, desde, nodo,
-    distancia), and the path labels they were measured with.
+    distancia), and the paths they were measured with.
 
     ``asignados(pedido_id, repartidor_id, turno)``, ``destinos(pedido_id, lat, lon)``,
     ``repartidores(id, lat, lon)``.  A leg follows the path of fewest segments.
@@ -117,8 +117,8 @@ def tramos(asignados: DataFrame, repartidores: DataFrame, destinos: DataFrame, n
     salidas = inicio.select("repartidor_id", F.col("calle").alias("a")).unionByName(
         p.select("repartidor_id", F.col("nodo").alias("a"))).distinct()
     pares = salidas.join(p.select("repartidor_id", F.col("nodo").alias("b")).distinct(), "repartidor_id")
-    et = etiquetas(salidas.select(F.col("a").alias("origen")), aristas, "saltos", max_saltos)
-    d = et.select(F.col("origen").alias("a"), F.col("nodo").alias("b"), "distancia")
+    t = entre_pares(pares.select(F.col("a").alias("origen"), F.col("b").alias("destino")), aristas, max_saltos)
+    d = t.pares.select(F.col("origen").alias("a"), F.col("destino").alias("b"), "distancia")
     mapa = (pares.join(d, ["a", "b"]).groupBy("repartidor_id")
             .agg(F.map_from_entries(F.collect_list(F.struct(F.struct("a", "b"), "distancia"))).alias("d")))
     paradas = p.groupBy("repartidor_id").agg(
@@ -128,7 +128,7 @@ def tramos(asignados: DataFrame, repartidores: DataFrame, destinos: DataFrame, n
             .select("repartidor_id", (F.col("orden") + 1).alias("orden"), "t.pedido_id", "t.desde", "t.nodo",
                     "t.distancia"))
     legs, _ = corte.guardar(legs)
-    return legs, et
+    return legs, t
 
 
 def rutas(legs: DataFrame, kmh: float = VELOCIDAD_KMH) -> DataFrame:
@@ -140,10 +140,10 @@ def rutas(legs: DataFrame, kmh: float = VELOCIDAD_KMH) -> DataFrame:
                  F.sum("distancia").alias("distancia_total"), F.sum(minutos).cast("int").alias("tiempo_total")))
 
 
-def trazado(legs: DataFrame, et: DataFrame) -> DataFrame:
+def trazado(legs: DataFrame, t: Trayectos) -> DataFrame:
     """Node ids of each whole tour: the start, then the path of every leg."""
     pares = legs.select(F.col("desde").alias("origen"), F.col("nodo").alias("destino"), "repartidor_id", "orden")
-    c = caminos(pares, et)
+    c = caminos_de_trayectos(pares, t)
     inicio = F.col("l")[0]["calles"][0]
     return (c.groupBy("repartidor_id").agg(F.sort_array(F.collect_list(F.struct("orden", "calles"))).alias("l"))
             .select("repartidor_id", F.concat(F.array(inicio), F.flatten(F.transform("l", lambda x: x["calles"])))

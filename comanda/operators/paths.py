@@ -8,6 +8,8 @@ round improved, and write the labels to the shared folder.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -127,6 +129,49 @@ def caminos(pares: DataFrame, et: DataFrame, pasos: int = 10) -> DataFrame:
     return act.drop("_n")
 
 
+@dataclass
+class Trayectos:
+    """``pares(origen, destino, saltos, distancia, medio)`` and the half-way labels behind them."""
+
+    pares: DataFrame
+    et: DataFrame
+
+
+def entre_pares(pares: DataFrame, aristas: DataFrame, max_saltos: int) -> Trayectos:
+    """Path of fewest segments (then metres) for many short-range pairs, met half way.
+
+    Both ends are labelled up to half the limit and joined on the node in between: every
+    shortest path has such a node, and the best sum over them is the best path.  On a road
+    network that is about a quarter of the labels and half of the rounds of a full search.
+    """
+    corte = Corte(pares.sparkSession, "pares")
+    pares, _ = corte.guardar(pares.select("origen", "destino").distinct())
+    puntas = pares.select("origen").unionByName(pares.select(F.col("destino").alias("origen")))
+    et = etiquetas(puntas, aristas, "saltos", (max_saltos + 1) // 2)
+    ida = et.select("origen", F.col("nodo").alias("medio"), F.col("saltos").alias("sa"), F.col("distancia").alias("da"))
+    vuelta = et.select(F.col("origen").alias("destino"), F.col("nodo").alias("medio"), F.col("saltos").alias("sb"),
+                       F.col("distancia").alias("db"))
+    saltos = F.col("sa") + F.col("sb")
+    mejor = (pares.join(ida, "origen").join(vuelta, ["destino", "medio"]).filter(saltos <= max_saltos)
+             .groupBy("origen", "destino")
+             .agg(F.min(F.struct(saltos.alias("saltos"), (F.col("da") + F.col("db")).alias("distancia"), "medio"))
+                  .alias("m")).select("origen", "destino", "m.*"))
+    return Trayectos(corte.guardar(mejor)[0], et)
+
+
+def caminos_de_trayectos(pedidos: DataFrame, t: Trayectos) -> DataFrame:
+    """``pedidos(origen, destino, ...)`` with ``calles``: the way to the middle node and on from it."""
+    p = pedidos.join(t.pares.select("origen", "destino", "medio"), ["origen", "destino"])
+    mitades = p.select("origen", F.col("medio").alias("destino")).unionByName(
+        p.select(F.col("destino").alias("origen"), F.col("medio").alias("destino"))).distinct()
+    c = caminos(mitades, t.et)
+    ida = c.select("origen", F.col("destino").alias("medio"), F.col("calles").alias("_ida"))
+    vuelta = c.select(F.col("origen").alias("destino"), F.col("destino").alias("medio"), F.col("calles").alias("_vuelta"))
+    resto = F.slice(F.reverse("_vuelta"), F.lit(2), F.size("_vuelta"))
+    return (p.join(ida, ["origen", "medio"]).join(vuelta, ["destino", "medio"])
+            .select(*pedidos.columns, F.concat("_ida", resto).alias("calles")))
+
+
 def _puntos(rutas: DataFrame, clave: list[str], nodos: DataFrame) -> DataFrame:
     return (rutas.select(*clave, F.posexplode("calles").alias("_p", "id"))
             .join(nodos.select("id", "lat", "lon"), "id"))

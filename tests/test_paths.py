@@ -49,6 +49,26 @@ def test_etiquetas(spark, azar, por):
     assert r == e
 
 
+@pytest.mark.parametrize("tope", [1, 4, 5])
+def test_entre_pares(spark, azar, tope):
+    pares = [(a, b) for a in (0, 3, 7, 99) for b in range(0, 60, 3)]
+    df = spark.createDataFrame(pares, "origen long, destino long")
+    t = paths.entre_pares(df, _df(spark, azar), tope)
+    e = {}
+    for a, b in pares:
+        c = _dijkstra(azar, a, "saltos").get(b, (0, 0.0) if a == b else None)
+        if c is not None and c[0] <= tope:
+            e[a, b] = c
+    assert {(a, b): (s, d) for a, b, s, d in filas(t.pares, "origen", "destino", "saltos", "distancia")} == e
+    peso = {}
+    for a, b, w in azar:
+        for k in ((a, b), (b, a)):
+            peso[k] = min(w, peso.get(k, w))
+    for r in paths.caminos_de_trayectos(df, t).collect():
+        assert (r.calles[0], r.calles[-1], len(r.calles) - 1) == (r.origen, r.destino, e[r.origen, r.destino][0])
+        assert sum(peso[x] for x in zip(r.calles, r.calles[1:])) == e[r.origen, r.destino][1]
+
+
 def test_solo_saltos(spark, azar):
     o = spark.createDataFrame([(i,) for i in (0, 7, 99, 1234)], "origen long")
     for tope in (None, 3):
