@@ -17,6 +17,7 @@ from comanda.operators.grafo import simetrica
 from comanda.plans.durable import Corte
 
 PASOS = 5
+PASO_SAL = 100_000
 
 
 def red(aristas: DataFrame) -> DataFrame:
@@ -25,19 +26,49 @@ def red(aristas: DataFrame) -> DataFrame:
             .groupBy("src", "dst").agg(F.min("distancia").alias("distancia")))
 
 
-_ETIQUETA = "origen, nodo, l.c1, l.c2, l.pred, l.nuevo"
+def _red_por_nodo(aristas: DataFrame, corte: Corte, paso_sal: int) -> tuple[DataFrame, DataFrame]:
+    """Network rows to join on (src, sal), and the nodes split into several salts (id, sales).
+
+    A node with more than ``paso_sal`` segments is split; a row carries the salts of its
+    target, so the next step knows them.  The zero step from a node to itself (``avanza`` 0)
+    carries a label unchanged through a round.
+    """
+    r, _ = corte.guardar(red(aristas))
+    pesados, _ = corte.guardar(
+        r.groupBy(F.col("src").alias("id")).agg(F.count("*").alias("n")).filter(F.col("n") > paso_sal)
+        .select("id", F.ceil(F.col("n") / paso_sal).cast("int").alias("sales")))
+    for lado in ("src", "dst"):
+        s = pesados.select(F.col("id").alias(lado), F.col("sales").alias(f"sales_{lado}"))
+        r = r.join(s, lado, "left").withColumn(f"sales_{lado}", F.coalesce(f"sales_{lado}", F.lit(1)))
+    anda = r.select("src", "dst", F.pmod(F.xxhash64("dst"), F.col("sales_src")).cast("int").alias("sal"),
+                    F.col("sales_dst").alias("sales"), "distancia", F.lit(1).alias("avanza"))
+    quieto = r.select("src", "sales_src").distinct().select(
+        "src", F.col("src").alias("dst"), F.lit(0).alias("sal"), F.col("sales_src").alias("sales"),
+        F.lit(0.0).alias("distancia"), F.lit(0).alias("avanza"))
+    return corte.guardar_por_clave(anda.unionByName(quieto), ["src", "sal"]), pesados
+
+
+def _salidas(origenes: DataFrame, pesados: DataFrame) -> DataFrame:
+    """Distinct origins as labels of themselves, with their salts."""
+    o = origenes.select("origen", F.col("origen").alias("nodo")).distinct()
+    s = pesados.select(F.col("id").alias("nodo"), "sales")
+    return o.join(s, "nodo", "left").select("origen", "nodo", F.coalesce("sales", F.lit(1)).alias("sales"))
+
+
+_ETIQUETA = "origen, nodo, sales, l.c1, l.c2, l.pred, l.nuevo"
 
 
 def _paso(desde: str) -> str:
     """One segment further from the labels ``desde``, the best label per origin and node."""
     return f"""SELECT {_ETIQUETA} FROM (
-        SELECT s.origen, r.dst AS nodo, min(struct(s.c1 + r.d1 AS c1, s.c2 + r.d2 AS c2,
+        SELECT s.origen, r.dst AS nodo, r.sales, min(struct(s.c1 + r.d1 AS c1, s.c2 + r.d2 AS c2,
                if(r.avanza = 1, r.src, s.pred) AS pred, r.avanza AS nuevo)) AS l
-        FROM ({desde}) s JOIN {{r}} r ON s.nodo = r.src GROUP BY s.origen, r.dst)"""
+        FROM (SELECT *, explode(sequence(0, sales - 1)) AS sal FROM ({desde})) s
+        JOIN {{r}} r ON s.nodo = r.src AND s.sal = r.sal GROUP BY s.origen, r.dst, r.sales)"""
 
 
 def etiquetas(origenes: DataFrame, aristas: DataFrame, por: str = "saltos", max_saltos: int | None = None,
-              pasos: int = PASOS) -> DataFrame:
+              pasos: int = PASOS, paso_sal: int = PASO_SAL) -> DataFrame:
     """(origen, nodo, saltos, distancia, pred) for every node that an origin reaches.
 
     ``por='saltos'`` gives the path of fewest segments and, among those, fewest metres;
@@ -47,16 +78,14 @@ def etiquetas(origenes: DataFrame, aristas: DataFrame, por: str = "saltos", max_
         raise ValueError("a hop limit needs por='saltos'")
     spark = origenes.sparkSession
     corte = Corte(spark, "etiquetas")
-    c1, c2 = (F.lit(1.0), F.col("distancia")) if por == "saltos" else (F.col("distancia"), F.lit(1.0))
-    r = red(aristas).select("src", F.col("dst"), c1.alias("d1"), c2.alias("d2"), F.lit(1).alias("avanza"))
+    saltos, metros = F.col("avanza").cast("double"), F.col("distancia")
+    c1, c2 = (saltos, metros) if por == "saltos" else (metros, saltos)
+    r, pesados = _red_por_nodo(aristas, corte, paso_sal)
+    r = r.select("src", "dst", "sal", "sales", c1.alias("d1"), c2.alias("d2"), "avanza")
     cero = F.lit(0.0)
-    quieto = r.select("src").distinct().select("src", F.col("src").alias("dst"), cero.alias("d1"), cero.alias("d2"),
-                                               F.lit(0).alias("avanza"))
-    # the zero step from a node to itself carries a label unchanged through a round
-    r = corte.guardar_por_clave(r.unionByName(quieto), ["src"])
-    o = F.col("origen")
-    mejores, n = corte.avanzar(origenes.select("origen").distinct().select(
-        o, o.alias("nodo"), cero.alias("c1"), cero.alias("c2"), o.alias("pred"), F.lit(1).alias("nuevo")))
+    mejores, n = corte.avanzar(_salidas(origenes, pesados).select(
+        "origen", "nodo", "sales", cero.alias("c1"), cero.alias("c2"), F.col("origen").alias("pred"),
+        F.lit(1).alias("nuevo")))
     hechos = 0
     while n and (max_saltos is None or hechos < max_saltos):
         hasta = pasos if max_saltos is None else min(pasos, max_saltos - hechos)
@@ -65,19 +94,18 @@ def etiquetas(origenes: DataFrame, aristas: DataFrame, por: str = "saltos", max_
             s = _paso(s)
         mejores, _ = corte.avanzar(spark.sql(
             f"""SELECT {_ETIQUETA} FROM (
-                  SELECT origen, nodo, min(struct(c1, c2, pred, nuevo)) AS l FROM (
-                    SELECT origen, nodo, c1, c2, pred, 0 AS nuevo FROM {{e}}
-                    UNION ALL SELECT * FROM ({s})) GROUP BY origen, nodo)""", e=mejores, r=r))
+                  SELECT origen, nodo, sales, min(struct(c1, c2, pred, nuevo)) AS l FROM (
+                    SELECT origen, nodo, sales, c1, c2, pred, 0 AS nuevo FROM {{e}}
+                    UNION ALL SELECT * FROM ({s})) GROUP BY origen, nodo, sales)""", e=mejores, r=r))
         n = mejores.filter("nuevo = 1").limit(1).count()
         hechos += hasta
     corte.cerrar()
-    saltos, metros = ("c1", "c2") if por == "saltos" else ("c2", "c1")
-    return mejores.select("origen", "nodo", F.col(saltos).cast("int").alias("saltos"),
-                          F.col(metros).alias("distancia"), "pred")
+    s, m = ("c1", "c2") if por == "saltos" else ("c2", "c1")
+    return mejores.select("origen", "nodo", F.col(s).cast("int").alias("saltos"), F.col(m).alias("distancia"), "pred")
 
 
 def saltos_entre(origenes: DataFrame, aristas: DataFrame, max_saltos: int | None = None,
-                 pasos: int = 10) -> DataFrame:
+                 pasos: int = 10, paso_sal: int = PASO_SAL) -> DataFrame:
     """(origen, nodo, saltos) where only the number of segments is asked for.
 
     The label is one integer, so every round stays in hash aggregation, and the nodes first met
@@ -85,25 +113,23 @@ def saltos_entre(origenes: DataFrame, aristas: DataFrame, max_saltos: int | None
     """
     spark = origenes.sparkSession
     corte = Corte(spark, "saltos")
-    r = red(aristas).select("src", "dst", F.lit(1).alias("d"))
-    quieto = r.select("src").distinct().select("src", F.col("src").alias("dst"), F.lit(0).alias("d"))
-    r = corte.guardar_por_clave(r.unionByName(quieto), ["src"])
-    o = F.col("origen")
-    vistos, n = corte.avanzar(origenes.select("origen").distinct().select(o, o.alias("nodo"), F.lit(0).alias("saltos")))
+    r, pesados = _red_por_nodo(aristas, corte, paso_sal)
+    vistos, n = corte.avanzar(_salidas(origenes, pesados).withColumn("saltos", F.lit(0)))
     hechos = 0
     while n and (max_saltos is None or hechos < max_saltos):
         hasta = pasos if max_saltos is None else min(pasos, max_saltos - hechos)
         s = f"SELECT * FROM {{v}} WHERE saltos = {hechos}"
         for _ in range(hasta):
-            s = f"""SELECT s.origen, r.dst AS nodo, min(s.saltos + r.d) AS saltos
-                    FROM ({s}) s JOIN {{r}} r ON s.nodo = r.src GROUP BY s.origen, r.dst"""
+            s = f"""SELECT s.origen, r.dst AS nodo, r.sales, min(s.saltos + r.avanza) AS saltos
+                    FROM (SELECT *, explode(sequence(0, sales - 1)) AS sal FROM ({s})) s
+                    JOIN {{r}} r ON s.nodo = r.src AND s.sal = r.sal GROUP BY s.origen, r.dst, r.sales"""
         vistos, _ = corte.avanzar(spark.sql(
-            f"""SELECT origen, nodo, min(saltos) AS saltos FROM (SELECT * FROM {{v}} UNION ALL SELECT * FROM ({s}))
-                GROUP BY origen, nodo""", v=vistos, r=r))
+            f"""SELECT origen, nodo, sales, min(saltos) AS saltos FROM (SELECT * FROM {{v}} UNION ALL SELECT * FROM ({s}))
+                GROUP BY origen, nodo, sales""", v=vistos, r=r))
         hechos += hasta
         n = vistos.filter(F.col("saltos") == hechos).limit(1).count()
     corte.cerrar()
-    return vistos
+    return vistos.drop("sales")
 
 
 def caminos(pares: DataFrame, et: DataFrame, pasos: int = 10) -> DataFrame:

@@ -94,8 +94,9 @@ def mas_cercano(puntos: DataFrame, nodos: DataFrame, metrica: str = "plana",
         pendientes, n_pend = corte.guardar(pendientes.join(hallados, ["plat", "plon"], "left_anti"))
         nivel += 1
     if not resueltos:
-        resueltos = [p.join(n, F.lit(False)).withColumn("grados", distancia)
-                     .select("plat", "plon", "grados", "calle_id", "calle_lat", "calle_lon")]
+        vacia = n.select(F.col("calle_lat").alias("plat"), F.col("calle_lon").alias("plon"), F.lit(0.0).alias("grados"),
+                         "calle_id", "calle_lat", "calle_lon")
+        resueltos = [vacia.limit(0)]
     todos = resueltos[0]
     for r in resueltos[1:]:
         todos = todos.unionByName(r)

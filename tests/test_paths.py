@@ -40,10 +40,10 @@ def azar():
     return e + [(99, i, float(1 + i % 7)) for i in range(0, 60, 2)]              # a hub with a third of the edges
 
 
-@pytest.mark.parametrize("por", ["saltos", "distancia"])
-def test_etiquetas(spark, azar, por):
+@pytest.mark.parametrize("por,paso_sal", [("saltos", 100_000), ("saltos", 4), ("distancia", 4)])
+def test_etiquetas(spark, azar, por, paso_sal):
     o = spark.createDataFrame([(i,) for i in (0, 7, 99, 1234)], "origen long")
-    et = paths.etiquetas(o, _df(spark, azar), por, pasos=3)
+    et = paths.etiquetas(o, _df(spark, azar), por, pasos=3, paso_sal=paso_sal)
     r = {(a, b): (s, d) if por == "saltos" else (d, s) for a, b, s, d in filas(et, "origen", "nodo", "saltos", "distancia")}
     e = {(i, v): c for i in (0, 7, 99, 1234) for v, c in _dijkstra(azar, i, por).items()}
     assert r == e
@@ -71,10 +71,10 @@ def test_entre_pares(spark, azar, tope):
 
 def test_solo_saltos(spark, azar):
     o = spark.createDataFrame([(i,) for i in (0, 7, 99, 1234)], "origen long")
-    for tope in (None, 3):
+    for tope, paso_sal in ((None, 4), (3, 100_000)):
         e = sorted((i, v, c[0]) for i in (0, 7, 99, 1234) for v, c in _dijkstra(azar, i, "saltos").items()
                    if tope is None or c[0] <= tope)
-        assert filas(paths.saltos_entre(o, _df(spark, azar), tope, pasos=2)) == e
+        assert filas(paths.saltos_entre(o, _df(spark, azar), tope, pasos=2, paso_sal=paso_sal)) == e
 
 
 def test_limite_de_saltos(spark, azar):
