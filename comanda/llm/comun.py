@@ -141,3 +141,29 @@ def unir_repartido(grande: DataFrame, unica: DataFrame, clave: str, peso: str, t
     frias = unica.filter(F.col(peso) <= corte)
     return (grande.join(calientes, clave)
             .unionByName(grande.join(F.broadcast(calientes.select(clave)), clave, "left_anti").join(frias, clave)))
+
+
+class Memoria:
+    """Remembers values of short texts in two halves: a full half becomes the old one, a hit there is kept."""
+
+    LARGO = 48
+
+    def __init__(self, tope: int):
+        self.mitad = max(1, tope // 2)
+        self.nuevas: dict = {}
+        self.viejas: dict = {}
+
+    def get(self, t: str):
+        v = self.nuevas.get(t)
+        if v is None and (v := self.viejas.get(t)) is not None:
+            self.poner(t, v)
+        return v
+
+    def poner(self, t: str, v):
+        if len(t) <= self.LARGO:
+            if len(self.nuevas) >= self.mitad:
+                # the dict that callers hold stays the new half
+                self.viejas = dict(self.nuevas)
+                self.nuevas.clear()
+            self.nuevas[t] = v
+        return v

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers as vocabularios
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from comanda.llm import chat, descontaminacion, licencias, reglas, simhash
+from comanda.llm import bpe, chat, descontaminacion, idioma, licencias, reglas, simhash, viterbi
 from comanda.llm.comun import leer
 from comanda.plans.durable import Corte
 
@@ -32,12 +33,31 @@ def op2_licencias(spark: SparkSession, sf: str) -> DataFrame:
         F.array_join("etiquetas", ",").alias("labels"), F.col("puntos").alias("score"))
 
 
+def op5_idioma(spark: SparkSession, sf: str) -> DataFrame:
+    d = leer(spark, sf, "documents").select("doc_id", "text", "lang")
+    resto = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3
+    red = idioma.entrenar(idioma.muestra(d.filter(resto != 1)))
+    m = idioma.predecir(d.select("doc_id", "text"), red).withColumn("doc_id", F.col("fila.doc_id"))
+    return m.select("doc_id", F.coalesce(resto == 1, F.lit(False)).alias("held_out"), F.col("idioma").alias("lang_pred"),
+                    F.col("puntos").alias("score"))
+
+
 def op6_reglas(spark: SparkSession, sf: str) -> DataFrame:
     return reglas.evaluar(leer(spark, sf, "documents"), conservar=["doc_id"]).select(
         F.col("fila.doc_id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", "kept")
 
 
+def op7_conteo(spark: SparkSession, sf: str) -> DataFrame:
+    m = viterbi.contar(leer(spark, sf, "documents").select("doc_id", "text"), vocabularios.path("piece_bpe_32k.model"))
+    return m.select(F.col("fila.doc_id").alias("doc_id"), F.col("n_piezas").alias("n_tokens"))
+
+
+def op8_bpe(spark: SparkSession, sf: str) -> DataFrame:
+    rangos, patron = vocabularios.path("byte_bpe_50k.tiktoken"), vocabularios.PATTERN
+    return bpe.resumir(bpe.codificar(leer(spark, sf, "documents"), rangos, patron), rangos, patron)
+
+
 def op9_chat(spark: SparkSession, sf: str) -> DataFrame:
     propia = "'<|im_end|><|im_start|>assistant ok'"
     prueba = spark.range(2).select(
@@ -66,4 +86,5 @@ def op10_simhash(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def consultas() -> dict:
-    return {f.__name__: f for f in (op1_descontaminacion, op2_licencias, op6_reglas, op9_chat, op10_simhash)}
+    return {f.__name__: f for f in (op1_descontaminacion, op2_licencias, op5_idioma, op6_reglas, op7_conteo, op8_bpe,
+                                   op9_chat, op10_simhash)}
