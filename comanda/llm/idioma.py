@@ -7,6 +7,7 @@ labels of all its bytes.  A run that repeats is read once and counted as often a
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -258,7 +259,7 @@ def predecir(docs: DataFrame, red: Red, texto: str = "text") -> DataFrame:
     tipo = StructType([StructField("fila", docs.schema, False), StructField("idioma", StringType()),
                        StructField("puntos", DoubleType())])
     caja = docs.sparkSession.sparkContext.broadcast(red)
-    marca = f"{id(red)}-{caja.id}"
+    marca = uuid.uuid4().hex
 
     def paso(lotes: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if marca not in _lectores:
