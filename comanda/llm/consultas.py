@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+from functools import partial
+
 import public_tokenizers as vocabularios
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from comanda.llm import bpe, chat, descontaminacion, idioma, licencias, reglas, simhash, viterbi
+from comanda.llm import bpe, chat, descontaminacion, idioma, licencias, reglas, repair, simhash, viterbi, warc
 from comanda.llm.comun import leer
-from comanda.plans.durable import Corte
+from comanda.plans.durable import Corte, carpeta_compartida
 
 
 def _sha(c) -> Column:
@@ -33,6 +36,20 @@ def op2_licencias(spark: SparkSession, sf: str) -> DataFrame:
         F.array_join("etiquetas", ",").alias("labels"), F.col("puntos").alias("score"))
 
 
+def op3_repair(spark: SparkSession, sf: str) -> DataFrame:
+    codificador = partial(repair.tokens, vocabularios.path("word_bpe_49k.json"))
+    return repair.leer(repair.escribir(leer(spark, sf, "documents"), codificador))
+
+
+def op4_warc(spark: SparkSession, sf: str) -> DataFrame:
+    carpeta = f"{carpeta_compartida(spark)}/warc_{uuid.uuid4().hex}"
+    indice = warc.escribir(leer(spark, sf, "pages"), carpeta)
+    return warc.leer(spark, indice, carpeta, payload=False).select(
+        warc.numero_de("registro").alias("page_id"), F.col("largo").alias("payload_bytes"),
+        F.col("digest").alias("payload_digest"), F.col("tipo").alias("record_type"),
+        warc.numero_de("refiere").alias("refers_to"))
+
+
 def op5_idioma(spark: SparkSession, sf: str) -> DataFrame:
     d = leer(spark, sf, "documents").select("doc_id", "text", "lang")
     resto = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3
@@ -86,5 +103,5 @@ def op10_simhash(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def consultas() -> dict:
-    return {f.__name__: f for f in (op1_descontaminacion, op2_licencias, op5_idioma, op6_reglas, op7_conteo, op8_bpe,
-                                   op9_chat, op10_simhash)}
+    return {f.__name__: f for f in (op1_descontaminacion, op2_licencias, op3_repair, op4_warc, op5_idioma, op6_reglas,
+                                   op7_conteo, op8_bpe, op9_chat, op10_simhash)}
