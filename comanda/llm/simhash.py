@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
@@ -74,7 +74,8 @@ def _variantes(df: DataFrame, ancho: int) -> DataFrame:
 def enlaces(unicas: DataFrame, corte: Corte, distancia: int = 3, tope: int = 64) -> DataFrame:
     """(src, dst): pairs of the distinct fingerprints ``unicas(huella)`` that differ in ``distancia`` bits or fewer.
 
-    Signatures that only one fingerprint has are dropped after counting.  A signature of more than
+    Signatures are shuffled once and counted where they arrive, and those of a single fingerprint are
+    dropped.  The rows are distinct fingerprints, so copies never add to a signature.  A signature of more than
     ``tope`` fingerprints is cut again, by its other half, and again by half of that; after three cuts
     its fingerprints agree in all but 11 bits, so the largest possible one has 2048.  No pair is lost:
     every cut keeps each pair within three bits together in some signature.
@@ -84,11 +85,10 @@ def enlaces(unicas: DataFrame, corte: Corte, distancia: int = 3, tope: int = 64)
     nivel = unicas.select("huella", F.lit(0).cast("bigint").alias("clave"), F.lit(0).alias("resto"))
     salida = None
     for ancho in (64, 32, 16):
-        var = _variantes(nivel, ancho)
-        veces, n = corte.guardar(var.groupBy("clave").agg(F.count("*").alias("n")).filter("n > 1"))
+        var = _variantes(nivel, ancho).withColumn("n", F.count("*").over(Window.partitionBy("clave")))
+        juntas, n = corte.guardar(var.filter("n > 1"))
         if not n:
             break
-        juntas, _ = corte.guardar(var.join(veces, "clave"))
         hondo = ancho == 16
         cerca = juntas if hondo else juntas.filter(F.col("n") <= tope)
         a, b = cerca.select("clave", F.col("huella").alias("src")), cerca.select("clave", F.col("huella").alias("dst"))
