@@ -8,6 +8,7 @@ block is one binary value: header, rules, expansion length of each rule, text ta
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -26,7 +27,13 @@ IDS_POR_BLOQUE = 1 << 20
 FRECUENCIA = 16
 #: Chunks between blanks whose ids a task remembers.
 RECUERDA = 600_000
-_BLANCOS = str.maketrans("\t\n\x0b\x0c\r", "     ")
+_BLANCOS = "\n\t\r\x0b\x0c"
+_LLANO = re.compile("[!-;=-~À-ÖØ-öø-ÿ]*")
+_PRETOKEN = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
+
+
+def _cubo(par: np.ndarray) -> np.ndarray:
+    return (par * -7046029254386353131 >> 40) & 0xFFFF
 
 
 def comprimir(ids: np.ndarray, fin: np.ndarray, base: int, frecuencia: int = FRECUENCIA) \
@@ -48,12 +55,18 @@ def comprimir(ids: np.ndarray, fin: np.ndarray, base: int, frecuencia: int = FRE
         if not len(veces) or veces.max() < frecuencia:
             break
         nuevas = orden[borde[:-1][veces >= max(frecuencia, veces.max() // 8)]]
-        k = np.minimum(np.searchsorted(nuevas, par), len(nuevas) - 1)
-        en = np.flatnonzero(libre & (nuevas[k] == par))
+        # a table of hashes passes few other pairs, so only likely places are searched for
+        tabla = np.zeros(1 << 16, bool)
+        tabla[_cubo(nuevas)] = True
+        en = np.flatnonzero(libre & tabla[_cubo(par)])
+        k = np.minimum(np.searchsorted(nuevas, par[en]), len(nuevas) - 1)
+        es = nuevas[k] == par[en]
+        en, k = en[es], k[es]
         seguido = np.concatenate([[False], np.diff(en) == 1])
         lugar = np.arange(len(en))
-        en = en[(lugar - np.maximum.accumulate(np.where(seguido, 0, lugar))) % 2 == 0]
-        s[en] = base + hechas + k[en]
+        toma = (lugar - np.maximum.accumulate(np.where(seguido, 0, lugar))) % 2 == 0
+        en = en[toma]
+        s[en] = base + hechas + k[toma]
         corte[en] = corte[en + 1]
         queda = np.ones(len(s), bool)
         queda[en + 1] = False
@@ -139,10 +152,12 @@ class Bloque:
 
 
 class Tokens:
-    """Ids of a text by the library, chunk by chunk.
+    """Ids of a text by the library, piece by piece.
 
-    Blanks separate: the tokenizer composes, lower-cases and splits inside a run without ASCII white space and
-    drops the white space, so a text's ids are those of its chunks in order, and a chunk is encoded once.
+    The tokenizer composes, lower-cases and splits inside a run without ASCII white space and drops the white
+    space, so a text's ids are those of its chunks between blanks, in order.  A chunk of plain Latin letters,
+    digits and marks has only one composition and lower case: its pre-tokens are encoded apart, once each.  Any
+    other chunk, and one that might hold a special token, goes to the library as it stands.
     """
 
     def __init__(self, ruta: str):
@@ -151,23 +166,34 @@ class Tokens:
 
         self.lib = Tokenizer.from_file(ruta)
         self.base = self.lib.get_vocab_size(with_added_tokens=True)
-        self.memo = Memoria(RECUERDA)
+        self.trozos, self.piezas = Memoria(RECUERDA), Memoria(RECUERDA // 2)
+
+    def _por_piezas(self, memo: Memoria, distintas: set[str], codificar) -> dict[str, bytes]:
+        """Ids of each, new ones by ``codificar`` all together."""
+        nuevas = memo.nuevas
+        tabla = {x: v for x in distintas if (v := nuevas.get(x)) is not None or (v := memo.get(x)) is not None}
+        faltan = [x for x in distintas if x not in tabla]
+        for x, v in zip(faltan, codificar(faltan)):
+            tabla[x] = memo.poner(x, v)
+        return tabla
+
+    def _biblioteca(self, faltan: list[str]) -> Iterator[bytes]:
+        for e in self.lib.encode_batch_fast(faltan, add_special_tokens=False):
+            yield np.array(e.ids, "<u4").tobytes()
+
+    def _trozos(self, faltan: list[str]) -> list[bytes]:
+        de = [_PRETOKEN.findall(x.lower()) if _LLANO.fullmatch(x) else [x] for x in faltan]
+        tabla = self._por_piezas(self.piezas, set().union(*de), self._biblioteca)
+        return [tabla[x[0]] if len(x) == 1 else b"".join([tabla[y] for y in x]) for x in de]
 
     def textos(self, t: list[str]) -> list[bytes]:
-        partes = [x.translate(_BLANCOS).split(" ") for x in t]
-        nuevas = self.memo.nuevas
-        faltan = sorted(x for x in set().union(*partes) - nuevas.keys() if self.memo.get(x) is None)
-        de_aqui = {}
-        for x, e in zip(faltan, self.lib.encode_batch_fast(faltan, add_special_tokens=False)):
-            de_aqui[x] = np.array(e.ids, "<u4").tobytes()
-        salida = []
-        for p in partes:
-            # what this batch added is remembered below; a chunk may have left the memory meanwhile
-            salida.append(b"".join([v if (v := nuevas.get(x)) is not None else
-                                    v if (v := de_aqui.get(x)) is not None else self.memo.get(x) for x in p]))
-        for x, v in de_aqui.items():
-            self.memo.poner(x, v)
-        return salida
+        partes = []
+        for x in t:
+            for c in _BLANCOS:
+                x = x.replace(c, " ")
+            partes.append(x.split(" "))
+        tabla = self._por_piezas(self.trozos, set().union(*partes), self._trozos)
+        return [b"".join(map(tabla.__getitem__, p)) for p in partes]
 
 
 _tokens: dict[str, Tokens] = {}
