@@ -18,10 +18,13 @@ def _arista(df: DataFrame, src: str, dst: str, desde: DataFrame, hasta: DataFram
             **props: Column) -> DataFrame:
     """Edges whose two endpoints exist.  ``fusionar`` keeps one edge per endpoints and properties."""
     e = df.select(F.col(src).alias("src"), F.col(dst).alias("dst"), *[c.alias(n) for n, c in props.items()])
-    e = (e.filter("src IS NOT NULL AND dst IS NOT NULL")
-         .join(desde.select(F.col("id").alias("src")), "src", "left_semi")
-         .join(hasta.select(F.col("id").alias("dst")), "dst", "left_semi")
-         .select("src", "dst", *props))
+    e = e.filter("src IS NOT NULL AND dst IS NOT NULL")
+    # an end that is the frame's own key exists
+    if not (df is desde and src == "id"):
+        e = e.join(desde.select(F.col("id").alias("src")), "src", "left_semi")
+    if not (df is hasta and dst == "id"):
+        e = e.join(hasta.select(F.col("id").alias("dst")), "dst", "left_semi")
+    e = e.select("src", "dst", *props)
     return e.distinct() if fusionar else e
 
 

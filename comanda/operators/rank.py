@@ -64,12 +64,20 @@ def usuarios_influyentes(usuarios: DataFrame, realizo: DataFrame, k: int = 10) -
             .select("email", "rol", "score"))
 
 
+def _unir_nodo(e: DataFrame, menor: DataFrame) -> DataFrame:
+    """Joins edges with one row per node (u, m, n = its edges).  Nodes of more than ``PASO_SAL`` edges are at
+    most one per so many edges, so their table is small and goes by broadcast; no other node fills a task."""
+    grandes = F.broadcast(menor.filter(F.col("n") > PASO_SAL).drop("n"))
+    resto = menor.filter(F.col("n") <= PASO_SAL).drop("n")
+    return (e.join(resto, "u").unionByName(e.join(grandes, "u")))
+
+
 def componentes(nodos: DataFrame, aristas: DataFrame) -> DataFrame:
     """Connected components (id, comunidad = smallest id), edges taken as undirected.
 
     Alternates large-star and small-star (Kiveris et al., SoCC 2014): edges are re-hung on the
     smallest known neighbour until every component is a star.  Rounds grow with the logarithm
-    of the component size, and no node's neighbours are ever gathered in one place.
+    of the component size, and a node's many neighbours are never gathered in one place.
     """
     corte = Corte(nodos.sparkSession, "componentes")
     # one row per edge, larger end first
@@ -80,12 +88,12 @@ def componentes(nodos: DataFrame, aristas: DataFrame) -> DataFrame:
         # large-star: every larger neighbour of u, and u, hang on the smallest of u's neighbourhood
         ambos = e.select(F.inline(F.array(F.struct(F.col("u"), F.col("v")),
                                           F.struct(F.col("v").alias("u"), F.col("u").alias("v")))))
-        menor = ambos.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        grande = (ambos.filter("v > u").join(menor, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        menor = ambos.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"), F.count("*").alias("n"))
+        grande = (_unir_nodo(ambos.filter("v > u"), menor).select(F.col("v").alias("u"), F.col("m").alias("v"))
                   .filter("u <> v").distinct())
         # small-star: the smaller neighbours of u, and u, hang on the smallest of them
-        menor2 = grande.groupBy("u").agg(F.min("v").alias("m"))
-        chica = (grande.join(menor2, "u")
+        menor2 = grande.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+        chica = (_unir_nodo(grande, menor2)
                  .select(F.inline(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")),
                                           F.struct(F.col("u"), F.col("m").alias("v")))))
                  .filter("u <> v").distinct())

@@ -55,6 +55,8 @@ class Almacen:
         .join(a.ancla.select("src", F.col("dst").alias("origen")), "src")
         .join(a.d.calle.select(F.col("id").alias("destino")), "destino").select("origen", "destino").distinct())
     ruta_pedido = cached_property(lambda a: paths.ruta_mas_corta(a.pares_pedido, a.d.road))
+    # path details go as far as the paths they describe
+    ruta_larga = cached_property(lambda a: paths.ruta_mas_corta(a.pares_pedido, a.d.road, 100))
     anclas_restaurante = cached_property(lambda a: a.d.restaurantes.join(
         a.ancla.select(F.col("src").alias("id"), F.col("dst").alias("osm_node_id")), "id")
         .select("id", "nombre", "osm_node_id"))
@@ -184,9 +186,9 @@ def _grafo() -> dict[str, Callable[[Almacen], DataFrame]]:
             a.d.calle, a.d.road, a.d.restaurantes, a.d.clientes),
         "g05_caminos_de_vias": lambda a: grafo.caminos_de_vias(_vias(a), a.d.calle),
         "g08_cruces_principales": lambda a: grafo.cruces_principales(a.d.calle, a.d.road),
-        "g09_conectados_aislados": lambda a: grafo.conectados_aislados(a.d.calle, a.d.road.filter("nombre <> ''")),
+        "g09_conectados_aislados": lambda a: grafo.conectados_aislados(a.d.calle, a.d.road),
         "g10_conectividad_clientes": lambda a: grafo.conectividad_anclas(
-            a.anclas_cliente, a.d.calle, a.d.road.filter("nombre <> ''")),
+            a.anclas_cliente, a.d.calle, a.d.road),
         "g11_calles_frecuentes": lambda a: grafo.calles_frecuentes(a.d.road),
         "g11_calles_distintas": lambda a: grafo.calles_distintas(a.d.road),
         "g11_estadisticas_nombres": lambda a: grafo.estadisticas_nombres(a.d.road),
@@ -270,8 +272,11 @@ def _rutas() -> dict[str, Callable[[Almacen], DataFrame]]:
         "r19_prueba_conectividad": lambda a: paths.prueba_conectividad(
             a.rutas_ancla, a.anclas_restaurante, a.anclas_cliente),
         "r20_primeros_pasos": lambda a: paths.pasos_de_ruta(
-            a.ruta_pedido, ["origen", "destino"], a.d.calle, a.d.road),
-        "r22_resumen_de_ruta": lambda a: paths.resumen_de_ruta(a.ruta_pedido, a.d.calle, ["origen", "destino"]),
+            a.ruta_larga, ["origen", "destino"], a.d.calle, a.d.road),
+        "r20_detalle_de_ruta": lambda a: paths.detalle_de_ruta(
+            a.ruta_larga, ["origen", "destino"], a.d.calle, a.d.road),
+        "r05_coordenadas": lambda a: paths.con_coordenadas(a.ruta_pedido, a.d.calle, ["origen", "destino"]),
+        "r22_resumen_de_ruta": lambda a: paths.resumen_de_ruta(a.ruta_larga, a.d.calle, ["origen", "destino"]),
     }
 
 

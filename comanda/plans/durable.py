@@ -7,7 +7,6 @@ which lets Spark re-decide broadcast or shuffle in every round from measured byt
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,14 +14,17 @@ from pyspark.sql import DataFrame, SparkSession
 _CLAVE = "spark.checkpoint.dir"
 
 
+#: Bytes of one bucket of a table that a loop joins again and again.
+BYTES_POR_CUBETA = 128 << 20
+_BASE = "comanda_cortes"
+
+
 def carpeta_compartida(spark: SparkSession) -> str:
+    """The cluster's folder; where none is named, one beside the tables, which executors reach as well."""
     base = spark.conf.get(_CLAVE, None)
-    if base:
-        return base
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        raise RuntimeError(f"set {_CLAVE} to a folder that every executor can reach")
-    base = tempfile.mkdtemp(prefix="run-")
-    spark.conf.set(_CLAVE, base)
+    if not base:
+        base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_cortes"
+        spark.conf.set(_CLAVE, base)
     return base
 
 
@@ -60,12 +62,17 @@ class Corte:
 
     def guardar_por_clave(self, df: DataFrame, claves: list[str]) -> DataFrame:
         """Writes a table that every round joins on ``claves``, bucketed by them: each round
-        shuffles the state to it and never shuffles the table again."""
-        ruta, tabla = self._ruta(), f"{self.nombre}_{self.n:05d}"
-        cubetas = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        shuffles the state to it and never shuffles the table again.  The buckets follow the size."""
+        df, _ = self.guardar(df)
+        bruto = f"{self.raiz}/{self.n:05d}"
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {_BASE}")
+        ruta, tabla = self._ruta(), f"{_BASE}.{self.nombre}_{self.n:05d}"
+        cubetas = max(int(self.spark.conf.get("spark.sql.shuffle.partitions")),
+                      -(-_largo(self.spark, bruto) // BYTES_POR_CUBETA))
         (df.repartition(cubetas, *claves).write.bucketBy(cubetas, *claves).format("parquet")
          .option("path", ruta).saveAsTable(tabla))
         self.por_clave.append((tabla, ruta))
+        _borrar(self.spark, bruto)
         return self.spark.table(tabla)
 
     def cerrar(self) -> None:
@@ -76,6 +83,11 @@ class Corte:
         self.por_clave = []
 
 
+def _largo(spark: SparkSession, ruta: str) -> int:
+    p = spark._jvm.org.apache.hadoop.fs.Path(ruta)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(p).getLength()
+
+
 def _borrar(spark: SparkSession, ruta: str) -> None:
     p = spark._jvm.org.apache.hadoop.fs.Path(ruta)
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)

@@ -27,7 +27,12 @@ def _saltos(tope: int) -> str:
         corta AS (SELECT origen, nodo, arg_min(d, h) AS d, MIN(h) AS h FROM nivel GROUP BY 1, 2)"""
 
 
-RUTA = f"WITH RECURSIVE {ANCLA}, {PARES}, {_saltos(20)}, ruta AS (SELECT p.origen, p.destino, c.h, c.d FROM pares p JOIN corta c ON c.origen = p.origen AND c.nodo = p.destino)"
+def _ruta(tope: int) -> str:
+    return f"""WITH RECURSIVE {ANCLA}, {PARES}, {_saltos(tope)},
+        ruta AS (SELECT p.origen, p.destino, c.h, c.d FROM pares p JOIN corta c ON c.origen = p.origen
+        AND c.nodo = p.destino)"""
+
+
 MATRIZ = f"""WITH RECURSIVE {ANCLA}, {_saltos(100)}, m AS (SELECT r.id AS rid, r.nombre AS restaurante, k.id AS kid, k.email AS cliente, c.h
     FROM corta c JOIN ancla a ON a.nodo = c.origen JOIN restaurantes r ON r.id = a.id JOIN clientes k ON k.id = c.nodo)"""
 
@@ -41,7 +46,7 @@ registrar(
     r04_registrar_clientes=f"SELECT * FROM ({_cercana('clientes', '2')}) WHERE calle_id IS NOT NULL",
     r04_clientes_rechazados=f"""SELECT * FROM clientes WHERE id IN (SELECT id FROM ({_cercana('clientes', '2')})
         WHERE calle_id IS NULL)""",
-    r05_ruta_mas_corta=f"{RUTA} SELECT origen, destino, h AS num_calles, d AS distancia, h + 1 AS nodos FROM ruta",
+    r05_ruta_mas_corta=f"{_ruta(20)} SELECT origen, destino, h AS num_calles, d AS distancia, h + 1 AS nodos FROM ruta",
     r06_ruta_hasta_100=f"""WITH RECURSIVE {ANCLA}, {PARES}, {_saltos(100)}
         SELECT p.origen, p.destino, c.h AS segmentos FROM pares p JOIN corta c ON c.origen = p.origen AND c.nodo = p.destino""",
     r07_ruta_menor_distancia=f"""WITH RECURSIVE {ANCLA}, {PARES}, {_saltos(110)}
@@ -66,7 +71,7 @@ registrar(
     r18_cliente_accesible=f"{MATRIZ} SELECT cliente, ROUND(AVG(h), 2) AS promedio_segmentos FROM m GROUP BY kid, 1",
     r19_prueba_conectividad=f"""{MATRIZ} SELECT COUNT(*) AS rutas_exitosas,
         (SELECT COUNT(*) FROM restaurantes) * (SELECT COUNT(*) FROM clientes) AS rutas_totales FROM m""",
-    r22_resumen_de_ruta=f"""{RUTA} SELECT origen, destino, a.lat AS lat_origen, a.lon AS lon_origen, b.lat AS lat_destino,
+    r22_resumen_de_ruta=f"""{_ruta(100)} SELECT origen, destino, a.lat AS lat_origen, a.lon AS lon_origen, b.lat AS lat_destino,
         b.lon AS lon_destino, ROUND(d / 10) / 100 AS distancia_km, ROUND(d * 0.6::DOUBLE / 30) / 10 AS tiempo_estimado_min,
         h AS segmentos FROM ruta JOIN calle a ON a.id = origen JOIN calle b ON b.id = destino""",
 )

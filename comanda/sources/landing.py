@@ -44,7 +44,7 @@ def leer_csv(spark: SparkSession, ruta: str, entidad: str, opcional: bool = Fals
     texto = T.StructType([T.StructField(c.name, T.StringType()) for c in tipos]
                          + ([T.StructField(CORRUPTA, T.StringType())] if con_corruptas else []))
     # columns are matched by the header of the file, whatever their order or number
-    crudo = spark.read.option("header", True).option("enforceSchema", False).option("escape", '"').csv(ruta)
+    crudo = spark.read.option("header", True).option("enforceSchema", False).option("escape", '"').option("multiLine", True).csv(ruta)
     columnas = []
     for c in texto:
         if c.name == CORRUPTA:

@@ -32,9 +32,7 @@ def crear_tablas(spark: SparkSession, base: str = BASE) -> None:
 
 
 def reemplazar_tabla(df: DataFrame, nombre: str, base: str = BASE, particion: list[str] | None = None) -> None:
-    """Writes the table anew; what it held before is gone."""
-    spark = df.sparkSession
-    spark.sql(f"DROP TABLE IF EXISTS {base}.{nombre}")
+    """Writes the table anew in place of what it held."""
     w = df.write.mode("overwrite").format("parquet")
     if particion:
         w = w.partitionBy(*particion)
