@@ -182,6 +182,16 @@ class Runs:
         return self.datos[self.ini[i]: self.fin[i]].tobytes()
 
 
+def _primeras(df: DataFrame, orden: list, n: int) -> DataFrame:
+    """First ``n`` rows of each language ``i``: of each of 64 parts of a language first, so that a language
+    with most of the rows is sorted in many tasks and at most 64 * n of its rows meet in one."""
+    salida = df.withColumn("parte", F.pmod(F.xxhash64(*[c for c in df.columns if c != "i"]), F.lit(64)))
+    for grupo in (["i", "parte"], ["i"]):
+        salida = (salida.withColumn("k", F.row_number().over(Window.partitionBy(*grupo).orderBy(*orden)))
+                  .filter(F.col("k") <= n).drop("k"))
+    return salida.drop("parte")
+
+
 def muestra(docs: DataFrame, texto: str = "text", idioma: str = "lang", documentos: int = DOCUMENTOS,
             runs: int = RUNS, idiomas: int = IDIOMAS) -> list[tuple[str, bytes, int]]:
     """(language, run, count) to train on, at most ``idiomas * runs`` rows.
@@ -195,14 +205,12 @@ def muestra(docs: DataFrame, texto: str = "text", idioma: str = "lang", document
     if not hay:
         return []
     d = d.filter(F.col("i").isin(hay))
-    por = Window.partitionBy("i")
-    elegidos = (d.groupBy("i", "h").agg(F.lit(1)).withColumn("k", F.row_number().over(por.orderBy("h")))
-                .filter(F.col("k") <= documentos).select("i", "h"))
+    elegidos = _primeras(d.select("i", "h").distinct(), ["h"], documentos)
     r = (d.join(F.broadcast(elegidos), ["i", "h"])
          .select("i", F.explode(F.regexp_extract_all(minusculas(F.col("t")), F.lit(r"[a-z\x{80}-\x{10FFFF}]+"),
                                                       F.lit(0))).alias("r"))
          .withColumn("r", F.substring(F.col("r").cast("binary"), 1, LARGO)).groupBy("i", "r").agg(F.count("*").alias("n")))
-    r = r.withColumn("k", F.row_number().over(por.orderBy(F.desc("n"), "r"))).filter(F.col("k") <= runs)
+    r = _primeras(r, [F.desc("n"), "r"], runs)
     return [(x.i, bytes(x.r), x.n) for x in r.collect()]
 
 
