@@ -68,15 +68,17 @@ def simetrica(aristas: DataFrame) -> DataFrame:
 
 def caminos_de_vias(vias: DataFrame, nodos: DataFrame) -> DataFrame:
     """Road edges from ways (``nd``: ordered node ids): consecutive nodes, planar metres, both
-    directions, one edge per endpoints and length."""
+    directions, one edge per endpoints and length.  Named ways (``nombre``) give named edges."""
+    nombre = [c for c in vias.columns if c == "nombre"]
     pares = (vias.filter(F.size("nd") > 1)
              .select(F.explode(F.arrays_zip(F.expr("slice(nd, 1, size(nd) - 1)").alias("src"),
-                                            F.expr("slice(nd, 2, size(nd) - 1)").alias("dst"))).alias("p"))
-             .select("p.src", "p.dst").distinct())
+                                            F.expr("slice(nd, 2, size(nd) - 1)").alias("dst"))).alias("p"), *nombre)
+             .select("p.src", "p.dst", *nombre).distinct())
     a = nodos.select(F.col("id").alias("src"), F.col("lat").alias("lat1"), F.col("lon").alias("lon1"))
     b = nodos.select(F.col("id").alias("dst"), F.col("lat").alias("lat2"), F.col("lon").alias("lon2"))
     metros = plana_m(F.col("lat1"), F.col("lon1"), F.col("lat2"), F.col("lon2"))
-    return simetrica(pares.join(a, "src").join(b, "dst").select("src", "dst", metros.alias("distancia"))).distinct()
+    return simetrica(pares.join(a, "src").join(b, "dst")
+                     .select("src", "dst", metros.alias("distancia"), *nombre)).distinct()
 
 
 def actualizar_nombres(nodos: DataFrame, nombres: DataFrame) -> DataFrame:

@@ -48,6 +48,14 @@ def mutuas(recomienda: DataFrame) -> DataFrame:
             .select("usuario1", "usuario2", veces.alias("veces")).filter("veces > 0"))
 
 
+def mutuas_con_email(pares: DataFrame, usuarios: DataFrame) -> DataFrame:
+    """Replaces the user ids of ``mutuas`` by e-mails."""
+    for lado in ("usuario1", "usuario2"):
+        u = usuarios.select(F.col("id").alias(lado), F.col("email").alias(f"email{lado[-1]}"))
+        pares = pares.join(u, lado)
+    return pares.select("email1", "email2", "veces")
+
+
 def cadenas(recomienda: DataFrame, minimo: int = 1, maximo: int = 3, k: int = 10, lote: int = 64) -> DataFrame:
     """The k longest recommendation chains whose ends differ and that use no edge twice, in
     order of length (longest first), user ids and channels: (nodos, canales, chain_length).

@@ -8,10 +8,11 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from comanda.functions import expr, geo
+from comanda.functions import geo
 from comanda.operators import copurchase, cubes, dashboards as tab, dispatch, grafo, paths, quality, rank, similarity
 from comanda.operators import social, spatial, star
 from comanda.operators import summaries as resumenes
+from comanda.plans import vueltas
 from comanda.sources import sinks
 from comanda.sources.derivadas import Dominio
 
@@ -127,17 +128,6 @@ def _distancias_pedido(a: Almacen) -> DataFrame:
         geo.minutos_viaje(metros).alias("minutos"))
 
 
-def _pedidos_activos(a: Almacen) -> DataFrame:
-    """Pending orders of customers and restaurants that are loaded, status recoded."""
-    d = a.d
-    return (d.pedidos.filter(F.col("estado").isin("pendiente", "completado"))
-            .join(d.usuarios.filter("rol = 'MACHINERY'").select(F.col("id").alias("usuario_id")), "usuario_id", "left_semi")
-            .join(d.restaurantes.select(F.col("id").alias("restaurante_id")), "restaurante_id", "left_semi")
-            .join(d.usuarios.select(F.col("id").alias("usuario_id"), expr.nombre_de_email(F.replace("email", F.lit("#"), F.lit("@"))).alias("nombre")), "usuario_id")
-            .select("id", "nombre", F.format_string("Item_%d", "menu_id").alias("item"), expr.recodificar_estado(
-                F.when(F.col("estado") == "completado", "PICKED_UP").otherwise("PENDING")).alias("estado")))
-
-
 def _grafo() -> dict[str, Callable[[Almacen], DataFrame]]:
     return {
         "a22_resumen": lambda a: resumenes.resumen(
@@ -153,7 +143,6 @@ def _grafo() -> dict[str, Callable[[Almacen], DataFrame]]:
             clientes=a.d.clientes, repartidores=a.d.repartidores, calles=a.d.calle),
         "a28_mejores_clientes": lambda a: resumenes.mejores_clientes(a.d.usuarios, a.d.pedidos_cabecera),
         "x12_distancias_pedido": _distancias_pedido,
-        "j09_pedidos_activos": _pedidos_activos,
         "q02_huerfanos": lambda a: quality.huerfanos(a.d.pedidos_cabecera, a.d.reservas_cabecera),
         "q06_informe": lambda a: quality.informe(
             {"dim_usuario": a.usuario, "dim_restaurante": a.restaurante, "dim_menu": a.menu,
@@ -187,6 +176,8 @@ def _grafo() -> dict[str, Callable[[Almacen], DataFrame]]:
         "g05_caminos_de_vias": lambda a: grafo.caminos_de_vias(_vias(a), a.d.calle),
         "g08_cruces_principales": lambda a: grafo.cruces_principales(a.d.calle, a.d.road),
         "g09_conectados_aislados": lambda a: grafo.conectados_aislados(a.d.calle, a.d.road),
+        "g10_conectividad_restaurantes": lambda a: grafo.conectividad_anclas(
+            a.anclas_restaurante, a.d.calle, a.d.road),
         "g10_conectividad_clientes": lambda a: grafo.conectividad_anclas(
             a.anclas_cliente, a.d.calle, a.d.road),
         "g11_calles_frecuentes": lambda a: grafo.calles_frecuentes(a.d.road),
@@ -220,6 +211,7 @@ def _grafo() -> dict[str, Callable[[Almacen], DataFrame]]:
             F.col("cadena_emails")[0].alias("inicio"), F.col("cadena_emails")[1].alias("intermedio"),
             F.col("cadena_emails")[2].alias("fin")),
         "g27_mutuas": lambda a: social.mutuas(a.d.recomienda),
+        "g27_mutuas_con_email": lambda a: social.mutuas_con_email(social.mutuas(a.d.recomienda), a.d.usuarios),
         "g28_influencia_cruzada": lambda a: social.influencia_cruzada(a.d.recomienda, a.influencia, a.d.usuarios),
         "g28_influencia_cruzada_literal": lambda a: social.influencia_cruzada(
             a.d.recomienda, a.influencia, a.d.usuarios, literal=True),
@@ -295,4 +287,5 @@ def consultas() -> dict[str, Consulta]:
     def sobre_almacen(f: Callable[[Almacen], DataFrame]) -> Consulta:
         return lambda spark, carpeta: f(Almacen(Dominio(spark, carpeta)))
 
-    return {k: sobre_almacen(f) for k, f in {**_cubos(), **_grafo(), **_rutas()}.items()}
+    ida_y_vuelta = {k: (lambda a, f=f: f(a.d)) for k, f in vueltas.consultas().items()}
+    return {k: sobre_almacen(f) for k, f in {**_cubos(), **_grafo(), **_rutas(), **ida_y_vuelta}.items()}

@@ -148,6 +148,6 @@ def registrar(**textos: str) -> None:
 
 
 def sql() -> dict[str, str]:
-    from comanda.plans import oraculo_grafo, oraculo_rutas, oraculo_vistas  # noqa: F401  (they register)
+    from comanda.plans import oraculo_grafo, oraculo_rutas, oraculo_vistas, oraculo_vueltas  # noqa: F401  (they register)
 
     return {k: _con_tablas(v) for k, v in _CONSULTAS.items()}

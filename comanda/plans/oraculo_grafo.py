@@ -212,6 +212,10 @@ registrar(
         JOIN usuarios uy ON uy.id = y JOIN usuarios uz ON uz.id = z""",
     g27_mutuas="""SELECT a.src AS usuario1, a.dst AS usuario2, COUNT(*) AS veces FROM recomienda a
         JOIN recomienda b ON b.src = a.dst AND b.dst = a.src GROUP BY 1, 2""",
+    g27_mutuas_con_email="""SELECT x.email AS email1, y.email AS email2, n AS veces FROM (
+          SELECT ida.src, ida.dst, COUNT(*) AS n FROM recomienda ida
+          JOIN recomienda vuelta ON (vuelta.dst, vuelta.src) = (ida.src, ida.dst) GROUP BY ALL) p
+        JOIN usuarios x ON x.id = p.src JOIN usuarios y ON y.id = p.dst""",
     g28_influencia_cruzada=f"""WITH x AS ({CRUCE}) SELECT email, rol, r AS recomendaciones, i AS influencias, {TIPO} AS tipo_usuario
         FROM x WHERE r > 0 OR i > 0 ORDER BY 3 DESC, 4 DESC, id LIMIT 15""",
     g28_influencia_cruzada_literal=f"""WITH x AS (SELECT u.id, u.email, u.rol, COUNT(a.src) AS r, COUNT(b.src) AS i FROM usuarios u

@@ -42,6 +42,10 @@ registrar(
           UNION SELECT v.dst, a.h + 1 FROM a JOIN via v ON v.src = a.id WHERE a.h < 5)
         SELECT COUNT(DISTINCT id) AS conectadas, (SELECT COUNT(*) FROM inicio WHERE id IN (SELECT src FROM via)) AS total FROM a""",
     r02_anclar_restaurantes=f"WITH {ANCLA} SELECT id AS src, nodo AS dst, 0 AS distancia FROM ancla",
+    g10_conectividad_restaurantes=f"""WITH {ANCLA}, g AS (SELECT unnest([src, dst]) AS n FROM road)
+        SELECT id, nombre, nodo AS osm_node_id, COUNT(g.n) AS conexiones,
+          IF(COUNT(g.n) > 0, 'CONECTADO', 'AISLADO') AS estado
+        FROM ancla JOIN restaurantes USING (id) LEFT JOIN g ON g.n = nodo GROUP BY id, nombre, nodo""",
     r03_calle_mas_cercana=_cercana("clientes", "5000"),
     r04_registrar_clientes=f"SELECT * FROM ({_cercana('clientes', '2')}) WHERE calle_id IS NOT NULL",
     r04_clientes_rechazados=f"""SELECT * FROM clientes WHERE id IN (SELECT id FROM ({_cercana('clientes', '2')})
