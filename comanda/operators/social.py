@@ -56,41 +56,54 @@ def mutuas_con_email(pares: DataFrame, usuarios: DataFrame) -> DataFrame:
     return pares.select("email1", "email2", "veces")
 
 
-def cadenas(recomienda: DataFrame, minimo: int = 1, maximo: int = 3, k: int = 10, lote: int = 64) -> DataFrame:
+def cadenas(recomienda: DataFrame, minimo: int = 1, maximo: int = 3, k: int = 10) -> DataFrame:
     """The k longest recommendation chains whose ends differ and that use no edge twice, in
     order of length (longest first), user ids and channels: (nodos, canales, chain_length).
 
-    Chains are grown from the first users in id order.  Chains of the greatest length come
-    first, so k of them from a prefix of the users settle the answer; the prefix grows until
-    they are found or every user has been used.
+    From all edges it is computed which users have a walk of each length.  The k first of them in id
+    order have at least k walks of that length, so these are expanded, along edges that can still
+    reach the length; more users follow only as far as walks that use an edge twice or
+    close on their start left fewer than k chains.
     """
     corte = Corte(recomienda.sparkSession, "cadenas")
     e, _ = corte.guardar(recomienda.select("src", "dst", "canal", F.monotonically_increasing_id().alias("arista")))
-    origenes, n = corte.guardar(e.select("src").distinct())
-    while True:
-        inicio = e if lote >= n else e.join(origenes.orderBy("src").limit(lote), "src", "left_semi")
-        tramo = inicio.select(F.array("src", "dst").alias("nodos"), F.array("canal").alias("canales"),
-                              F.array("arista").alias("aristas"))
-        por_largo = [tramo]
-        for _ in range(maximo - 1):
-            sig = e.select(F.col("src").alias("fin"), F.col("dst").alias("_d"), F.col("canal").alias("_c"),
-                           F.col("arista").alias("_e"))
-            tramo = (tramo.withColumn("fin", F.element_at("nodos", -1)).join(sig, "fin")
-                     .filter(~F.array_contains("aristas", F.col("_e")))
-                     .select(F.array_append("nodos", F.col("_d")).alias("nodos"),
-                             F.array_append("canales", F.col("_c")).alias("canales"),
-                             F.array_append("aristas", F.col("_e")).alias("aristas")))
-            por_largo.append(tramo)
-        todas = por_largo[minimo - 1]
-        for t in por_largo[minimo:]:
-            todas = todas.unionByName(t)
-        mejores, _ = corte.guardar(
-            todas.filter(F.element_at("nodos", 1) != F.element_at("nodos", -1))
-            .select("nodos", "canales", F.size("canales").alias("chain_length"))
-            .orderBy(F.desc("chain_length"), "nodos", "canales").limit(k))
-        if lote >= n or mejores.filter(F.col("chain_length") == maximo).count() >= k:
-            return mejores.orderBy(F.desc("chain_length"), "nodos", "canales")
-        lote *= 8
+    # tramos[m]: edges that m - 1 further edges can follow; inicios[m]: their distinct first users
+    tramos, inicios = [e], [corte.guardar(e.select("src").distinct())]
+    for _ in range(maximo - 1):
+        sigue = inicios[-1][0].select(F.col("src").alias("dst"))
+        tramos.append(corte.guardar(tramos[-1].join(sigue, "dst", "left_semi").select(e.columns))[0])
+        inicios.append(corte.guardar(tramos[-1].select("src").distinct()))
+    halladas, faltan = None, k
+    for largo in range(maximo, minimo - 1, -1):
+        (origenes, n), cuantos = inicios[largo - 1], faltan
+        while True:
+            primeros = origenes.orderBy("src").limit(cuantos) if cuantos < n else origenes
+            mejores, hay = corte.guardar(_de_largo(tramos[largo - 1::-1], primeros).orderBy("nodos", "canales")
+                                         .limit(faltan))
+            if hay == faltan or cuantos >= n:
+                break
+            cuantos *= 8
+        halladas = mejores if halladas is None else halladas.unionByName(mejores)
+        faltan -= hay
+        if not faltan:
+            break
+    return halladas.orderBy(F.desc("chain_length"), "nodos", "canales")
+
+
+def _de_largo(tramos: list[DataFrame], origenes: DataFrame) -> DataFrame:
+    """Chains from ``origenes`` that take their first edge from the first table, the second from the next one."""
+    t = tramos[0].join(origenes, "src", "left_semi").select(
+        F.array("src", "dst").alias("nodos"), F.array("canal").alias("canales"), F.array("arista").alias("aristas"))
+    for e in tramos[1:]:
+        sig = e.select(F.col("src").alias("fin"), F.col("dst").alias("_d"), F.col("canal").alias("_c"),
+                       F.col("arista").alias("_e"))
+        t = (t.withColumn("fin", F.element_at("nodos", -1)).join(sig, "fin")
+             .filter(~F.array_contains("aristas", F.col("_e")))
+             .select(F.array_append("nodos", F.col("_d")).alias("nodos"),
+                     F.array_append("canales", F.col("_c")).alias("canales"),
+                     F.array_append("aristas", F.col("_e")).alias("aristas")))
+    return (t.filter(F.element_at("nodos", 1) != F.element_at("nodos", -1))
+            .select("nodos", "canales", F.size("canales").alias("chain_length")))
 
 
 def cadenas_con_email(cadena: DataFrame, usuarios: DataFrame) -> DataFrame:

@@ -19,6 +19,8 @@ RADIO_BUSQUEDA_M = 5000.0
 CELDA = 0.002
 FACTOR = 4
 ANILLO = 2
+#: Points of one cell that meet its nodes in one task; a cell with more is so many more join keys.
+PUNTOS_POR_CELDA = 4096
 _METRICAS = {"plana": plana_grados, "manhattan": manhattan_grados}
 _HOLGURA = 1e-9
 
@@ -50,6 +52,19 @@ def _podar(cand: DataFrame, metrica: str, lado: float) -> DataFrame:
             .filter(F.col("_min") <= F.col("_tope") + _HOLGURA).select("plat", "plon", "cx", "cy"))
 
 
+def _por_celda(cand: DataFrame, nodos: DataFrame) -> DataFrame:
+    """Candidates with the nodes of their cell, crowded cells cut by point."""
+    celda = ["cx", "cy"]
+    partes = F.ceil(F.count("*") / PUNTOS_POR_CELDA).alias("partes")
+    pesadas = cand.groupBy(*celda).agg(partes).filter("partes > 1")
+    n_partes = F.coalesce("partes", F.lit(1).cast("bigint"))
+    izq = (cand.join(pesadas, celda, "left")
+           .withColumn("parte", F.pmod(F.xxhash64("plat", "plon"), n_partes)).drop("partes"))
+    der = (nodos.join(pesadas, celda, "left")
+           .withColumn("parte", F.explode(F.sequence(F.lit(0).cast("bigint"), n_partes - 1))).drop("partes"))
+    return izq.join(der, [*celda, "parte"])
+
+
 def mas_cercano(puntos: DataFrame, nodos: DataFrame, metrica: str = "plana",
                 radio_m: float | None = None, celda: float = CELDA) -> DataFrame:
     """``puntos`` with calle_id, calle_lat, calle_lon and ``grados`` of the nearest node, ties to
@@ -82,7 +97,8 @@ def mas_cercano(puntos: DataFrame, nodos: DataFrame, metrica: str = "plana",
             cand = cand.join(hijas, ["cx", "cy"]).select("plat", "plon", F.col("hx").alias("cx"),
                                                          F.col("hy").alias("cy"))
             cand = _podar(cand, metrica, celda * FACTOR ** m)
-        mejor = (cand.join(n, ["cx", "cy"]).groupBy("plat", "plon")
+        cand, _ = corte.guardar(cand)
+        mejor = (_por_celda(cand, n).groupBy("plat", "plon")
                  .agg(F.min(F.struct(distancia.alias("grados"), "calle_id", "calle_lat", "calle_lon")).alias("m"))
                  .select("plat", "plon", "m.*"))
         if not ultimo:
@@ -103,8 +119,11 @@ def mas_cercano(puntos: DataFrame, nodos: DataFrame, metrica: str = "plana",
     if radio_m is not None:
         metros = plana_m(F.col("plat"), F.col("plon"), F.col("calle_lat"), F.col("calle_lon"))
         todos = todos.filter(metros < radio_m)
-    return (puntos.join(todos, (puntos["lat"] == F.col("plat")) & (puntos["lon"] == F.col("plon")), "left")
-            .drop("plat", "plon"))
+    # points without coordinates have no node; left out of the join they do not meet on one key
+    sin_lugar = F.col("lat").isNull() | F.col("lon").isNull()
+    con = puntos.filter(~sin_lugar)
+    con = con.join(todos, (con["lat"] == F.col("plat")) & (con["lon"] == F.col("plon")), "left").drop("plat", "plon")
+    return con.unionByName(puntos.filter(sin_lugar), allowMissingColumns=True)
 
 
 def anclar_restaurantes(restaurantes: DataFrame, nodos: DataFrame) -> DataFrame:

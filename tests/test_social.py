@@ -28,9 +28,9 @@ def _cadenas(minimo, maximo):
     return sorted(todas)
 
 
-@pytest.mark.parametrize("minimo,maximo,k,lote", [(1, 3, 10, 1), (1, 3, 1000, 64), (2, 2, 10, 2), (1, 4, 5, 1)])
-def test_cadenas(spark, recomienda, minimo, maximo, k, lote):
-    c = social.cadenas(recomienda, minimo, maximo, k, lote).collect()
+@pytest.mark.parametrize("minimo,maximo,k", [(1, 3, 10), (1, 3, 1000), (2, 2, 10), (1, 4, 5), (1, 3, 1), (3, 4, 2)])
+def test_cadenas(spark, recomienda, minimo, maximo, k):
+    c = social.cadenas(recomienda, minimo, maximo, k).collect()
     assert [(-r.chain_length, r.nodos, r.canales) for r in c] == _cadenas(minimo, maximo)[:k]
 
 

@@ -31,6 +31,20 @@ def test_mas_cercano_sin_radio(spark, datos, metrica):
     assert r == {x[0]: _cerca(x, nodos, metrica) for x in puntos}
 
 
+def test_celda_llena_y_sin_lugar(spark, monkeypatch):
+    """A third of the points in one cell, cut into many parts, and a third without coordinates."""
+    monkeypatch.setattr(spatial, "PUNTOS_POR_CELDA", 7)
+    r = random.Random(5)
+    nodos = [(i, 9.8 + r.random() * 0.01, -83.9 + r.random() * 0.01) for i in range(60)]
+    puntos = [(i, 9.8021 + r.random() * 0.0015, -83.8979 + r.random() * 0.0015) for i in range(90)]
+    puntos += [(100 + i, 9.8 + r.random() * 0.01, -83.9 + r.random() * 0.01) for i in range(90)]
+    nulos = [(300 + i, *((None, -83.9), (9.8, None), (None, None))[i % 3]) for i in range(90)]
+    p = spark.createDataFrame(puntos + nulos, "id long, lat double, lon double")
+    n = spark.createDataFrame(nodos, "id long, lat double, lon double")
+    hallados = {i: (g, c) for i, g, c in filas(spatial.mas_cercano(p, n).fillna(-1, ["grados", "calle_id"]), "id", "grados", "calle_id")}
+    assert hallados == {x[0]: _cerca(x, nodos, "plana") for x in puntos} | {x[0]: (-1, -1) for x in nulos}
+
+
 def test_radio_estricto(spark, datos):
     puntos, nodos = datos
     p, n = (spark.createDataFrame(x, "id long, lat double, lon double") for x in datos)
