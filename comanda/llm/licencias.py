@@ -33,11 +33,14 @@ PLANTILLAS = {
         <<var;match=".{1,20}">> BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT,
         TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
         SOFTWARE.""",
-    "isc-text": """Permission to use, copy, modify, <<beginOptional>>and/or<<endOptional>> distribute this software for
+    "isc-text": """Permission to use, copy, modify, and<<beginOptional>>/or<<endOptional>> distribute this software for
         any purpose with or without fee is hereby granted, provided that the above copyright notice and this
         permission notice appear in all copies. THE SOFTWARE IS PROVIDED "AS IS" AND <<var;match=".{1,20}">> DISCLAIMS
-        ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND
-        FITNESS.""",
+        ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN
+        NO EVENT SHALL <<var;match=".{1,20}">> BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR
+        ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT,
+        NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS
+        SOFTWARE.""",
     "bsd-conditions": """Redistribution and use in source and binary forms, with or without modification, are permitted
         provided that the following conditions are met: <<beginOptional>>1.<<endOptional>> Redistributions of source
         code must retain the above copyright notice, this list of conditions and the following disclaimer.
@@ -46,23 +49,49 @@ PLANTILLAS = {
         the distribution. <<beginOptional>><<beginOptional>>3.<<endOptional>> Neither the name of
         <<var;match=".{1,20}">> nor the names of its contributors may be used to endorse or promote products derived
         from this software without specific prior written permission.<<endOptional>> THIS SOFTWARE IS PROVIDED BY
-        <<var;match=".{1,20}">> "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES""",
+        <<var;match=".{1,20}">> "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE
+        IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL
+        <<var;match=".{1,20}">> BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL
+        DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR
+        PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT
+        LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN
+        IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.""",
     "apache-2.0-header": """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file
         except in compliance with the License. You may obtain a copy of the License at <<var;match=".{1,12}">> Unless
         required by applicable law or agreed to in writing, software distributed under the License is distributed on
-        an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.""",
+        an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for
+        the specific language governing permissions and limitations under the License.""",
     "apache-2.0-notice": "licensed under the Apache License<<beginOptional>>, Version<<endOptional>> 2.0",
-    "gpl-header": """<<var;match="this|the">> <<var;match="program|library|software|file">> is free software<<beginOptional>>;
-        you can redistribute it<<endOptional>> and/or modify it under the terms of the GNU
+    "gpl-header": """<<var;match="this|the">> <<var;match="program|library|software|file">> is free software; you can
+        redistribute it and/or modify it under the terms of the GNU
         <<beginOptional>><<var;match="lesser|library|affero">><<endOptional>> General Public License as published by
-        the Free Software Foundation""",
+        the Free Software Foundation<<beginOptional>>, either<<endOptional>> version <<var;match=".{1,2}">>
+        <<beginOptional>>of the License<<endOptional>><<beginOptional>>, or (at your option) any later
+        version<<endOptional>>. <<var;match="this|the">> <<var;match="program|library|software|file">> is distributed
+        in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of
+        MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU
+        <<beginOptional>><<var;match="lesser|library|affero">><<endOptional>> General Public License for more details.
+        You should have received a copy of the GNU
+        <<beginOptional>><<var;match="lesser|library|affero">><<endOptional>> General Public License along with
+        <<var;match="this|the">> <<var;match="program|library|software|file">>; if not, <<var;match="see|write">>
+        <<var;match=".{1,20}">>""",
     "gpl-notice": """<<var;match="licensed|released|distributed">> under the <<beginOptional>>terms of
         the<<endOptional>> GNU <<beginOptional>><<var;match="lesser|affero">><<endOptional>> General Public License""",
     "mit-notice": """<<var;match="licensed|released|distributed">> under the <<beginOptional>>terms of
         the<<endOptional>> MIT License""",
     "cc-notice": """licensed under <<beginOptional>><<var;match="a|the">><<endOptional>> Creative Commons
         <<var;match=".{1,8}">> License""",
-    "public-domain": """This is free and unencumbered software released into the public domain.""",
+    "public-domain": """This is free and unencumbered software released into the public domain. Anyone is free to copy,
+        modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled
+        binary, for any purpose, commercial or non-commercial, and by any means. In jurisdictions that recognize
+        copyright laws, the author or authors of this software dedicate any and all copyright interest in the software
+        to the public domain. We make this dedication for the benefit of the public at large and to the detriment of
+        our heirs and successors. We intend this dedication to be an overt act of relinquishment in perpetuity of all
+        present and future rights to this software under copyright law. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT
+        WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+        FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL <<var;match=".{1,20}">> BE LIABLE FOR
+        ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF
+        OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.""",
 }
 
 _MARCA = re.compile(r'<<beginOptional>>|<<endOptional>>|<<var;match="([^"]*)">>|[^<]+')
