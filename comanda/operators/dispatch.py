@@ -97,8 +97,15 @@ aggregate(paradas,
 
 def tramos(asignados: DataFrame, repartidores: DataFrame, destinos: DataFrame, nodos: DataFrame,
            aristas: DataFrame, max_saltos: int = MAX_SALTOS) -> tuple[DataFrame, Trayectos]:
+    """Nearest-neighbour tours without what they leave out: the first two of ``tramos_y_resto``."""
+    return tramos_y_resto(asignados, repartidores, destinos, nodos, aristas, max_saltos)[:2]
+
+
+def tramos_y_resto(asignados: DataFrame, repartidores: DataFrame, destinos: DataFrame, nodos: DataFrame,
+                   aristas: DataFrame, max_saltos: int = MAX_SALTOS) -> tuple[DataFrame, Trayectos, DataFrame]:
     """Nearest-neighbour tours: one row per leg (repartidor_id, orden, pedido_id, desde, nodo,
-    distancia), and the paths they were measured with.
+    distancia), the paths they were measured with, and the assigned orders without a leg
+    (repartidor_id, pedido_id, motivo).  Every assigned order is in one of the two.
 
     ``asignados(pedido_id, repartidor_id, turno)``, ``destinos(pedido_id, lat, lon)``,
     ``repartidores(id, lat, lon)``.  A leg follows the path of fewest segments.
@@ -110,9 +117,9 @@ def tramos(asignados: DataFrame, repartidores: DataFrame, destinos: DataFrame, n
     inicio = calle_mas_cercana(r, nodos).filter("calle_id IS NOT NULL").select(
         F.col("id").alias("repartidor_id"), F.col("calle_id").alias("calle"))
     lugar = calle_mas_cercana(destinos.join(a, "pedido_id"), nodos).filter("calle_id IS NOT NULL")
+    lugar, _ = corte.guardar(lugar.select("repartidor_id", "turno", "pedido_id", F.col("calle_id").alias("nodo")))
     inicio, _ = corte.guardar(inicio)
-    p, _ = corte.guardar(lugar.join(inicio, "repartidor_id").select(
-        "repartidor_id", "turno", "pedido_id", F.col("calle_id").alias("nodo")))
+    p = lugar.join(inicio, "repartidor_id").select("repartidor_id", "turno", "pedido_id", "nodo")
     # node pairs a courier may travel: its start and its stops, to its stops
     salidas = inicio.select("repartidor_id", F.col("calle").alias("a")).unionByName(
         p.select("repartidor_id", F.col("nodo").alias("a"))).distinct()
@@ -128,7 +135,31 @@ def tramos(asignados: DataFrame, repartidores: DataFrame, destinos: DataFrame, n
             .select("repartidor_id", (F.col("orden") + 1).alias("orden"), "t.pedido_id", "t.desde", "t.nodo",
                     "t.distancia"))
     legs, _ = corte.guardar(legs)
-    return legs, t
+    clave = ["repartidor_id", "pedido_id"]
+    hay = lambda df, *c: df.select(*c).distinct().withColumn("_" + c[-1], F.lit(True))
+    resto = (a.select(*clave).join(legs.select(*clave), clave, "left_anti")
+             .join(hay(inicio, "repartidor_id"), "repartidor_id", "left")
+             .join(hay(lugar, "pedido_id"), "pedido_id", "left")
+             .select(*clave, F.when(F.col("_repartidor_id").isNull(), "repartidor sin nodo")
+                     .when(F.col("_pedido_id").isNull(), "destino sin nodo")
+                     .otherwise(f"sin camino de {max_saltos} segmentos o menos").alias("motivo")))
+    resto, _ = corte.guardar(resto)
+    return legs, t, resto
+
+
+def tramos_completos(legs: DataFrame, resto: DataFrame) -> DataFrame:
+    """One row per assigned order: its leg, or ``motivo`` and nulls where it has none."""
+    return legs.withColumn("motivo", F.lit(None).cast("string")).unionByName(resto, allowMissingColumns=True)
+
+
+def con_resto(por_repartidor: DataFrame, resto: DataFrame) -> DataFrame:
+    """Rows per courier with ``pedidos_sin_ruta``, the (pedido_id, motivo) of its assigned orders without a leg;
+    couriers that have no others get a row."""
+    r = resto.groupBy("repartidor_id").agg(
+        F.sort_array(F.collect_list(F.struct("pedido_id", "motivo"))).alias("pedidos_sin_ruta"))
+    vacio = F.array().cast(r.schema["pedidos_sin_ruta"].dataType)
+    return (por_repartidor.join(r, "repartidor_id", "full")
+            .withColumn("pedidos_sin_ruta", F.coalesce("pedidos_sin_ruta", vacio)))
 
 
 def rutas(legs: DataFrame, kmh: float = VELOCIDAD_KMH) -> DataFrame:
@@ -170,6 +201,20 @@ def progreso(ruta: DataFrame, pedidos: DataFrame) -> DataFrame:
                     .alias("tiempo_estimado_restante")))
 
 
+def progreso_completo(ruta: DataFrame, resto: DataFrame, pedidos: DataFrame) -> DataFrame:
+    """``progreso`` of every courier with assigned orders; those without a leg are counted by status as well:
+    delivered with the others, open in ``pedidos_sin_ruta``, since no tour goes there."""
+    p = progreso(ruta, pedidos)
+    entregado = F.coalesce(F.col("estado") == "entregado", F.lit(False))
+    r = (resto.join(pedidos.select(F.col("id").alias("pedido_id"), "estado"), "pedido_id", "left")
+         .groupBy("repartidor_id").agg(F.count_if(entregado).alias("_e"), F.count_if(~entregado).alias("_s")))
+    cero = lambda c: F.coalesce(c, F.lit(0))
+    return p.join(r, "repartidor_id", "full").select(
+        "repartidor_id", "distancia_total", (cero("pedidos_entregados") + cero("_e")).alias("pedidos_entregados"),
+        cero("pedidos_restantes").alias("pedidos_restantes"), "tiempo_estimado_restante",
+        cero("_s").alias("pedidos_sin_ruta"))
+
+
 def completar_entregas(pedidos: DataFrame, completados: DataFrame) -> DataFrame:
     """Sets status ``entregado`` on the orders named in ``completados(pedido_id)``."""
     c = completados.select(F.col("pedido_id").alias("id")).distinct().withColumn("_hecho", F.lit(True))

@@ -65,7 +65,7 @@ class Almacen:
         a.anclas_restaurante, a.anclas_cliente, a.d.road))
     asignacion = cached_property(lambda a: dispatch.asignar(
         a.d.pedidos_entrega, a.d.repartidores, a.d.clientes))
-    tramos = cached_property(lambda a: dispatch.tramos(
+    tramos = cached_property(lambda a: dispatch.tramos_y_resto(
         a.asignacion, a.d.repartidores,
         a.d.pedidos_entrega.select(F.col("id").alias("pedido_id"), F.col("cliente_id").alias("id"))
         .join(a.d.clientes.select("id", "lat", "lon"), "id").drop("id"), a.d.calle, a.d.road))
@@ -238,15 +238,16 @@ def _rutas() -> dict[str, Callable[[Almacen], DataFrame]]:
             "origen", "destino", F.col("num_calles").alias("segmentos")),
         "r07_ruta_menor_distancia": lambda a: paths.ruta_menor_distancia(a.pares_pedido, a.d.road).select(
             "origen", "destino", "distancia"),
-        "r08_tramos": lambda a: a.tramos[0],
+        "r08_tramos": lambda a: dispatch.tramos_completos(a.tramos[0], a.tramos[2]),
         "r09_asignacion": lambda a: a.asignacion,
-        "r10_rutas": lambda a: dispatch.rutas(a.tramos[0]).withColumn(
+        "r10_rutas": lambda a: _sin_ruta(dispatch.con_resto(dispatch.rutas(a.tramos[0]), a.tramos[2])).withColumn(
             "pedidos", F.array_join(F.col("pedidos").cast("array<string>"), ",")),
-        "r10_tiempos_estimados": lambda a: dispatch.tiempos_estimados(dispatch.rutas(a.tramos[0])),
-        "r10_trazado": lambda a: dispatch.trazado(*a.tramos).withColumn(
+        "r10_tiempos_estimados": lambda a: dispatch.tramos_completos(
+            dispatch.tiempos_estimados(dispatch.rutas(a.tramos[0])), a.tramos[2]),
+        "r10_trazado": lambda a: _sin_ruta(dispatch.con_resto(dispatch.trazado(*a.tramos[:2]), a.tramos[2])).withColumn(
             "calles_ruta", F.array_join(F.col("calles_ruta").cast("array<string>"), ",")),
-        "r11_progreso": lambda a: dispatch.progreso(
-            dispatch.rutas(a.tramos[0]), dispatch.completar_entregas(a.d.pedidos_entrega, _entregas(a))),
+        "r11_progreso": lambda a: dispatch.progreso_completo(
+            dispatch.rutas(a.tramos[0]), a.tramos[2], dispatch.completar_entregas(a.d.pedidos_entrega, _entregas(a))),
         "r12_carga_tras_entregas": lambda a: dispatch.carga_actual(
             a.d.repartidores, dispatch.completar_entregas(
                 a.d.pedidos_entrega.withColumn("repartidor_asignado", F.col("restaurante_id")), _entregas(a)))
@@ -272,6 +273,12 @@ def _rutas() -> dict[str, Callable[[Almacen], DataFrame]]:
     }
 
 
+def _sin_ruta(df: DataFrame) -> DataFrame:
+    """Orders without a leg as text, for result comparison across engines."""
+    return df.withColumn("pedidos_sin_ruta", F.array_join(F.transform(
+        "pedidos_sin_ruta", lambda x: F.concat(x["pedido_id"].cast("string"), F.lit(":"), x["motivo"])), ","))
+
+
 def _entregas(a: Almacen) -> DataFrame:
     """Delivery reports: the order of every purchase event."""
     return a.d.tabla("events").filter("event_type = 'purchase'").select(F.col("event_id").alias("pedido_id"))
