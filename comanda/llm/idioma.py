@@ -209,7 +209,11 @@ def muestra(docs: DataFrame, texto: str = "text", idioma: str = "lang", document
     r = (d.join(F.broadcast(elegidos), ["i", "h"])
          .select("i", F.explode(F.regexp_extract_all(minusculas(F.col("t")), F.lit(r"[a-z\x{80}-\x{10FFFF}]+"),
                                                       F.lit(0))).alias("r"))
-         .withColumn("r", F.substring(F.col("r").cast("binary"), 1, LARGO)).groupBy("i", "r").agg(F.count("*").alias("n")))
+         .withColumn("r", F.col("r").cast("binary"))
+         # the pieces that ``Runs`` makes, so that all of a run is learnt
+         .select("i", F.explode(F.transform(F.sequence(F.lit(0), F.floor((F.length("r") - 1) / LARGO).cast("int")),
+                                            lambda k: F.substring(F.col("r"), k * LARGO + 1, F.lit(LARGO)))).alias("r"))
+         .groupBy("i", "r").agg(F.count("*").alias("n")))
     r = _primeras(r, [F.desc("n"), "r"], runs)
     return [(x.i, bytes(x.r), x.n) for x in r.collect()]
 

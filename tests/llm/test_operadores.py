@@ -6,9 +6,11 @@ import random
 import re
 import uuid
 import zlib
+from collections import Counter
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import public_tokenizers as vocabularios
 import pytest
 import xxhash
@@ -327,6 +329,14 @@ def test_idioma(spark, docs, vacia, carpeta):
     assert {x.idioma for x in idioma.predecir(docs, idioma.entrenar([])).collect()} == {"und"}
 
 
+def test_muestra_lee_runs_enteros(spark):
+    """Training counts the same 16-byte pieces that prediction reads, also of scripts without blanks."""
+    textos = ["第一条规定了当事人双方的权利和义务以及争议的解决方式", "Donaudampfschifffahrtsgesellschaft x " * 3, "año", "a" * 16, "b" * 17]
+    d = spark.createDataFrame([("zz", t) for t in textos], "lang string, text string")
+    r = idioma.Runs(pa.array(textos))
+    assert {p: n for _, p, n in idioma.muestra(d)} == Counter(r.bytes(i).lower() for i in range(len(r.ini)))
+
+
 def test_gradientes():
     red = idioma.Red(["x", "y", "z"], estado=4)
     red.p = {k: v.astype(np.float64) for k, v in red.p.items()}
