@@ -26,11 +26,12 @@ ES_LETRA = ES_PALABRA.copy()
 ES_LETRA[ord("0"): ord("9") + 1] = False
 _UNA_LETRA = regex.compile(r"\p{L}")
 
-#: Bounds of the training sample: documents of each language, distinct runs of each, languages.
+#: Bounds of the training sample: documents of each language, distinct runs of each, for so many languages.
+#: With more languages each one gets a smaller share; none is left out.
 DOCUMENTOS = 300
 RUNS = 4000
 IDIOMAS = 64
-#: Runs whose labels a task remembers (as hash and one number a language).
+#: Runs whose labels a task remembers (as hash and one number a language), up to ``IDIOMAS`` languages.
 RECUERDA = 1_000_000
 
 
@@ -136,7 +137,8 @@ def entrenar(ejemplos: list[tuple[str, bytes, int]], vueltas: int = 6, lote: int
     if not ejemplos:
         return red
     ejemplos = sorted(ejemplos)
-    y = np.array([clases.index(i) for i, _, _ in ejemplos])
+    lugar = {c: k for k, c in enumerate(clases)}
+    y = np.array([lugar[i] for i, _, _ in ejemplos])
     n = np.array([c for _, _, c in ejemplos], np.float64)
     peso = n / np.bincount(y, n)[y]
     peso = (peso / peso.mean()).astype(np.float32)
@@ -194,17 +196,19 @@ def _primeras(df: DataFrame, orden: list, n: int) -> DataFrame:
 
 def muestra(docs: DataFrame, texto: str = "text", idioma: str = "lang", documentos: int = DOCUMENTOS,
             runs: int = RUNS, idiomas: int = IDIOMAS) -> list[tuple[str, bytes, int]]:
-    """(language, run, count) to train on, at most ``idiomas * runs`` rows.
+    """(language, run, count) to train on, of every language at least one run; at most ``idiomas * runs`` rows,
+    or one a language where there are more languages than that.
 
-    Of the most frequent ``idiomas`` languages, ``documentos`` texts each, chosen by the hash of the text,
-    and of these the ``runs`` most frequent runs.  All rows are candidates; the bounds hold for any input.
+    Of each language ``documentos`` texts, chosen by the hash of the text, and of these the ``runs`` most
+    frequent runs; beyond ``idiomas`` languages both numbers are cut in proportion.  All rows are candidates.
     """
     d = docs.select(F.col(idioma).alias("i"), F.col(texto).alias("t")).filter("i IS NOT NULL AND t IS NOT NULL")
     d = d.withColumn("h", F.xxhash64("t"))
-    hay = [r.i for r in d.groupBy("i").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "i").limit(idiomas).collect()]
+    # a language without a letter in any text adds no run and no class
+    hay = d.select("i").distinct().count()
     if not hay:
         return []
-    d = d.filter(F.col("i").isin(hay))
+    documentos, runs = (min(x, max(1, x * idiomas // hay)) for x in (documentos, runs))
     elegidos = _primeras(d.select("i", "h").distinct(), ["h"], documentos)
     r = (d.join(F.broadcast(elegidos), ["i", "h"])
          .select("i", F.explode(F.regexp_extract_all(minusculas(F.col("t")), F.lit(r"[a-z\x{80}-\x{10FFFF}]+"),
@@ -232,8 +236,9 @@ class Lector:
         largo = np.array([len(r) for r in runs])
         for n in np.unique(largo):
             de = np.flatnonzero(largo == n)
-            for a in range(0, len(de), 1024):
-                parte = de[a: a + 1024]
+            juntos = max(1, 1024 * IDIOMAS // max(IDIOMAS, len(self.red.clases)))
+            for a in range(0, len(de), juntos):
+                parte = de[a: a + juntos]
                 salida[parte] = self.red.etiquetas(a_bytes([runs[i] for i in parte])[0]).sum(axis=0)
         return salida
 
@@ -248,7 +253,7 @@ class Lector:
             valores[~falta] = self.sumas[lugar[~falta]]
         if falta.any():
             valores[falta] = self._leer([r.bytes(i) for i in uno[falta].tolist()])
-            if len(self.claves) + falta.sum() > RECUERDA:
+            if len(self.claves) + falta.sum() > RECUERDA * IDIOMAS // max(IDIOMAS, len(self.red.clases)):
                 self.claves, self.sumas = self.claves[:0], self.sumas[:0]
             todas = np.concatenate([self.claves, claves[falta]])
             orden = np.argsort(todas, kind="stable")

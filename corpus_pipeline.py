@@ -15,6 +15,8 @@ from comanda.plans.durable import Corte
 
 #: A text whose best language is less probable than this has none.  Pooled over bytes, prose lies well above.
 PUNTOS_IDIOMA = 0.35
+#: With many languages all of them get small probabilities, so the bound is at most so many times an equal share.
+VECES_IGUAL = 1.4
 
 
 def calidad(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,6 +24,11 @@ def calidad(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return reglas.buenos(docs)
 
 
+def umbral(idiomas: int) -> float:
+    """Least probability of a text's language, among so many."""
+    return min(PUNTOS_IDIOMA, VECES_IGUAL / idiomas)
+
+
 def lengua(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows with a language; the network learns from a bounded sample of the rows that name theirs.  Where no
     row does, there is nothing to decide by and all rows stay."""
@@ -29,7 +36,7 @@ def lengua(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     if not red.clases:
         return docs
     m = idioma.predecir(docs, red)
-    return m.filter((m["idioma"] != idioma.SIN_IDIOMA) & (m["puntos"] >= PUNTOS_IDIOMA)).select("fila.*")
+    return m.filter((m["idioma"] != idioma.SIN_IDIOMA) & (m["puntos"] >= umbral(len(red.clases)))).select("fila.*")
 
 
 def sin_copias(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -337,6 +337,24 @@ def test_muestra_lee_runs_enteros(spark):
     assert {p: n for _, p, n in idioma.muestra(d)} == Counter(r.bytes(i).lower() for i in range(len(r.ini)))
 
 
+def test_mas_idiomas_que_la_cuota(spark):
+    """70 languages: each is a class, the sample keeps its bound, and the stage keeps clean labelled rows."""
+    g = random.Random(9)
+    silabas = [a + b for a in "bcdfghjklmnpqrstvwxyz" for b in "aeiou"]
+    filas = []
+    for k in range(70):
+        voces = ["".join(g.choice(s) for _ in range(g.randint(2, 4))) for s in [g.sample(silabas, 8)] for _ in range(300)]
+        filas += [(100 * k + j, " ".join(g.choice(voces) for _ in range(80)), f"l{k:02d}") for j in range(12 - (k > 64))]
+    d = spark.createDataFrame([*filas, (-1, "12 34 !!", None)], "doc_id bigint, text string, lang string")
+    todas = idioma.muestra(d)
+    assert {i for i, _, _ in todas} == {x for _, _, x in filas}
+    pocas = idioma.muestra(d, runs=20, idiomas=7)
+    assert {i for i, _, _ in pocas} == {x for _, _, x in filas} and len(pocas) <= 7 * 20
+    quedan = {r.doc_id for r in corpus_pipeline.lengua(spark, d, "").collect()}
+    assert quedan == {i for i, _, _ in filas}
+    assert corpus_pipeline.umbral(4) == corpus_pipeline.umbral(1) == corpus_pipeline.PUNTOS_IDIOMA
+
+
 def test_gradientes():
     red = idioma.Red(["x", "y", "z"], estado=4)
     red.p = {k: v.astype(np.float64) for k, v in red.p.items()}
