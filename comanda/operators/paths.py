@@ -307,23 +307,34 @@ def rutas_entre_anclas(restaurantes: DataFrame, clientes: DataFrame, aristas: Da
             .select("restaurante_id", "restaurante", "cliente_id", "cliente", "segmentos"))
 
 
-MAX_COLUMNAS = 10_000
+#: Anchors of one block: a pair of blocks is a join key, of at most about the square of this many pairs.
+ANCLAS_POR_BLOQUE = 1_000
+
+
+def pares_de_bloques(izq: DataFrame, der: DataFrame, bloque: int = ANCLAS_POR_BLOQUE) -> DataFrame:
+    """Every row of ``izq`` with every row of ``der``, whatever their number.
+
+    Both sides are dealt into blocks by hash; each row goes to all blocks of the other side, and the pairs are
+    an equality join on (block, block).  A side is copied once per block of the other one, and no list of it is
+    ever one value.
+    """
+    n, m = (max(1, -(-df.count() // bloque)) for df in (izq, der))
+    de = lambda df, k: F.pmod(F.xxhash64(*df.columns), F.lit(k)).cast("int")
+    todos = lambda k: F.explode(F.sequence(F.lit(0), F.lit(k - 1)))
+    a = izq.select("*", de(izq, n).alias("_a"), todos(m).alias("_b"))
+    b = der.select("*", todos(n).alias("_a"), de(der, m).alias("_b"))
+    return a.join(b, ["_a", "_b"]).drop("_a", "_b")
 
 
 def matriz_conectividad(restaurantes: DataFrame, clientes: DataFrame, aristas: DataFrame,
                         max_saltos: int = 100) -> DataFrame:
     """Every restaurant with every customer: segments (0 without a path) and state.
 
-    The matrix is the result, so each customer row is expanded by the list of restaurants;
-    the list must stay under ``MAX_COLUMNAS``.
+    The matrix is the result, so it grows with the product of both; it is dealt out by pairs of blocks.
     """
-    lista = restaurantes.agg(F.sort_array(F.collect_list(F.struct(
-        F.col("id").alias("restaurante_id"), F.col("nombre").alias("restaurante")))).alias("l"))
-    n = restaurantes.limit(MAX_COLUMNAS + 1).count()
-    if n > MAX_COLUMNAS:
-        raise ValueError(f"a matrix of more than {MAX_COLUMNAS} restaurants; use rutas_entre_anclas")
-    todos = (clientes.select(F.col("id").alias("cliente_id"), F.col("nombre").alias("cliente"),
-                             F.explode(lista.scalar()).alias("r")).select("r.*", "cliente_id", "cliente"))
+    todos = pares_de_bloques(
+        restaurantes.select(F.col("id").alias("restaurante_id"), F.col("nombre").alias("restaurante")),
+        clientes.select(F.col("id").alias("cliente_id"), F.col("nombre").alias("cliente")))
     hay = rutas_entre_anclas(restaurantes, clientes, aristas, max_saltos).select(
         "restaurante_id", "cliente_id", "segmentos")
     return (todos.join(hay, ["restaurante_id", "cliente_id"], "left")

@@ -145,3 +145,26 @@ def test_anclas(spark):
 def test_alcance(spark):
     nodos = spark.createDataFrame([(i,) for i in range(0, 10)], "id long")
     assert filas(paths.alcance(nodos, _df(spark, MINI), inicios=2, max_saltos=1)) == [(4, 1)]
+
+
+def test_pares_de_bloques(spark):
+    """All pairs, repeated rows and null names among them, for any number of blocks on either side."""
+    for n, m, bloque in ((7, 5, 2), (1, 9, 3), (0, 4, 2), (4, 0, 2), (6, 6, 100)):
+        a = [(i // 2, None if i % 3 == 0 else f"r{i // 2}") for i in range(n)]
+        b = [(i, f"c{i}") for i in range(m)]
+        p = paths.pares_de_bloques(spark.createDataFrame(a, "x long, y string"), spark.createDataFrame(b, "u long, v string"), bloque)
+        assert sorted(map(repr, map(tuple, p.collect()))) == sorted(repr((*x, *y)) for x in a for y in b)
+
+
+def test_matriz_sin_limite(spark):
+    """More restaurants than the 10,000 that were once refused."""
+    n = 10_050
+    r = spark.range(n).selectExpr("id", "concat('r', id) AS nombre", "id % 3 AS osm_node_id")
+    c = spark.createDataFrame([(1, "c1", 2), (2, "c2", 50)], "id long, nombre string, osm_node_id long")
+    e = spark.createDataFrame([(0, 1, 1.0), (1, 2, 1.0)], "src long, dst long, distancia double")
+    m = paths.matriz_conectividad(r, c, e)
+    cuenta = {(x.cliente_id, x.estado): (x["count"], x.s) for x in m.groupBy("cliente_id", "estado").agg(
+        F.count("*").alias("count"), F.sum("segmentos").alias("s")).collect()}
+    # node 2 is two segments from node 0, one from node 1 and none from itself
+    assert cuenta[2, "SIN RUTA"] == (n, 0) and m.select("restaurante_id", "cliente_id").distinct().count() == 2 * n
+    assert cuenta[1, "CONECTADO"] == (n, 3 * n // 3)
