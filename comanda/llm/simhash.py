@@ -46,15 +46,20 @@ def huellas_simhash(t: pa.Array, k: int = 3) -> np.ndarray:
     return salida
 
 
-def huellas(docs: DataFrame, id_doc: str = "doc_id", texto: str = "text", k: int = 3) -> DataFrame:
-    """(id, huella): one row per input row, the 64-bit fingerprint as a signed number."""
-    tipo = StructType([StructField("id", docs.schema[id_doc].dataType), StructField("huella", LongType())])
+def huellas(docs: DataFrame, id_doc: str = "doc_id", texto: str = "text", k: int = 3,
+            conservar: list[str] | None = None) -> DataFrame:
+    """(id, huella): one row per input row, the 64-bit fingerprint as a signed number; then ``conservar``."""
+    mas = conservar or []
+    tipo = StructType([StructField("id", docs.schema[id_doc].dataType), StructField("huella", LongType()),
+                       *[docs.schema[c] for c in mas]])
 
     def paso(lote: pa.RecordBatch) -> pa.RecordBatch:
+        fila = lote.column(0)
         return pa.RecordBatch.from_arrays(
-            [lote.column(0).field(0), pa.array(huellas_simhash(textos(lote, 1), k).view(np.int64))], ["id", "huella"])
+            [fila.field(0), pa.array(huellas_simhash(textos(lote, 1), k).view(np.int64)),
+             *[fila.field(2 + n) for n in range(len(mas))]], ["id", "huella", *mas])
 
-    return como_fila(docs.select(id_doc, texto)).mapInArrow(por_pasos(paso, 1), tipo)
+    return como_fila(docs.select(id_doc, texto, *mas)).mapInArrow(por_pasos(paso, 1), tipo)
 
 
 def _variantes(df: DataFrame, ancho: int) -> DataFrame:
@@ -111,6 +116,11 @@ def grupos(docs: DataFrame, id_doc: str = "doc_id", texto: str = "text", k: int
     corte = Corte(docs.sparkSession, "simhash")
     h, total = corte.guardar(huellas(docs, id_doc, texto, k))
     u, _ = corte.guardar(h.groupBy("huella").agg(F.min("id").alias("menor"), F.count("*").alias("n")))
+    return unir_repartido(h, _con_grupo(u, corte, distancia), "huella", "n", total).select("id", "huella", "grupo")
+
+
+def _con_grupo(u: DataFrame, corte: Corte, distancia: int) -> DataFrame:
+    """(huella, grupo, n) of the distinct ``u(huella, menor, n)``: the smallest ``menor`` reachable over links."""
     e, n = corte.guardar(enlaces(u, corte, distancia))
     con_grupo = u.withColumnRenamed("menor", "grupo")
     if n:
@@ -121,21 +131,27 @@ def grupos(docs: DataFrame, id_doc: str = "doc_id", texto: str = "text", k: int
         de_comp = de_comp.join(menores, "comunidad").select("huella", "grupo", "n")
         con_grupo, _ = corte.guardar(
             de_comp.unionByName(con_grupo.join(de_comp.select("huella"), "huella", "left_anti")))
-    return unir_repartido(h, con_grupo, "huella", "n", total).select("id", "huella", "grupo")
+    return con_grupo
 
 
 def uno_por_grupo(docs: DataFrame, id_doc: str = "doc_id", texto: str = "text", k: int = 3,
                   distancia: int = 3) -> DataFrame:
-    """The rows of ``docs``, all columns, whose id is their group's smallest.
+    """One row of ``docs``, all columns, of each group: that of the smallest id, null last, then of the smallest
+    fingerprint, then of the smallest hash of the whole row.
 
-    Rows repeated with one id are one document: one of them stays.  Rows without an id can't be told
-    apart by it and stay all.
+    Decided by row, not by id: rows of one id with different texts are in groups of their own, and a row without
+    an id stays where it leads its group.
     """
     corte = Corte(docs.sparkSession, "simhash_filtro")
-    quedan, _ = corte.guardar(grupos(docs, id_doc, texto, k, distancia).filter("id = grupo")
-                              .groupBy(F.col("id").alias("_id")).agg(F.count("*").alias("_n")))
-    filas = como_fila(docs).withColumn("_id", F.col("fila").getField(id_doc))
-    una_vez = filas.join(quedan.filter("_n = 1"), "_id", "left_semi")
-    repetidas = filas.join(quedan.filter("_n > 1"), "_id", "left_semi").dropDuplicates(["_id"])
-    sin_id = filas.filter("_id IS NULL")
-    return una_vez.unionByName(repetidas).unionByName(sin_id).select("fila.*")
+    filas = como_fila(docs).withColumn("_id", F.col("fila").getField(id_doc)).withColumn("_marca", F.xxhash64("fila"))
+    h, _ = corte.guardar(huellas(filas.select("_id", "_marca", F.col("fila").getField(texto).alias("_texto")),
+                                 "_id", "_texto", k, ["_marca"])
+                         .groupBy("id", "huella", "_marca").agg(F.count("*").alias("_n")))
+    lider = F.struct(F.col("id").isNull().alias("sin"), "id", "huella", "_marca", "_n")
+    u, _ = corte.guardar(h.groupBy("huella").agg(F.min(lider).alias("menor"), F.sum("_n").alias("n")))
+    quedan, _ = corte.guardar(_con_grupo(u, corte, distancia).select("grupo").distinct().select(
+        F.col("grupo.id").alias("_i"), F.col("grupo._marca").alias("_m"), F.col("grupo._n").alias("_n")))
+    este = F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_marca") == F.col("_m"))
+    una_vez = filas.join(quedan.filter("_n = 1"), este, "left_semi")
+    repetidas = filas.join(quedan.filter("_n > 1"), este, "left_semi").dropDuplicates(["_id", "_marca"])
+    return una_vez.unionByName(repetidas).select("fila.*")

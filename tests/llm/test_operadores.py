@@ -498,6 +498,18 @@ def test_simhash(docs, vacia):
     assert sorted(r.doc_id for r in uno.collect() if r.doc_id is not None) == sorted(set(quedan))
 
 
+def test_uno_por_grupo_por_fila(spark):
+    """Ids on several texts, a copy under a larger id, and copies without an id."""
+    g = random.Random(4)
+    a, b, c, d = (" ".join(f"{x}{g.randrange(10**6)}" for _ in range(60)) for x in "abcd")
+    filas = [(1, a, "p"), (1, b, "q"), (2, b, "r"), (2, c, "s"), (0, a, "t"), (None, d, "u"), (None, d, "u"), (None, c, "v"),
+             (None, d, "w"), (5, "", "x"), (5, "", "x")]
+    uno = simhash.uno_por_grupo(spark.createDataFrame(filas, "doc_id bigint, text string, extra string").repartition(3)).collect()
+    # each text once, at its smallest id; before, b or c was lost with the other row of its id and d stood three times
+    assert sorted(r.text for r in uno) == sorted([a, b, c, d, ""])
+    assert {r.text: r.doc_id for r in uno} == {a: 0, b: 1, c: 2, d: None, "": 5}
+
+
 @pytest.mark.parametrize("tope", [2, 64])
 def test_enlaces(spark, tope):
     """A dense ball of fingerprints, whose signatures are cut again and again, against all pairs."""
