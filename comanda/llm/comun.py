@@ -73,15 +73,15 @@ class Palabras:
     """Words of a batch of texts as byte spans, found without a Python object per word.
 
     ``ini`` and ``fin`` are the spans in ``datos``, ``doc`` the text of each word, ``n`` the words of
-    each text and ``primera`` the index of its first word.
+    each text and ``primera`` the index of its first word.  A-Z count as lower case unless ``igual``.
     """
 
-    def __init__(self, t: pa.Array, clase: np.ndarray):
+    def __init__(self, t: pa.Array, clase: np.ndarray, igual: bool = False):
         off = np.frombuffer(t.buffers()[1], np.int32)[t.offset: t.offset + len(t) + 1].astype(np.int64)
         crudo = t.buffers()[2]
         datos = np.frombuffer(crudo, np.uint8)[off[0]: off[-1]] if crudo is not None else np.zeros(0, np.uint8)
         off = off - off[0]
-        self.datos = _A_MINUSCULA[datos]
+        self.datos = datos if igual else _A_MINUSCULA[datos]
         es = clase[self.datos]
         borde = np.zeros(len(datos) + 1, bool)
         borde[off] = True

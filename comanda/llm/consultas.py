@@ -9,8 +9,9 @@ import public_tokenizers as vocabularios
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from comanda.llm import bpe, chat, descontaminacion, idioma, licencias, reglas, repair, simhash, viterbi, warc
-from comanda.llm.comun import leer
+from comanda.llm import (blanqueo, bpe, chat, descontaminacion, idioma, licencias, mejores, periodos, reglas, repair,
+                         simhash, viterbi, warc)
+from comanda.llm.comun import NO_BLANCO, leer
 from comanda.plans.durable import Corte, carpeta_compartida
 
 
@@ -102,6 +103,61 @@ def op10_simhash(spark: SparkSession, sf: str) -> DataFrame:
                     F.col("grupo").alias("component_id"))
 
 
+def _enteros(spark: SparkSession, sf: str, escala: int, suma: int) -> DataFrame:
+    e = leer(spark, sf, "embeddings").select("vec_id", "embedding")
+    return e.filter(blanqueo.sirve(F.col("embedding"))).select(
+        "vec_id", blanqueo.enteros(F.col("embedding"), escala, suma).alias("x"))
+
+
+def op11_mejores(spark: SparkSession, sf: str) -> DataFrame:
+    m = mejores.mejores(_enteros(spark, sf, 1024, 0), F.col("vec_id") % 100 == 0, 10, "vec_id", "x")
+    return m.select(F.col("consulta").alias("query_id"), F.col("puesto").alias("rank"), F.col("candidato").alias("vec_id"),
+                    F.col("puntos").alias("score"))
+
+
+def con_tramos_repetidos(docs: DataFrame) -> DataFrame:
+    """The contract's texts: in one of ten, the words from a place on repeat a stretch of the text."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g, w = F.floor(h / 10), F.col("w")
+    # only the texts concerned are split into words here
+    palabras = F.when(h % 10 == 0, F.regexp_extract_all("text", F.lit(f"({NO_BLANCO})"), F.lit(1)))
+    m = docs.select("doc_id", "text", g.alias("g"), palabras.alias("w")).withColumn("n", F.size("w"))
+    m = m.withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n"))) \
+        .withColumn("p", 1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8)))
+    a, p = F.col("a"), F.col("p")
+    lugar = F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda i: F.get(w, F.when(i < a, i).otherwise(
+        a + (i - a) % p).cast("int")))
+    return m.select("doc_id", F.when(a.isNull(), F.col("text")).otherwise(F.array_join(lugar, " ")).alias("text"))
+
+
+def op12_periodos(spark: SparkSession, sf: str) -> DataFrame:
+    m = periodos.buscar(con_tramos_repetidos(leer(spark, sf, "documents").select("doc_id", "text")))
+    lineas = F.transform("corridas", lambda c: F.concat_ws(",", c["inicio"], c["largo"], c["periodo"]))
+    # greatest length / period, compared without rounding; then smallest start and period
+    mayor = F.aggregate("corridas", F.element_at("corridas", 1), lambda a, b: F.when(
+        b["largo"] * a["periodo"] > a["largo"] * b["periodo"], b).otherwise(a))
+    m = m.withColumn("m", F.when(F.size("corridas") > 0, mayor))
+    return m.select(
+        F.col("fila.doc_id").alias("doc_id"), F.size("corridas").cast("bigint").alias("n_runs"),
+        F.col("m.inicio").alias("start"), F.col("m.largo").alias("length"), F.col("m.periodo").alias("period"),
+        F.expr("1000 * m.largo div m.periodo").alias("exponent_milli"),
+        _sha(F.concat(F.array_join(lineas, "\n"), F.when(F.size("corridas") > 0, "\n").otherwise("")))
+        .alias("runs_sha256"), _sha(F.col("sin_repetir")).alias("collapsed_sha256"))
+
+
+def op13_blanqueo(spark: SparkSession, sf: str) -> DataFrame:
+    x = _enteros(spark, sf, 64, 1_000_000)
+    m = blanqueo.ajustar(x, 32, 1_000_000)
+    b = blanqueo.blanquear(x, m)
+    error = blanqueo.error_identidad(b, m)
+    explicado = F.array(*[F.lit(e).cast("double") for e in m.explicado]).cast("array<double>")
+    return (b.select("fila.vec_id", "desvio", F.posexplode("blanqueado").alias("p", "whitened"))
+            .select("vec_id", (F.col("p") + 1).alias("component"), F.lit(m.n).cast("bigint").alias("n"),
+                    F.col("desvio").alias("deviation"), "whitened", F.get(explicado, F.col("p")).alias("explained"),
+                    F.lit(error).cast("double").alias("identity_error")))
+
+
 def consultas() -> dict:
     return {f.__name__: f for f in (op1_descontaminacion, op2_licencias, op3_repair, op4_warc, op5_idioma, op6_reglas,
-                                   op7_conteo, op8_bpe, op9_chat, op10_simhash)}
+                                   op7_conteo, op8_bpe, op9_chat, op10_simhash, op11_mejores,
+                                   op12_periodos, op13_blanqueo)}

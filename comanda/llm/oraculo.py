@@ -102,6 +102,44 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(r || chr(10) || t || chr(
 FROM c GROUP BY conv_id"""
 
 
+def _mejores() -> str:
+    """All queries against all rows."""
+    return """WITH v AS (SELECT vec_id, list_transform(embedding, lambda c: floor(1024 * c::DOUBLE)) AS x FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.x, c.x)::BIGINT AS score
+      FROM v q JOIN v c ON c.vec_id <> q.vec_id WHERE q.vec_id % 100 = 0)
+SELECT * FROM (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank,
+               vec_id, score FROM s) WHERE rank <= 10"""
+
+
+def _periodos() -> str:
+    """Places whose word returns so many words later, as islands of neighbours for each distance."""
+    return rf"""WITH RECURSIVE bits AS (SELECT i, 0 AS k, i::BIGINT AS v FROM range(256) u(i) UNION ALL
+    SELECT i, k + 1, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END FROM bits WHERE k < 8),
+tabla AS (SELECT i, v FROM bits WHERE k = 8),
+resto AS (SELECT doc_id, doc_id::VARCHAR AS t, 1 AS k, 4294967295::BIGINT AS v FROM documents UNION ALL
+    SELECT doc_id, t, k + 1, xor(r.v >> 8, x.v) FROM resto r JOIN tabla x ON x.i = xor(r.v & 255, ascii(t[k])) WHERE k <= len(t)),
+h AS (SELECT doc_id, xor(v, 4294967295) AS h FROM resto WHERE k = len(t) + 1),
+d AS (SELECT doc_id, h, h // 10 AS g, regexp_extract_all(coalesce(text, ''), '{NO_BLANCO}') AS w FROM documents JOIN h USING (doc_id)),
+l AS (SELECT *, len(w) AS n, CASE WHEN h % 10 = 0 AND len(w) > 0 THEN g % len(w) END AS a FROM d),
+t AS (SELECT doc_id, n, i, CASE WHEN i < coalesce(a, n) THEN w[i + 1]
+             ELSE w[a + (i - a) % (1 + (n - a) // (3 + g % 8)) + 1] END AS palabra FROM l, unnest(range(n)) u(i)),
+par AS (SELECT x.doc_id, x.i, y.i - x.i AS q FROM t x JOIN t y ON x.doc_id = y.doc_id AND x.palabra = y.palabra
+        AND y.i > x.i AND 4 * (y.i - x.i) <= x.n),
+isla AS (SELECT doc_id, q, min(i) AS s, count(*) + q AS largo FROM (
+          SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS b FROM par) GROUP BY doc_id, q, b),
+run AS (SELECT doc_id, s, largo, min(q) AS q FROM isla WHERE largo >= greatest(6, 4 * q) GROUP BY ALL),
+fuera AS (SELECT DISTINCT doc_id, i FROM run, unnest(range(s + q, s + largo)) u(i)),
+quedan AS (SELECT doc_id, string_agg(palabra, ' ' ORDER BY i) AS c FROM t ANTI JOIN fuera USING (doc_id, i) GROUP BY doc_id),
+todas AS (SELECT doc_id, count(*) AS n_runs, string_agg(s || ',' || largo || ',' || q || chr(10), '' ORDER BY s, q) AS c
+          FROM run GROUP BY doc_id),
+una AS (SELECT * FROM run QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY largo / q DESC, s, q) = 1)
+SELECT d.doc_id, coalesce(n_runs, 0) AS n_runs, s::BIGINT AS start, largo::BIGINT AS length, q::BIGINT AS period,
+    (1000 * largo // q)::BIGINT AS exponent_milli, sha256(coalesce(todas.c, '')) AS runs_sha256,
+    sha256(coalesce(quedan.c, '')) AS collapsed_sha256
+FROM d LEFT JOIN todas USING (doc_id) LEFT JOIN una USING (doc_id) LEFT JOIN quedan USING (doc_id)"""
+
+
 def oraculo() -> dict[str, str]:
     return {
         "op1_descontaminacion": contaminacion(),
@@ -109,4 +147,6 @@ def oraculo() -> dict[str, str]:
         "op6_reglas": f"""WITH {calidad()}
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept FROM juicio""",
         "op9_chat": _chat(),
+        "op11_mejores": _mejores(),
+        "op12_periodos": _periodos(),
     }
