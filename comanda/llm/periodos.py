@@ -25,6 +25,8 @@ from comanda.llm.comun import ES_NO_BLANCO, Palabras, como_fila, cortar, textos
 
 #: Suffixes tested at once.
 PRUEBAS_POR_PASO = 1 << 20
+#: Rounds of pointer jumping before the tree of minima is built.
+SALTOS = 12
 CORRIDA = StructType([StructField(c, LongType(), False) for c in ("inicio", "largo", "periodo")])
 
 
@@ -89,15 +91,40 @@ def _comunes(sa: np.ndarray, niveles: list, n: int) -> np.ndarray:
 
 
 def _menor_antes(v: np.ndarray) -> np.ndarray:
-    """Place of the nearest smaller value before each one, -1 where there is none; by pointer jumping."""
+    """Place of the nearest smaller value before each one, -1 where there is none: by a few rounds of pointer jumping,
+    and for the others, which look down long stairs, by climbing a tree of block minima."""
     p = np.arange(len(v)) - 1
     vivos = np.arange(len(v))
-    while True:
+    for _ in range(SALTOS):
         vivos = vivos[(p[vivos] >= 0)]
         vivos = vivos[v[p[vivos]] >= v[vivos]]
         if not len(vivos):
             return p
         p[vivos] = p[p[vivos]]
+    minimos = [v]
+    while len(minimos[-1]) > 1:
+        m = minimos[-1]
+        m = np.append(m, np.iinfo(np.int64).max) if len(m) % 2 else m
+        minimos.append(np.minimum(m[::2], m[1::2]))
+    # nothing between the pointer and the place is smaller, so the search goes on from the pointer itself
+    vivos = vivos[p[vivos] >= 0]
+    nodo, valor = p[vivos], v[vivos]
+    nivel = np.where(v[nodo] < valor, 0, -1)
+    for k, m in enumerate(minimos):
+        busca = np.flatnonzero(nivel < 0)
+        hermano = nodo[busca] - 1
+        en = (nodo[busca] & 1 == 1) & (m[np.maximum(hermano, 0)] < valor[busca])
+        nodo[busca] = np.where(en, hermano, nodo[busca] >> 1)
+        nivel[busca[en]] = k
+    for k in range(len(minimos) - 1, 0, -1):
+        baja = np.flatnonzero(nivel == k)
+        derecho = 2 * nodo[baja] + 1
+        m = minimos[k - 1]
+        cabe = (derecho < len(m)) & (m[np.minimum(derecho, len(m) - 1)] < valor[baja])
+        nodo[baja] = np.where(cabe, derecho, derecho - 1)
+        nivel[baja] = k - 1
+    p[vivos] = np.where(nivel < 0, -1, nodo)
+    return p
 
 
 def intervalos(lcp: np.ndarray, cabe: np.ndarray, minimo: int) -> Iterator[tuple[np.ndarray, ...]]:
