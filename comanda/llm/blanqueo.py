@@ -220,9 +220,9 @@ def ajustar(vectores: DataFrame, componentes: int, relleno: int = 0, columna: st
     d = x.agg(F.max(F.size(columna))).first()[0] or 0
     if d > MAX_DIMENSIONES:
         raise ValueError(f"vectors of {d} dimensions: the covariance is held by the driver up to {MAX_DIMENSIONES}")
-    n, sumas = _sumas(x, d, relleno) if d else (0, [])
+    n, sumas = _sumas(x, d, relleno) if d else (x.count(), [])
     m = Modelo(n, sumas, relleno)
-    if not n:
+    if not n or not d:
         return m
     media = m.media
     v = _gram(x, d, lambda lote: matriz(lote.column(0), d, relleno) - media) / n
@@ -255,7 +255,7 @@ def blanquear(filas: DataFrame, m: Modelo, vector: str = "x") -> DataFrame:
     n, sumas, d, relleno = m.n, m.sumas, len(m.sumas), m.relleno
     tipo = StructType([StructField("fila", filas.schema, False), StructField("desvio", LongType()),
                        StructField("blanqueado", ArrayType(DoubleType()))])
-    difundido = filas.sparkSession.sparkContext.broadcast((m.media, m.lienzo, m.con_varianza) if m.n else None)
+    difundido = filas.sparkSession.sparkContext.broadcast((m.media, m.lienzo, m.con_varianza) if n else None)
 
     def paso(lotes: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lote in _pasos(lotes):

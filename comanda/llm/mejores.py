@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, DecimalType, LongType, StructField, StructType
 
 from comanda.llm.comun import unir_repartido
 from comanda.plans.durable import Corte
@@ -36,7 +36,9 @@ BLOQUE, CONSULTAS, CANDIDATOS = 1 << 19, 1 << 22, 1 << 24
 PRIMER_TRAMO = 16
 SIN_ID = (1 << 63) - 1
 _PAR = StructType([StructField("consulta", LongType()), StructField("ids", ArrayType(LongType())),
-                   StructField("puntos", LongType())])
+                   StructField("puntos", DecimalType(38, 0))])
+#: Scores are compared exactly up to 38 digits.
+MAX_PUNTOS = 10**38 - 1
 
 
 def _exacto(*m: np.ndarray) -> type:
@@ -125,12 +127,12 @@ class _Grupo:
 
     def salida(self) -> Iterator[pa.RecordBatch]:
         for j in range(0, len(self.claves), 1000):
-            filas = [(c, m[2], max(-SIN_ID - 1, min(SIN_ID, m[0]))) for c, mios in
+            filas = [(c, m[2], max(-MAX_PUNTOS, min(MAX_PUNTOS, m[0]))) for c, mios in
                      zip(self.claves[j:j + 1000].tolist(), self.hallados[j:j + 1000]) for m in mios]
             if filas:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([f[0] for f in filas], pa.int64()), pa.array([f[1] for f in filas], pa.list_(pa.int64())),
-                     pa.array([f[2] for f in filas], pa.int64())], ["consulta", "ids", "puntos"])
+                     pa.array([f[2] for f in filas], pa.decimal128(38, 0))], ["consulta", "ids", "puntos"])
 
 
 def _matriz(a: pa.Array, d: int) -> np.ndarray:
@@ -223,4 +225,4 @@ def mejores(vectores: DataFrame, es_consulta: Column, k: int, id_: str = "id", v
     ajenos = F.filter("l", lambda x: ~F.equal_null(x["candidato"], F.col("id")))
     return (propios.select(F.col("id").alias("consulta"), F.posexplode(F.slice(ajenos, 1, k)).alias("p", "m"))
             .select("consulta", (F.col("p") + 1).alias("puesto"), F.col("m.candidato").alias("candidato"),
-                    F.col("m.puntos").alias("puntos")))
+                    F.greatest(F.lit(-SIN_ID - 1), F.least(F.lit(SIN_ID), "m.puntos")).cast("bigint").alias("puntos")))
