@@ -1,7 +1,8 @@
-"""Byte-level BPE by ranks: overlapping chunks are cut into pre-tokens in parallel, stitched, encoded, decoded.
+"""Byte-level BPE by ranks: overlapping chunks are cut into pre-tokens and encoded in parallel, stitched, decoded.
 
 A pre-token match depends on the text from its start on.  Two cuts of a text that share one boundary
-therefore agree from there on, up to where one of them runs out of text: that is where chunks are stitched.
+therefore agree from there on, up to where one of them runs out of text: that is where chunks are stitched.  A
+chunk is encoded where it is; what meets its neighbours are its ids and the boundaries in the two overlaps.
 """
 
 from __future__ import annotations
@@ -19,14 +20,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
-from comanda.llm.comun import Memoria, como_fila, cortar
+from comanda.llm.comun import Memoria, como_fila, cortar, por_trabajador
+from comanda.plans.durable import Corte
 
 #: Characters of a chunk, and how many of them its successor reads again.
-TROZO = 1 << 16
-SOLAPE = 1 << 10
-#: Pre-tokens whose ids a task remembers.
-RECUERDA = 600_000
+TROZO = 1 << 13
+SOLAPE = 1 << 9
+#: Chunks of a stretch; a longer text's stretches are dealt out to all tasks, others are cut where they are read.
+TROZOS_POR_TRAMO = 128
+#: Pre-tokens at the end of a chunk that a longer text could cut otherwise: the last match, and a mark before it
+#: that a contraction would have taken.
+DUDOSAS = 2
+#: Bytes of pre-tokens whose ids a task remembers.
+RECUERDA = 64 << 20
 NUNCA = 1 << 40
+#: Ids that are decoded at once.
+IDS_POR_PASO = 1 << 20
 
 
 def leer_rangos(ruta: str) -> dict[bytes, int]:
@@ -39,7 +48,8 @@ class Codificador:
 
     def __init__(self, ruta: str, patron: str):
         self.rangos = leer_rangos(ruta)
-        self.bytes_de = {i: b for b, i in self.rangos.items()}
+        de = {i: b for b, i in self.rangos.items()}
+        self.bytes_de = pa.array([de.get(i) for i in range(max(de, default=-1) + 1)], pa.binary())
         self.patron = regex.compile(patron)
         self.memo = Memoria(RECUERDA)
         # every pair of tokens that merges, as one number, and the token it makes, whose id is its rank
@@ -130,71 +140,65 @@ class Codificador:
             i = sig[i]
         return salida
 
-    def cortes(self, t: str) -> list[int]:
-        """Ends of the pre-tokens of ``t``.  The pattern leaves no character out."""
-        return [m.end() for m in self.patron.finditer(t)]
-
     def ids(self, piezas: Iterable[str]) -> np.ndarray:
         m = self.memo.nuevas
         return np.frombuffer(b"".join([m.get(p) or self.pieza(p) for p in piezas]), "<i4")
 
-    def texto(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.bytes_de.__getitem__, ids))
-
-
-_codificadores: dict[tuple[str, str], Codificador] = {}
+    def textos(self, ids: pa.ListArray) -> pa.Array:
+        """Bytes of each list of ids, joined from a table of the tokens' bytes."""
+        return pc.binary_join(pa.ListArray.from_arrays(ids.offsets, self.bytes_de.take(ids.values)), pa.scalar(b""))
 
 
 def codificador(ruta: str, patron: str) -> Codificador:
     """One per Python worker, so its memory of pre-tokens lasts over tasks."""
-    if (ruta, patron) not in _codificadores:
-        _codificadores[ruta, patron] = Codificador(ruta, patron)
-    return _codificadores[ruta, patron]
+    return por_trabajador(("bpe", ruta, patron), lambda: Codificador(ruta, patron))
 
 
-def coser(trozos: list[tuple[str, list[int]]], cortar, paso: int) -> Iterator[str]:
-    """Pre-tokens of the whole text from overlapping chunks and each one's own cuts.
+def coser(trozos: list[dict]) -> np.ndarray | None:
+    """Ids of a text from its chunks in order, each with ``ids`` and the boundaries that it trusts in the overlap with
+    the chunk before (``cab``) and after (``cola``): places counted from where the overlap starts, and ids up to there.
 
-    ``trozos[k]`` starts at character ``k * paso``.  The running cut is trusted up to its chunk's last
-    boundary but one, since a longer text could only change the last match.  At a boundary that the next
-    chunk has too, the next one takes over.  If none is shared in the overlap, as in a run of letters
-    longer than it, the text from the last trusted boundary is cut again together with the next chunk.
-    """
-    texto, cortes, inicio, hecho = "", [], 0, 0
-    for k, (t, c) in enumerate(trozos):
-        base = k * paso
-        c = [base + x for x in c]
-        if k:
-            suyos = set(c)
-            fiables = cortes[:-1]
-            comun = next((x for x in fiables if x in suyos and x >= hecho), None)
-            limite = comun if comun is not None else (fiables[-1] if fiables else hecho)
-            for x in fiables:
-                if hecho < x <= limite:
-                    yield texto[hecho - inicio: x - inicio]
-                    hecho = x
-            if comun is None:
-                # what is left of the old chunk and the new one, without the part that both have
-                t = texto[hecho - inicio: base - inicio] + t if hecho < base else t[hecho - base:]
-                base = hecho
-                c = [base + x for x in cortar(t)]
-        texto, cortes, inicio = t, c, base
-    for x in cortes:
-        if x > hecho:
-            yield texto[hecho - inicio: x - inicio]
-            hecho = x
+    From a boundary that both have, the later chunk takes over.  None if two neighbours share none, as in a run of
+    letters longer than the overlap."""
+    partes, desde = [], 0
+    for a, b in zip(trozos, trozos[1:]):
+        suyas = dict(zip(b["cab"], b["cab_n"]))
+        comun = next(((n, suyas[x]) for x, n in zip(a["cola"], a["cola_n"]) if x in suyas and n >= desde), None)
+        if comun is None:
+            return None
+        partes.append(a["ids"][desde: comun[0]])
+        desde = comun[1]
+    return np.concatenate([*partes, trozos[-1]["ids"][desde:]])
+
+
+def _en_trozos(f: DataFrame, trozo: int, solape: int) -> DataFrame:
+    """(doc_id, clave, k, fin, t): overlapping chunks of the texts ``f(doc_id, t)``.  Stretches are cut first, so that
+    no chunk is searched for from the start of a very long text."""
+    paso = trozo - solape
+    tramo = TROZOS_POR_TRAMO * paso
+    n = F.ceil((F.length("t") - trozo) / paso).cast("bigint")
+    tramos = (f.select("doc_id", F.sha2(F.col("t").cast("binary"), 256).alias("clave"), n.alias("ultimo"), "t")
+              .withColumn("j", F.explode(F.sequence(F.lit(0), F.floor(F.col("ultimo") / TROZOS_POR_TRAMO))))
+              .withColumn("t", F.expr(f"substring(t, CAST(j * {tramo} + 1 AS INT), {tramo + solape})")))
+    largo = F.col("ultimo") >= TROZOS_POR_TRAMO
+    tramos = tramos.filter(~largo).unionByName(tramos.filter(largo).repartition("clave", "j"))
+    return (tramos.withColumn("i", F.explode(F.sequence(F.lit(0), F.least(
+                F.lit(TROZOS_POR_TRAMO - 1), F.col("ultimo") - F.col("j") * TROZOS_POR_TRAMO))))
+            .select("doc_id", "clave", (F.col("j") * TROZOS_POR_TRAMO + F.col("i")).alias("k"),
+                    (F.col("j") * TROZOS_POR_TRAMO + F.col("i") == F.col("ultimo")).alias("fin"),
+                    F.expr(f"substring(t, CAST(i * {paso} + 1 AS INT), {trozo})").alias("t")))
 
 
 def codificar(docs: DataFrame, ruta: str, patron: str, id_doc: str = "doc_id", texto: str = "text",
               trozo: int = TROZO, solape: int = SOLAPE) -> DataFrame:
     """(doc_id, ids): one row per input row, the ids of its whole text.
 
-    A text of one chunk is encoded where it is read.  A longer one is cut into overlapping chunks, dealt
-    out to all tasks for pre-tokenising and gathered by text to be stitched: the group is one text, and
-    equal texts with one id are one group with a count.  Null or empty text has no ids.
+    A text of one chunk is encoded where it is read.  A longer one is cut into overlapping chunks; each is encoded on
+    its own, and only ids are gathered by text to be stitched: the group is one text, and equal texts with one id are
+    one group with a count.  A text whose chunks cannot be stitched is encoded whole.  Null or empty text has no ids.
     """
-    if not 0 < solape < trozo:
-        raise ValueError("chunks must overlap and advance")
+    if not 0 < 2 * solape <= trozo:
+        raise ValueError("chunks must overlap by half at most")
     paso = trozo - solape
     tipo_id = docs.schema[id_doc].dataType
     salida = StructType([StructField("doc_id", tipo_id), StructField("ids", ArrayType(IntegerType()))])
@@ -206,68 +210,94 @@ def codificar(docs: DataFrame, ruta: str, patron: str, id_doc: str = "doc_id", t
             fila = lote.column(0)
             piezas = [c.patron.findall(t) for t in fila.field(1).to_pylist()]
             c.aprender(piezas)
-            ids = [c.ids(x) for x in piezas]
-            fin = np.cumsum([0, *map(len, ids)]).astype(np.int32)
-            lista = pa.ListArray.from_arrays(pa.array(fin), pa.array(np.concatenate(ids)))
-            yield pa.RecordBatch.from_arrays([fila.field(0), lista], ["doc_id", "ids"])
+            yield pa.RecordBatch.from_arrays([fila.field(0), _lista([c.ids(x) for x in piezas])], ["doc_id", "ids"])
 
-    def pretokenizar(lotes: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def por_trozos(lotes: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codificador(ruta, patron)
-        for lote in lotes:
+        for lote in (x for y in lotes for x in cortar(y, 4)):
             fila = lote.column(0)
-            for i in range(lote.num_rows):
-                t = fila.field(3)[i].as_py()
-                yield pa.RecordBatch.from_arrays(
-                    [fila.field(j).slice(i, 1) for j in range(4)]
-                    + [pa.array([c.cortes(t)], pa.list_(pa.int32()))], ["doc_id", "clave", "k", "t", "cortes"])
+            piezas = [c.patron.findall(t) for t in fila.field(4).to_pylist()]
+            c.aprender(piezas)
+            columnas = [[] for _ in range(5)]
+            for x, k, fin in zip(piezas, fila.field(2).to_pylist(), fila.field(3).to_pylist()):
+                de_pieza = [c.memo.nuevas.get(p) or c.pieza(p) for p in x]
+                # boundaries: characters and ids before each pre-token, and at the end
+                lugar = np.cumsum([0, *map(len, x)])
+                n = np.cumsum([0, *[len(b) // 4 for b in de_pieza]])
+                fiables = lugar[: max(0, len(x) - DUDOSAS) + 1]
+                cab = np.flatnonzero(fiables <= solape) if k else []
+                cola = [] if fin else np.flatnonzero(fiables >= paso)
+                for col, v in zip(columnas, (np.frombuffer(b"".join(de_pieza), "<i4"), lugar[cab] if k else [],
+                                             n[cab] if k else [], [] if fin else lugar[cola] - paso,
+                                             [] if fin else n[cola])):
+                    col.append(np.asarray(v, np.int32))
+            yield pa.RecordBatch.from_arrays([*[fila.field(j) for j in range(3)], *map(_lista, columnas)],
+                                             tipo_trozo.names)
 
     def unir(lotes: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c = codificador(ruta, patron)
         for lote in lotes:
+            fila = lote.column(0)
             for i in range(lote.num_rows):
-                trozos = [(x["t"], x["cortes"]) for x in lote.column(0).field(1)[i].as_py()]
-                ids = c.ids(coser(trozos, c.cortes, paso))
-                veces = lote.column(0).field(2)[i].as_py()
-                for _ in range(veces):
-                    yield pa.RecordBatch.from_arrays(
-                        [lote.column(0).field(0).slice(i, 1), pa.array([ids], pa.list_(pa.int32()))],
-                        ["doc_id", "ids"])
-
+                x = fila.field(1).slice(i, 1).flatten()
+                campos = {n: x.field(n) for n in ("ids", "cab", "cab_n", "cola", "cola_n")}
+                ids = coser([{n: (v[r].values.to_numpy(zero_copy_only=False) if n == "ids" else v[r].as_py())
+                              for n, v in campos.items()} for r in range(len(x))])
+                lista = pa.nulls(1, pa.list_(pa.int32())) if ids is None else _lista([ids])
+                yield pa.RecordBatch.from_arrays([fila.field(0).slice(i, 1), fila.field(2).slice(i, 1), lista,
+                                                  fila.field(3).slice(i, 1)], ["doc_id", "clave", "ids", "veces"])
+
+    numeros = ArrayType(IntegerType())
+    tipo_trozo = StructType([StructField("doc_id", tipo_id), StructField("clave", StringType()), StructField("k", LongType()),
+                             *[StructField(n, numeros) for n in ("ids", "cab", "cab_n", "cola", "cola_n")]])
+    tipo_unido = StructType([StructField("doc_id", tipo_id), StructField("clave", StringType()),
+                             StructField("ids", numeros), StructField("veces", LongType())])
     breves = como_fila(f.filter(F.length("t") <= trozo)).mapInArrow(cortos, salida)
-    largos = (f.filter(F.length("t") > trozo).withColumn("clave", F.sha2(F.col("t").cast("binary"), 256))
-              .groupBy("doc_id", "clave").agg(F.max("t").alias("t"), F.count("*").alias("veces")))
-    trozos = (largos.select("doc_id", "clave", "t", F.explode(F.expr(
-        f"sequence(0L, CAST(ceil((length(t) - {trozo}) / {paso}) AS BIGINT))")).alias("k"))
-        .select("doc_id", "clave", "k", F.expr(f"substring(t, CAST(k * {paso} + 1 AS INT), {trozo})").alias("t"))
-        .repartition("clave", "k"))
-    tipo_trozo = StructType([
-        StructField("doc_id", tipo_id), StructField("clave", StringType()), StructField("k", LongType()),
-        StructField("t", StringType()), StructField("cortes", ArrayType(IntegerType()))])
-    cortados = como_fila(trozos).mapInArrow(pretokenizar, tipo_trozo)
-    cosidos = (cortados.groupBy("doc_id", "clave")
-               .agg(F.sort_array(F.collect_list(F.struct("k", "t", "cortes"))).alias("trozos")))
-    cuenta = largos.select(F.col("doc_id").alias("d"), F.col("clave").alias("c"), "veces")
-    cosidos = cosidos.join(cuenta, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("clave") == F.col("c")))
-    return breves.unionByName(como_fila(cosidos.select("doc_id", "trozos", "veces")).mapInArrow(unir, salida))
+    largos = f.filter(F.length("t") > trozo)
+    # equal rows have equal chunks: one of each stays, with a count, before a text's chunks meet
+    trozos = (como_fila(_en_trozos(largos, trozo, solape)).mapInArrow(por_trozos, tipo_trozo)
+              .groupBy("doc_id", "clave", "k")
+              .agg(*[F.first(n).alias(n) for n in tipo_trozo.names[3:]], F.count("*").alias("veces")))
+    juntos = trozos.groupBy("doc_id", "clave").agg(
+        F.sort_array(F.collect_list(F.struct("k", *tipo_trozo.names[3:]))).alias("trozos"), F.max("veces").alias("veces"))
+    cosidos, _ = Corte(docs.sparkSession, "bpe").guardar(
+        como_fila(juntos.select("doc_id", "trozos", "clave", "veces")).mapInArrow(unir, tipo_unido))
+    salen = breves.unionByName(cosidos.filter("ids IS NOT NULL").select(
+        "doc_id", "ids", F.explode(F.sequence(F.lit(1).cast("bigint"), "veces")).alias("vez")).drop("vez"))
+    enteros = cosidos.filter("ids IS NULL").select(F.col("doc_id").alias("d"), F.col("clave").alias("c"))
+    if enteros.isEmpty():
+        return salen
+    faltan = largos.join(enteros, F.col("doc_id").eqNullSafe(F.col("d"))
+                         & (F.sha2(F.col("t").cast("binary"), 256) == F.col("c")), "left_semi")
+    return salen.unionByName(como_fila(faltan).mapInArrow(cortos, salida))
+
+
+def _lista(x: list[np.ndarray]) -> pa.ListArray:
+    fin = np.cumsum([0, *map(len, x)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(fin), pa.array(np.concatenate(x) if x else np.zeros(0, np.int32), pa.int32()))
 
 
 def resumir(ids: DataFrame, ruta: str, patron: str) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256): decodes the ids and digests both sides."""
     tipo = StructType([ids.schema["doc_id"], StructField("n_tokens", LongType()),
                        StructField("ids_sha256", StringType()), StructField("decoded_sha256", StringType())])
+    sha = lambda a: pa.array([hashlib.sha256(x.as_buffer()).hexdigest() for x in a], pa.string())
 
     def resumen(lotes: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codificador(ruta, patron)
-        nombre = {i: str(i) for i in c.bytes_de}
         for lote in lotes:
             fila = lote.column(0)
-            a, b = [], []
-            for x in fila.field(1):
-                v = x.values.to_pylist()
-                a.append(hashlib.sha256(" ".join(map(nombre.__getitem__, v)).encode()).hexdigest())
-                b.append(hashlib.sha256(c.texto(v)).hexdigest())
-            yield pa.RecordBatch.from_arrays(
-                [fila.field(0), pc.list_value_length(fila.field(1)).cast(pa.int64()), pa.array(a), pa.array(b)],
-                tipo.names)
+            # a step is a bounded number of ids; a longer list is a step of its own
+            fin = np.cumsum(pc.list_value_length(fila.field(1)).to_numpy(zero_copy_only=False))
+            i = 0
+            while i < len(fin):
+                j = max(i + 1, int(np.searchsorted(fin, (fin[i - 1] if i else 0) + IDS_POR_PASO, "right")))
+                v = pa.ListArray.from_arrays(pa.array(np.append(fin[i - 1] if i else 0, fin[i:j])
+                                                      - (fin[i - 1] if i else 0), pa.int32()),
+                                             fila.field(1).slice(i, j - i).flatten())
+                dicho = pc.binary_join(pa.ListArray.from_arrays(v.offsets, v.values.cast(pa.string())), " ")
+                yield pa.RecordBatch.from_arrays(
+                    [fila.field(0).slice(i, j - i), pc.list_value_length(v).cast(pa.int64()), sha(dicho),
+                     sha(c.textos(v))], tipo.names)
+                i = j
 
     return como_fila(ids).mapInArrow(resumen, tipo)

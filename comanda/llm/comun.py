@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -144,14 +146,18 @@ def unir_repartido(grande: DataFrame, unica: DataFrame, clave: str, peso: str, t
 
 
 class Memoria:
-    """Remembers values of short texts in two halves: a full half becomes the old one, a hit there is kept."""
+    """Remembers values of short texts in two halves: a full half becomes the old one, a hit there is kept.
+    ``tope`` bounds the bytes of both halves, counting a Python object's own size for each entry."""
 
     LARGO = 48
+    #: Bytes of an entry besides its characters: text object, value object and dictionary slot.
+    COSTE = 220
 
     def __init__(self, tope: int):
         self.mitad = max(1, tope // 2)
         self.nuevas: dict = {}
         self.viejas: dict = {}
+        self.pesan = 0
 
     def get(self, t: str):
         v = self.nuevas.get(t)
@@ -161,9 +167,29 @@ class Memoria:
 
     def poner(self, t: str, v):
         if len(t) <= self.LARGO:
-            if len(self.nuevas) >= self.mitad:
+            if self.pesan >= self.mitad:
                 # the dict that callers hold stays the new half
                 self.viejas = dict(self.nuevas)
                 self.nuevas.clear()
+                self.pesan = 0
             self.nuevas[t] = v
+            self.pesan += self.COSTE + len(t) + (len(v) if isinstance(v, bytes) else 0)
         return v
+
+
+_guardado: dict = {}
+
+
+def por_trabajador(clave: tuple, hacer: Callable):
+    """One object per Python worker, kept over tasks with its memory of words.  A worker keeps one only: the object of
+    an earlier operator goes, and its memory with it, before another one is made."""
+    if clave not in _guardado:
+        if _guardado:
+            _guardado.clear()
+            gc.collect()
+            try:
+                ctypes.CDLL(None).malloc_trim(0)
+            except (OSError, AttributeError):  # a C library that cannot: the memory is reused instead
+                pass
+        _guardado[clave] = hacer()
+    return _guardado[clave]

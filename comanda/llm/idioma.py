@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from comanda.llm.comun import ES_PALABRA, Palabras, como_fila, cortar, minusculas, textos
+from comanda.llm.comun import ES_PALABRA, Palabras, como_fila, cortar, minusculas, por_trabajador, textos
 
 LARGO = 16
 SIN_IDIOMA = "und"
@@ -32,7 +32,7 @@ DOCUMENTOS = 300
 RUNS = 4000
 IDIOMAS = 64
 #: Runs whose labels a task remembers (as hash and one number a language), up to ``IDIOMAS`` languages.
-RECUERDA = 1_000_000
+RECUERDA = 500_000
 
 
 def _sig(x: np.ndarray) -> np.ndarray:
@@ -263,9 +263,6 @@ class Lector:
         return suma / np.maximum(letras, 1)[:, None]
 
 
-_lectores: dict[str, Lector] = {}
-
-
 def predecir(docs: DataFrame, red: Red, texto: str = "text") -> DataFrame:
     """``fila`` (the input row), ``idioma`` and ``puntos``, the pooled probability of that language.
 
@@ -279,10 +276,7 @@ def predecir(docs: DataFrame, red: Red, texto: str = "text") -> DataFrame:
     marca = uuid.uuid4().hex
 
     def paso(lotes: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if marca not in _lectores:
-            _lectores.clear()
-            _lectores[marca] = Lector(caja.value)
-        lector = _lectores[marca]
+        lector = por_trabajador(("lector", marca), lambda: Lector(caja.value))
         clases = np.array([*lector.red.clases, SIN_IDIOMA], object)
         for lote in (x for y in lotes for x in cortar(y, campo)):
             t = textos(lote, campo)

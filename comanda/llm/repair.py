@@ -18,15 +18,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from comanda.llm.comun import Memoria, como_fila, cortar, textos
+from comanda.llm.comun import Memoria, como_fila, cortar, por_trabajador, textos
 from comanda.plans.durable import Corte
 
 MAGIA = 0x31525052
 #: Ids of a block (a longer text is a block of its own) and the least count of a pair that becomes a rule.
 IDS_POR_BLOQUE = 1 << 20
 FRECUENCIA = 16
-#: Chunks between blanks whose ids a task remembers.
-RECUERDA = 600_000
+#: Bytes of chunks between blanks, and of half as many pre-tokens, whose ids a task remembers.
+RECUERDA = 96 << 20
 _BLANCOS = "\n\t\r\x0b\x0c"
 _LLANO = re.compile("[!-;=-~À-ÖØ-öø-ÿ]*")
 _PRETOKEN = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
@@ -196,14 +196,9 @@ class Tokens:
         return [b"".join(map(tabla.__getitem__, p)) for p in partes]
 
 
-_tokens: dict[str, Tokens] = {}
-
-
 def tokens(ruta: str) -> Tokens:
     """One per Python worker, so its memory lasts over tasks."""
-    if ruta not in _tokens:
-        _tokens[ruta] = Tokens(ruta)
-    return _tokens[ruta]
+    return por_trabajador(("tokens", ruta), lambda: Tokens(ruta))
 
 
 def escribir(docs: DataFrame, codificador: Callable[[], Tokens], id_doc: str = "doc_id", texto: str = "text",

@@ -15,14 +15,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import LongType, StructField, StructType
 
-from comanda.llm.comun import Memoria, como_fila, cortar, textos
+from comanda.llm.comun import Memoria, como_fila, cortar, por_trabajador, textos
 
 BLANCO = "▁"
 #: What an unknown character scores below the worst piece.
 CASTIGO = 10.0
 NADA = float("-inf")
 #: Words whose counts a task remembers.
-RECUERDA = 600_000
+RECUERDA = 64 << 20
 
 
 def vocabulario(ruta: str) -> list[tuple[str, float]]:
@@ -117,14 +117,9 @@ class Contador:
             piezas[fin] = piezas[fin - 1] + (len(c.encode()) if self.bytes else 0 if sigue else 1)
 
 
-_contadores: dict[str, Contador] = {}
-
-
 def contador(ruta: str) -> Contador:
     """One per Python worker, so its memory of words lasts over tasks."""
-    if ruta not in _contadores:
-        _contadores[ruta] = Contador(vocabulario(ruta))
-    return _contadores[ruta]
+    return por_trabajador(("contador", ruta), lambda: Contador(vocabulario(ruta)))
 
 
 def contar(docs: DataFrame, ruta: str, texto: str = "text") -> DataFrame:

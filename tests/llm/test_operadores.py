@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from comanda.llm import bpe, chat, descontaminacion, idioma, licencias, oraculo, reglas, repair, simhash, viterbi, warc
+from comanda.llm import bpe, chat, comun, descontaminacion, idioma, licencias, oraculo, reglas, repair, simhash, viterbi, warc
 from comanda.plans.durable import carpeta_compartida
 
 AZAR = random.Random(5)
@@ -424,14 +424,36 @@ def test_bpe(docs, vacia, trozo, solape):
         assert bpe.resumir(bpe.codificar(vacia, ruta, vocabularios.PATTERN), ruta, vocabularios.PATTERN).count() == 0
 
 
-def test_coser_sin_frontera():
-    c = bpe.codificador(vocabularios.path("byte_bpe_50k.tiktoken"), vocabularios.PATTERN)
-    for t in ("a" * 500, " " * 300 + "x", "ab " * 100 + "c" * 200 + " d", "\n \n" * 70, "'s" * 90):
-        for trozo, solape in ((20, 5), (64, 1), (50, 49)):
-            paso = trozo - solape
-            n = max(0, -(-(len(t) - trozo) // paso)) + 1
-            partes = [t[k * paso: k * paso + trozo] for k in range(n)]
-            assert list(bpe.coser([(x, c.cortes(x)) for x in partes], c.cortes, paso)) == c.patron.findall(t)
+def test_coser(spark):
+    """Chunks of all sizes; texts in which neighbours share no boundary are encoded whole."""
+    ruta = vocabularios.path("byte_bpe_50k.tiktoken")
+    c = bpe.codificador(ruta, vocabularios.PATTERN)
+    textos = ["a" * 500, " " * 300 + "x", "ab " * 100 + "c" * 200 + " d", "\n \n" * 70, "'s" * 90, "it's we'll o'l " * 40,
+              "'re'" * 60, "x  y   z\n\n " * 50, "12 345 6789" * 30, "é世🙂 " * 80] + [prosa(120) for _ in range(3)]
+    d = spark.createDataFrame(list(enumerate(textos)), "doc_id bigint, text string")
+    for trozo, solape in ((20, 5), (64, 1), (50, 25), (100, 30)):
+        espera = {i: c.ids(c.patron.findall(t)).tolist() for i, t in enumerate(textos)}
+        r = bpe.codificar(d, ruta, vocabularios.PATTERN, trozo=trozo, solape=solape).collect()
+        assert len(r) == len(textos) and {x.doc_id: list(x.ids) for x in r} == espera
+
+
+def test_trozos_al_alcance(spark):
+    """Chunks are no rare case: of the test texts one in twenty-five has several, with almost a quarter of the text."""
+    t = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select(F.length("text").alias("n"))
+    r = t.agg(F.avg((F.col("n") > bpe.TROZO).cast("double")), F.sum(F.when(F.col("n") > bpe.TROZO, F.col("n"))) / F.sum("n")).first()
+    assert r[0] > 0.04 and r[1] > 0.2
+
+
+def test_un_objeto_por_trabajador():
+    """Another operator's object takes the place of the one before; the memory of words is bounded by bytes."""
+    comun._guardado.clear()
+    a = comun.por_trabajador(("a",), list)
+    assert comun.por_trabajador(("a",), list) is a and comun.por_trabajador(("b",), dict) == {}
+    assert list(comun._guardado) == [("b",)]
+    m = comun.Memoria(100_000)
+    for i in range(5000):
+        m.poner(f"w{i}", b"x" * 8)
+    assert len(m.nuevas) + len(m.viejas) <= 100_000 // m.COSTE + 2 and m.get("w4999") == b"x" * 8
 
 
 def test_chat(spark):
