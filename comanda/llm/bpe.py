@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
@@ -34,6 +34,7 @@ DUDOSAS = 2
 #: Bytes of pre-tokens whose ids a task remembers.
 RECUERDA = 64 << 20
 NUNCA = 1 << 40
+PARTES = ("ids", "cab", "cab_n", "cola", "cola_n")
 #: Ids that are decoded at once.
 IDS_POR_PASO = 1 << 20
 
@@ -48,8 +49,6 @@ class Codificador:
 
     def __init__(self, ruta: str, patron: str):
         self.rangos = leer_rangos(ruta)
-        de = {i: b for b, i in self.rangos.items()}
-        self.bytes_de = pa.array([de.get(i) for i in range(max(de, default=-1) + 1)], pa.binary())
         self.patron = regex.compile(patron)
         self.memo = Memoria(RECUERDA)
         # every pair of tokens that merges, as one number, and the token it makes, whose id is its rank
@@ -144,8 +143,29 @@ class Codificador:
         m = self.memo.nuevas
         return np.frombuffer(b"".join([m.get(p) or self.pieza(p) for p in piezas]), "<i4")
 
+    def trozo(self, piezas: list[str], k: int, fin: bool, paso: int, solape: int) -> dict[str, np.ndarray]:
+        """Ids of a chunk and its boundaries in both overlaps, see ``coser``."""
+        m = self.memo.nuevas
+        de_pieza = [m.get(p) or self.pieza(p) for p in piezas]
+        # boundaries: characters and ids before each pre-token
+        lugar = np.cumsum([0, *map(len, piezas)], dtype=np.int32)
+        n = np.cumsum([0, *[len(b) // 4 for b in de_pieza]], dtype=np.int32)
+        fiables = lugar[: max(0, len(piezas) - DUDOSAS) + 1]
+        cab = np.flatnonzero(fiables <= solape) if k else np.zeros(0, np.int64)
+        cola = np.zeros(0, np.int64) if fin else np.flatnonzero(fiables >= paso)
+        return {"ids": np.frombuffer(b"".join(de_pieza), "<i4"), "cab": lugar[cab], "cab_n": n[cab],
+                "cola": lugar[cola] - paso, "cola_n": n[cola]}
+
+
+class Tabla:
+    """Bytes of each token by its id."""
+
+    def __init__(self, ruta: str):
+        de = {i: b for b, i in leer_rangos(ruta).items()}
+        self.bytes_de = pa.array([de.get(i) for i in range(max(de, default=-1) + 1)], pa.binary())
+
     def textos(self, ids: pa.ListArray) -> pa.Array:
-        """Bytes of each list of ids, joined from a table of the tokens' bytes."""
+        """Bytes of each list of ids."""
         return pc.binary_join(pa.ListArray.from_arrays(ids.offsets, self.bytes_de.take(ids.values)), pa.scalar(b""))
 
 
@@ -162,30 +182,27 @@ def coser(trozos: list[dict]) -> np.ndarray | None:
     letters longer than the overlap."""
     partes, desde = [], 0
     for a, b in zip(trozos, trozos[1:]):
-        suyas = dict(zip(b["cab"], b["cab_n"]))
-        comun = next(((n, suyas[x]) for x, n in zip(a["cola"], a["cola_n"]) if x in suyas and n >= desde), None)
-        if comun is None:
+        _, i, j = np.intersect1d(a["cola"], b["cab"], assume_unique=True, return_indices=True)
+        if not len(i):
             return None
-        partes.append(a["ids"][desde: comun[0]])
-        desde = comun[1]
+        partes.append(a["ids"][desde: int(a["cola_n"][i[0]])])
+        desde = int(b["cab_n"][j[0]])
     return np.concatenate([*partes, trozos[-1]["ids"][desde:]])
 
 
+def _ultimo(trozo: int, solape: int) -> Column:
+    """Number of the last chunk of the text ``t``, from 0."""
+    return F.greatest(F.lit(0), F.ceil((F.length("t") - trozo) / (trozo - solape))).cast("bigint")
+
+
 def _en_trozos(f: DataFrame, trozo: int, solape: int) -> DataFrame:
-    """(doc_id, clave, k, fin, t): overlapping chunks of the texts ``f(doc_id, t)``.  Stretches are cut first, so that
-    no chunk is searched for from the start of a very long text."""
+    """The rows ``f(..., ultimo, j, t)`` with ``t`` cut into the chunks of stretch ``j``: adds ``k``, ``fin``."""
     paso = trozo - solape
-    tramo = TROZOS_POR_TRAMO * paso
-    n = F.ceil((F.length("t") - trozo) / paso).cast("bigint")
-    tramos = (f.select("doc_id", F.sha2(F.col("t").cast("binary"), 256).alias("clave"), n.alias("ultimo"), "t")
-              .withColumn("j", F.explode(F.sequence(F.lit(0), F.floor(F.col("ultimo") / TROZOS_POR_TRAMO))))
-              .withColumn("t", F.expr(f"substring(t, CAST(j * {tramo} + 1 AS INT), {tramo + solape})")))
-    largo = F.col("ultimo") >= TROZOS_POR_TRAMO
-    tramos = tramos.filter(~largo).unionByName(tramos.filter(largo).repartition("clave", "j"))
-    return (tramos.withColumn("i", F.explode(F.sequence(F.lit(0), F.least(
+    k = F.col("j") * TROZOS_POR_TRAMO + F.col("i")
+    resto = [c for c in f.columns if c not in ("ultimo", "j", "t")]
+    return (f.withColumn("i", F.explode(F.sequence(F.lit(0), F.least(
                 F.lit(TROZOS_POR_TRAMO - 1), F.col("ultimo") - F.col("j") * TROZOS_POR_TRAMO))))
-            .select("doc_id", "clave", (F.col("j") * TROZOS_POR_TRAMO + F.col("i")).alias("k"),
-                    (F.col("j") * TROZOS_POR_TRAMO + F.col("i") == F.col("ultimo")).alias("fin"),
+            .select(*resto, k.alias("k"), (k == F.col("ultimo")).alias("fin"),
                     F.expr(f"substring(t, CAST(i * {paso} + 1 AS INT), {trozo})").alias("t")))
 
 
@@ -193,24 +210,40 @@ def codificar(docs: DataFrame, ruta: str, patron: str, id_doc: str = "doc_id", t
               trozo: int = TROZO, solape: int = SOLAPE) -> DataFrame:
     """(doc_id, ids): one row per input row, the ids of its whole text.
 
-    A text of one chunk is encoded where it is read.  A longer one is cut into overlapping chunks; each is encoded on
-    its own, and only ids are gathered by text to be stitched: the group is one text, and equal texts with one id are
-    one group with a count.  A text whose chunks cannot be stitched is encoded whole.  Null or empty text has no ids.
+    Every text is cut into overlapping chunks, each of which is encoded on its own.  The chunks of a text of one stretch
+    are cut, encoded and stitched in the task that reads the text.  The stretches of a longer one are dealt out to all
+    tasks; only their chunks' ids are gathered by text to be stitched: the group is one text, and equal texts with one
+    id are one group with a count.  A text whose chunks cannot be stitched is encoded whole.  Null or empty text has no
+    ids.
     """
     if not 0 < 2 * solape <= trozo:
         raise ValueError("chunks must overlap by half at most")
     paso = trozo - solape
     tipo_id = docs.schema[id_doc].dataType
     salida = StructType([StructField("doc_id", tipo_id), StructField("ids", ArrayType(IntegerType()))])
-    f = docs.select(F.col(id_doc).alias("doc_id"), F.coalesce(F.col(texto), F.lit("")).alias("t"))
+    f = docs.select(F.col(id_doc).alias("doc_id"), F.coalesce(F.col(texto), F.lit("")).alias("t")).withColumn(
+        "ultimo", _ultimo(trozo, solape))
 
-    def cortos(lotes: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c = codificador(ruta, patron)
-        for lote in (x for y in lotes for x in cortar(y, 1)):
+    def en_su_tarea(lotes: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # the chunks of a text follow each other; a text may go on in the next batch
+        c, hechos, leidos = codificador(ruta, patron), [], []
+        for lote in (x for y in lotes for x in cortar(y, 3)):
             fila = lote.column(0)
-            piezas = [c.patron.findall(t) for t in fila.field(1).to_pylist()]
+            t, fin = fila.field(3).to_pylist(), fila.field(2).to_pylist()
+            piezas = [c.patron.findall(x) for x in t]
             c.aprender(piezas)
-            yield pa.RecordBatch.from_arrays([fila.field(0), _lista([c.ids(x) for x in piezas])], ["doc_id", "ids"])
+            ids = []
+            for x, p, z in zip(t, piezas, fin):
+                if z and not hechos:
+                    ids.append(c.ids(p))
+                    continue
+                hechos.append(c.trozo(p, len(hechos), z, paso, solape))
+                leidos.append(x if len(hechos) == 1 else x[solape:])
+                if z:
+                    cosido = coser(hechos)
+                    ids.append(c.ids(c.patron.findall("".join(leidos))) if cosido is None else cosido)
+                    hechos, leidos = [], []
+            yield pa.RecordBatch.from_arrays([fila.field(0).filter(fila.field(2)), _lista(ids)], ["doc_id", "ids"])
 
     def por_trozos(lotes: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codificador(ruta, patron)
@@ -218,57 +251,60 @@ def codificar(docs: DataFrame, ruta: str, patron: str, id_doc: str = "doc_id", t
             fila = lote.column(0)
             piezas = [c.patron.findall(t) for t in fila.field(4).to_pylist()]
             c.aprender(piezas)
-            columnas = [[] for _ in range(5)]
-            for x, k, fin in zip(piezas, fila.field(2).to_pylist(), fila.field(3).to_pylist()):
-                de_pieza = [c.memo.nuevas.get(p) or c.pieza(p) for p in x]
-                # boundaries: characters and ids before each pre-token, and at the end
-                lugar = np.cumsum([0, *map(len, x)])
-                n = np.cumsum([0, *[len(b) // 4 for b in de_pieza]])
-                fiables = lugar[: max(0, len(x) - DUDOSAS) + 1]
-                cab = np.flatnonzero(fiables <= solape) if k else []
-                cola = [] if fin else np.flatnonzero(fiables >= paso)
-                for col, v in zip(columnas, (np.frombuffer(b"".join(de_pieza), "<i4"), lugar[cab] if k else [],
-                                             n[cab] if k else [], [] if fin else lugar[cola] - paso,
-                                             [] if fin else n[cola])):
-                    col.append(np.asarray(v, np.int32))
-            yield pa.RecordBatch.from_arrays([*[fila.field(j) for j in range(3)], *map(_lista, columnas)],
-                                             tipo_trozo.names)
+            hechos = [c.trozo(x, k, z, paso, solape) for x, k, z in
+                      zip(piezas, fila.field(2).to_pylist(), fila.field(3).to_pylist())]
+            yield pa.RecordBatch.from_arrays([*[fila.field(j) for j in range(3)],
+                                              *[_lista([h[n] for h in hechos]) for n in PARTES]], tipo_trozo.names)
 
     def unir(lotes: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lote in lotes:
             fila = lote.column(0)
             for i in range(lote.num_rows):
                 x = fila.field(1).slice(i, 1).flatten()
-                campos = {n: x.field(n) for n in ("ids", "cab", "cab_n", "cola", "cola_n")}
-                ids = coser([{n: (v[r].values.to_numpy(zero_copy_only=False) if n == "ids" else v[r].as_py())
-                              for n, v in campos.items()} for r in range(len(x))])
+                ids = coser([{n: x.field(n)[r].values.to_numpy(zero_copy_only=False) for n in PARTES}
+                             for r in range(len(x))])
                 lista = pa.nulls(1, pa.list_(pa.int32())) if ids is None else _lista([ids])
                 yield pa.RecordBatch.from_arrays([fila.field(0).slice(i, 1), fila.field(2).slice(i, 1), lista,
                                                   fila.field(3).slice(i, 1)], ["doc_id", "clave", "ids", "veces"])
 
+    def entero(lotes: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        c = codificador(ruta, patron)
+        for lote in (x for y in lotes for x in cortar(y, 1)):
+            fila = lote.column(0)
+            yield pa.RecordBatch.from_arrays(
+                [fila.field(0), _lista([c.ids(c.patron.findall(t)) for t in fila.field(1).to_pylist()])], ["doc_id", "ids"])
+
+    breves = f.filter(F.col("ultimo") < TROZOS_POR_TRAMO).withColumn("j", F.lit(0).cast("bigint"))
+    salen = como_fila(_en_trozos(breves, trozo, solape)).mapInArrow(en_su_tarea, salida)
+    largos = f.filter(F.col("ultimo") >= TROZOS_POR_TRAMO)
+    if largos.isEmpty():
+        return salen
+
     numeros = ArrayType(IntegerType())
     tipo_trozo = StructType([StructField("doc_id", tipo_id), StructField("clave", StringType()), StructField("k", LongType()),
-                             *[StructField(n, numeros) for n in ("ids", "cab", "cab_n", "cola", "cola_n")]])
+                             *[StructField(n, numeros) for n in PARTES]])
     tipo_unido = StructType([StructField("doc_id", tipo_id), StructField("clave", StringType()),
                              StructField("ids", numeros), StructField("veces", LongType())])
-    breves = como_fila(f.filter(F.length("t") <= trozo)).mapInArrow(cortos, salida)
-    largos = f.filter(F.length("t") > trozo)
+    tramo = TROZOS_POR_TRAMO * paso
+    clave = F.sha2(F.col("t").cast("binary"), 256)
+    tramos = (largos.select("doc_id", clave.alias("clave"), "ultimo", "t")
+              .withColumn("j", F.explode(F.sequence(F.lit(0), F.floor(F.col("ultimo") / TROZOS_POR_TRAMO))))
+              .withColumn("t", F.expr(f"substring(t, CAST(j * {tramo} + 1 AS INT), {tramo + solape})"))
+              .repartition("clave", "j"))
     # equal rows have equal chunks: one of each stays, with a count, before a text's chunks meet
-    trozos = (como_fila(_en_trozos(largos, trozo, solape)).mapInArrow(por_trozos, tipo_trozo)
-              .groupBy("doc_id", "clave", "k")
-              .agg(*[F.first(n).alias(n) for n in tipo_trozo.names[3:]], F.count("*").alias("veces")))
+    trozos = (como_fila(_en_trozos(tramos, trozo, solape)).mapInArrow(por_trozos, tipo_trozo)
+              .groupBy("doc_id", "clave", "k").agg(*[F.first(n).alias(n) for n in PARTES], F.count("*").alias("veces")))
     juntos = trozos.groupBy("doc_id", "clave").agg(
-        F.sort_array(F.collect_list(F.struct("k", *tipo_trozo.names[3:]))).alias("trozos"), F.max("veces").alias("veces"))
+        F.sort_array(F.collect_list(F.struct("k", *PARTES))).alias("trozos"), F.max("veces").alias("veces"))
     cosidos, _ = Corte(docs.sparkSession, "bpe").guardar(
         como_fila(juntos.select("doc_id", "trozos", "clave", "veces")).mapInArrow(unir, tipo_unido))
-    salen = breves.unionByName(cosidos.filter("ids IS NOT NULL").select(
+    salen = salen.unionByName(cosidos.filter("ids IS NOT NULL").select(
         "doc_id", "ids", F.explode(F.sequence(F.lit(1).cast("bigint"), "veces")).alias("vez")).drop("vez"))
-    enteros = cosidos.filter("ids IS NULL").select(F.col("doc_id").alias("d"), F.col("clave").alias("c"))
-    if enteros.isEmpty():
+    sueltos = cosidos.filter("ids IS NULL").select(F.col("doc_id").alias("d"), F.col("clave").alias("c"))
+    if sueltos.isEmpty():
         return salen
-    faltan = largos.join(enteros, F.col("doc_id").eqNullSafe(F.col("d"))
-                         & (F.sha2(F.col("t").cast("binary"), 256) == F.col("c")), "left_semi")
-    return salen.unionByName(como_fila(faltan).mapInArrow(cortos, salida))
+    faltan = largos.join(sueltos, F.col("doc_id").eqNullSafe(F.col("d")) & (clave == F.col("c")), "left_semi")
+    return salen.unionByName(como_fila(faltan.select("doc_id", "t")).mapInArrow(entero, salida))
 
 
 def _lista(x: list[np.ndarray]) -> pa.ListArray:
@@ -276,14 +312,14 @@ def _lista(x: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(fin), pa.array(np.concatenate(x) if x else np.zeros(0, np.int32), pa.int32()))
 
 
-def resumir(ids: DataFrame, ruta: str, patron: str) -> DataFrame:
+def resumir(ids: DataFrame, ruta: str) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256): decodes the ids and digests both sides."""
     tipo = StructType([ids.schema["doc_id"], StructField("n_tokens", LongType()),
                        StructField("ids_sha256", StringType()), StructField("decoded_sha256", StringType())])
     sha = lambda a: pa.array([hashlib.sha256(x.as_buffer()).hexdigest() for x in a], pa.string())
 
     def resumen(lotes: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c = codificador(ruta, patron)
+        tabla = por_trabajador(("tabla", ruta), lambda: Tabla(ruta))
         for lote in lotes:
             fila = lote.column(0)
             # a step is a bounded number of ids; a longer list is a step of its own
@@ -297,7 +333,7 @@ def resumir(ids: DataFrame, ruta: str, patron: str) -> DataFrame:
                 dicho = pc.binary_join(pa.ListArray.from_arrays(v.offsets, v.values.cast(pa.string())), " ")
                 yield pa.RecordBatch.from_arrays(
                     [fila.field(0).slice(i, j - i), pc.list_value_length(v).cast(pa.int64()), sha(dicho),
-                     sha(c.textos(v))], tipo.names)
+                     sha(tabla.textos(v))], tipo.names)
                 i = j
 
     return como_fila(ids).mapInArrow(resumen, tipo)

@@ -73,7 +73,7 @@ def op7_conteo(spark: SparkSession, sf: str) -> DataFrame:
 
 def op8_bpe(spark: SparkSession, sf: str) -> DataFrame:
     rangos, patron = vocabularios.path("byte_bpe_50k.tiktoken"), vocabularios.PATTERN
-    return bpe.resumir(bpe.codificar(leer(spark, sf, "documents"), rangos, patron), rangos, patron)
+    return bpe.resumir(bpe.codificar(leer(spark, sf, "documents"), rangos, patron), rangos)
 
 
 def op9_chat(spark: SparkSession, sf: str) -> DataFrame:

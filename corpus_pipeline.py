@@ -52,7 +52,7 @@ def sin_pruebas(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Byte-level BPE of every text, decoded again: doc_id, n_tokens, ids_sha256, decoded_sha256."""
     rangos, patron = vocabularios.path("byte_bpe_50k.tiktoken"), vocabularios.PATTERN
-    return bpe.resumir(bpe.codificar(docs, rangos, patron), rangos, patron)
+    return bpe.resumir(bpe.codificar(docs, rangos, patron), rangos)
 
 
 STAGES = [("calidad", calidad), ("lengua", lengua), ("sin_copias", sin_copias), ("sin_pruebas", sin_pruebas),

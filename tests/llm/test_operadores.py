@@ -409,7 +409,7 @@ def test_conteo(docs, vacia):
     assert n[0, None] == 0 and n[1, ""] == 0 and viterbi.contar(vacia, ruta).count() == 0
 
 
-@pytest.mark.parametrize("trozo, solape", [(1 << 16, 1 << 10), (300, 40), (8, 1)])
+@pytest.mark.parametrize("trozo, solape", [(1 << 13, 1 << 9), (300, 40), (8, 1)])
 def test_bpe(docs, vacia, trozo, solape):
     import tiktoken
     ruta = vocabularios.path("byte_bpe_50k.tiktoken")
@@ -419,13 +419,15 @@ def test_bpe(docs, vacia, trozo, solape):
     hay = [(r.doc_id, r.text) for r in d.collect()]
     assert sorted((repr(r.doc_id), list(r.ids)) for r in got) == sorted((repr(i), lib.encode_ordinary(t or "")) for i, t in hay)
     if trozo > 300:
-        r = bpe.resumir(bpe.codificar(docs, ruta, vocabularios.PATTERN), ruta, vocabularios.PATTERN).collect()
+        r = bpe.resumir(bpe.codificar(docs, ruta, vocabularios.PATTERN), ruta).collect()
         assert sorted(x.decoded_sha256 for x in r) == sorted(hashlib.sha256((t or "").encode()).hexdigest() for _, t, _ in FILAS)
-        assert bpe.resumir(bpe.codificar(vacia, ruta, vocabularios.PATTERN), ruta, vocabularios.PATTERN).count() == 0
+        assert bpe.resumir(bpe.codificar(vacia, ruta, vocabularios.PATTERN), ruta).count() == 0
 
 
-def test_coser(spark):
-    """Chunks of all sizes; texts in which neighbours share no boundary are encoded whole."""
+@pytest.mark.parametrize("por_tramo", [128, 3])
+def test_coser(spark, por_tramo, monkeypatch):
+    """Chunks of all sizes, in one task and dealt out; texts in which neighbours share no boundary are encoded whole."""
+    monkeypatch.setattr(bpe, "TROZOS_POR_TRAMO", por_tramo)
     ruta = vocabularios.path("byte_bpe_50k.tiktoken")
     c = bpe.codificador(ruta, vocabularios.PATTERN)
     textos = ["a" * 500, " " * 300 + "x", "ab " * 100 + "c" * 200 + " d", "\n \n" * 70, "'s" * 90, "it's we'll o'l " * 40,
