@@ -1,8 +1,10 @@
 """Jaccard similarity of entities that share items (users by products, products by orders).
 
-An exact set-similarity join.  Only the rarest items of a set generate candidates (the prefix
-filter of Bayardo et al., WWW 2007): with threshold t, two sets of size n and m that reach it
-must share an item among the n - ceil(t n) + 1 rarest of one and of the other.  Entities with
+An exact set-similarity join.  All sets are sorted by one order of the items, rarest first, and every item knows its
+place in its set.  Two sets of n and m items that reach a threshold t share at least a = t (n + m) / (1 + t) items, hence
+at least l of them among the first n - a + l of one and m - a + l of the other, for every l up to a (the prefix filter
+of Bayardo et al., WWW 2007, extended as in AdaptJoin, Wang et al., SIGMOD 2012).  Sizes and places bound what a pair can
+still share: when a shared item pairs two sets, and again when a pair's shared items are counted.  Entities with
 identical sets are one profile with a member count, so a large group of copies is one row.
 """
 
@@ -10,7 +12,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from comanda.functions.expr import cociente
@@ -47,51 +50,86 @@ def similitud(conjuntos: DataFrame, umbral: float) -> Similitud:
     return Similitud(miembros, perfiles, aristas)
 
 
+#: Extensions of the prefix that are weighed, and by how much the longest one taken may add to the rows paired.
+EXTENSIONES = (1, 2, 4, 8)
+HOLGURA = 1.25
+
+
+def _con_lugar(s: DataFrame, corte: Corte) -> DataFrame:
+    """Adds ``lugar``, the place of each item in its set, from 0, rarest first, to ``s(perfil, item, n, f)``.
+
+    Rows are dealt out by ranges of set, frequency and item, so that a set with very many items is many ranges; its
+    places go on from one range to the next by counts of one row per set and range.
+    """
+    orden = ["perfil", "f", "item"]
+    t, _ = corte.guardar(s.repartitionByRange(*orden).sortWithinPartitions(*orden)
+                         .withColumn("_m", F.monotonically_increasing_id()))
+    rango = F.shiftright("_m", 33)
+    cuentas = t.groupBy("perfil", rango.alias("_r")).agg(F.min("_m").alias("_desde"), F.count("*").alias("_c"))
+    antes = W.partitionBy("perfil").orderBy("_r").rowsBetween(W.unboundedPreceding, -1)
+    inicios = cuentas.withColumn("_a", F.coalesce(F.sum("_c").over(antes), F.lit(0))).drop("_c")
+    # items that nobody shares are rarest of all: they come first and are already gone from s
+    vistos = cuentas.groupBy("perfil").agg(F.sum("_c").alias("_v"))
+    inicios = inicios.join(vistos, "perfil")
+    return (t.withColumn("_r", rango).join(inicios, ["perfil", "_r"])
+            .select("perfil", "item", "n", (F.col("_m") - F.col("_desde") + F.col("_a") + F.col("n") - F.col("_v"))
+                    .alias("lugar")))
+
+
+def _prefijo(t: float, l: int, n: str = "n") -> Column:
+    return F.least(F.col(n), F.col(n) - F.ceil(F.lit(t) * F.col(n) - F.lit(1e-9)) + l)
+
+
+def _extension(s: DataFrame, t: float) -> int:
+    """The longest extension whose pairings are at most ``HOLGURA`` times those of the shortest prefix: where nearly the
+    whole set is prefix anyway, a longer one costs little and leaves nothing to verify."""
+    en = s.groupBy("item").agg(*[F.count(F.when(F.col("lugar") < _prefijo(t, l), 1)).alias(f"l{l}") for l in EXTENSIONES])
+    filas = en.agg(*[F.sum(F.col(f"l{l}").cast("double") * (F.col(f"l{l}") - 1)).alias(f"l{l}") for l in EXTENSIONES]).first()
+    corto = filas[f"l{EXTENSIONES[0]}"] or 0
+    return max(l for l in EXTENSIONES if (filas[f"l{l}"] or 0) <= HOLGURA * corto)
+
+
+def _minimo(t: float, na: str, nb: str) -> Column:
+    """Least number of shared items with which sets of these sizes can reach t, to rounding."""
+    return F.ceil(F.lit(t / (1 + t)) * (F.col(na) + F.col(nb)) - F.lit(1e-9))
+
+
+def candidatos(sets: DataFrame, t: float, corte: Corte) -> tuple[DataFrame, DataFrame]:
+    """Pairs of ``sets(perfil, item, n)`` that may reach t: (a, b, na, nb, pp, la, lb, quedan), where ``pp`` items are
+    shared within both prefixes, the last one at ``la`` and ``lb``, and at most ``quedan`` more behind them; and the
+    sets' items with their places."""
+    frecuencia = sets.groupBy("item").agg(F.count("*").alias("f"))
+    s, _ = corte.guardar(_con_lugar(sets.join(frecuencia.filter("f > 1"), "item"), corte))
+    l = _extension(s, t)
+    prefijos = s.filter(F.col("lugar") < _prefijo(t, l))
+    pares = pares_en_grupo(prefijos, ["item"], "perfil", ["n", "lugar"])
+    i, j, na, nb = (F.col(c) for c in ("lugar_menor", "lugar_mayor", "n_menor", "n_mayor"))
+    # before this item at most as many are shared as stand before it, behind it as many as are left
+    pares = (pares.filter(F.least(na, nb) >= F.lit(t) * F.greatest(na, nb) - F.lit(1e-9))
+             .filter(F.least(i, j) + F.least(na - i, nb - j) >= _minimo(t, "n_menor", "n_mayor")))
+    c = (pares.groupBy(F.col("menor").alias("a"), F.col("mayor").alias("b"), na.alias("na"), nb.alias("nb"))
+         .agg(F.count("*").alias("pp"), F.max("lugar_menor").alias("la"), F.max("lugar_mayor").alias("lb")))
+    fuera = lambda n: F.col(n) - _prefijo(t, l, n)
+    quedan = F.least(F.col("na") - 1 - F.col("la"), F.col("nb") - 1 - F.col("lb"), fuera("na") + fuera("nb"))
+    minimo = _minimo(t, "na", "nb")
+    return (c.filter(F.col("pp") >= F.least(F.lit(l), minimo)).withColumn("quedan", quedan)
+            .filter(F.col("pp") + F.col("quedan") >= minimo), s)
+
+
 def _pares(sets: DataFrame, t: float, corte: Corte) -> DataFrame:
     """Pairs of ``sets(perfil, item, n)`` with Jaccard >= t and their shared item count."""
-    frecuencia = sets.groupBy("item").agg(F.count("*").alias("f"))
-    s, _ = corte.guardar(sets.join(frecuencia.filter("f > 1"), "item"))
-    # Items that nobody shares are rarest of all; they count as prefix and are already gone from s.
-    ocultos = F.col("n") - F.col("visibles")
-    faltan = F.col("n") - F.ceil(F.lit(t) * F.col("n")) + 1 - ocultos
-    por_perfil = (s.groupBy("perfil", "n")
-                  .agg(F.count("*").alias("visibles"),
-                       F.percentile_approx("f", F.array(*[F.lit(i / 20) for i in range(1, 21)]), F.lit(10000))
-                       .alias("q")))
-    # smallest frequency quantile that surely holds the prefix (1 of 10000 is the sketch's error)
-    fraccion = (faltan + 1) / F.col("visibles") + 0.0002
-    indice = F.least(F.lit(20), F.greatest(F.lit(1), F.ceil(fraccion * 20))).cast("int")
-    tope = por_perfil.select("perfil", F.when(indice >= 20, F.lit(None)).otherwise(
-        F.element_at("q", indice)).alias("tope"))
-    marcados, _ = corte.guardar(
-        s.join(tope, "perfil").withColumn("prefijo", F.col("tope").isNull() | (F.col("f") <= F.col("tope")))
-        .select("perfil", "item", "n", "prefijo"))
-
-    prefijos, sufijos = marcados.filter("prefijo"), marcados.filter("NOT prefijo")
-    n_suf = sufijos.groupBy("perfil").agg(F.count("*").alias("suf"))
-    candidatos = (pares_en_grupo(prefijos, ["item"], "perfil", ["n"])
-                  .groupBy(F.col("menor").alias("a"), F.col("mayor").alias("b"), F.col("n_menor").alias("na"),
-                           F.col("n_mayor").alias("nb"))
-                  .agg(F.count("*").alias("pp"))
-                  .filter(F.least("na", "nb") >= F.lit(t) * F.greatest("na", "nb")))
-    for lado in ("a", "b"):
-        candidatos = candidatos.join(n_suf.select(F.col("perfil").alias(lado), F.col("suf").alias(f"suf_{lado}")),
-                                     lado, "left")
-    resto = F.coalesce("suf_a", F.lit(0)) + F.coalesce("suf_b", F.lit(0))
-    # most the pair can share: the prefix matches plus everything outside the prefixes
-    maximo = F.least(F.col("pp") + resto, "na", "nb")
-    candidatos, _ = corte.guardar(candidatos.filter(_score(maximo) >= t)
-                                  .select("a", "b", "na", "nb", "pp", (resto > 0).alias("con_resto")))
-    # items in the suffix of a, and items in the prefix of a that are in the suffix of b
-    pendientes = candidatos.filter("con_resto").select("a", "b")
-    todos = marcados.select(F.col("perfil").alias("b"), "item")
-    en_a = pendientes.join(sufijos.select(F.col("perfil").alias("a"), "item"), "a").join(todos, ["b", "item"])
-    en_b = (pendientes.join(sufijos.select(F.col("perfil").alias("b"), "item"), "b")
-            .join(prefijos.select(F.col("perfil").alias("a"), "item"), ["a", "item"]))
-    extra = (en_a.select("a", "b").unionByName(en_b.select("a", "b"))
+    c, s = candidatos(sets, t, corte)
+    c, _ = corte.guardar(c)
+    # what a pair shares behind its last shared prefix item, looked up from the side that has less left
+    por_a = F.col("na") - F.col("la") <= F.col("nb") - F.col("lb")
+    lado = lambda x, y: F.when(por_a, F.col(x)).otherwise(F.col(y))
+    faltan = c.filter("quedan > 0").select("a", "b", lado("a", "b").alias("perfil"), lado("b", "a").alias("otro"),
+                                           lado("la", "lb").alias("_ultimo"))
+    extra = (faltan.join(s.select("perfil", "item", "lugar"), "perfil").filter(F.col("lugar") > F.col("_ultimo"))
+             .join(s.select(F.col("perfil").alias("otro"), "item"), ["otro", "item"])
              .groupBy("a", "b").agg(F.count("*").alias("extra")))
     comunes = F.col("pp") + F.coalesce("extra", F.lit(0))
-    return (candidatos.join(extra, ["a", "b"], "left").withColumn("comunes", comunes)
+    return (c.join(extra, ["a", "b"], "left").withColumn("comunes", comunes)
             .withColumn("score", _score(F.col("comunes"))).filter(F.col("score") >= t)
             .select("a", "b", "comunes", "score"))
 

@@ -3,8 +3,10 @@ import random
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from comanda.operators import copurchase, similarity
+from comanda.plans.durable import Corte
 from comanda.plans.pares import pares_en_grupo
 from tests.conftest import filas
 
@@ -105,6 +107,39 @@ def test_similitud(spark, umbral):
     assert dict(filas(similarity.resumen_por_entidad(s), "entidad", "total")) == dict(total)
 
 
+def _compras(spark, sf):
+    o = spark.read.parquet(f"/root/testdata/{sf}/orders.parquet").selectExpr("o_orderkey AS k", "o_custkey AS perfil")
+    l = spark.read.parquet(f"/root/testdata/{sf}/lineitem.parquet").selectExpr("l_orderkey AS k", "l_partkey AS item")
+    return o.join(l, "k").select("perfil", "item").distinct()
+
+
+def test_candidatos_cerca_del_resultado(spark):
+    """Counting with places leaves few pairs to verify, even where the prefix is nearly the whole set."""
+    s = _compras(spark, "sf0.01")
+    s = s.join(s.groupBy("perfil").agg(F.count("*").alias("n")), "perfil")
+    corte = Corte(spark, "prueba")
+    cuantos = similarity.candidatos(s, 0.05, corte)[0].count()
+    assert 0 < cuantos <= 5 * similarity._pares(s, 0.05, corte).count()
+
+
+@pytest.mark.parametrize("rangos", [1, 7])
+def test_lugares(spark, rangos):
+    """Places in a set, also of one that holds a third of all rows and lies in several ranges."""
+    conj = {1: range(600), 2: range(0, 900, 3), 3: [5], 4: range(300, 1100)}
+    veces = Counter(i for c in conj.values() for i in c)
+    datos = [(p, i, len(c) + 10 * p, veces[i]) for p, c in conj.items() for i in c]
+    df = spark.createDataFrame(datos, "perfil long, item long, n long, f long").repartition(rangos)
+    spark.conf.set("spark.sql.shuffle.partitions", str(rangos))
+    try:
+        r = filas(similarity._con_lugar(df, Corte(spark, "prueba")), "perfil", "item", "lugar")
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    esperado = []
+    for p, c in conj.items():
+        esperado += [(p, i, k + 10 * p) for k, i in enumerate(sorted(c, key=lambda i: (veces[i], i)))]
+    assert r == sorted(esperado)
+
+
 def test_resumen_de_aristas(spark):
     e = spark.createDataFrame([(1, 2, 0.5, 3), (1, 3, 0.25, 1), (2, 1, 0.5, 3)],
                               "src long, dst long, score double, productos_comunes long")
