@@ -8,9 +8,11 @@ round improved, and write the labels to the shared folder.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from comanda.operators.grafo import simetrica
@@ -68,11 +70,12 @@ def _paso(desde: str) -> str:
 
 
 def etiquetas(origenes: DataFrame, aristas: DataFrame, por: str = "saltos", max_saltos: int | None = None,
-              pasos: int = PASOS, paso_sal: int = PASO_SAL) -> DataFrame:
+              pasos: int = PASOS, paso_sal: int = PASO_SAL, podar: Poda | None = None) -> DataFrame:
     """(origen, nodo, saltos, distancia, pred) for every node that an origin reaches.
 
     ``por='saltos'`` gives the path of fewest segments and, among those, fewest metres;
     ``por='distancia'`` the path of fewest metres.  Ties go to the smallest predecessor.
+    ``podar`` drops labels after each round that are on no best path to a target.
     """
     if por == "distancia" and max_saltos is not None:
         raise ValueError("a hop limit needs por='saltos'")
@@ -92,11 +95,12 @@ def etiquetas(origenes: DataFrame, aristas: DataFrame, por: str = "saltos", max_
         s = "SELECT * FROM {e} WHERE nuevo = 1"
         for _ in range(hasta):
             s = _paso(s)
-        mejores, _ = corte.avanzar(spark.sql(
+        siguen = spark.sql(
             f"""SELECT {_ETIQUETA} FROM (
                   SELECT origen, nodo, sales, min(struct(c1, c2, pred, nuevo)) AS l FROM (
                     SELECT origen, nodo, sales, c1, c2, pred, 0 AS nuevo FROM {{e}}
-                    UNION ALL SELECT * FROM ({s})) GROUP BY origen, nodo, sales)""", e=mejores, r=r))
+                    UNION ALL SELECT * FROM ({s})) GROUP BY origen, nodo, sales)""", e=mejores, r=r)
+        mejores, _ = corte.avanzar(siguen if podar is None else podar(siguen, mejores))
         n = mejores.filter("nuevo = 1").limit(1).count()
         hechos += hasta
     corte.cerrar()
@@ -104,6 +108,64 @@ def etiquetas(origenes: DataFrame, aristas: DataFrame, por: str = "saltos", max_
     return mejores.select("origen", "nodo", F.col(s).cast("int").alias("saltos"), F.col(m).alias("distancia"), "pred")
 
 
+#: Landmarks of a network.
+HITOS = 16
+#: Sums of the same lengths in another order differ by rounding.
+HOLGURA = 1e-9
+
+
+def hitos(aristas: DataFrame, cuantos: int = HITOS) -> DataFrame:
+    """(nodo, d0, d1, ...): the metres from each node to ``cuantos`` nodes spread evenly over the ids, null where no path
+    leads.  One search of the whole network from all of them."""
+    nodos = red(aristas).select("src").distinct()
+    partes = [k / max(1, cuantos - 1) for k in range(cuantos)]
+    elegidos = nodos.agg(F.percentile_approx("src", F.array(*map(F.lit, partes)), F.lit(10_000)).alias("l")).first()["l"]
+    ids = sorted(set(elegidos or []))
+    origenes = nodos.filter(F.col("src").isin(ids)).select(F.col("src").alias("origen"))
+    et = etiquetas(origenes, aristas, "distancia", pasos=10)
+    return et.groupBy("nodo").agg(*[F.max(F.when(F.col("origen") == i, F.col("distancia"))).alias(f"d{k}")
+                                    for k, i in enumerate(ids)])
+
+
+Poda = Callable[[DataFrame, DataFrame], DataFrame]
+
+
+def poda_por_hitos(pares: DataFrame, h: DataFrame) -> Poda:
+    """Drops labels that no target of their origin needs, by the triangle inequality over landmarks.
+
+    To any target t of an origin, the way from a node v is at least as long as the distances of v and t to a landmark
+    differ; the targets' distances to each landmark lie in an interval.  The way to the farthest target is at most as
+    long as the one over a landmark, or as the best label found at each target so far.  A label beyond that is on no
+    best path, ties included.  Origins with a target that no landmark reaches are not bounded.
+    """
+    corte = Corte(pares.sparkSession, "hitos")
+    h, _ = corte.guardar(h)
+    ds = [c for c in h.columns if c != "nodo"]
+    lado = lambda p, c: h.select(F.col("nodo").alias(c), *[F.col(d).alias(f"{p}{d}") for d in ds])
+    sin_fin = F.lit(float("inf"))
+    por_hito = F.least(*[F.col(f"o{d}") + F.col(f"t{d}") for d in ds], sin_fin) if ds else sin_fin
+    metas = (pares.select("origen", "destino").distinct().join(lado("o", "origen"), "origen", "left")
+             .join(lado("t", "destino"), "destino", "left")
+             .select("origen", "destino", por_hito.alias("tope"), *[f"t{d}" for d in ds]))
+    metas, _ = corte.guardar(metas)
+    # an interval counts only if all targets have a distance to its landmark
+    todos = lambda f, d: F.when(F.count(f"t{d}") == F.count("*"), f(f"t{d}"))
+    intervalos, _ = corte.guardar(metas.groupBy("origen").agg(*[todos(F.min, d).alias(f"a{d}") for d in ds],
+                                                              *[todos(F.max, d).alias(f"z{d}") for d in ds]))
+
+    def podar(siguen: DataFrame, antes: DataFrame) -> DataFrame:
+        halladas = antes.select("origen", F.col("nodo").alias("destino"), "c1")
+        radio = (metas.select("origen", "destino", "tope").join(halladas, ["origen", "destino"], "left")
+                 .groupBy("origen").agg(F.max(F.least("tope", "c1")).alias("_radio")))
+        # null wherever the node or the targets have no distance to the landmark
+        cota = F.greatest(F.lit(0.0), *[F.coalesce(F.greatest(F.col(f"a{d}") - F.col(d), F.col(d) - F.col(f"z{d}")),
+                                                   F.lit(0.0)) for d in ds], F.lit(0.0))
+        return (siguen.join(intervalos.join(radio, "origen"), "origen").join(h, "nodo", "left")
+                .filter(F.col("c1") + cota <= F.col("_radio") * (1 + HOLGURA) + HOLGURA).select(*siguen.columns))
+
+    return podar
+
+
 def saltos_entre(origenes: DataFrame, aristas: DataFrame, max_saltos: int | None = None,
                  pasos: int = 10, paso_sal: int = PASO_SAL) -> DataFrame:
     """(origen, nodo, saltos) where only the number of segments is asked for.
@@ -219,8 +281,9 @@ def ruta_mas_corta(pares: DataFrame, aristas: DataFrame, max_saltos: int = 20) -
 
 
 def ruta_menor_distancia(pares: DataFrame, aristas: DataFrame) -> DataFrame:
-    """Path of fewest metres per (origen, destino)."""
-    et = etiquetas(pares.select("origen"), aristas, "distancia", pasos=10)
+    """Path of fewest metres per (origen, destino); the search goes no further than landmarks say it must."""
+    podar = poda_por_hitos(pares, hitos(aristas))
+    et = etiquetas(pares.select("origen"), aristas, "distancia", pasos=10, podar=podar)
     return caminos(pares, et).withColumnRenamed("saltos", "num_calles")
 
 
@@ -343,26 +406,61 @@ def matriz_conectividad(restaurantes: DataFrame, clientes: DataFrame, aristas: D
                     F.when(F.col("segmentos").isNotNull(), "CONECTADO").otherwise("SIN RUTA").alias("estado")))
 
 
-def rutas_extremas(rutas: DataFrame, k: int = 5, largas: bool = False) -> DataFrame:
-    orden = F.desc("segmentos") if largas else F.asc("segmentos")
-    return (rutas.orderBy(orden, "restaurante_id", "cliente_id").limit(k)
-            .select("restaurante", "cliente", "segmentos"))
+def alcances(restaurantes: DataFrame, clientes: DataFrame, aristas: DataFrame, max_saltos: int = 100) -> DataFrame:
+    """What the reports on all joined pairs need: (origen, nodo, segmentos, nr, nc), one row for each road node with
+    customers that a road node with restaurants reaches, with the number of both.  No pair of a restaurant and a
+    customer is ever a row, however many share a node.  Anchors are (id, nombre, osm_node_id)."""
+    en = lambda df, n: df.groupBy(F.col("osm_node_id").alias("nodo")).agg(F.count("*").alias(n))
+    r, c = en(restaurantes, "nr").withColumnRenamed("nodo", "origen"), en(clientes, "nc")
+    et = saltos_entre(r.select("origen"), aristas, max_saltos).withColumnRenamed("saltos", "segmentos")
+    return Corte(restaurantes.sparkSession, "alcances").guardar(
+        et.join(r, "origen").join(c, "nodo").select("origen", "nodo", "segmentos", "nr", "nc"))[0]
 
 
-def segmentos_por_restaurante(rutas: DataFrame) -> DataFrame:
-    return (rutas.groupBy("restaurante_id", "restaurante")
-            .agg(F.round(F.avg("segmentos"), 2).alias("segmentos_promedio"), F.min("segmentos").alias("min_segmentos"),
-                 F.max("segmentos").alias("max_segmentos"))
-            .orderBy("segmentos_promedio", "restaurante_id").drop("restaurante_id"))
+def rutas_extremas(alc: DataFrame, restaurantes: DataFrame, clientes: DataFrame, k: int = 5,
+                   largas: bool = False) -> DataFrame:
+    """The ``k`` shortest (or longest) routes, ties by restaurant and customer id.
 
-
-def promedio_segmentos(rutas: DataFrame, lado: str) -> DataFrame:
+    The histogram of routes by length tells at which length the kth one is.  Of the rows of one length, only the k with
+    the smallest ids can hold one of the k, and of each of their two places only the k smallest ids.
+    """
+    por_largo = alc.groupBy("segmentos").agg(F.sum(F.col("nr") * F.col("nc")).alias("n"))
+    orden = F.desc("segmentos") if largas else F.asc("segmentos")
+    # at most one row a length up to the hop limit
+    corridas = por_largo.withColumn("antes", F.sum("n").over(W.orderBy(orden)) - F.col("n")).filter(F.col("antes") < k)
+    de = lambda df, c, x: (df.select(F.col("osm_node_id").alias(c), F.struct("id", "nombre").alias(x))
+                           .withColumn("_k", F.row_number().over(W.partitionBy(c).orderBy(f"{x}.id", f"{x}.nombre")))
+                           .filter(F.col("_k") <= k).drop("_k"))
+    r, c = de(restaurantes, "origen", "r"), de(clientes, "nodo", "c")
+    menor = lambda df, x: df.groupBy(df.columns[0]).agg(F.min(f"{x}.id").alias(f"_{x}"))
+    filas = (alc.join(F.broadcast(corridas.select("segmentos")), "segmentos")
+             .join(menor(r, "r"), "origen").join(menor(c, "c"), "nodo")
+             .withColumn("_k", F.row_number().over(W.partitionBy("segmentos").orderBy("_r", "_c", "origen", "nodo")))
+             .filter(F.col("_k") <= k))
+    return (filas.join(r, "origen").join(c, "nodo").orderBy(orden, "r.id", "c.id").limit(k)
+            .select(F.col("r.nombre").alias("restaurante"), F.col("c.nombre").alias("cliente"), "segmentos"))
+
+
+def segmentos_por_restaurante(alc: DataFrame, restaurantes: DataFrame) -> DataFrame:
+    """Mean, least and most segments of the routes of each restaurant that has any."""
+    por_nodo = alc.groupBy(F.col("origen").alias("osm_node_id")).agg(
+        F.round(F.sum(F.col("segmentos") * F.col("nc")) / F.sum("nc"), 2).alias("segmentos_promedio"),
+        F.min("segmentos").alias("min_segmentos"), F.max("segmentos").alias("max_segmentos"))
+    return (restaurantes.join(por_nodo, "osm_node_id").orderBy("segmentos_promedio", "id")
+            .select(F.col("nombre").alias("restaurante"), "segmentos_promedio", "min_segmentos", "max_segmentos"))
+
+
+def promedio_segmentos(alc: DataFrame, anclas: DataFrame, lado: str) -> DataFrame:
     """Mean segments per ``restaurante`` (most central first) or per ``cliente`` (most accessible)."""
-    return (rutas.groupBy(f"{lado}_id", lado).agg(F.round(F.avg("segmentos"), 2).alias("promedio_segmentos"))
-            .orderBy("promedio_segmentos", f"{lado}_id").drop(f"{lado}_id"))
+    nodo, peso = ("origen", "nc") if lado == "restaurante" else ("nodo", "nr")
+    por_nodo = alc.groupBy(F.col(nodo).alias("osm_node_id")).agg(
+        F.round(F.sum(F.col("segmentos") * F.col(peso)) / F.sum(peso), 2).alias("promedio_segmentos"))
+    return (anclas.join(por_nodo, "osm_node_id").orderBy("promedio_segmentos", "id")
+            .select(F.col("nombre").alias(lado), "promedio_segmentos"))
 
 
-def prueba_conectividad(rutas: DataFrame, restaurantes: DataFrame, clientes: DataFrame) -> DataFrame:
-    """Joined pairs against all pairs; the total is a product of two counts."""
+def prueba_conectividad(alc: DataFrame, restaurantes: DataFrame, clientes: DataFrame) -> DataFrame:
+    """Joined pairs against all pairs, both from counts."""
     total = restaurantes.agg(F.count("*")).scalar() * clientes.agg(F.count("*")).scalar()
-    return rutas.agg(F.count("*").alias("rutas_exitosas")).select("rutas_exitosas", total.alias("rutas_totales"))
+    return (alc.agg(F.coalesce(F.sum(F.col("nr") * F.col("nc")), F.lit(0)).alias("rutas_exitosas"))
+            .select("rutas_exitosas", total.alias("rutas_totales")))

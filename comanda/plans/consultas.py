@@ -61,7 +61,7 @@ class Almacen:
     anclas_restaurante = cached_property(lambda a: a.d.restaurantes.join(
         a.ancla.select(F.col("src").alias("id"), F.col("dst").alias("osm_node_id")), "id")
         .select("id", "nombre", "osm_node_id"))
-    rutas_ancla = cached_property(lambda a: paths.rutas_entre_anclas(
+    alcances = cached_property(lambda a: paths.alcances(
         a.anclas_restaurante, a.anclas_cliente, a.d.road))
     asignacion = cached_property(lambda a: dispatch.asignar(
         a.d.pedidos_entrega, a.d.repartidores, a.d.clientes))
@@ -257,13 +257,16 @@ def _rutas() -> dict[str, Callable[[Almacen], DataFrame]]:
             a.d.repartidores, a.d.calle, 1000.0).select("id", "calle_actual"),
         "r15_matriz_conectividad": lambda a: paths.matriz_conectividad(
             a.anclas_restaurante, a.anclas_cliente, a.d.road),
-        "r16_rutas_cortas": lambda a: paths.rutas_extremas(a.rutas_ancla),
-        "r16_rutas_largas": lambda a: paths.rutas_extremas(a.rutas_ancla, largas=True),
-        "r17_segmentos_por_restaurante": lambda a: paths.segmentos_por_restaurante(a.rutas_ancla),
-        "r18_restaurante_centrico": lambda a: paths.promedio_segmentos(a.rutas_ancla, "restaurante"),
-        "r18_cliente_accesible": lambda a: paths.promedio_segmentos(a.rutas_ancla, "cliente"),
+        "r16_rutas_cortas": lambda a: paths.rutas_extremas(a.alcances, a.anclas_restaurante, a.anclas_cliente),
+        "r16_rutas_largas": lambda a: paths.rutas_extremas(
+            a.alcances, a.anclas_restaurante, a.anclas_cliente, largas=True),
+        "r17_segmentos_por_restaurante": lambda a: paths.segmentos_por_restaurante(
+            a.alcances, a.anclas_restaurante),
+        "r18_restaurante_centrico": lambda a: paths.promedio_segmentos(
+            a.alcances, a.anclas_restaurante, "restaurante"),
+        "r18_cliente_accesible": lambda a: paths.promedio_segmentos(a.alcances, a.anclas_cliente, "cliente"),
         "r19_prueba_conectividad": lambda a: paths.prueba_conectividad(
-            a.rutas_ancla, a.anclas_restaurante, a.anclas_cliente),
+            a.alcances, a.anclas_restaurante, a.anclas_cliente),
         "r20_primeros_pasos": lambda a: paths.pasos_de_ruta(
             a.ruta_larga, ["origen", "destino"], a.d.calle, a.d.road),
         "r20_detalle_de_ruta": lambda a: paths.detalle_de_ruta(

@@ -77,6 +77,34 @@ def test_solo_saltos(spark, azar):
         assert filas(paths.saltos_entre(o, _df(spark, azar), tope, pasos=2, paso_sal=paso_sal)) == e
 
 
+def test_hitos_acotan(spark):
+    """On a long strip, the search for near targets writes labels near them only, and finds the same ways."""
+    tira = [(i, i + 1, 1.0 + i % 3) for i in range(400)] + [(i, 1000 + i, 2.0) for i in range(0, 400, 5)]
+    tira += [(1000 + i, 1005 + i, 5.0 + i % 2) for i in range(0, 395, 5)]
+    lejos = [(9000 + i, 9001 + i, 1.0) for i in range(10)]
+    red = _df(spark, tira + lejos)
+    pares = [(200, 210), (200, 195), (205, 1230), (50, 50), (60, 9003), (9002, 9009), (777777, 3)]
+    df = spark.createDataFrame(pares, "origen long, destino long")
+    podar = paths.poda_por_hitos(df, paths.hitos(red, 4))
+    et = paths.etiquetas(df.select("origen"), red, "distancia", podar=podar)
+    cuantas = dict(et.groupBy("origen").count().collect())
+    # no bound for the target on the other side, one node for the pair at one place
+    assert cuantas[200] < 60 and cuantas[205] < 120 and cuantas[50] < 20
+    r = {(x.origen, x.destino): x.distancia for x in paths.ruta_menor_distancia(df, red).collect()}
+    assert r == {p: c[0] for p in pares if (c := _dijkstra(tira + lejos, p[0], "distancia").get(p[1])) is not None}
+
+
+@pytest.mark.parametrize("cuantos", [1, 3, 16])
+def test_hitos_al_azar(spark, azar, cuantos):
+    pares = [(a, b) for a in (0, 3, 7, 99) for b in range(0, 60, 7)]
+    df = spark.createDataFrame(pares, "origen long, destino long")
+    red = _df(spark, azar)
+    et = paths.etiquetas(df.select("origen"), red, "distancia", pasos=2, podar=paths.poda_por_hitos(df, paths.hitos(red, cuantos)))
+    r = {(x.origen, x.destino): (x.distancia, x.saltos, x.calles) for x in paths.caminos(df, et).collect()}
+    todas = paths.caminos(df, paths.etiquetas(df.select("origen"), red, "distancia", pasos=2)).collect()
+    assert r == {(x.origen, x.destino): (x.distancia, x.saltos, x.calles) for x in todas}
+
+
 def test_limite_de_saltos(spark, azar):
     o = spark.createDataFrame([(0,), (7,)], "origen long")
     for tope in (1, 2, 3):
@@ -134,12 +162,40 @@ def test_anclas(spark):
     assert filas(m, "restaurante", "cliente", "segmentos", "estado") == [
         ("r1", "c1", 2, "CONECTADO"), ("r1", "c2", 0, "SIN RUTA"), ("r2", "c1", 0, "SIN RUTA"),
         ("r2", "c2", 1, "CONECTADO"), ("r3", "c1", 2, "CONECTADO"), ("r3", "c2", 0, "SIN RUTA")]
-    x = paths.rutas_entre_anclas(r, c, e)
+    x = paths.alcances(r, c, e)
     assert filas(paths.prueba_conectividad(x, r, c)) == [(3, 6)]
-    assert [r.restaurante for r in paths.rutas_extremas(x, 1).collect()] == ["r2"]
-    assert [r.restaurante for r in paths.rutas_extremas(x, 2, True).collect()] == ["r1", "r3"]
-    assert filas(paths.segmentos_por_restaurante(x)) == [("r1", 2.0, 2, 2), ("r2", 1.0, 1, 1), ("r3", 2.0, 2, 2)]
-    assert [tuple(f) for f in paths.promedio_segmentos(x, "cliente").collect()] == [("c2", 1.0), ("c1", 2.0)]
+    assert [f.restaurante for f in paths.rutas_extremas(x, r, c, 1).collect()] == ["r2"]
+    assert [f.restaurante for f in paths.rutas_extremas(x, r, c, 2, True).collect()] == ["r1", "r3"]
+    assert filas(paths.segmentos_por_restaurante(x, r)) == [("r1", 2.0, 2, 2), ("r2", 1.0, 1, 1), ("r3", 2.0, 2, 2)]
+    assert [tuple(f) for f in paths.promedio_segmentos(x, c, "cliente").collect()] == [("c2", 1.0), ("c1", 2.0)]
+
+
+def test_informes_sin_pares(spark, azar):
+    """Many restaurants and customers at few nodes: reports from counts against the pairs themselves."""
+    azar_ = random.Random(2)
+    e = _df(spark, azar)
+    r = [(i, f"r{i % 37}", azar_.choice([0, 0, 7, 99, 1234])) for i in range(60)]
+    c = [(i, f"c{i}", azar_.choice([3, 3, 3, 99, 12, 40, 777])) for i in range(90)]
+    rd, cd = (spark.createDataFrame(x, "id long, nombre string, osm_node_id long") for x in (r, c))
+    saltos = {o: _dijkstra(azar, o, "saltos") for o in {x[2] for x in r}}
+    pares = [(saltos[ro][co][0], ri, ci, rn, cn) for ri, rn, ro in r for ci, cn, co in c if co in saltos[ro]]
+    x = paths.alcances(rd, cd, e)
+    assert x.count() <= 35
+    assert filas(paths.prueba_conectividad(x, rd, cd)) == [(len(pares), 60 * 90)]
+    for largas in (False, True):
+        for k in (1, 5, 200):
+            mejores = sorted(pares, key=lambda p: (-p[0] if largas else p[0], p[1], p[2]))[:k]
+            assert [tuple(f) for f in paths.rutas_extremas(x, rd, cd, k, largas).collect()] == [
+                (rn, cn, s) for s, _, _, rn, cn in mejores]
+    por = defaultdict(list)
+    for s, ri, ci, rn, cn in pares:
+        por["r", ri, rn].append(s)
+        por["c", ci, cn].append(s)
+    promedio = lambda v: float(round(sum(v) / len(v) + 1e-12, 2))
+    assert filas(paths.segmentos_por_restaurante(x, rd)) == sorted(
+        (n, promedio(v), min(v), max(v)) for (t, _, n), v in por.items() if t == "r")
+    assert filas(paths.promedio_segmentos(x, cd, "cliente")) == sorted(
+        (n, promedio(v)) for (t, _, n), v in por.items() if t == "c")
 
 
 def test_alcance(spark):
