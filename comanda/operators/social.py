@@ -57,63 +57,82 @@ def mutuas_con_email(pares: DataFrame, usuarios: DataFrame) -> DataFrame:
 
 
 def cadenas(recomienda: DataFrame, minimo: int = 1, maximo: int = 3, k: int = 10) -> DataFrame:
-    """The k longest recommendation chains whose ends differ and that use no edge twice, in
-    order of length (longest first), user ids and channels: (nodos, canales, chain_length).
+    """The k longest recommendation chains whose ends differ and that use no edge twice, in order of length (longest
+    first), user ids, channels and dates: (nodos, canales, fechas, chain_length).  Without a column ``fecha``, dates are null.
 
-    From all edges it is computed which users have a walk of each length.  The k first of them in id
-    order have at least k walks of that length, so these are expanded, along edges that can still
-    reach the length; more users follow only as far as walks that use an edge twice or
-    close on their start left fewer than k chains.
+    From all edges it is computed which steps between two users can be followed by enough others.  Ways of users are then
+    made step by step; since each one can be completed, only the first k after each step can be among the first k
+    in the end, so a user with very many ways is never expanded beyond k.  More ways follow only where those that use an
+    edge twice or close on their start left fewer than k chains.
     """
     corte = Corte(recomienda.sparkSession, "cadenas")
-    e, _ = corte.guardar(recomienda.select("src", "dst", "canal", F.monotonically_increasing_id().alias("arista")))
-    # tramos[m]: edges that m - 1 further edges can follow; inicios[m]: their distinct first users
-    tramos, inicios = [e], [corte.guardar(e.select("src").distinct())]
-    for _ in range(maximo - 1):
-        sigue = inicios[-1][0].select(F.col("src").alias("dst"))
-        tramos.append(corte.guardar(tramos[-1].join(sigue, "dst", "left_semi").select(e.columns))[0])
+    fecha = F.col("fecha") if "fecha" in recomienda.columns else F.lit(None).cast("date")
+    e, _ = corte.guardar(recomienda.select("src", "dst", "canal", fecha.alias("fecha"),
+                                           F.monotonically_increasing_id().alias("arista")))
+    # of parallel edges a chain among the k first uses one of so many: the others give k chains before it
+    en_orden = W.partitionBy("src", "dst").orderBy("canal", "fecha", "arista")
+    aristas, _ = corte.guardar(e.withColumn("_r", F.row_number().over(en_orden)).filter(F.col("_r") < k + maximo).drop("_r"))
+    # tramos[m]: steps that m - 1 further ones can follow; inicios[m]: their distinct first users
+    tramos, inicios = [corte.guardar(e.select("src", "dst").distinct())[0]], []
+    for m in range(maximo):
+        if m:
+            sigue = inicios[-1][0].select(F.col("src").alias("dst"))
+            tramos.append(corte.guardar(tramos[-1].join(sigue, "dst", "left_semi").select("src", "dst"))[0])
         inicios.append(corte.guardar(tramos[-1].select("src").distinct()))
     halladas, faltan = None, k
     for largo in range(maximo, minimo - 1, -1):
         (origenes, n), cuantos = inicios[largo - 1], faltan
-        while True:
-            primeros = origenes.orderBy("src").limit(cuantos) if cuantos < n else origenes
-            mejores, hay = corte.guardar(_de_largo(tramos[largo - 1::-1], primeros).orderBy("nodos", "canales")
+        while n:
+            caminos, hay_caminos = corte.guardar(_primeros_caminos(tramos[largo - 1::-1], origenes, cuantos))
+            mejores, hay = corte.guardar(_con_aristas(caminos, aristas, largo).orderBy("nodos", "canales", "fechas")
                                          .limit(faltan))
-            if hay == faltan or cuantos >= n:
+            if hay == faltan or hay_caminos < cuantos:
+                halladas = mejores if halladas is None else halladas.unionByName(mejores)
+                faltan -= hay
                 break
             cuantos *= 8
-        halladas = mejores if halladas is None else halladas.unionByName(mejores)
-        faltan -= hay
         if not faltan:
             break
-    return halladas.orderBy(F.desc("chain_length"), "nodos", "canales")
-
-
-def _de_largo(tramos: list[DataFrame], origenes: DataFrame) -> DataFrame:
-    """Chains from ``origenes`` that take their first edge from the first table, the second from the next one."""
-    t = tramos[0].join(origenes, "src", "left_semi").select(
-        F.array("src", "dst").alias("nodos"), F.array("canal").alias("canales"), F.array("arista").alias("aristas"))
-    for e in tramos[1:]:
-        sig = e.select(F.col("src").alias("fin"), F.col("dst").alias("_d"), F.col("canal").alias("_c"),
-                       F.col("arista").alias("_e"))
-        t = (t.withColumn("fin", F.element_at("nodos", -1)).join(sig, "fin")
-             .filter(~F.array_contains("aristas", F.col("_e")))
-             .select(F.array_append("nodos", F.col("_d")).alias("nodos"),
-                     F.array_append("canales", F.col("_c")).alias("canales"),
-                     F.array_append("aristas", F.col("_e")).alias("aristas")))
-    return (t.filter(F.element_at("nodos", 1) != F.element_at("nodos", -1))
-            .select("nodos", "canales", F.size("canales").alias("chain_length")))
+    if halladas is None:
+        return _con_aristas(e.select(F.array("src", "dst").alias("nodos")).limit(0), aristas, 1)
+    return halladas.orderBy(F.desc("chain_length"), "nodos", "canales", "fechas")
+
+
+def _primeros_caminos(tramos: list[DataFrame], origenes: DataFrame, cuantos: int) -> DataFrame:
+    """The first ``cuantos`` ways by user ids that take their first step from the first table, the second from the next."""
+    t = origenes.orderBy("src").limit(cuantos).select(F.array("src").alias("nodos"))
+    for paso in tramos:
+        sig = paso.select(F.col("src").alias("_fin"), F.col("dst").alias("_d"))
+        t = (t.withColumn("_fin", F.element_at("nodos", -1)).join(sig, "_fin")
+             .select(F.array_append("nodos", F.col("_d")).alias("nodos")).orderBy("nodos").limit(cuantos))
+    return t
+
+
+def _con_aristas(caminos: DataFrame, aristas: DataFrame, largo: int) -> DataFrame:
+    """Chains along ways of ``largo`` steps, one for each choice of edges, none of them twice."""
+    t = caminos.filter(F.element_at("nodos", 1) != F.element_at("nodos", -1)).select(
+        "nodos", F.array().cast("array<string>").alias("canales"), F.array().cast("array<date>").alias("fechas"),
+        F.array().cast("array<bigint>").alias("_usadas"))
+    for m in range(largo):
+        sig = aristas.select(F.col("src").alias("_s"), F.col("dst").alias("_d"), F.col("canal").alias("_c"),
+                             F.col("fecha").alias("_f"), F.col("arista").alias("_e"))
+        t = (t.withColumn("_s", F.col("nodos")[m]).withColumn("_d", F.col("nodos")[m + 1]).join(sig, ["_s", "_d"])
+             .filter(~F.array_contains("_usadas", F.col("_e")))
+             .select("nodos", F.array_append("canales", F.col("_c")).alias("canales"),
+                     F.array_append("fechas", F.col("_f")).alias("fechas"), F.array_append("_usadas", F.col("_e")).alias("_usadas")))
+    return t.select("nodos", "canales", "fechas", F.size("canales").alias("chain_length"))
 
 
 def cadenas_con_email(cadena: DataFrame, usuarios: DataFrame) -> DataFrame:
-    """Replaces the user ids of at most k chains by e-mails."""
-    puestos = (cadena.select("nodos", "canales", "chain_length", F.posexplode("nodos").alias("p", "id"))
-               .join(usuarios.select("id", "email"), "id"))
-    return (puestos.groupBy("nodos", "canales", "chain_length")
+    """Replaces the user ids of at most k chains by e-mails: cadena_emails, chain_length, canales, fechas."""
+    clave = ["nodos", "canales", "fechas", "chain_length"]
+    # equal chains over parallel edges are rows of their own
+    una = cadena.withColumn("_u", F.monotonically_increasing_id())
+    puestos = (una.select("_u", *clave, F.posexplode("nodos").alias("p", "id")).join(usuarios.select("id", "email"), "id"))
+    return (puestos.groupBy("_u", *clave)
             .agg(F.sort_array(F.collect_list(F.struct("p", "email"))).alias("e"))
-            .orderBy(F.desc("chain_length"), "nodos", "canales")
-            .select(F.col("e.email").alias("cadena_emails"), "chain_length", "canales"))
+            .orderBy(F.desc("chain_length"), "nodos", "canales", "fechas")
+            .select(F.col("e.email").alias("cadena_emails"), "chain_length", "canales", "fechas"))
 
 
 # ---- influence -----------------------------------------------------------------------------

@@ -205,7 +205,8 @@ def _grafo() -> dict[str, Callable[[Almacen], DataFrame]]:
         "g24_estadisticas_influencia": lambda a: social.estadisticas_influencia(a.influencia, a.influencia),
         "g25_cadenas": lambda a: social.cadenas_con_email(social.cadenas(a.d.recomienda), a.d.usuarios).select(
             F.array_join("cadena_emails", ">").alias("cadena"), "chain_length",
-            F.array_join("canales", ">").alias("canales")),
+            F.array_join("canales", ">").alias("canales"),
+            F.array_join(F.col("fechas").cast("array<string>"), ">").alias("fechas")),
         "g26_cadenas_de_dos": lambda a: social.cadenas_con_email(
             social.cadenas(a.d.recomienda, 2, 2), a.d.usuarios).select(
             F.col("cadena_emails")[0].alias("inicio"), F.col("cadena_emails")[1].alias("intermedio"),

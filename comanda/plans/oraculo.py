@@ -33,7 +33,7 @@ _TABLAS: dict[str, str] = {
         UNION ALL
         SELECT id, usuario_id, id, fecha_creacion, CASE WHEN id % 4 = 0 THEN 'CANCELLED' ELSE 'ACTIVE' END,
         CAST(1 + id % 10 AS INT), menu_id, restaurante_id FROM pedidos WHERE id % 5 <> 0""",
-    "recomienda": """SELECT src, dst, canal FROM (
+    "recomienda": """SELECT src, dst, canal, DATE '2024-01-01' + CAST(src % 365 AS INTEGER) AS fecha FROM (
         SELECT c_custkey AS src, (c_custkey * 7 + 3) % (SELECT COUNT(*) FROM customer) AS dst,
         CASE c_custkey % 3 WHEN 0 THEN 'email' WHEN 1 THEN 'app' ELSE 'social' END AS canal FROM customer
         UNION ALL

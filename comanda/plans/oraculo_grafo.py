@@ -194,15 +194,16 @@ registrar(
         ROUND({SCORE} / COUNT(*), 4) AS score_promedio,
         ROUND(CAST(SUM(productos_comunes) AS DOUBLE) / COUNT(*), 2) AS productos_comunes_promedio FROM influye""",
     g25_cadenas="""WITH r AS (SELECT *, row_number() OVER () AS e FROM recomienda),
-        c AS (SELECT 1 AS chain_length, [a.src, a.dst] AS nodos, [a.canal] AS canales FROM r a WHERE a.src <> a.dst
-          UNION ALL SELECT 2, [a.src, a.dst, b.dst], [a.canal, b.canal] FROM r a JOIN r b ON b.src = a.dst AND b.e <> a.e
-            WHERE a.src <> b.dst
-          UNION ALL SELECT 3, [a.src, a.dst, b.dst, d.dst], [a.canal, b.canal, d.canal] FROM r a
+        c AS (SELECT 1 AS chain_length, [a.src, a.dst] AS nodos, [a.canal] AS canales, [a.fecha] AS fechas FROM r a
+            WHERE a.src <> a.dst
+          UNION ALL SELECT 2, [a.src, a.dst, b.dst], [a.canal, b.canal], [a.fecha, b.fecha] FROM r a
+            JOIN r b ON b.src = a.dst AND b.e <> a.e WHERE a.src <> b.dst
+          UNION ALL SELECT 3, [a.src, a.dst, b.dst, d.dst], [a.canal, b.canal, d.canal], [a.fecha, b.fecha, d.fecha] FROM r a
             JOIN r b ON b.src = a.dst AND b.e <> a.e JOIN r d ON d.src = b.dst AND d.e <> a.e AND d.e <> b.e
             WHERE a.src <> d.dst),
-        m AS (SELECT * FROM c ORDER BY chain_length DESC, nodos, canales LIMIT 10)
+        m AS (SELECT * FROM c ORDER BY chain_length DESC, nodos, canales, fechas LIMIT 10)
         SELECT u0.email || '>' || u1.email || COALESCE('>' || u2.email, '') || COALESCE('>' || u3.email, '') AS cadena,
-          chain_length, array_to_string(canales, '>') AS canales
+          chain_length, array_to_string(canales, '>') AS canales, array_to_string(fechas, '>') AS fechas
         FROM m JOIN usuarios u0 ON u0.id = nodos[1] JOIN usuarios u1 ON u1.id = nodos[2]
         LEFT JOIN usuarios u2 ON u2.id = nodos[3] LEFT JOIN usuarios u3 ON u3.id = nodos[4]""",
     g26_cadenas_de_dos="""WITH r AS (SELECT *, row_number() OVER () AS e FROM recomienda),

@@ -128,7 +128,7 @@ class Dominio:
     @cached_property
     def recomienda(self) -> DataFrame:
         return self._sql(
-            """SELECT src, dst, canal FROM (
+            """SELECT src, dst, canal, date_add(DATE '2024-01-01', CAST(src % 365 AS INT)) AS fecha FROM (
                  SELECT c_custkey AS src, (c_custkey * 7 + 3) % (SELECT COUNT(*) FROM {customer}) AS dst,
                         CASE c_custkey % 3 WHEN 0 THEN 'email' WHEN 1 THEN 'app' ELSE 'social' END AS canal
                  FROM {customer}

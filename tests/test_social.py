@@ -39,6 +39,29 @@ def test_cadenas_con_email(spark, recomienda, usuarios):
     assert [r.cadena_emails for r in c] == [[f"u{i}" for i in n] for _, n, _ in _cadenas(1, 3)[:3]]
 
 
+def test_cadenas_de_un_centro(spark):
+    """A start with a million chains and one step taken by a thousand parallel edges: only the first ways are made."""
+    medio = spark.range(1000).selectExpr("0L AS src", "id + 1 AS dst", "'a' AS canal", "DATE '2024-01-01' AS fecha")
+    fin = spark.range(1_000_000).selectExpr("id % 1000 + 1 AS src", "div(id, 1000) + 5000 AS dst", "'b' AS canal",
+                                            "date_add(DATE '2024-02-01', CAST(id % 28 AS INT)) AS fecha")
+    paralelas = spark.range(1000).selectExpr("0L AS src", "1L AS dst", "concat('p', id % 7) AS canal",
+                                             "date_add(DATE '2024-03-01', CAST(id % 9 AS INT)) AS fecha")
+    c = social.cadenas(medio.unionByName(fin).unionByName(paralelas), 1, 3, 12).collect()
+    canales = ["a"] + ["p0"] * 11
+    assert [(r.nodos, r.canales[0], r.chain_length) for r in c] == [([0, 1, 5000], x, 2) for x in canales]
+    fechas = sorted(str(i % 9 + 1) for i in range(0, 1000, 7))[:11]
+    assert [r.fechas[0].day for r in c[1:]] == [int(x) for x in fechas]
+    pasos = [medio.select("src", "dst"), fin.select("src", "dst")]
+    assert social._primeros_caminos(pasos, spark.createDataFrame([(0,)], "src long"), 5).count() == 5
+
+
+def test_cadenas_sin_aristas(spark):
+    nada = spark.createDataFrame([], "src long, dst long, canal string, fecha date")
+    assert social.cadenas(nada).count() == 0
+    solo = spark.createDataFrame([(1, 1, "a", None), (2, 3, None, None)], "src long, dst long, canal string, fecha date")
+    assert [(r.nodos, r.canales, r.fechas) for r in social.cadenas(solo).collect()] == [([2, 3], [None], [None])]
+
+
 def test_mutuas(recomienda):
     assert filas(social.mutuas(recomienda)) == [(1, 2, 2), (2, 1, 2)]
 
