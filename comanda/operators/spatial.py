@@ -21,6 +21,8 @@ FACTOR = 4
 ANILLO = 2
 #: Points of one cell that meet its nodes in one task; a cell with more is so many more join keys.
 PUNTOS_POR_CELDA = 4096
+#: A place with more than this part of all points is full.
+PARTES = 1000
 _METRICAS = {"plana": plana_grados, "manhattan": manhattan_grados}
 _HOLGURA = 1e-9
 
@@ -65,14 +67,28 @@ def _por_celda(cand: DataFrame, nodos: DataFrame) -> DataFrame:
     return izq.join(der, [*celda, "parte"])
 
 
+def _volver(puntos: DataFrame, resueltos: DataFrame, lugares: DataFrame) -> DataFrame:
+    """``puntos`` with the answer of their place, from ``lugares(plat, plon, n)`` with the number of points of each.
+
+    A place with more than 1 / ``PARTES`` of all points is joined by broadcast: there are fewer than ``PARTES`` of them
+    whatever the size, and its points stay where they are.  No other place can fill a task."""
+    total = lugares.agg(F.sum("n")).first()[0] or 0
+    lugar = ["plat", "plon"]
+    llenos = F.broadcast(lugares.filter(F.col("n") * PARTES > total).select(*lugar).join(resueltos, lugar, "left"))
+    con = puntos.withColumn("plat", F.col("lat")).withColumn("plon", F.col("lon"))
+    otros = con.join(F.broadcast(lugares.filter(F.col("n") * PARTES > total).select(*lugar)), lugar, "left_anti")
+    return con.join(llenos, lugar).unionByName(otros.join(resueltos, lugar, "left")).drop(*lugar)
+
+
 def mas_cercano(puntos: DataFrame, nodos: DataFrame, metrica: str = "plana",
                 radio_m: float | None = None, celda: float = CELDA) -> DataFrame:
     """``puntos`` with calle_id, calle_lat, calle_lon and ``grados`` of the nearest node, ties to
     the smallest id.  With ``radio_m``, NULL where no node is nearer than that many metres."""
     corte = Corte(puntos.sparkSession, "cercano")
-    # points and nodes at one place are one row each, however many share it
-    p, n_pend = corte.guardar(puntos.select(F.col("lat").alias("plat"), F.col("lon").alias("plon"))
-                              .filter("plat IS NOT NULL AND plon IS NOT NULL").distinct())
+    # points and nodes at one place are one row each, however many share it; points are counted
+    lugares, n_pend = corte.guardar(puntos.groupBy(F.col("lat").alias("plat"), F.col("lon").alias("plon"))
+                                    .agg(F.count("*").alias("n")).filter("plat IS NOT NULL AND plon IS NOT NULL"))
+    p = lugares.select("plat", "plon")
     n, _ = corte.guardar(
         nodos.groupBy("lat", "lon").agg(F.min("id").alias("calle_id"))
         .select("calle_id", F.col("lat").alias("calle_lat"), F.col("lon").alias("calle_lon"),
@@ -121,8 +137,7 @@ def mas_cercano(puntos: DataFrame, nodos: DataFrame, metrica: str = "plana",
         todos = todos.filter(metros < radio_m)
     # points without coordinates have no node; left out of the join they do not meet on one key
     sin_lugar = F.col("lat").isNull() | F.col("lon").isNull()
-    con = puntos.filter(~sin_lugar)
-    con = con.join(todos, (con["lat"] == F.col("plat")) & (con["lon"] == F.col("plon")), "left").drop("plat", "plon")
+    con = _volver(puntos.filter(~sin_lugar), todos, lugares)
     return con.unionByName(puntos.filter(sin_lugar), allowMissingColumns=True)
 
 

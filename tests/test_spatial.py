@@ -2,6 +2,7 @@ import math
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from comanda.operators import spatial
 from tests.conftest import filas
@@ -45,6 +46,23 @@ def test_celda_llena_y_sin_lugar(spark, monkeypatch):
     assert hallados == {x[0]: _cerca(x, nodos, "plana") for x in puntos} | {x[0]: (-1, -1) for x in nulos}
 
 
+def test_lugar_lleno(spark):
+    """Half of the points at one place stay dealt out as they were read."""
+    azar = random.Random(8)
+    puntos = [(i, *((9.81, -83.89) if i % 2 else (9.8 + azar.random() * 0.02, -83.9 + azar.random() * 0.02)))
+              for i in range(2000)]
+    nodos = [(i, 9.8 + azar.random() * 0.02, -83.9 + azar.random() * 0.02) for i in range(40)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        r = spatial.mas_cercano(spark.createDataFrame(puntos, "id long, lat double, lon double").repartition(8),
+                                spark.createDataFrame(nodos, "id long, lat double, lon double"))
+        assert dict(filas(r, "id", "calle_id")) == {x[0]: _cerca(x, nodos, "plana")[1] for x in puntos}
+        partes = r.groupBy(F.spark_partition_id().alias("parte")).count().collect()
+        assert len(partes) >= 8 and max(x["count"] for x in partes) <= 2000 // 5
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
 def test_radio_estricto(spark, datos):
     puntos, nodos = datos
     p, n = (spark.createDataFrame(x, "id long, lat double, lon double") for x in datos)
