@@ -84,8 +84,3 @@ def mejores_clientes(usuarios: DataFrame, pedidos: DataFrame, k: int = 10) -> Da
     return (por_usuario.join(usuarios.select(F.col("id").alias("usuario_id"), "email"), "usuario_id")
             .orderBy(F.desc("total_pedidos"), F.desc("gasto_total"), "email").limit(k)
             .select("email", "total_pedidos", "gasto_total"))
-
-
-def sin_filas(df: DataFrame) -> bool:
-    """Guard used before an analysis is written; reads at most one row."""
-    return df.isEmpty()

@@ -20,9 +20,12 @@ _BASE = "comanda_cortes"
 
 
 def carpeta_compartida(spark: SparkSession) -> str:
-    """The cluster's folder; where none is named, one beside the tables, which executors reach as well."""
+    """The cluster's folder; where none is named in a local session, one beside the tables.  A cluster must name one:
+    a folder of the driver's machine is not one that executors reach."""
     base = spark.conf.get(_CLAVE, None)
     if not base:
+        if not spark.conf.get("spark.master", "local").startswith("local"):
+            raise ValueError(f"set {_CLAVE} to a folder that all executors share")
         base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_cortes"
         spark.conf.set(_CLAVE, base)
     return base

@@ -39,10 +39,6 @@ def reemplazar_tabla(df: DataFrame, nombre: str, base: str = BASE, particion: li
     w.saveAsTable(f"{base}.{nombre}")
 
 
-def anexar_tabla(df: DataFrame, nombre: str, base: str = BASE) -> None:
-    df.write.mode("append").format("parquet").saveAsTable(f"{base}.{nombre}")
-
-
 def crear_vistas(vistas: Mapping[str, Callable[[], DataFrame]]) -> None:
     """Session views, each defined by the function that builds its frame."""
     for nombre, f in vistas.items():
