@@ -28,14 +28,78 @@ def red(aristas: DataFrame) -> DataFrame:
             .groupBy("src", "dst").agg(F.min("distancia").alias("distancia")))
 
 
-def _red_por_nodo(aristas: DataFrame, corte: Corte, paso_sal: int) -> tuple[DataFrame, DataFrame]:
+@dataclass
+class RedContraida:
+    """Network whose chains of nodes with two neighbours are single rows.
+
+    ``tramos(src, ini, dst, ult, saltos, distancia)``: a way between two kept nodes by its first and last step, ``ini``
+    the node after ``src`` and ``ult`` the one before ``dst``.  ``dentro(src, ini, pos, nodo)``: the nodes between.
+    """
+
+    tramos: DataFrame
+    dentro: DataFrame
+
+
+def contraer(aristas: DataFrame, paradas: DataFrame, max_saltos: int | None = None) -> RedContraida:
+    """Contracts the network to its junctions, dead ends and ``paradas(id)``.
+
+    A step (src, dst) into a node with two neighbours goes on by one step only.  Every step knows how far it has come
+    and the step it has come to, and doubles that in each round by a join on that step, so a chain of n segments takes
+    log2(n) rounds and no task holds a chain.  Ways longer than ``max_saltos`` and rings without a kept node, which no
+    path between kept nodes uses, are left out.
+    """
+    corte = Corte(aristas.sparkSession, "contraer")
+    r, total = corte.guardar(red(aristas))
+    de_paso = (r.groupBy(F.col("src").alias("id")).agg(F.count("*").alias("n"), F.min("dst").alias("x"), F.max("dst").alias("y"))
+               .filter("n = 2").join(paradas.select("id").distinct(), "id", "left_anti").select("id", "x", "y"))
+    de_paso, _ = corte.guardar(de_paso)
+    n = de_paso.withColumnRenamed("id", "dst")
+    # (src, dst): the step; (a, b): the step it has come to; fin: b is kept
+    pasos = r.join(n, "dst", "left").select(
+        "src", "dst", F.col("src").alias("a"), F.col("dst").alias("b"), F.lit(1).cast("bigint").alias("saltos"), "distancia",
+        F.col("x").isNull().alias("fin"), F.when(F.col("x") == F.col("src"), F.col("y")).otherwise(F.col("x")).alias("sig"))
+    acabados, _ = corte.guardar(pasos.filter("fin").drop("sig"))
+    # the first doubling follows the only way on from b; later ones start where b's next step has come to
+    abiertos, faltan = corte.guardar(pasos.filter(~F.col("fin")))
+    alcance, tope = 1, total if max_saltos is None else max_saltos
+    columnas = ["src", "dst", "a", "b", "saltos", "distancia", "fin"]
+    while faltan and alcance < min(tope, total + 1):
+        # an open step has come to (a, b) and goes on with the step (b, sig)
+        todos = abiertos.select(*columnas, "sig").unionByName(acabados.withColumn("sig", F.lit(None).cast("bigint")))
+        sigue = todos.select(F.col("src").alias("b"), F.col("dst").alias("sig"), F.col("a").alias("_a"), F.col("b").alias("_b"),
+                             F.col("saltos").alias("_s"), F.col("distancia").alias("_d"), F.col("fin").alias("_f"),
+                             F.col("sig").alias("_g"))
+        dobles, _ = corte.guardar(abiertos.drop("a", "fin").join(sigue, ["b", "sig"]).select(
+            "src", "dst", F.col("_a").alias("a"), F.col("_b").alias("b"), (F.col("saltos") + F.col("_s")).alias("saltos"),
+            (F.col("distancia") + F.col("_d")).alias("distancia"), F.col("_f").alias("fin"), F.col("_g").alias("sig")))
+        acabados = acabados.unionByName(dobles.filter("fin").drop("sig"))
+        abiertos = dobles.filter(~F.col("fin"))
+        faltan, alcance = abiertos.count(), alcance * 2
+    if max_saltos is not None:
+        acabados = acabados.filter(F.col("saltos") <= max_saltos)
+    acabados, _ = corte.guardar(acabados)
+    inicio = acabados.join(de_paso.select(F.col("id").alias("src")), "src", "left_anti")
+    tramos = inicio.select("src", F.col("dst").alias("ini"), F.col("b").alias("dst"), F.col("a").alias("ult"), "saltos", "distancia")
+    # the step back from a node inside has come to the start of the chain, as many segments away as its place
+    dentro = (acabados.join(de_paso.select(F.col("id").alias("src")), "src", "left_semi")
+              .select(F.col("b").alias("src"), F.col("a").alias("ini"), F.col("saltos").cast("int").alias("pos"),
+                      F.col("src").alias("nodo")))
+    return RedContraida(corte.guardar(tramos)[0], corte.guardar(dentro)[0])
+
+
+def _red_por_nodo(aristas: DataFrame, corte: Corte, paso_sal: int,
+                  contraida: RedContraida | None = None) -> tuple[DataFrame, DataFrame]:
     """Network rows to join on (src, sal), and the nodes split into several salts (id, sales).
 
     A node with more than ``paso_sal`` segments is split; a row carries the salts of its
     target, so the next step knows them.  The zero step from a node to itself (``avanza`` 0)
     carries a label unchanged through a round.
     """
-    r, _ = corte.guardar(red(aristas))
+    if contraida is None:
+        r = red(aristas).select("src", "dst", F.lit(1).cast("bigint").alias("saltos"), "distancia", F.col("src").alias("ult"))
+        r, _ = corte.guardar(r)
+    else:
+        r = contraida.tramos.filter("src <> dst").drop("ini")
     pesados, _ = corte.guardar(
         r.groupBy(F.col("src").alias("id")).agg(F.count("*").alias("n")).filter(F.col("n") > paso_sal)
         .select("id", F.ceil(F.col("n") / paso_sal).cast("int").alias("sales")))
@@ -43,10 +107,10 @@ def _red_por_nodo(aristas: DataFrame, corte: Corte, paso_sal: int) -> tuple[Data
         s = pesados.select(F.col("id").alias(lado), F.col("sales").alias(f"sales_{lado}"))
         r = r.join(s, lado, "left").withColumn(f"sales_{lado}", F.coalesce(f"sales_{lado}", F.lit(1)))
     anda = r.select("src", "dst", F.pmod(F.xxhash64("dst"), F.col("sales_src")).cast("int").alias("sal"),
-                    F.col("sales_dst").alias("sales"), "distancia", F.lit(1).alias("avanza"))
+                    F.col("sales_dst").alias("sales"), "saltos", "distancia", "ult", F.lit(1).alias("avanza"))
     quieto = r.select("src", "sales_src").distinct().select(
         "src", F.col("src").alias("dst"), F.lit(0).alias("sal"), F.col("sales_src").alias("sales"),
-        F.lit(0.0).alias("distancia"), F.lit(0).alias("avanza"))
+        F.lit(0).cast("bigint").alias("saltos"), F.lit(0.0).alias("distancia"), F.col("src").alias("ult"), F.lit(0).alias("avanza"))
     return corte.guardar_por_clave(anda.unionByName(quieto), ["src", "sal"]), pesados
 
 
@@ -60,31 +124,33 @@ def _salidas(origenes: DataFrame, pesados: DataFrame) -> DataFrame:
 _ETIQUETA = "origen, nodo, sales, l.c1, l.c2, l.pred, l.nuevo"
 
 
-def _paso(desde: str) -> str:
-    """One segment further from the labels ``desde``, the best label per origin and node."""
+def _paso(desde: str, donde: str = "") -> str:
+    """One network row further from the labels ``desde``, the best label per origin and node."""
     return f"""SELECT {_ETIQUETA} FROM (
         SELECT s.origen, r.dst AS nodo, r.sales, min(struct(s.c1 + r.d1 AS c1, s.c2 + r.d2 AS c2,
-               if(r.avanza = 1, r.src, s.pred) AS pred, r.avanza AS nuevo)) AS l
+               if(r.avanza = 1, r.ult, s.pred) AS pred, r.avanza AS nuevo)) AS l
         FROM (SELECT *, explode(sequence(0, sales - 1)) AS sal FROM ({desde})) s
-        JOIN {{r}} r ON s.nodo = r.src AND s.sal = r.sal GROUP BY s.origen, r.dst, r.sales)"""
+        JOIN {{r}} r ON s.nodo = r.src AND s.sal = r.sal {donde} GROUP BY s.origen, r.dst, r.sales)"""
 
 
 def etiquetas(origenes: DataFrame, aristas: DataFrame, por: str = "saltos", max_saltos: int | None = None,
-              pasos: int = PASOS, paso_sal: int = PASO_SAL, podar: Poda | None = None) -> DataFrame:
+              pasos: int = PASOS, paso_sal: int = PASO_SAL, podar: Poda | None = None, contraida: RedContraida | None = None) -> DataFrame:
     """(origen, nodo, saltos, distancia, pred) for every node that an origin reaches.
 
     ``por='saltos'`` gives the path of fewest segments and, among those, fewest metres;
     ``por='distancia'`` the path of fewest metres.  Ties go to the smallest predecessor.
-    ``podar`` drops labels after each round that are on no best path to a target.
+    ``podar`` drops labels after each round that are on no best path to a target.  On a ``contraida`` network only
+    kept nodes have labels (origins must be kept); ``pred`` is still the node before on the road.
     """
     if por == "distancia" and max_saltos is not None:
         raise ValueError("a hop limit needs por='saltos'")
     spark = origenes.sparkSession
     corte = Corte(spark, "etiquetas")
-    saltos, metros = F.col("avanza").cast("double"), F.col("distancia")
+    saltos, metros = F.col("saltos").cast("double"), F.col("distancia")
     c1, c2 = (saltos, metros) if por == "saltos" else (metros, saltos)
-    r, pesados = _red_por_nodo(aristas, corte, paso_sal)
-    r = r.select("src", "dst", "sal", "sales", c1.alias("d1"), c2.alias("d2"), "avanza")
+    r, pesados = _red_por_nodo(aristas, corte, paso_sal, contraida)
+    r = r.select("src", "dst", "sal", "sales", c1.alias("d1"), c2.alias("d2"), "ult", "avanza")
+    donde = "" if contraida is None or max_saltos is None else f"WHERE s.c1 + r.d1 <= {max_saltos}"
     cero = F.lit(0.0)
     mejores, n = corte.avanzar(_salidas(origenes, pesados).select(
         "origen", "nodo", "sales", cero.alias("c1"), cero.alias("c2"), F.col("origen").alias("pred"),
@@ -94,7 +160,7 @@ def etiquetas(origenes: DataFrame, aristas: DataFrame, por: str = "saltos", max_
         hasta = pasos if max_saltos is None else min(pasos, max_saltos - hechos)
         s = "SELECT * FROM {e} WHERE nuevo = 1"
         for _ in range(hasta):
-            s = _paso(s)
+            s = _paso(s, donde)
         siguen = spark.sql(
             f"""SELECT {_ETIQUETA} FROM (
                   SELECT origen, nodo, sales, min(struct(c1, c2, pred, nuevo)) AS l FROM (
@@ -194,9 +260,14 @@ def saltos_entre(origenes: DataFrame, aristas: DataFrame, max_saltos: int | None
     return vistos.drop("sales")
 
 
-def caminos(pares: DataFrame, et: DataFrame, pasos: int = 10) -> DataFrame:
+def caminos(pares: DataFrame, et: DataFrame, pasos: int = 10, contraida: RedContraida | None = None) -> DataFrame:
     """Adds saltos, distancia and ``calles`` (node ids in order) to ``pares(origen, destino, ...)``
-    by following predecessors.  Only requested pairs carry a path; unreached pairs are left out."""
+    by following predecessors.  Only requested pairs carry a path; unreached pairs are left out.
+
+    Labels of a ``contraida`` network are followed chain by chain, until all paths are at their origin.
+    """
+    if contraida is not None:
+        return _caminos_por_tramos(pares, et, pasos, contraida)
     corte = Corte(pares.sparkSession, "caminos")
     fin = et.select("origen", F.col("nodo").alias("destino"), "saltos", "distancia")
     act = pares.join(fin, ["origen", "destino"]).select(
@@ -217,6 +288,29 @@ def caminos(pares: DataFrame, et: DataFrame, pasos: int = 10) -> DataFrame:
     return act.drop("_n")
 
 
+def _caminos_por_tramos(pares: DataFrame, et: DataFrame, pasos: int, contraida: RedContraida) -> DataFrame:
+    corte = Corte(pares.sparkSession, "caminos")
+    fin = et.select("origen", F.col("nodo").alias("destino"), "saltos", "distancia")
+    act, _ = corte.avanzar(pares.join(fin, ["origen", "destino"]).select(
+        *pares.columns, "saltos", "distancia", F.col("destino").alias("_n"), F.array("destino").alias("calles")))
+    # a chain read from its far end: the step back (nodo, pred) begins it, its nodes lie in falling place order
+    dentro = contraida.dentro.groupBy("src", "ini").agg(F.sort_array(
+        F.collect_list(F.struct("pos", "nodo")), asc=False).alias("l"))
+    tramo = (contraida.tramos.join(dentro, ["src", "ini"], "left")
+             .select(F.col("src").alias("_n"), F.col("ini").alias("pred"), F.col("dst").alias("_p"),
+                     F.concat(F.array("dst"), F.coalesce(F.col("l.nodo"), F.expr("array()"))).alias("_t")))
+    # only labels other than an origin's own lead back; they are joined once, as a table that all rounds read
+    p, _ = corte.guardar(et.filter("nodo <> origen").select("origen", F.col("nodo").alias("_n"), "pred")
+                         .join(tramo, ["_n", "pred"]).select("origen", "_n", "_p", "_t"))
+    while act.filter(F.col("_n") != F.col("origen")).limit(1).count():
+        for _ in range(pasos):
+            act = act.join(p, ["origen", "_n"], "left").select(
+                *pares.columns, "saltos", "distancia", F.coalesce("_p", "_n").alias("_n"),
+                F.when(F.col("_p").isNull(), F.col("calles")).otherwise(F.concat("_t", "calles")).alias("calles"))
+        act, _ = corte.avanzar(act)
+    return act.drop("_n")
+
+
 @dataclass
 class Trayectos:
     """``pares(origen, destino, saltos, distancia, medio)`` and the half-way labels behind them."""
@@ -280,6 +374,19 @@ def ruta_mas_corta(pares: DataFrame, aristas: DataFrame, max_saltos: int = 20) -
     return caminos(pares, et).withColumnRenamed("saltos", "num_calles")
 
 
+def ruta_por_tramos(pares: DataFrame, aristas: DataFrame, max_saltos: int = 100) -> DataFrame:
+    """The same paths as ``ruta_mas_corta``, ties included, over the contracted network: the number of rounds follows
+    the chains on a path and not its segments.  Origins and targets are kept nodes.
+
+    A node inside a chain has one way to either end, so the last step into a kept node decides its chain, and the
+    smallest predecessor there is the smallest one on the full network.
+    """
+    paradas = pares.select(F.explode(F.array("origen", "destino")).alias("id"))
+    c = contraer(aristas, paradas, max_saltos)
+    et = etiquetas(pares.select("origen"), aristas, "saltos", max_saltos, contraida=c)
+    return caminos(pares, et, contraida=c).withColumnRenamed("saltos", "num_calles")
+
+
 def ruta_menor_distancia(pares: DataFrame, aristas: DataFrame) -> DataFrame:
     """Path of fewest metres per (origen, destino); the search goes no further than landmarks say it must."""
     podar = poda_por_hitos(pares, hitos(aristas))

@@ -57,7 +57,7 @@ class Almacen:
         .join(a.d.calle.select(F.col("id").alias("destino")), "destino").select("origen", "destino").distinct())
     ruta_pedido = cached_property(lambda a: paths.ruta_mas_corta(a.pares_pedido, a.d.road))
     # path details go as far as the paths they describe
-    ruta_larga = cached_property(lambda a: paths.ruta_mas_corta(a.pares_pedido, a.d.road, 100))
+    ruta_larga = cached_property(lambda a: paths.ruta_por_tramos(a.pares_pedido, a.d.road, 100))
     anclas_restaurante = cached_property(lambda a: a.d.restaurantes.join(
         a.ancla.select(F.col("src").alias("id"), F.col("dst").alias("osm_node_id")), "id")
         .select("id", "nombre", "osm_node_id"))
@@ -235,7 +235,7 @@ def _rutas() -> dict[str, Callable[[Almacen], DataFrame]]:
         "r04_clientes_rechazados": lambda a: spatial.registrar_clientes(a.d.clientes, a.d.calle, 2.0)[1],
         "r05_ruta_mas_corta": lambda a: a.ruta_pedido.select(
             "origen", "destino", "num_calles", "distancia", F.size("calles").alias("nodos")),
-        "r06_ruta_hasta_100": lambda a: paths.ruta_mas_corta(a.pares_pedido, a.d.road, 100).select(
+        "r06_ruta_hasta_100": lambda a: a.ruta_larga.select(
             "origen", "destino", F.col("num_calles").alias("segmentos")),
         "r07_ruta_menor_distancia": lambda a: paths.ruta_menor_distancia(a.pares_pedido, a.d.road).select(
             "origen", "destino", "distancia"),

@@ -49,6 +49,44 @@ def test_etiquetas(spark, azar, por, paso_sal):
     assert r == e
 
 
+def _con_cadenas(aristas, largo):
+    """Every segment becomes a chain of up to ``largo`` segments, and a ring hangs in the air."""
+    salida, nuevo = [], 10_000
+    for k, (a, b, w) in enumerate(aristas):
+        n = 1 + k * 7 % largo
+        nodos = [a, *range(nuevo, nuevo + n - 1), b]
+        nuevo += n
+        salida += [(x, y, w + j) for j, (x, y) in enumerate(zip(nodos, nodos[1:]))]
+    return salida + [(90_000, 90_001, 1.0), (90_001, 90_002, 1.0), (90_002, 90_000, 1.0)]
+
+
+@pytest.mark.parametrize("tope", [3, 25, 100])
+def test_ruta_por_tramos(spark, azar, tope):
+    e = _con_cadenas(azar, 9) + [(0, 3, 5.0), (7, 7, 1.0)]
+    # ends at junctions, inside chains, in the same chain, on the ring, nowhere
+    pares = [(a, b) for a in (0, 7, 99, 10_012, 90_000, 77_777) for b in (0, 3, 12, 57, 10_012, 10_014, 10_100, 90_001, 77_777)]
+    df = spark.createDataFrame(pares, "origen long, destino long")
+    columnas = ("origen", "destino", "num_calles", "distancia", "calles")
+    esperada = filas(paths.ruta_mas_corta(df, _df(spark, e), tope), *columnas)
+    assert filas(paths.ruta_por_tramos(df, _df(spark, e), tope), *columnas) == esperada
+    corto = {(a, b): _dijkstra(e, a, "saltos").get(b, (0, 0.0) if a == b else None) for a, b in pares}
+    assert {x[:2]: (x[2], x[3]) for x in esperada} == {k: v for k, v in corto.items() if v and v[0] <= tope}
+
+
+def test_red_contraida(spark):
+    """A road of 300 segments between two junctions is one row each way; its rounds are few, with and without a limit."""
+    e = [(i, i + 1, 1.0) for i in range(300)] + [(0, -1, 1.0), (0, -2, 1.0), (300, 301, 1.0), (300, 302, 1.0)]
+    df, paradas = _df(spark, e), spark.createDataFrame([], "id long")
+    c = paths.contraer(df, paradas)
+    assert (0, 1, 300, 299, 300, 300.0) in filas(c.tramos) and c.tramos.count() == 10
+    assert filas(c.dentro.filter("src = 0"), "pos", "nodo") == [(i, i) for i in range(1, 300)]
+    assert filas(paths.contraer(df, paradas, 100).tramos.filter("saltos > 1")) == []
+    medio = paths.contraer(df, spark.createDataFrame([(150,)], "id long"))
+    assert (300, 299, 150, 151, 150, 150.0) in filas(medio.tramos)
+    vacia = paths.contraer(df.limit(0), paradas)
+    assert vacia.tramos.isEmpty() and vacia.dentro.isEmpty()
+
+
 @pytest.mark.parametrize("tope", [1, 4, 5])
 def test_entre_pares(spark, azar, tope):
     pares = [(a, b) for a in (0, 3, 7, 99) for b in range(0, 60, 3)]
