@@ -271,12 +271,21 @@ def _rutas() -> dict[str, Callable[[Almacen], DataFrame]]:
         "r20_primeros_pasos": lambda a: paths.pasos_de_ruta(
             a.ruta_larga, ["origen", "destino"], a.d.calle, a.d.road),
         "r20_detalle_de_ruta": lambda a: paths.detalle_de_ruta(
-            a.ruta_larga, ["origen", "destino"], a.d.calle, a.d.road),
-        "r05_coordenadas": lambda a: paths.con_coordenadas(a.ruta_pedido, a.d.calle, ["origen", "destino"]),
+            a.ruta_larga, ["origen", "destino"], a.d.calle, a.d.road).withColumns({
+                "nodos": _texto("nodos", "osm_id", "lat", "lon"), "calles": _texto("calles", "nombre", "distancia")}),
+        "r05_coordenadas": lambda a: paths.con_coordenadas(a.ruta_pedido, a.d.calle, ["origen", "destino"]).withColumns({
+            "calles": F.array_join(F.col("calles").cast("array<string>"), ","),
+            "coordenadas": _texto("coordenadas", "lat", "lon")}),
         "r22_resumen_de_ruta": lambda a: paths.resumen_de_ruta(a.ruta_larga, a.d.calle, ["origen", "destino"]),
     }
 
 
+def _texto(lista: str, *campos: str) -> Column:
+    """A list of structs as text, for result comparison across engines; a missing name is a dash."""
+    return F.array_join(F.transform(lista, lambda x: F.concat_ws(
+        " ", *[F.coalesce(x[c].cast("string"), F.lit("-")) for c in campos])), ",")
+
+
 def _sin_ruta(df: DataFrame) -> DataFrame:
     """Orders without a leg as text, for result comparison across engines."""
     return df.withColumn("pedidos_sin_ruta", F.array_join(F.transform(

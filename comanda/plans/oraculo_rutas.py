@@ -33,6 +33,26 @@ def _ruta(tope: int) -> str:
         AND c.nodo = p.destino)"""
 
 
+def _camino(tope: int) -> str:
+    """The nodes of each path, k segments from its origin: of equally good predecessors the smallest one, from the end back."""
+    return f"""{_ruta(tope)},
+        previo AS (SELECT c.origen, c.nodo, MIN(v.src) AS pred FROM corta c JOIN via v ON v.dst = c.nodo
+          JOIN corta b ON b.origen = c.origen AND b.nodo = v.src AND b.h = c.h - 1 AND b.d + v.w = c.d GROUP BY 1, 2),
+        atras AS (SELECT origen, destino, destino AS nodo, h AS k, h, d FROM ruta
+          UNION ALL SELECT a.origen, a.destino, p.pred, a.k - 1, a.h, a.d FROM atras a
+          JOIN previo p ON p.origen = a.origen AND p.nodo = a.nodo WHERE a.k > 0)"""
+
+
+#: Each node of a path with its place, and the street to the next one.
+PASOS = f"""{_camino(100)},
+    calle_entre AS (SELECT src, dst, distancia, nombre FROM road UNION ALL SELECT dst, src, distancia, nombre FROM road),
+    pasos AS (SELECT a.origen, a.destino, a.h, CAST(a.k + 1 AS INT) AS paso, a.nodo AS nodo_id, c.lat AS latitud, c.lon AS longitud,
+      CASE WHEN a.k = a.h THEN 'DESTINO' ELSE e.nombre END AS calle, CASE WHEN a.k = a.h THEN 0.0::DOUBLE ELSE e.distancia END
+        AS distancia_m
+      FROM atras a JOIN calle c ON c.id = a.nodo LEFT JOIN atras b ON b.origen = a.origen AND b.destino = a.destino AND b.k = a.k + 1
+      LEFT JOIN calle_entre e ON e.src = a.nodo AND e.dst = b.nodo)"""
+
+
 MATRIZ = f"""WITH RECURSIVE {ANCLA}, {_saltos(100)}, m AS (SELECT r.id AS rid, r.nombre AS restaurante, k.id AS kid, k.email AS cliente, c.h
     FROM corta c JOIN ancla a ON a.nodo = c.origen JOIN restaurantes r ON r.id = a.id JOIN clientes k ON k.id = c.nodo)"""
 
@@ -75,6 +95,17 @@ registrar(
     r18_cliente_accesible=f"{MATRIZ} SELECT cliente, ROUND(AVG(h), 2) AS promedio_segmentos FROM m GROUP BY kid, 1",
     r19_prueba_conectividad=f"""{MATRIZ} SELECT COUNT(*) AS rutas_exitosas,
         (SELECT COUNT(*) FROM restaurantes) * (SELECT COUNT(*) FROM clientes) AS rutas_totales FROM m""",
+    r05_coordenadas=f"""{_camino(20)} SELECT origen, destino, h AS num_calles, d AS distancia,
+        string_agg(CAST(nodo AS VARCHAR), ',' ORDER BY k) AS calles,
+        string_agg(CAST(lat AS VARCHAR) || ' ' || CAST(lon AS VARCHAR), ',' ORDER BY k) AS coordenadas
+        FROM atras JOIN calle ON calle.id = nodo GROUP BY origen, destino, h, d""",
+    r20_primeros_pasos=f"""{PASOS} SELECT origen, destino, paso, nodo_id, latitud, longitud, calle, distancia_m FROM pasos
+        WHERE paso <= 10""",
+    r20_detalle_de_ruta=f"""{PASOS} SELECT origen, destino, h AS total_segmentos,
+        string_agg(CAST(nodo_id AS VARCHAR) || ' ' || CAST(latitud AS VARCHAR) || ' ' || CAST(longitud AS VARCHAR), ',' ORDER BY paso)
+          AS nodos,
+        COALESCE(string_agg(COALESCE(calle, '-') || ' ' || CAST(distancia_m AS VARCHAR), ',' ORDER BY paso)
+          FILTER (WHERE paso <= h), '') AS calles FROM pasos GROUP BY origen, destino, h""",
     r22_resumen_de_ruta=f"""{_ruta(100)} SELECT origen, destino, a.lat AS lat_origen, a.lon AS lon_origen, b.lat AS lat_destino,
         b.lon AS lon_destino, ROUND(d / 10) / 100 AS distancia_km, ROUND(d * 0.6::DOUBLE / 30) / 10 AS tiempo_estimado_min,
         h AS segmentos FROM ruta JOIN calle a ON a.id = origen JOIN calle b ON b.id = destino""",
