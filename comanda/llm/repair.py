@@ -2,11 +2,14 @@
 
 Each block starts from its ids and replaces the most frequent adjacent pairs by new symbols, again and again,
 until no pair stands ``FRECUENCIA`` times.  No pair spans two texts, so every text is a stretch of symbols.  A
-block is one binary value: header, rules, expansion length of each rule, text table, symbols.
+block is one binary value: header, text table, rules, expansion length of each rule, symbols; every part is packed at
+the bits that its largest number needs.  ``indice`` tells in which block and place a text is, and ``buscar`` decodes the
+texts asked for without expanding any other.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
@@ -17,11 +20,15 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from comanda.llm.comun import Memoria, como_fila, cortar, por_trabajador, textos
 from comanda.plans.durable import Corte
 
-MAGIA = 0x31525052
+MAGIA = 0x32525052
+_CABEZA = 11
+#: Numbers packed or unpacked at a time.
+_TANDA = 1 << 16
 #: Ids of a block (a longer text is a block of its own) and the least count of a pair that becomes a rule.
 IDS_POR_BLOQUE = 1 << 20
 FRECUENCIA = 16
@@ -32,6 +39,45 @@ _LLANO = re.compile("[!-;=-~À-ÖØ-öø-ÿ]*")
 _PRETOKEN = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
 
 
+# Fixed value: the rules of tokenizer files whose plain chunks are encoded apart.  Files with other rules go to the library.
+_REGLAS_LLANAS = {
+    "normalizer": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}],
+    "pre_tokenizer": [
+        {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"},
+         "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
+
+
+def _bits(x: np.ndarray) -> int:
+    return max(1, int(x.max()).bit_length()) if len(x) else 1
+
+
+def _largo_en_bytes(n: int, w: int) -> int:
+    return -(-n * w // 8)
+
+
+def empacar(x: np.ndarray, w: int) -> bytes:
+    """Numbers from 0, ``w`` bits each, lowest bit first."""
+    partes = []
+    for i in range(0, len(x), _TANDA):
+        b = x[i: i + _TANDA].astype("<u8").view("u1").reshape(-1, 8)
+        partes.append(np.packbits(np.unpackbits(b, axis=1, count=w, bitorder="little").ravel(), bitorder="little").tobytes())
+    return b"".join(partes)
+
+
+def desempacar(b: memoryview, w: int, desde: int, hasta: int) -> np.ndarray:
+    """Numbers ``desde`` to ``hasta`` of a packed part; only their bytes are read."""
+    salida = np.empty(hasta - desde, np.int64)
+    for i in range(desde, hasta, _TANDA):
+        z = min(i + _TANDA, hasta)
+        byte, resto = divmod(i * w, 8)
+        u = np.unpackbits(np.frombuffer(b[byte: _largo_en_bytes(z, w)], "u1"), bitorder="little")[resto: resto + (z - i) * w]
+        m = np.zeros((z - i, 64), np.uint8)
+        m[:, :w] = u.reshape(-1, w)
+        salida[i - desde: z - desde] = np.packbits(m, axis=1, bitorder="little").view("<u8").ravel().astype(np.int64)
+    return salida
+
+
 def _cubo(par: np.ndarray) -> np.ndarray:
     return (par * -7046029254386353131 >> 40) & 0xFFFF
 
@@ -107,41 +153,57 @@ def a_bytes(docs: list[int | None], ids: list[np.ndarray], base: int) -> bytes:
     fin = np.zeros(len(todos), bool)
     fin[np.cumsum(largo) - 1] = True
     reglas, s, ultimos = comprimir(todos, fin, base)
-    cabeza = np.array([MAGIA, base, len(docs), len(reglas), len(s), 0], "<u4")
-    return b"".join(x.tobytes() for x in (
-        cabeza, np.array([0 if d is None else d for d in docs], "<i8"), np.array([d is None for d in docs], "u1"),
-        (ultimos + 1).astype("<u4"), largo.astype("<u4"), reglas.T.astype("<u4"), largos(reglas, base).astype("<u4"),
-        s.astype("<u4")))
+    nulos = np.array([d is None for d in docs], np.int64)
+    con = [d for d in docs if d is not None]
+    menor = min(con, default=0)
+    # differences of any two longs fit 64 bits
+    ids_ = np.array([0 if d is None else d - menor for d in docs], np.uint64)
+    de_texto = np.diff(ultimos + 1, prepend=0)
+    n = largos(reglas, base)
+    partes = [nulos, ids_, de_texto, largo, reglas.ravel(), n, s]
+    w = [_bits(x) for x in partes]
+    cabeza = np.array([MAGIA, base, len(docs), len(reglas), len(s), *w[1:], 0], "<u4")
+    return b"".join([cabeza.tobytes(), np.array([menor], "<i8").tobytes(), *map(empacar, partes, w)])
 
 
 class Bloque:
-    """A block read back; decodes whole texts or a stretch of one without the others."""
+    """A block read back; decodes whole texts or a stretch of one without the others.  Opening it reads the text table
+    and the rules; symbols are unpacked where they are asked for."""
 
-    def __init__(self, b: bytes):
-        magia, self.base, n, r, s, _ = np.frombuffer(b, "<u4", 6).tolist()
+    def __init__(self, b: bytes, solo_tabla: bool = False):
+        magia, self.base, n, r, self.n_simbolos, *w, _ = np.frombuffer(b, "<u4", _CABEZA + 1).tolist()
         if magia != MAGIA:
             raise ValueError("not a block of ids")
-        en = 24
+        en = 4 * (_CABEZA + 1)
+        menor = int(np.frombuffer(b, "<i8", 1, en)[0])
+        en += 8
+        vista = memoryview(b)
+        partes = []
+        for cuantos, ancho in zip((n, n, n, n, 2 * r, r, self.n_simbolos), (1, *w)):
+            partes.append((vista[en: en + _largo_en_bytes(cuantos, ancho)], ancho, cuantos))
+            en += _largo_en_bytes(cuantos, ancho)
+
+        def trae(k: int) -> np.ndarray:
+            v, ancho, cuantos = partes[k]
+            return desempacar(v, ancho, 0, cuantos)
 
-        def trae(tipo: str, cuantos: int) -> np.ndarray:
-            nonlocal en
-            x = np.frombuffer(b, tipo, cuantos, en)
-            en += x.nbytes
-            return x
+        # an id less the smallest one may take all 64 bits
+        self.docs = [None if z else int(d) + menor for d, z in zip(trae(1).view(np.uint64), trae(0))]
+        self.hasta, self.largo = np.cumsum(trae(2)), trae(3)
+        if not solo_tabla:
+            self.reglas, self.expande = trae(4).reshape(-1, 2), trae(5)
+        self._simbolos = partes[6]
 
-        ids, nulos = trae("<i8", n), trae("u1", n)
-        self.docs = [None if z else int(d) for d, z in zip(ids, nulos)]
-        self.hasta, self.largo = trae("<u4", n).astype(np.int64), trae("<u4", n).astype(np.int64)
-        self.reglas = trae("<u4", 2 * r).reshape(2, r).T.astype(np.int64)
-        self.expande = trae("<u4", r).astype(np.int64)
-        self.simbolos = trae("<u4", s)
+    def simbolos(self, desde: int = 0, hasta: int | None = None) -> np.ndarray:
+        v, ancho, cuantos = self._simbolos
+        return desempacar(v, ancho, desde, cuantos if hasta is None else hasta)
 
     def todos(self) -> np.ndarray:
-        return expandir(self.simbolos, self.reglas, self.base).astype("<u4")
+        return expandir(self.simbolos(), self.reglas, self.base).astype("<u4")
 
     def texto(self, k: int, desde: int = 0, hasta: int | None = None) -> np.ndarray:
         """Ids ``desde`` to ``hasta`` of the k-th text: expansion lengths tell which symbols to expand."""
-        s = self.simbolos[self.hasta[k - 1] if k else 0: self.hasta[k]].astype(np.int64)
+        s = self.simbolos(int(self.hasta[k - 1]) if k else 0, int(self.hasta[k]))
         hasta = int(self.largo[k]) if hasta is None else min(hasta, int(self.largo[k]))
         n = np.ones(len(s), np.int64)
         n[s >= self.base] = self.expande[s[s >= self.base] - self.base]
@@ -167,6 +229,9 @@ class Tokens:
         self.lib = Tokenizer.from_file(ruta)
         self.base = self.lib.get_vocab_size(with_added_tokens=True)
         self.trozos, self.piezas = Memoria(RECUERDA), Memoria(RECUERDA // 2)
+        de_ruta = json.loads(self.lib.to_str())
+        self.llana = all((de_ruta.get(k) or {}).get(c) == _REGLAS_LLANAS[k] for k, c in (
+            ("normalizer", "normalizers"), ("pre_tokenizer", "pretokenizers")))
 
     def _por_piezas(self, memo: Memoria, distintas: set[str], codificar) -> dict[str, bytes]:
         """Ids of each, new ones by ``codificar`` all together."""
@@ -187,6 +252,8 @@ class Tokens:
         return [tabla[x[0]] if len(x) == 1 else b"".join([tabla[y] for y in x]) for x in de]
 
     def textos(self, t: list[str]) -> list[bytes]:
+        if not self.llana:
+            return list(self._biblioteca(t))
         partes = []
         for x in t:
             for c in _BLANCOS:
@@ -202,13 +269,17 @@ def tokens(ruta: str) -> Tokens:
 
 
 def escribir(docs: DataFrame, codificador: Callable[[], Tokens], id_doc: str = "doc_id", texto: str = "text",
-             fin: int = 2, ids_por_bloque: int = IDS_POR_BLOQUE) -> DataFrame:
+             fin: int = 2, ids_por_bloque: int = IDS_POR_BLOQUE, salida: str | None = None) -> DataFrame:
     """Writes the blocks and returns them as read back: (parte, bloque, n_ids, contenido), in order of both.
 
+    ``salida`` is the new folder that they are written to and stay in; without one it is a scratch folder.
+
     Texts go by id, null first; equal ids by text hash, then text, so repeated rows have a defined order.  They
     are dealt out by ranges of id and hash: neither many rows with one id nor copies fill a range alone.  Null
     text is empty and has only the end id.
     """
+    if not isinstance(docs.schema[id_doc].dataType, IntegralType):
+        raise ValueError(f"{id_doc} must be a whole number")
     f = docs.select(F.col(id_doc).cast("bigint").alias("id"), F.coalesce(F.col(texto), F.lit("")).alias("t"))
     h = F.xxhash64("t")
     f = f.repartitionByRange(F.col("id").asc_nulls_first(), h).sortWithinPartitions(F.col("id").asc_nulls_first(), h, "t")
@@ -236,6 +307,9 @@ def escribir(docs: DataFrame, codificador: Callable[[], Tokens], id_doc: str = "
             yield cierra()
 
     df = como_fila(f).mapInArrow(guardar, "parte bigint, bloque bigint, n_ids bigint, contenido binary")
+    if salida is not None:
+        df.write.parquet(salida)
+        return docs.sparkSession.read.schema(df.schema).parquet(salida)
     return Corte(docs.sparkSession, "ids").guardar(df)[0]
 
 
@@ -265,3 +339,44 @@ def leer(bloques: DataFrame) -> DataFrame:
                     "n_tokens": pa.array(b.largo), "ids_crc32": pa.array(suma, pa.int64())})
 
     return como_fila(con).mapInArrow(decodificar, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
+
+
+def indice(bloques: DataFrame) -> DataFrame:
+    """(doc_id, parte, bloque, lugar, n_tokens): where each text is, from the text tables alone."""
+    def tabla(lotes: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for lote in lotes:
+            for f in lote.column(0):
+                b = Bloque(f["contenido"].as_py(), solo_tabla=True)
+                n = len(b.docs)
+                yield pa.RecordBatch.from_pydict({
+                    "doc_id": pa.array(b.docs, pa.int64()), "parte": pa.array(np.full(n, f["parte"].as_py(), np.int64)),
+                    "bloque": pa.array(np.full(n, f["bloque"].as_py(), np.int64)), "lugar": pa.array(np.arange(n)),
+                    "n_tokens": pa.array(b.largo)})
+
+    return como_fila(bloques.select("parte", "bloque", "contenido")).mapInArrow(
+        tabla, "doc_id bigint, parte bigint, bloque bigint, lugar bigint, n_tokens bigint")
+
+
+def buscar(bloques: DataFrame, lugares: DataFrame, pedidos: DataFrame, desde: int = 0, hasta: int | None = None) -> DataFrame:
+    """(doc_id, parte, bloque, lugar, ids): ids ``desde`` to ``hasta`` of every text whose id is in ``pedidos(doc_id)``.
+
+    ``lugares`` is ``indice``, best written beside the blocks.  Places are gathered per block (a block holds at most
+    ``IDS_POR_BLOQUE`` texts), so a block travels once however many of its texts are asked for, and others not at all.
+    An id of several rows gives all of them, an unknown id none, a null id the texts without an id.
+    """
+    p = pedidos.select(F.col("doc_id").alias("_pedido")).distinct()
+    por_bloque = (lugares.join(p, lugares["doc_id"].eqNullSafe(p["_pedido"]), "left_semi").groupBy("parte", "bloque")
+                  .agg(F.sort_array(F.collect_list("lugar")).alias("lugares")))
+    con = bloques.select("parte", "bloque", "contenido").join(por_bloque, ["parte", "bloque"])
+
+    def decodificar(lotes: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for lote in lotes:
+            for f in lote.column(0):
+                b = Bloque(f["contenido"].as_py())
+                for k in f["lugares"].as_py():
+                    yield pa.RecordBatch.from_pydict({
+                        "doc_id": pa.array([b.docs[k]], pa.int64()), "parte": pa.array([f["parte"].as_py()], pa.int64()),
+                        "bloque": pa.array([f["bloque"].as_py()], pa.int64()), "lugar": pa.array([k], pa.int64()),
+                        "ids": pa.array([b.texto(k, desde, hasta).astype(np.int64)], pa.list_(pa.int64()))})
+
+    return como_fila(con).mapInArrow(decodificar, "doc_id bigint, parte bigint, bloque bigint, lugar bigint, ids array<bigint>")

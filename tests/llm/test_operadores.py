@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import json
 import random
 import re
 import uuid
@@ -247,7 +248,7 @@ def test_gramatica():
     g = np.random.default_rng(1)
     textos = [g.integers(0, 4, n) for n in (1, 5000, 3, 700, 1, 64)] + [np.zeros(300, np.int64), np.tile([1, 2, 3], 400)]
     b = repair.Bloque(repair.a_bytes([None, 5, 6, 7, 8, 9, 10, 11], textos, 50))
-    assert b.docs == [None, 5, 6, 7, 8, 9, 10, 11] and len(b.simbolos) < sum(map(len, textos)) / 2
+    assert b.docs == [None, 5, 6, 7, 8, 9, 10, 11] and b.n_simbolos < sum(map(len, textos)) / 2
     assert (b.todos() == np.concatenate(textos)).all()
     for k, t in enumerate(textos):
         assert (b.texto(k) == t).all()
@@ -255,6 +256,52 @@ def test_gramatica():
             assert (b.texto(k, a, z) == t[a:z]).all()
 
 
+def test_empacado():
+    g = np.random.default_rng(2)
+    for w in (1, 5, 8, 16, 17, 33, 63):
+        x = g.integers(0, 1 << w, 70_001)
+        b = memoryview(repair.empacar(x, w))
+        assert len(b) == -(-len(x) * w // 8)
+        for a, z in ((0, len(x)), (0, 0), (3, 4), (65_530, 65_550), (70_000, 70_001)):
+            assert (repair.desempacar(b, w, a, z) == x[a:z]).all()
+    lejos = [-(1 << 63), None, 0, (1 << 63) - 1]
+    assert repair.Bloque(repair.a_bytes(lejos, [np.array([k]) for k in range(4)], 9)).docs == lejos
+    # blocks are smaller than the same ids at 16 bits
+    frases = [g.integers(0, 49_000, 12) for _ in range(300)]
+    textos = [np.concatenate([frases[k] for k in g.integers(0, 300, 20)]) for _ in range(400)]
+    bloque = repair.a_bytes(list(range(400)), textos, 49_408)
+    assert len(bloque) < sum(map(len, textos)) * 2 / 4
+    assert (repair.Bloque(bloque).todos() == np.concatenate(textos)).all()
+
+
+def test_reparacion_por_id(spark, docs):
+    ruta = vocabularios.path("word_bpe_49k.json")
+    salida = f"{carpeta_compartida(spark)}/ids_{uuid.uuid4().hex}"
+    escritos = repair.escribir(docs, lambda: repair.tokens(ruta), ids_por_bloque=500, salida=salida)
+    lugares, lib = repair.indice(escritos), repair.tokens(ruta).lib
+    assert lugares.count() == len(FILAS) and spark.read.parquet(salida).count() == escritos.count() > 3
+    pedidos = spark.createDataFrame([(7,), (7,), (13,), (None,), (4040,)], "doc_id bigint")
+    for a, z in ((0, None), (2, 9)):
+        got = repair.buscar(escritos, lugares, pedidos, a, z).collect()
+        espera = [(i, (lib.encode(t or "", add_special_tokens=False).ids + [2])[a:z]) for i, t, _ in FILAS if i in (7, 13, None)]
+        assert sorted(map(repr, ((r.doc_id, r.ids) for r in got))) == sorted(map(repr, espera))
+    with pytest.raises(ValueError):
+        repair.escribir(docs.withColumn("doc_id", F.lit("x")), lambda: repair.tokens(ruta))
+
+
+def test_otra_regla(tmp_path):
+    """A file with another split rule goes to the library."""
+    t = repair.Tokens(vocabularios.path("word_bpe_49k.json"))
+    assert t.llana
+    otra = json.loads(t.lib.to_str())
+    otra["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"] = "[a-z]{1,3}|[^a-z\\s]"
+    (tmp_path / "otra.json").write_text(json.dumps(otra))
+    u = repair.Tokens(str(tmp_path / "otra.json"))
+    assert not u.llana
+    for x, b in zip(TEXTOS[1:9], u.textos(TEXTOS[1:9])):
+        assert np.frombuffer(b, "<u4").tolist() == u.lib.encode(x, add_special_tokens=False).ids
+
+
 def test_tokens_por_trozos():
     t = repair.tokens(vocabularios.path("word_bpe_49k.json"))
     letras = "aBc É ß\n\t'sRe1é世İΣ🙂́ !?,.<|>0\x1c\xa0 Ÿ½²"
