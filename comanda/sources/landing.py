@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+from urllib.parse import unquote
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,6 +26,7 @@ ESQUEMAS = {
     "nombres_calle": "node_id STRING, street_name STRING",
 }
 CORRUPTA = "_corrupt_record"
+_SOBRA, _LINEA = "_sobra", "_linea"
 
 _NODO = "_id STRING, _lat DOUBLE, _lon DOUBLE"
 _VIA = "_id STRING, nd ARRAY<STRUCT<_ref: STRING>>, tag ARRAY<STRUCT<_k: STRING, _v: STRING>>"
@@ -32,32 +36,55 @@ def esquema(entidad: str) -> T.StructType:
     return T.StructType.fromDDL(ESQUEMAS[entidad])
 
 
+def indice_de_cabeceras(spark: SparkSession, ruta: str) -> list[list[str]]:
+    """The files of a folder (or the one file) in groups of equal first lines; empty files are in none.
+
+    First lines are read as a table, one row a file, in one text scan.  The driver gets the file names, which Spark's own
+    file listing holds there as well.  The line only tells the groups apart: how it is split is left to the CSV reader.
+    """
+    lineas = spark.read.text(ruta).select(
+        F.col("_metadata.file_path").alias("ruta"), F.col("_metadata.file_block_start").alias("desde"), "value",
+        F.monotonically_increasing_id().alias("n")).filter("desde = 0")
+    primeras_lineas = lineas.groupBy("ruta").agg(F.min_by("value", "n").alias("cabecera"))
+    grupos = primeras_lineas.groupBy("cabecera").agg(F.sort_array(F.collect_list("ruta")).alias("rutas"))
+    return sorted([unquote(x) for x in g["rutas"]] for g in grupos.collect())
+
+
 def leer_csv(spark: SparkSession, ruta: str, entidad: str, opcional: bool = False, con_corruptas: bool = False) -> DataFrame:
-    """Typed frame of a header CSV, columns matched by name; 't'/'f' are read as booleans.
+    """Typed frame of header CSVs, columns matched by name; 't'/'f' are read as booleans.
 
-    A value that does not fit its column becomes NULL; ``con_corruptas`` also keeps the raw
-    line of such rows.  ``opcional`` gives an empty typed frame when the path does not exist.
+    The files of a folder may have their columns in any order and number: files of equal header are one scan.  A column
+    that a file lacks is NULL, others that it has are left out.  A value that does not fit its column becomes NULL;
+    ``con_corruptas`` also keeps the raw line of such rows.  Files without a line give no rows.  ``opcional`` gives an
+    empty typed frame when the path does not exist.
     """
     tipos = esquema(entidad)
+    vacia = T.StructType([*tipos, *([T.StructField(CORRUPTA, T.StringType())] if con_corruptas else [])])
     if opcional and not _existe(spark, ruta):
-        return spark.createDataFrame([], tipos)
-    texto = T.StructType([T.StructField(c.name, T.StringType()) for c in tipos]
-                         + ([T.StructField(CORRUPTA, T.StringType())] if con_corruptas else []))
-    # columns are matched by the header of the file, whatever their order or number
-    crudo = spark.read.option("header", True).option("enforceSchema", False).option("escape", '"').option("multiLine", True).csv(ruta)
-    columnas = []
-    for c in texto:
-        if c.name == CORRUPTA:
-            continue
-        origen = F.col(c.name) if c.name in crudo.columns else F.lit(None).cast("string")
-        columnas.append(origen.try_cast(tipos[c.name].dataType).alias(c.name))
+        return spark.createDataFrame([], vacia)
+    grupos = indice_de_cabeceras(spark, ruta)
+    partes = [_de_un_orden(spark, ruta if len(grupos) == 1 else g, tipos, con_corruptas) for g in grupos]
+    if not partes:
+        return spark.createDataFrame([], vacia)
+    return reduce(DataFrame.unionByName, partes)
+
+
+def _de_un_orden(spark: SparkSession, rutas: str | list[str], tipos: T.StructType, con_corruptas: bool) -> DataFrame:
+    lector = lambda: spark.read.option("header", True).option("escape", '"').option("multiLine", True)
+    crudo = lector().option("enforceSchema", False).csv(rutas)
+    nombres = crudo.columns
+    if con_corruptas:
+        # with a column more than the file has, every row is one that the reader keeps the raw text of
+        texto = T.StructType([T.StructField(c, T.StringType()) for c in [*nombres, _SOBRA, _LINEA]])
+        crudo = lector().schema(texto).option("columnNameOfCorruptRecord", _LINEA).csv(rutas)
+    columnas = [(F.col(f"`{c.name}`") if c.name in nombres else F.lit(None).cast("string")).try_cast(c.dataType).alias(c.name)
+                for c in tipos]
     if con_corruptas:
-        mal = [F.col(c.name).isNotNull() & F.col(c.name).try_cast(c.dataType).isNull()
-               for c in tipos if c.name in crudo.columns]
-        alguno = mal[0]
-        for m in mal[1:]:
-            alguno = alguno | m
-        columnas.append(F.when(alguno, F.to_json(F.struct(*crudo.columns))).alias(CORRUPTA))
+        mal = [F.col(f"`{c.name}`").isNotNull() & F.col(f"`{c.name}`").try_cast(c.dataType).isNull()
+               for c in tipos if c.name in nombres]
+        # a row with just that one value too many has no raw text; it is written anew
+        linea = F.coalesce(_LINEA, F.to_csv(F.struct(*[f"`{c}`" for c in nombres], _SOBRA)))
+        columnas.append(F.when(reduce(Column.__or__, mal, F.lit(False)), linea).alias(CORRUPTA))
     return crudo.select(columnas)
 
 
