@@ -7,6 +7,12 @@ from comanda.plans.oraculo_grafo import REALIZO
 registrar(
     s01_restaurantes_csv="SELECT id, nombre, capacidad, categoria_local, lat, lon, true AS sin_telefono FROM restaurantes",
     s02_menus_csv="SELECT id, titulo, categoria, activo, restaurante_id FROM menus",
+    s02_menus_dos_ordenes="SELECT id, titulo || chr(10) || categoria AS titulo, categoria, activo, restaurante_id FROM menus",
+    k06_documentos_fusionados="""SELECT id AS _id, CAST(to_json({'id': id, 'titulo': titulo, 'categoria': categoria,
+        'activo': activo, 'restaurante_id': restaurante_id,
+        'updated_at': IF(activo, '2024-02-01T02:00:00', '2024-01-31T02:00:00')}) AS VARCHAR) AS doc FROM menus""",
+    k08_grafo_fusionado=f"""SELECT id, IF(pais = 'ASIA', rol, 'sin rol') AS rol, COUNT(r.dst) AS pedidos
+        FROM usuarios LEFT JOIN (SELECT DISTINCT src, dst FROM ({REALIZO})) r ON r.src = id GROUP BY id, pais, rol""",
     s03_detalle_opcional="SELECT pedido_id, producto_id, cantidad, precio_unitario FROM pedido_detalle",
     s04_clientes_limitados="""SELECT id, split_part(email, '#', 1) AS nombre
         FROM (SELECT * FROM usuarios ORDER BY id LIMIT 500) WHERE rol = 'MACHINERY'""",

@@ -12,7 +12,7 @@ from comanda.functions import expr
 from comanda.operators import grafo
 from comanda.plans import almacen
 from comanda.plans.durable import carpeta_compartida
-from comanda.sources import landing, sinks
+from comanda.sources import guardadas, landing, sinks
 from comanda.sources.derivadas import Dominio
 
 
@@ -38,6 +38,36 @@ def menus_csv(d: Dominio) -> DataFrame:
     return _por_csv(d, d.menus.withColumn("activo", letra), "menus")
 
 
+def menus_dos_ordenes(d: Dominio) -> DataFrame:
+    """Active menus in files of one column order, the others in another; titles have a line break."""
+    ruta, columnas = _nueva(d), ["id", "titulo", "categoria", "activo", "restaurante_id"]
+    m = d.menus.withColumn("titulo", F.concat_ws("\n", "titulo", "categoria")).select(*columnas)
+    sinks.escribir_csv(m.filter("activo"), f"{ruta}/activos")
+    sinks.escribir_csv(m.filter("NOT coalesce(activo, false)").select(*reversed(columnas)), f"{ruta}/otros")
+    return landing.leer_csv(d.spark, f"{ruta}/*", "menus")
+
+
+def documentos_fusionados(d: Dominio) -> DataFrame:
+    """Search documents of the whole catalogue, and a later load of the active products over them."""
+    ruta = _nueva(d)
+    for menus, cuando in ((d.menus, "2024-01-31T02:00:00"), (d.menus.filter("activo"), "2024-02-01T02:00:00")):
+        guardadas.fusionar(sinks.documentos_busqueda(menus, F.lit(cuando)), ruta, ["_id"])
+    return guardadas.leer(d.spark, ruta)
+
+
+def grafo_fusionado(d: Dominio) -> DataFrame:
+    """Users and their orders loaded twice, the second time with the roles of one region: stored nodes and edges meet."""
+    ruta = _nueva(d)
+    pedidos = {"REALIZO": grafo.realizo(d.usuarios, d.pedidos_cabecera).select("src", "dst")}
+    nodos = d.usuarios.select("id", "rol")
+    guardadas.fusionar_grafo({"Usuario": nodos.withColumn("rol", F.lit("sin rol"))}, pedidos, ruta)
+    guardadas.fusionar_grafo({"Usuario": d.usuarios.filter("pais = 'ASIA'").select("id", "rol")}, pedidos, ruta)
+    por_usuario = (guardadas.leer(d.spark, f"{ruta}/aristas/REALIZO").groupBy(F.col("src").alias("id"))
+                   .agg(F.count("*").alias("pedidos")))
+    return (guardadas.leer(d.spark, f"{ruta}/nodos/Usuario").join(por_usuario, "id", "left")
+            .select("id", "rol", F.coalesce("pedidos", F.lit(0)).cast("bigint").alias("pedidos")))
+
+
 def detalle_opcional(d: Dominio) -> DataFrame:
     """An optional file that is there and one that is not."""
     ruta = _nueva(d)
@@ -153,6 +183,7 @@ def consultas() -> dict[str, Callable[[Dominio], DataFrame]]:
     return {
         "s01_restaurantes_csv": restaurantes_csv,
         "s02_menus_csv": menus_csv,
+        "s02_menus_dos_ordenes": menus_dos_ordenes,
         "s03_detalle_opcional": detalle_opcional,
         "s04_clientes_limitados": lambda d: landing.clientes(usuarios_de_reparto(d), 500).select("id", "nombre"),
         "s05_hechos_guardados": hechos_guardados,
@@ -161,6 +192,8 @@ def consultas() -> dict[str, Callable[[Dominio], DataFrame]]:
         "s10_catalogo_reciente": catalogo_reciente,
         "j09_pedidos_activos": pedidos_activos,
         "k05_cubo_guardado": cubo_guardado,
+        "k06_documentos_fusionados": documentos_fusionados,
+        "k08_grafo_fusionado": grafo_fusionado,
         "k07_grafo_guardado": grafo_guardado,
         "p07_estados": estados,
         "p09_listado_restaurantes": lambda d: d.restaurantes.select("id", "nombre", "lat", "lon").orderBy("id"),
