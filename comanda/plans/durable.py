@@ -8,6 +8,8 @@ which lets Spark re-decide broadcast or shuffle in every round from measured byt
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,13 +33,42 @@ def carpeta_compartida(spark: SparkSession) -> str:
     return base
 
 
+#: What the open ``trabajo`` blocks have written: folders, tables and databases, innermost block last.
+_TRABAJOS: list[list[tuple[str, str]]] = []
+
+
+def anotar(clase: str, nombre: str) -> str:
+    """Notes a folder (``ruta``), ``TABLE`` or ``DATABASE`` that goes when the open ``trabajo`` block ends."""
+    if _TRABAJOS:
+        _TRABAJOS[-1].append((clase, nombre))
+    return nombre
+
+
+@contextmanager
+def trabajo(spark: SparkSession) -> Iterator[None]:
+    """Removes, after success and after failure, everything that operators have written within the block for themselves.
+
+    Results are read from such tables, so they must be written elsewhere or collected inside.  Without a block the tables
+    stay, since nobody but the caller knows when a result has been read.
+    """
+    _TRABAJOS.append([])
+    try:
+        yield
+    finally:
+        for clase, nombre in reversed(_TRABAJOS.pop()):
+            if clase == "ruta":
+                _borrar(spark, nombre)
+            else:
+                spark.sql(f"DROP {clase} IF EXISTS {nombre}" + (" CASCADE" if clase == "DATABASE" else ""))
+
+
 class Corte:
     """One iterative job: each ``guardar`` writes a table and returns it with its row count."""
 
     def __init__(self, spark: SparkSession, nombre: str):
         self.spark = spark
         self.nombre = f"{nombre}_{uuid.uuid4().hex}"
-        self.raiz = f"{carpeta_compartida(spark)}/{self.nombre}"
+        self.raiz = anotar("ruta", f"{carpeta_compartida(spark)}/{self.nombre}")
         self.n = 0
         self.estado: str | None = None
         self.por_clave: list[tuple[str, str]] = []
@@ -72,6 +103,7 @@ class Corte:
         ruta, tabla = self._ruta(), f"{_BASE}.{self.nombre}_{self.n:05d}"
         cubetas = max(int(self.spark.conf.get("spark.sql.shuffle.partitions")),
                       -(-_largo(self.spark, bruto) // BYTES_POR_CUBETA))
+        anotar("TABLE", tabla)
         (df.repartition(cubetas, *claves).write.bucketBy(cubetas, *claves).format("parquet")
          .option("path", ruta).saveAsTable(tabla))
         self.por_clave.append((tabla, ruta))

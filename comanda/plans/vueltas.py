@@ -11,13 +11,13 @@ from pyspark.sql import functions as F
 from comanda.functions import expr
 from comanda.operators import grafo
 from comanda.plans import almacen
-from comanda.plans.durable import carpeta_compartida
+from comanda.plans.durable import anotar, carpeta_compartida
 from comanda.sources import guardadas, landing, sinks
 from comanda.sources.derivadas import Dominio
 
 
 def _nueva(d: Dominio) -> str:
-    return f"{carpeta_compartida(d.spark)}/vuelta_{uuid.uuid4().hex}"
+    return anotar("ruta", f"{carpeta_compartida(d.spark)}/vuelta_{uuid.uuid4().hex}")
 
 
 def _por_csv(d: Dominio, df: DataFrame, entidad: str) -> DataFrame:
@@ -102,7 +102,7 @@ def estados(d: Dominio) -> DataFrame:
 
 def _base_construida(d: Dominio) -> str:
     """Star tables in a database in the shared folder: declared first, then replaced twice."""
-    base = f"comanda_vuelta_{uuid.uuid4().hex}"
+    base = anotar("DATABASE", f"comanda_vuelta_{uuid.uuid4().hex}")
     sinks.crear_base(d.spark, base, _nueva(d))
     sinks.crear_tablas(d.spark, base)
     almacen.construir_estrella(d.usuarios, d.restaurantes, d.menus, d.reservas, d.pedidos_cabecera, base=base)
