@@ -198,15 +198,32 @@ def pares_similares(s: Similitud, nombre: str) -> DataFrame:
             .select("a", "b", "score", F.col("comunes").alias(nombre), "entidades_a", "entidades_b"))
 
 
-def recomendar_productos(compras: DataFrame, detalle: DataFrame, minimo: int = 2, k: int = 5) -> DataFrame:
+#: Buyers of a product that meet its neighbours in one key.
+COMPRADORES_POR_CLAVE = 100_000
+
+
+def recomendar_productos(compras: DataFrame, detalle: DataFrame, minimo: int = 2, k: int = 5,
+                         por_clave: int = COMPRADORES_POR_CLAVE) -> DataFrame:
     """Per user, the k products most often bought together with products the user has bought
     and that the user has not bought.  ``compras(usuario_id, producto_id)`` is distinct; only
-    products bought together at least ``minimo`` times recommend each other."""
+    products bought together at least ``minimo`` times recommend each other.
+
+    A product with more than ``por_clave`` buyers is as many join keys: its buyers are dealt out by user, its neighbours
+    (at most all products) go to each key.
+    """
     pares = pares_de_productos(cestas(detalle)).filter(F.col("veces") >= minimo)
-    vecinos = pares.select(F.inline(F.array(
+    # counted from all baskets, so it is worked out once and not for each part that reads it
+    vecinos, _ = Corte(compras.sparkSession, "vecinos").guardar(pares.select(F.inline(F.array(
         F.struct(F.col("prod1").alias("producto_id"), F.col("prod2").alias("sugerido")),
-        F.struct(F.col("prod2").alias("producto_id"), F.col("prod1").alias("sugerido")))), "veces")
-    puntos = (compras.join(vecinos, "producto_id").groupBy("usuario_id", "sugerido")
+        F.struct(F.col("prod2").alias("producto_id"), F.col("prod1").alias("sugerido")))), "veces"))
+    llenos = (compras.groupBy("producto_id").agg(F.count("*").alias("_n")).filter(F.col("_n") > por_clave)
+              .select("producto_id", F.ceil(F.col("_n") / por_clave).cast("int").alias("_partes")))
+    partes = F.coalesce("_partes", F.lit(1))
+    izq = compras.join(llenos, "producto_id", "left").select(
+        "producto_id", "usuario_id", F.pmod(F.xxhash64("usuario_id"), partes).cast("int").alias("_s"))
+    der = vecinos.join(llenos, "producto_id", "left").select(
+        "producto_id", "sugerido", "veces", F.explode(F.sequence(F.lit(0), partes - 1)).alias("_s"))
+    puntos = (izq.join(der, ["producto_id", "_s"]).groupBy("usuario_id", "sugerido")
               .agg(F.sum("veces").alias("puntos")))
     nuevos = puntos.join(compras.withColumnRenamed("producto_id", "sugerido"), ["usuario_id", "sugerido"], "left_anti")
     # rows beyond the k-th are dropped before the shuffle by Spark's group limit for row_number

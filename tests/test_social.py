@@ -111,3 +111,25 @@ def test_recomendar_productos(spark):
     d = spark.createDataFrame([(o, p, 1, 1.0) for o, ps in {1: [10, 11], 2: [10, 11], 3: [10, 12], 4: [10, 12], 5: [10, 13]}.items()
                                for p in ps], "src long, dst long, cantidad int, subtotal double")
     assert filas(social.recomendar_productos(compras, d, 2, 5)) == [(1, 1, 12, 2), (2, 1, 11, 2), (2, 2, 12, 2)]
+
+
+def test_recomendar_con_producto_lleno(spark):
+    """A product in a third of the baskets: its buyers are many join keys, of which none holds more than its share."""
+    cestas = {u: {u % 7 + 1, u % 11 + 20} | ({99} if u % 3 == 0 else set()) for u in range(240)}
+    d = spark.createDataFrame([(u, p, 1, 1.0) for u, ps in cestas.items() for p in ps],
+                              "src long, dst long, cantidad int, subtotal double")
+    compras = spark.createDataFrame([(u, p) for u, ps in cestas.items() for p in ps], "usuario_id long, producto_id long")
+    veces = {}
+    for ps in cestas.values():
+        for x in itertools.permutations(ps, 2):
+            veces[x] = veces.get(x, 0) + 1
+    espera = []
+    for u, ps in cestas.items():
+        puntos = {}
+        for (a, b), n in veces.items():
+            if a in ps and b not in ps and n >= 2:
+                puntos[b] = puntos.get(b, 0) + n
+        mejores = sorted(puntos.items(), key=lambda x: (-x[1], x[0]))[:5]
+        espera += [(u, i + 1, p, n) for i, (p, n) in enumerate(mejores)]
+    for por_clave in (7, 100_000):
+        assert filas(social.recomendar_productos(compras, d, 2, 5, por_clave)) == sorted(espera)
