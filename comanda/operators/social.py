@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -10,6 +12,7 @@ from comanda.functions.expr import cociente
 from comanda.operators.copurchase import cestas, pares_de_productos
 from comanda.operators.similarity import Similitud
 from comanda.plans.durable import Corte
+from comanda.plans.pares import unir_por_clave
 
 
 # ---- recommendations (src, dst, canal[, fecha]) --------------------------------------------
@@ -202,31 +205,102 @@ def pares_similares(s: Similitud, nombre: str) -> DataFrame:
 COMPRADORES_POR_CLAVE = 100_000
 
 
+class _Vecinos:
+    """Neighbour lists of products in blocks of falling counts, and the buyers that read them.
+
+    A block holds the neighbours whose counts lie within a quarter octave, so a list has at most 252 blocks and is put
+    in order without being sorted.  ``bloques`` per product: (block, entries, highest count), highest first.  The buyers of
+    a product with more than ``por_clave`` of them are as many join keys; its neighbours go to each.
+    """
+
+    def __init__(self, compras: DataFrame, detalle: DataFrame, minimo: int, por_clave: int):
+        self.corte = Corte(compras.sparkSession, "vecinos")
+        pares = pares_de_productos(cestas(detalle)).filter(F.col("veces") >= minimo)
+        bloque = F.floor(F.log2("veces") * 4).cast("int")
+        # counted from all baskets, so it is worked out once and not for each part that reads it
+        lados, _ = self.corte.guardar(pares.select(F.inline(F.array(
+            F.struct(F.col("prod1").alias("producto_id"), F.col("prod2").alias("sugerido")),
+            F.struct(F.col("prod2").alias("producto_id"), F.col("prod1").alias("sugerido")))), "veces")
+            .withColumn("bloque", bloque))
+        listas = (lados.groupBy("producto_id", "bloque").agg(F.count("*").alias("n"), F.max("veces").alias("tope"))
+                  .groupBy("producto_id")
+                  .agg(F.sort_array(F.collect_list(F.struct("bloque", "n", "tope")), asc=False).alias("bloques")))
+        productos, _ = self.corte.guardar(
+            compras.groupBy("producto_id").agg(F.count("*").alias("n")).join(listas, "producto_id")
+            .select("producto_id", "n", F.ceil(F.col("n") / por_clave).cast("int").alias("_partes"), "bloques"))
+        total = productos.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+        self.lista = lados.join(productos.select("producto_id", "_partes"), "producto_id").select(
+            "producto_id", "sugerido", "veces", "bloque", F.explode(F.sequence(F.lit(0), F.col("_partes") - 1)).alias("_s"))
+        self.compras, _ = self.corte.guardar(
+            unir_por_clave(compras.select("usuario_id", "producto_id"), productos, "producto_id", total).select(
+                "usuario_id", "producto_id", "bloques",
+                F.pmod(F.xxhash64("usuario_id"), F.col("_partes")).cast("int").alias("_s")))
+
+    def leer(self, bloques: DataFrame) -> DataFrame:
+        """Points (usuario_id, sugerido, puntos) from the blocks named in (usuario_id, producto_id, _s, bloque)."""
+        return (bloques.join(self.lista, ["producto_id", "_s", "bloque"])
+                .groupBy("usuario_id", "sugerido").agg(F.sum("veces").alias("puntos")))
+
+    def consultar(self, candidatos: DataFrame) -> DataFrame:
+        """Points of (usuario_id, sugerido) over all products of the user."""
+        return (candidatos.join(self.compras.select("usuario_id", "producto_id", "_s"), "usuario_id")
+                .join(self.lista.drop("bloque"), ["producto_id", "_s", "sugerido"])
+                .groupBy("usuario_id", "sugerido").agg(F.sum("veces").alias("puntos")))
+
+
+def _primeros(puntos: DataFrame, k: int) -> DataFrame:
+    """The k highest per user, ties to the smaller product; Spark's group limit drops the others before the shuffle."""
+    orden = W.partitionBy("usuario_id").orderBy(F.desc("puntos"), "sugerido")
+    return puntos.withColumn("puesto", F.row_number().over(orden)).filter(F.col("puesto") <= k)
+
+
+def _umbral(puntos: DataFrame, k: int) -> DataFrame:
+    """Points that k products of a user reach: (usuario_id, umbral); users with fewer products are not in it."""
+    return (_primeros(puntos, k).filter(F.col("puesto") == k).select("usuario_id", F.col("puntos").alias("umbral")))
+
+
+def _plan(v: _Vecinos, nuevos: Callable[[DataFrame], DataFrame], k: int) -> DataFrame:
+    """Per user and product the blocks to read (``leidos``), the highest count behind them (``resto``) and the points that
+    k products of the user reach (``umbral``, null where there are fewer: then every block is read)."""
+    # entries in the blocks before each: a head ends with the block that reaches k
+    antes = F.expr("transform(bloques, (x, i) -> struct(x.bloque AS bloque, "
+                   "aggregate(slice(bloques, 1, i), 0L, (s, y) -> s + y.n) AS antes))")
+    cabezas = (v.compras.select("usuario_id", "producto_id", "_s", F.inline(antes)).filter(F.col("antes") < k).drop("antes"))
+    listas = (v.compras.groupBy("usuario_id").agg(F.count("*").alias("listas"))
+              .join(_umbral(nuevos(v.leer(cabezas)), k), "usuario_id", "left"))
+    return v.compras.join(listas, "usuario_id").select(
+        "usuario_id", "producto_id", "_s", "umbral",
+        F.expr("filter(bloques, x -> x.tope * listas >= coalesce(umbral, 0))").alias("leidos"),
+        F.expr("coalesce(array_max(transform(filter(bloques, x -> x.tope * listas < umbral), x -> x.tope)), 0L)").alias("resto"))
+
+
 def recomendar_productos(compras: DataFrame, detalle: DataFrame, minimo: int = 2, k: int = 5,
                          por_clave: int = COMPRADORES_POR_CLAVE) -> DataFrame:
     """Per user, the k products most often bought together with products the user has bought
     and that the user has not bought.  ``compras(usuario_id, producto_id)`` is distinct; only
     products bought together at least ``minimo`` times recommend each other.
 
+    Three rounds of a threshold search (Cao and Wang, PODC 2004) read only the part of the neighbour lists that can matter.
+    The first reads the head of each list, k entries or more, and gives points that k products reach.  The second reads
+    every block whose highest count is at least that threshold divided by the user's lists: a product in none of them is
+    below the threshold, ties included.  What the unread rest of the lists can add bounds the products seen, and the third
+    looks up the exact points of those that can still be among the k.  Users whose lists are read to their ends need no third.
+
     A product with more than ``por_clave`` buyers is as many join keys: its buyers are dealt out by user, its neighbours
     (at most all products) go to each key.
     """
-    pares = pares_de_productos(cestas(detalle)).filter(F.col("veces") >= minimo)
-    # counted from all baskets, so it is worked out once and not for each part that reads it
-    vecinos, _ = Corte(compras.sparkSession, "vecinos").guardar(pares.select(F.inline(F.array(
-        F.struct(F.col("prod1").alias("producto_id"), F.col("prod2").alias("sugerido")),
-        F.struct(F.col("prod2").alias("producto_id"), F.col("prod1").alias("sugerido")))), "veces"))
-    llenos = (compras.groupBy("producto_id").agg(F.count("*").alias("_n")).filter(F.col("_n") > por_clave)
-              .select("producto_id", F.ceil(F.col("_n") / por_clave).cast("int").alias("_partes")))
-    partes = F.coalesce("_partes", F.lit(1))
-    izq = compras.join(llenos, "producto_id", "left").select(
-        "producto_id", "usuario_id", F.pmod(F.xxhash64("usuario_id"), partes).cast("int").alias("_s"))
-    der = vecinos.join(llenos, "producto_id", "left").select(
-        "producto_id", "sugerido", "veces", F.explode(F.sequence(F.lit(0), partes - 1)).alias("_s"))
-    puntos = (izq.join(der, ["producto_id", "_s"]).groupBy("usuario_id", "sugerido")
-              .agg(F.sum("veces").alias("puntos")))
-    nuevos = puntos.join(compras.withColumnRenamed("producto_id", "sugerido"), ["usuario_id", "sugerido"], "left_anti")
-    # rows beyond the k-th are dropped before the shuffle by Spark's group limit for row_number
-    orden = W.partitionBy("usuario_id").orderBy(F.desc("puntos"), "sugerido")
-    return (nuevos.withColumn("puesto", F.row_number().over(orden)).filter(F.col("puesto") <= k)
-            .select("usuario_id", "puesto", F.col("sugerido").alias("producto_id"), "puntos"))
+    v = _Vecinos(compras, detalle, minimo, por_clave)
+    propios = compras.select("usuario_id", F.col("producto_id").alias("sugerido"))
+    nuevos = lambda p: p.join(propios, ["usuario_id", "sugerido"], "left_anti")
+
+    planes, _ = v.corte.guardar(_plan(v, nuevos, k))
+    cota = planes.groupBy("usuario_id").agg(F.sum("resto").alias("cota"), F.max("umbral").alias("umbral"))
+    vistos, _ = v.corte.guardar(nuevos(v.leer(planes.select(
+        "usuario_id", "producto_id", "_s", F.explode("leidos.bloque").alias("bloque")))).join(cota, "usuario_id"))
+
+    abiertos = vistos.filter("cota > 0")
+    mejor = _umbral(abiertos, k).withColumnRenamed("umbral", "umbral2")
+    posibles = (abiertos.join(mejor, "usuario_id").filter("puntos + cota >= greatest(umbral, umbral2)")
+                .select("usuario_id", "sugerido"))
+    exactos = vistos.filter("cota = 0").drop("cota", "umbral").unionByName(v.consultar(posibles))
+    return _primeros(exactos, k).select("usuario_id", "puesto", F.col("sugerido").alias("producto_id"), "puntos")

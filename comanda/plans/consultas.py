@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from comanda.functions import geo
-from comanda.operators import copurchase, cubes, dashboards as tab, dispatch, grafo, paths, quality, rank, similarity
-from comanda.operators import social, spatial, star
+from comanda.operators import comunidades, copurchase, cubes, dashboards as tab, dispatch, grafo, paths, quality, rank
+from comanda.operators import similarity, social, spatial, star
 from comanda.operators import summaries as resumenes
 from comanda.plans import vueltas
 from comanda.sources import sinks
@@ -217,6 +217,9 @@ def _grafo() -> dict[str, Callable[[Almacen], DataFrame]]:
         "g28_influencia_cruzada_literal": lambda a: social.influencia_cruzada(
             a.d.recomienda, a.influencia, a.d.usuarios, literal=True),
         "g29_comunidades": lambda a: rank.componentes(a.d.usuarios, a.d.recomienda),
+        "g29_comunidades_modularidad": lambda a: comunidades.comunidades(a.d.usuarios, a.d.recomienda),
+        "g29_calidad_por_ciudad": lambda a: comunidades.calidad(
+            a.d.usuarios.select("id", F.col("ciudad").alias("comunidad")), a.d.recomienda),
         "g30_productos_similares": lambda a: social.pares_similares(similarity.similitud(
             a.detalle.select(F.col("dst").alias("entidad"), F.col("src").alias("item")).distinct(),
             UMBRAL_PRODUCTOS), "pedidos_comunes"),

@@ -226,6 +226,13 @@ registrar(
     g29_comunidades="""WITH RECURSIVE s AS (SELECT src, dst FROM recomienda UNION SELECT dst, src FROM recomienda),
         alcanza AS (SELECT id, id AS otro FROM usuarios UNION SELECT a.id, s.dst FROM alcanza a JOIN s ON s.src = a.otro)
         SELECT id, MIN(otro) AS comunidad FROM alcanza GROUP BY 1""",
+    g29_calidad_por_ciudad="""WITH e AS (SELECT s.ciudad AS a, d.ciudad AS b FROM recomienda r JOIN usuarios s ON s.id = r.src
+          JOIN usuarios d ON d.id = r.dst WHERE r.src <> r.dst),
+        t AS (SELECT u.ciudad, COUNT(*) AS miembros, (SELECT COUNT(*) FROM e WHERE a = u.ciudad AND b = u.ciudad) AS d,
+            (SELECT COUNT(*) FROM e WHERE a <> b AND u.ciudad IN (a, b)) AS f FROM usuarios u GROUP BY 1)
+        SELECT ciudad AS comunidad, miembros, d AS peso_dentro, f AS peso_fuera, ROUND(d::DOUBLE / m
+            - ((2 * d + f)::DOUBLE / (2 * m)) * ((2 * d + f)::DOUBLE / (2 * m)), 9) AS modularidad
+        FROM t, (SELECT COUNT(*) AS m FROM e)""",
     g30_productos_similares=_similares("SELECT DISTINCT dst AS entidad, src AS item FROM incluye_detalle", 0.04, "pedidos_comunes"),
     g31_recomendar_productos="""WITH v AS (SELECT p1, p2, COUNT(*) AS veces FROM co GROUP BY 1, 2 HAVING COUNT(*) >= 2),
         vec AS (SELECT p1 AS a, p2 AS b, veces FROM v UNION ALL SELECT p2, p1, veces FROM v),

@@ -1,4 +1,4 @@
-"""Pairs of members that share a group, without one task ever holding a large group."""
+"""Pairs of members that share a group, and joins by key, without one task ever holding a large group."""
 
 from __future__ import annotations
 
@@ -6,6 +6,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+#: A key with more than this part of a join's rows is full.
+PARTE_LLENA = 1000
+
+
+def unir_por_clave(filas: DataFrame, tabla: DataFrame, clave: str, total: int) -> DataFrame:
+    """Joins rows with one row per key, which counts in ``n`` the rows of that key (``total`` in all).  Keys with more
+    than a thousandth of them, of which there are fewer than a thousand, go by broadcast and never meet in one task."""
+    umbral = total / PARTE_LLENA
+    valores = [c for c in tabla.columns if c not in (clave, "n")]
+    llenas = tabla.filter(F.col("n") > umbral).drop("n").withColumn("_llena", F.lit(True))
+    con = filas.join(F.broadcast(llenas), clave, "left")
+    resto = con.filter("_llena IS NULL").drop("_llena", *valores)
+    return (con.filter("_llena").drop("_llena")
+            .unionByName(resto.join(tabla.filter(F.col("n") <= umbral).drop("n"), clave)))
+
+
 def pares_en_grupo(df: DataFrame, grupo: list[str], miembro: str, valores: list[str],
                    bloque: int | None = 512) -> DataFrame:
     """Unordered member pairs (``menor`` < ``mayor``) per group, with both sides' values as

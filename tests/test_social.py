@@ -1,4 +1,6 @@
 import itertools
+import random
+from collections import Counter
 
 import pytest
 
@@ -133,3 +135,29 @@ def test_recomendar_con_producto_lleno(spark):
         espera += [(u, i + 1, p, n) for i, (p, n) in enumerate(mejores)]
     for por_clave in (7, 100_000):
         assert filas(social.recomendar_productos(compras, d, 2, 5, por_clave)) == sorted(espera)
+
+
+def test_recomendar_lee_solo_cabezas(spark):
+    """Counts that fall steeply: the threshold leaves most of the lists unread, and the k best are those of all lists."""
+    r = random.Random(11)
+    pesos = [2.0 ** -(i / 6) for i in range(120)]
+    cestas = [set(r.choices(range(120), pesos, k=5)) for _ in range(3000)]
+    suyas = {u: set(r.choices(range(120), pesos, k=1 + u % 4)) for u in range(60)}
+    d = spark.createDataFrame([(i, p, 1, 1.0) for i, ps in enumerate(cestas) for p in ps],
+                              "src long, dst long, cantidad int, subtotal double")
+    compras = spark.createDataFrame([(u, p) for u, ps in suyas.items() for p in ps], "usuario_id long, producto_id long")
+    veces = Counter(x for ps in cestas for x in itertools.permutations(ps, 2))
+    espera = []
+    for u, ps in suyas.items():
+        puntos = Counter()
+        for (a, b), n in veces.items():
+            if a in ps and b not in ps and n >= 2:
+                puntos[b] += n
+        espera += [(u, i + 1, p, n) for i, (p, n) in enumerate(sorted(puntos.items(), key=lambda x: (-x[1], x[0]))[:3])]
+    assert filas(social.recomendar_productos(compras, d, 2, 3)) == sorted(espera)
+    v = social._Vecinos(compras, d, 2, 100)
+    planes = social._plan(v, lambda p: p.join(compras.withColumnRenamed("producto_id", "sugerido"),
+                                              ["usuario_id", "sugerido"], "left_anti"), 3)
+    leidas = planes.selectExpr("aggregate(leidos, 0L, (s, x) -> s + x.n) AS n").agg({"n": "sum"}).first()[0]
+    todas = v.compras.selectExpr("aggregate(bloques, 0L, (s, x) -> s + x.n) AS n").agg({"n": "sum"}).first()[0]
+    assert leidas * 2 < todas
