@@ -222,6 +222,13 @@ def completar_entregas(pedidos: DataFrame, completados: DataFrame) -> DataFrame:
             .withColumn("estado", F.when(F.col("_hecho"), "entregado").otherwise(F.col("estado"))).drop("_hecho"))
 
 
+def rutas_activas(legs: DataFrame, pedidos: DataFrame) -> DataFrame:
+    """Couriers (repartidor_id) whose tour has an order that is not delivered yet, one row each.  Orders without a row
+    or a status in ``pedidos(id, estado)`` count as open, as in ``progreso_completo``."""
+    hechos = pedidos.filter("estado = 'entregado'").select(F.col("id").alias("pedido_id"))
+    return legs.join(hechos, "pedido_id", "left_anti").select("repartidor_id").distinct()
+
+
 def carga_actual(repartidores: DataFrame, pedidos: DataFrame) -> DataFrame:
     """Couriers with the number of open orders they carry (delivered ones free their slot)."""
     abiertos = (pedidos.filter("repartidor_asignado IS NOT NULL AND estado <> 'entregado'")

@@ -13,6 +13,7 @@ from comanda.operators import comunidades, copurchase, cubes, dashboards as tab,
 from comanda.operators import similarity, social, spatial, star
 from comanda.operators import summaries as resumenes
 from comanda.plans import vueltas
+from comanda.plans.durable import Corte
 from comanda.sources import sinks
 from comanda.sources.derivadas import Dominio
 
@@ -65,6 +66,7 @@ class Almacen:
         a.anclas_restaurante, a.anclas_cliente, a.d.road))
     asignacion = cached_property(lambda a: dispatch.asignar(
         a.d.pedidos_entrega, a.d.repartidores, a.d.clientes))
+    asignados = cached_property(lambda a: dispatch.aplicar_asignacion(a.d.pedidos_entrega, a.asignacion))
     tramos = cached_property(lambda a: dispatch.tramos_y_resto(
         a.asignacion, a.d.repartidores,
         a.d.pedidos_entrega.select(F.col("id").alias("pedido_id"), F.col("cliente_id").alias("id"))
@@ -128,6 +130,22 @@ def _distancias_pedido(a: Almacen) -> DataFrame:
         geo.minutos_viaje(metros).alias("minutos"))
 
 
+def _costo_desde_restaurante(a: Almacen) -> DataFrame:
+    """What every order would cost the courier that waits at its restaurant."""
+    r = a.d.repartidores.select(F.col("id").alias("restaurante_id"), F.col("lat").alias("lat1"), F.col("lon").alias("lon1"),
+                                "velocidad_promedio", "carga")
+    c = a.d.clientes.select(F.col("id").alias("cliente_id"), F.col("lat").alias("lat2"), F.col("lon").alias("lon2"))
+    metros = geo.haversine_m(F.col("lat1"), F.col("lon1"), F.col("lat2"), F.col("lon2"))
+    return (a.d.pedidos_entrega.join(r, "restaurante_id").join(c, "cliente_id")
+            .select("id", geo.costo_repartidor(metros, F.col("velocidad_promedio"), F.col("carga")).alias("costo")))
+
+
+def _estado_con_rutas(a: Almacen) -> DataFrame:
+    """System state once pending orders are assigned, tours are made and deliveries are reported."""
+    pedidos, _ = Corte(a.d.spark, "estado").guardar(dispatch.completar_entregas(a.asignados, _entregas(a)).select("id", "estado"))
+    return resumenes.estado_sistema(a.d.clientes, a.d.repartidores, pedidos, dispatch.rutas_activas(a.tramos[0], pedidos))
+
+
 def _grafo() -> dict[str, Callable[[Almacen], DataFrame]]:
     return {
         "a22_resumen": lambda a: resumenes.resumen(
@@ -138,11 +156,13 @@ def _grafo() -> dict[str, Callable[[Almacen], DataFrame]]:
         "a26_estado_sistema": lambda a: resumenes.estado_sistema(
             a.d.clientes, a.d.repartidores, a.d.pedidos_entrega,
             a.d.repartidores.filter("carga > 0").select(F.col("id").alias("repartidor_id"))),
+        "a26_estado_con_rutas": _estado_con_rutas,
         "a27_estadisticas_carga": lambda a: resumenes.estadisticas_carga(
             usuarios=a.d.usuarios, restaurantes=a.d.restaurantes, pedidos=a.d.pedidos_cabecera,
             clientes=a.d.clientes, repartidores=a.d.repartidores, calles=a.d.calle),
         "a28_mejores_clientes": lambda a: resumenes.mejores_clientes(a.d.usuarios, a.d.pedidos_cabecera),
         "x12_distancias_pedido": _distancias_pedido,
+        "x16_costo_desde_restaurante": _costo_desde_restaurante,
         "q02_huerfanos": lambda a: quality.huerfanos(a.d.pedidos_cabecera, a.d.reservas_cabecera),
         "q06_informe": lambda a: quality.informe(
             {"dim_usuario": a.usuario, "dim_restaurante": a.restaurante, "dim_menu": a.menu,
@@ -256,6 +276,8 @@ def _rutas() -> dict[str, Callable[[Almacen], DataFrame]]:
             a.d.repartidores, dispatch.completar_entregas(
                 a.d.pedidos_entrega.withColumn("repartidor_asignado", F.col("restaurante_id")), _entregas(a)))
         .select("id", "carga"),
+        "r12_entregas_de_asignados": lambda a: dispatch.carga_actual(
+            a.d.repartidores, dispatch.completar_entregas(a.asignados, _entregas(a))).select("id", "carga"),
         "r13_ultima_posicion": lambda a: spatial.ultima_posicion(a.d.repartidores, a.d.posiciones).select("id", "lat", "lon"),
         "r14_registrar_repartidores": lambda a: spatial.registrar_repartidores(
             a.d.repartidores, a.d.calle, 1000.0).select("id", "calle_actual"),

@@ -78,6 +78,11 @@ registrar(
             + cos(radians(r.lat)) * cos(radians(c.lat)) * pow(sin(radians(c.lon - r.lon) / 2), 2))) AS h,
           sqrt(pow(r.lat - c.lat, 2) + pow(r.lon - c.lon, 2)) * 111000 AS p, abs(r.lat - c.lat) + abs(r.lon - c.lon) AS m
         FROM pedidos p JOIN restaurantes r ON r.id = p.restaurante_id JOIN clientes c ON c.id = p.usuario_id)""",
+    x16_costo_desde_restaurante="""SELECT id, CAST(CASE WHEN h <= 0 THEN 0 ELSE GREATEST(1, FLOOR(h / 1000 / v * 60)) END AS INT)
+          + 10 * carga AS costo FROM (
+        SELECT p.id, r.velocidad_promedio AS v, r.carga, 2 * 6371000.0::DOUBLE * asin(sqrt(pow(sin(radians(c.lat - r.lat) / 2), 2)
+            + cos(radians(r.lat)) * cos(radians(c.lat)) * pow(sin(radians(c.lon - r.lon) / 2), 2))) AS h
+        FROM pedidos_entrega p JOIN repartidores r ON r.id = p.restaurante_id JOIN clientes c ON c.id = p.cliente_id)""",
     j09_pedidos_activos="""SELECT p.id, split_part(u.email, '#', 1) AS nombre, 'Item_' || p.menu_id AS item,
         CASE p.estado WHEN 'completado' THEN 'en_ruta' ELSE 'pendiente' END AS estado
         FROM pedidos p JOIN usuarios u ON u.id = p.usuario_id JOIN restaurantes r ON r.id = p.restaurante_id
