@@ -18,8 +18,8 @@ TITULARES = [
     "a18_pedidos_estado_temporal", "a19_pedidos_por_restaurante", "a20_cancelaciones_categoria",
     "a23_resumen_por_cocina", "q06_informe", "q07_reservas_completas", "j13_incluye_detalle",
     "g03_estadisticas_grafo", "g12_co_compras", "g13_co_compras_categoria", "g16_usuarios_influyentes",
-    "g25_cadenas", "g29_comunidades", "r02_anclar_restaurantes", "r03_calle_mas_cercana", "r09_asignacion",
-    "r10_rutas",
+    "g25_cadenas", "g29_comunidades", "g31_recomendar_productos", "r02_anclar_restaurantes",
+    "r03_calle_mas_cercana", "r09_asignacion", "r10_rutas",
 ]
 
 
