@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from comanda.functions.geo import METROS_POR_GRADO, manhattan_grados, plana_grados, plana_m
 from comanda.plans.durable import Corte
+from comanda.plans.pares import repartida
 
 RADIO_BUSQUEDA_M = 5000.0
 CELDA = 0.002
@@ -64,7 +65,7 @@ def _por_celda(cand: DataFrame, nodos: DataFrame) -> DataFrame:
            .withColumn("parte", F.pmod(F.xxhash64("plat", "plon"), n_partes)).drop("partes"))
     der = (nodos.join(pesadas, celda, "left")
            .withColumn("parte", F.explode(F.sequence(F.lit(0).cast("bigint"), n_partes - 1))).drop("partes"))
-    return izq.join(der, [*celda, "parte"])
+    return izq.join(repartida(der), [*celda, "parte"])
 
 
 def _volver(puntos: DataFrame, resueltos: DataFrame, lugares: DataFrame) -> DataFrame:
@@ -74,10 +75,11 @@ def _volver(puntos: DataFrame, resueltos: DataFrame, lugares: DataFrame) -> Data
     whatever the size, and its points stay where they are.  No other place can fill a task."""
     total = lugares.agg(F.sum("n")).first()[0] or 0
     lugar = ["plat", "plon"]
-    llenos = F.broadcast(lugares.filter(F.col("n") * PARTES > total).select(*lugar).join(resueltos, lugar, "left"))
+    llenos = F.broadcast(lugares.filter(F.col("n") * PARTES > total).select(*lugar)
+                         .join(repartida(resueltos), lugar, "left"))
     con = puntos.withColumn("plat", F.col("lat")).withColumn("plon", F.col("lon"))
     otros = con.join(F.broadcast(lugares.filter(F.col("n") * PARTES > total).select(*lugar)), lugar, "left_anti")
-    return con.join(llenos, lugar).unionByName(otros.join(resueltos, lugar, "left")).drop(*lugar)
+    return con.join(llenos, lugar).unionByName(otros.join(repartida(resueltos), lugar, "left")).drop(*lugar)
 
 
 def mas_cercano(puntos: DataFrame, nodos: DataFrame, metrica: str = "plana",
@@ -105,12 +107,12 @@ def mas_cercano(puntos: DataFrame, nodos: DataFrame, metrica: str = "plana",
         cand = (pendientes.withColumn("dx", F.explode(vecinos)).withColumn("dy", F.explode(vecinos))
                 .select("plat", "plon", (_celda(F.col("plat"), lado) + F.col("dx")).alias("cx"),
                         (_celda(F.col("plon"), lado) + F.col("dy")).alias("cy"))
-                .join(ocupadas[nivel], ["cx", "cy"]))
+                .join(repartida(ocupadas[nivel]), ["cx", "cy"]))
         cand = _podar(cand, metrica, lado)
         for m in range(nivel - 1, -1, -1):
             hijas = ocupadas[m].select(F.col("cx").alias("hx"), F.col("cy").alias("hy"),
                                        _padre("cx").alias("cx"), _padre("cy").alias("cy"))
-            cand = cand.join(hijas, ["cx", "cy"]).select("plat", "plon", F.col("hx").alias("cx"),
+            cand = cand.join(repartida(hijas), ["cx", "cy"]).select("plat", "plon", F.col("hx").alias("cx"),
                                                          F.col("hy").alias("cy"))
             cand = _podar(cand, metrica, celda * FACTOR ** m)
         cand, _ = corte.guardar(cand)
@@ -123,7 +125,7 @@ def mas_cercano(puntos: DataFrame, nodos: DataFrame, metrica: str = "plana",
         resueltos.append(hallados)
         if ultimo:
             break
-        pendientes, n_pend = corte.guardar(pendientes.join(hallados, ["plat", "plon"], "left_anti"))
+        pendientes, n_pend = corte.guardar(pendientes.join(repartida(hallados), ["plat", "plon"], "left_anti"))
         nivel += 1
     if not resueltos:
         vacia = n.select(F.col("calle_lat").alias("plat"), F.col("calle_lon").alias("plon"), F.lit(0.0).alias("grados"),
@@ -171,5 +173,5 @@ def ultima_posicion(repartidores: DataFrame, posiciones: DataFrame) -> DataFrame
     u = posiciones.groupBy(F.col("repartidor_id").alias("id")).agg(
         F.max_by(F.struct("lat", "lon"), F.struct("ts", "secuencia")).alias("u"))
     resto = [c for c in repartidores.columns if c not in ("id", "lat", "lon")]
-    return repartidores.join(u, "id", "left").select(
+    return repartidores.join(repartida(u), "id", "left").select(
         "id", F.coalesce("u.lat", "lat").alias("lat"), F.coalesce("u.lon", "lon").alias("lon"), *resto)

@@ -10,6 +10,12 @@ from pyspark.sql import functions as F
 PARTE_LLENA = 1000
 
 
+def repartida(df: DataFrame) -> DataFrame:
+    """``df`` for a join that deals both sides out by key.  Spark chooses a broadcast by the size of the files, which is a
+    fraction of that of the rows: a table that grows with the input would go whole through the driver's memory."""
+    return df.hint("merge")
+
+
 def unir_por_clave(filas: DataFrame, tabla: DataFrame, clave: str, total: int) -> DataFrame:
     """Joins rows with one row per key, which counts in ``n`` the rows of that key (``total`` in all).  Keys with more
     than a thousandth of them, of which there are fewer than a thousand, go by broadcast and never meet in one task."""

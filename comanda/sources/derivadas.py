@@ -1,6 +1,7 @@
 """Restaurant tables as projections of the star-schema test tables.
 
-Each property is a lazy DataFrame; nothing is read until a query runs.
+Each property is a lazy DataFrame; nothing is read until a query runs.  Joins of two tables that grow are named as
+merge joins: by the size of its file one of them would be broadcast, through the driver.
 """
 
 from __future__ import annotations
@@ -153,10 +154,10 @@ class Dominio:
             """SELECT src, dst, distancia,
                       CASE src % 6 WHEN 0 THEN NULL WHEN 1 THEN ''
                            ELSE concat('Calle ', CAST(src % 23 AS STRING)) END AS nombre
-               FROM (SELECT a.id AS src, b.id AS dst, CAST(100 + (a.id * 37) % 50 AS DOUBLE) AS distancia
+               FROM (SELECT /*+ MERGE(b) */ a.id AS src, b.id AS dst, CAST(100 + (a.id * 37) % 50 AS DOUBLE) AS distancia
                      FROM {calle} a JOIN {calle} b ON b.id = a.id + 1 WHERE a.id % 40 < 39
                      UNION ALL
-                     SELECT a.id, b.id, CAST(100 + (a.id * 53) % 50 AS DOUBLE)
+                     SELECT /*+ MERGE(b) */ a.id, b.id, CAST(100 + (a.id * 53) % 50 AS DOUBLE)
                      FROM {calle} a JOIN {calle} b ON b.id = a.id + 40) e""",
             calle=self.calle)
 
@@ -165,7 +166,7 @@ class Dominio:
     @cached_property
     def clientes(self) -> DataFrame:
         return self._sql(
-            """SELECT u.id, u.email, c.lat + CAST(u.id % 5 AS DOUBLE) / 100000 AS lat,
+            """SELECT /*+ MERGE(c) */ u.id, u.email, c.lat + CAST(u.id % 5 AS DOUBLE) / 100000 AS lat,
                       c.lon - CAST(u.id % 3 AS DOUBLE) / 100000 AS lon
                FROM {usuarios} u JOIN {calle} c ON c.id = u.id""",
             usuarios=self.usuarios, calle=self.calle)

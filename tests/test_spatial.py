@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from comanda.operators import spatial
+from comanda.plans.durable import Corte
 from tests.conftest import filas
 
 
@@ -88,3 +89,19 @@ def test_ultima_posicion(spark):
     p = spark.sql("SELECT 1L AS repartidor_id, 1D AS lat, 2D AS lon, timestamp'2024-01-02' AS ts, 1 AS secuencia "
                   "UNION ALL SELECT 1, 3D, 4D, timestamp'2024-01-02', 2 UNION ALL SELECT 1, 9D, 9D, timestamp'2024-01-01', 9")
     assert filas(spatial.ultima_posicion(r, p)) == [(1, 3.0, 4.0, True), (2, 5.0, 6.0, True)]
+
+
+def test_tablas_que_crecen_no_se_difunden(spark, monkeypatch):
+    # small files tempt Spark to broadcast every side; places, cells and answers grow with the input
+    planes = []
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    guardar = Corte.guardar
+    monkeypatch.setattr(Corte, "guardar", lambda self, df: (planes.append(plan(df)), guardar(self, df))[1])
+    puntos = spark.range(50).selectExpr("id", "9.8 + id / 1000 AS lat", "-84.0 AS lon")
+    nodos = spark.range(50).selectExpr("id", "9.8 + id / 1100 AS lat", "-84.0 AS lon")
+    c = spatial.calle_mas_cercana(puntos, nodos)
+    planes.append(plan(c))
+    con_union = [p for p in planes if "Join" in p]
+    assert len(con_union) >= 4 and all("SortMergeJoin" in p for p in con_union)
+    assert plan(c).count("SortMergeJoin") == 2
+    assert c.filter("calle_id IS NULL").count() == 0
