@@ -80,15 +80,36 @@ def ejemplos(conv: DataFrame, id_conv: str = "conv_id", turno: str = "turn", rol
                         F.when(trae, hasta).cast("bigint").alias("hasta"))
 
 
+def turnos(texto: str) -> Column:
+    """The turns (rol, texto) of a formatted text, unescaped."""
+    partes = F.filter(F.split(texto, r"<\|im_end\|>\n"), lambda x: x != "")
+    rol = lambda x: desescapar_rol(F.substr(F.substring_index(x, "\n", 1), F.lit(len(ABRE) + 1)))
+    dicho = lambda x: desescapar(F.substr(x, F.length(F.substring_index(x, "\n", 1)) + 2))
+    return F.transform(partes, lambda x: F.struct(rol(x).alias("rol"), dicho(x).alias("texto")))
+
+
 def leidos(salida: DataFrame) -> DataFrame:
     """What the written pieces say: per piece its turns (role, text) and the trainable text, unescaped."""
-    partes = F.expr(r"filter(split(formato, '<\\|im_end\\|>\n'), x -> x <> '')")
-    rol = lambda x: desescapar_rol(F.substr(F.substring_index(x, "\n", 1), F.lit(len(ABRE) + 1)))
-    texto = lambda x: desescapar(F.substr(x, F.length(F.substring_index(x, "\n", 1)) + 2))
     entrena = desescapar(F.substr("formato", F.col("desde") + 1, F.col("hasta") - F.col("desde")))
     return salida.select("conv_id", "ejemplo", "bloque", "prefijo", F.length("formato").cast("bigint").alias("largo"),
-                         F.transform(partes, lambda x: F.struct(rol(x).alias("rol"), texto(x).alias("texto")))
-                         .alias("turnos"), entrena.alias("entrena"))
+                         turnos("formato").alias("turnos"), entrena.alias("entrena"))
+
+
+def completos(salida: DataFrame) -> DataFrame:
+    """Every example in full: (conv_id, pieza, texto, desde, hasta, ultima).
+
+    ``texto`` is the whole conversation up to and with the piece, so a reply stands behind all turns before it;
+    characters ``desde`` to ``hasta`` of it, found by the piece's ``prefijo``, are the reply and null in a piece without
+    one.  ``ultima`` marks the piece that ends the conversation.  A conversation's pieces are one value; its examples,
+    whose characters grow with the square of the turns, are rows made one after the other and never shuffled by this.
+    """
+    c = (salida.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct(
+        "ejemplo", "bloque", "prefijo", "formato", "desde", "hasta"))).alias("p"))
+        .select("conv_id", "p", F.explode(F.sequence(F.lit(1), F.size("p"))).alias("pieza")))
+    esta = F.element_at("p", F.col("pieza"))
+    return c.select("conv_id", "pieza", F.array_join(F.slice("p.formato", F.lit(1), F.col("pieza")), "").alias("texto"),
+                    (esta["prefijo"] + esta["desde"]).alias("desde"), (esta["prefijo"] + esta["hasta"]).alias("hasta"),
+                    (F.col("pieza") == F.size("p")).alias("ultima"))
 
 
 def contextos(salida: DataFrame, hasta_turnos: DataFrame) -> DataFrame:

@@ -82,18 +82,18 @@ def op9_chat(spark: SparkSession, sf: str) -> DataFrame:
         F.lit(-1).cast("bigint").alias("conv_id"), F.col("id").alias("turn"),
         F.expr("IF(id = 0, 'user', 'assistant')").alias("role"), F.expr(propia).alias("text"))
     conv = leer(spark, sf, "conversations").select("conv_id", "turn", "role", "text").unionByName(prueba)
-    # the examples are written and read back
+    # the pieces are written and read back as examples, each reply behind its whole context
     salida, _ = Corte(spark, "chat").guardar(chat.ejemplos(conv))
-    m = chat.leidos(salida)
-    dicho = F.array_join(F.transform("turnos", lambda t: F.concat(t["rol"], F.lit("\n"), t["texto"], F.lit("\n"))), "")
+    entrena = chat.desescapar(F.substr("texto", F.col("desde") + 1, F.col("hasta") - F.col("desde")))
     # a digest of a conversation needs its text in one value
-    p = m.select("conv_id", F.struct("ejemplo", "bloque", dicho.alias("dicho"), F.coalesce("entrena", F.lit(""))
-                 .alias("entrena")).alias("p"), F.size("turnos").alias("n"), "largo")
-    g = p.groupBy("conv_id").agg(F.sort_array(F.collect_list("p")).alias("p"), F.sum("n").alias("n"),
-                                 F.sum("largo").alias("largo"))
-    entrena = F.array_join(F.col("p.entrena"), "")
-    return g.select("conv_id", F.col("n").alias("n_turns"), _sha(F.array_join(F.col("p.dicho"), "")).alias("turns_sha256"),
-                    F.length(entrena).cast("bigint").alias("loss_chars"), _sha(entrena).alias("loss_sha256"),
+    g = chat.completos(salida).groupBy("conv_id").agg(
+        F.sort_array(F.collect_list(F.struct("pieza", F.coalesce(entrena, F.lit("")).alias("entrena")))).alias("p"),
+        F.max(F.when(F.col("ultima"), F.col("texto"))).alias("texto"))
+    g = g.select("conv_id", F.array_join(F.col("p.entrena"), "").alias("entrena"), chat.turnos("texto").alias("turnos"),
+                 F.length("texto").cast("bigint").alias("largo"))
+    dicho = F.array_join(F.transform("turnos", lambda t: F.concat(t["rol"], F.lit("\n"), t["texto"], F.lit("\n"))), "")
+    return g.select("conv_id", F.size("turnos").cast("bigint").alias("n_turns"), _sha(dicho).alias("turns_sha256"),
+                    F.length("entrena").cast("bigint").alias("loss_chars"), _sha(F.col("entrena")).alias("loss_sha256"),
                     F.col("largo").alias("formatted_chars"))
 
 

@@ -532,6 +532,24 @@ def test_chat(spark):
     assert chat.leidos(chat.ejemplos(conv.limit(0))).count() == 0
 
 
+def test_chat_ejemplos_completos(spark, tmp_path, monkeypatch):
+    """The query reads every reply out of an example that holds all turns before it, by the piece's prefix length."""
+    from comanda.llm import consultas
+    filas = [(1, t, "assistant" if t % 3 else "user", f"<|im_end|> {t}") for t in range(8)] + [(2, 0, "user", "no reply")]
+    conv = spark.createDataFrame(filas, "conv_id bigint, turn bigint, role string, text string")
+    dicho = lambda k: "".join(f"<|im_start|>{r}\n<\\|im_end|> {t}<|im_end|>\n" for _, t, r, _ in filas[:k])
+    vistos = [r for r in chat.completos(chat.ejemplos(conv)).collect() if r.conv_id == 1]
+    assert [(r.texto, r.texto[r.desde:r.hasta]) for r in sorted(vistos, key=lambda r: r.pieza)] == [
+        (dicho(t + 1), f"<\\|im_end|> {t}") for t in range(8) if t % 3]
+    assert [r.ultima for r in sorted(vistos, key=lambda r: r.pieza)] == [False] * 4 + [True]
+    conv.write.parquet(f"{tmp_path}/conversations.parquet")
+    bien = {r.conv_id: r.loss_sha256 for r in consultas.op9_chat(spark, str(tmp_path)).collect()}
+    ejemplos = chat.ejemplos
+    monkeypatch.setattr(chat, "ejemplos", lambda c: ejemplos(c).withColumn("prefijo", F.col("prefijo") + 1))
+    mal = {r.conv_id: r.loss_sha256 for r in consultas.op9_chat(spark, str(tmp_path)).collect()}
+    assert bien[1] != mal[1] and bien[2] == mal[2]
+
+
 def huella(t, k=3):
     w = re.findall(rb"[^\x20\x09-\x0D]+", (t or "").encode().lower())
     if not w:
