@@ -25,6 +25,8 @@ _A_MINUSCULA = np.where((_BYTES >= 0x41) & (_BYTES <= 0x5A), _BYTES + 32, _BYTES
 
 #: Bytes of text that one step works on; a longer text is a step of its own.
 BYTES_POR_PASO = 4 << 20
+#: Bytes of text whose letters are numbers at one time: a letter takes some fifty bytes while words are hashed.
+BYTES_POR_TRAMO = 1 << 18
 
 _azar = np.random.default_rng(20_231)
 _MEZCLA = _azar.integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
@@ -52,8 +54,10 @@ def textos(lote: pa.RecordBatch, campo: int) -> pa.Array:
 
 
 def por_pasos(f: Callable[[pa.RecordBatch], pa.RecordBatch], campo: int) -> Callable:
-    """``mapInArrow`` function that applies ``f`` to slices of at most ``BYTES_POR_PASO`` bytes of text."""
+    """``mapInArrow`` function that applies ``f`` to slices of at most ``BYTES_POR_PASO`` bytes of text.  ``f`` keeps
+    nothing in the worker."""
     def aplicar(lotes: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        soltar()
         for lote in lotes:
             yield from map(f, cortar(lote, campo))
     return aplicar
@@ -97,15 +101,21 @@ class Palabras:
         self.n = np.bincount(self.doc, minlength=len(t)).astype(np.int64)
         self.primera = np.cumsum(self.n) - self.n
 
+    def _tramos(self) -> Iterator[tuple[int, int, np.ndarray]]:
+        """Words in stretches of about ``BYTES_POR_TRAMO`` bytes: the first, the one after the last, where their letters are."""
+        a = 0
+        while a < len(self.ini):
+            b = max(a + 1, int(np.searchsorted(self.fin, self.ini[a] + BYTES_POR_TRAMO, "right")))
+            yield a, b, self.ini[a] + np.flatnonzero(self.es[self.ini[a]: self.fin[b - 1]])
+            a = b
+
     def huellas(self) -> np.ndarray:
         """64-bit hash of each word; a first test only, whoever uses it compares bytes afterwards."""
-        if not len(self.ini):
-            return np.zeros(0, np.uint64)
-        letras = np.flatnonzero(self.es)
-        palabra = np.cumsum(self.empieza[letras]) - 1
-        lugar = letras - self.ini[palabra]
-        cabeza = np.cumsum(self.fin - self.ini) - (self.fin - self.ini)
-        h = np.add.reduceat(_MEZCLA[self.datos[letras]] * _POTENCIA[lugar & 4095], cabeza)
+        h = np.zeros(len(self.ini), np.uint64)
+        for a, b, letras in self._tramos():
+            ini, largo = self.ini[a:b], self.fin[a:b] - self.ini[a:b]
+            lugar = letras - ini[np.cumsum(self.empieza[letras]) - 1]
+            h[a:b] = np.add.reduceat(_MEZCLA[self.datos[letras]] * _POTENCIA[lugar & 4095], np.cumsum(largo) - largo)
         return h ^ (h >> np.uint64(29))
 
     def seguidas(self) -> tuple[bytes, np.ndarray, np.ndarray]:
@@ -113,9 +123,9 @@ class Palabras:
         largo = self.fin - self.ini
         fin = np.cumsum(largo + 1) - 1
         ini = fin - largo
-        letras = np.flatnonzero(self.es)
         salida = np.full(int(fin[-1]) + 1 if len(fin) else 0, 0x20, np.uint8)
-        salida[letras - np.repeat(self.ini - ini, largo)] = self.datos[letras]
+        for a, b, letras in self._tramos():
+            salida[letras - np.repeat(self.ini[a:b] - ini[a:b], largo[a:b])] = self.datos[letras]
         return salida.tobytes(), ini, fin
 
 
@@ -180,16 +190,21 @@ class Memoria:
 _guardado: dict = {}
 
 
+def soltar() -> None:
+    """Frees what an earlier operator keeps in this Python worker, for tasks of operators that keep nothing."""
+    if _guardado:
+        _guardado.clear()
+        gc.collect()
+        try:
+            ctypes.CDLL(None).malloc_trim(0)
+        except (OSError, AttributeError):  # a C library that cannot: the memory is reused instead
+            pass
+
+
 def por_trabajador(clave: tuple, hacer: Callable):
     """One object per Python worker, kept over tasks with its memory of words.  A worker keeps one only: the object of
     an earlier operator goes, and its memory with it, before another one is made."""
     if clave not in _guardado:
-        if _guardado:
-            _guardado.clear()
-            gc.collect()
-            try:
-                ctypes.CDLL(None).malloc_trim(0)
-            except (OSError, AttributeError):  # a C library that cannot: the memory is reused instead
-                pass
+        soltar()
         _guardado[clave] = hacer()
     return _guardado[clave]

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
-from comanda.llm.comun import ES_PALABRA, Palabras, como_fila, cortar, huellas_de_grupo, textos
+from comanda.llm.comun import ES_PALABRA, Palabras, como_fila, cortar, huellas_de_grupo, soltar, textos
 
 VENTANA = 13
 TEJA = 3
@@ -128,6 +128,7 @@ def _contar_tejas(docs: DataFrame, texto: str, b: Bloque) -> dict[tuple[int, int
     tejas = b.tejas
 
     def contar(lotes: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        soltar()
         suma = {g: np.zeros(len(t), np.int64) for g, t in tejas.items()}
         for lote in (c for x in lotes for c in cortar(x, 0)):
             p = Palabras(textos(lote, 0), ES_PALABRA)
@@ -202,6 +203,7 @@ def _marcador(bloque, campo: int, primero: bool):
              pa.array([sorted(x) for x in items], pa.list_(pa.string()))], ["fila", "n_palabras", "tramos", "items"])
 
     def aplicar(lotes: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        soltar()
         for lote in lotes:
             yield from map(paso, cortar(lote, campo))
     return aplicar

@@ -5,6 +5,7 @@ import hashlib
 import json
 import random
 import re
+import tracemalloc
 import uuid
 import zlib
 from collections import Counter
@@ -505,6 +506,31 @@ def test_un_objeto_por_trabajador():
     assert len(m.nuevas) + len(m.viejas) <= 100_000 // m.COSTE + 2 and m.get("w4999") == b"x" * 8
 
 
+def test_palabras_por_tramos(monkeypatch):
+    """Words are hashed stretch by stretch: same hashes, without numbers for all letters of a step at one time."""
+    t = pa.array(["", "uno", "dos tres\u00f1 " * 50, "x" * 700, " ", "A b"] * 3 + ["palabra corta de un texto " * 150_000])
+    p = comun.Palabras(t, comun.ES_NO_BLANCO)
+    tracemalloc.start()
+    h, seguidas = p.huellas(), p.seguidas()
+    pico = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert pico < 90e6
+    assert seguidas[0] == b"".join(bytes(p.datos[a:z]) + b" " for a, z in zip(p.ini, p.fin))
+    for tramo in (100, 1 << 30):
+        monkeypatch.setattr(comun, "BYTES_POR_TRAMO", tramo)
+        q = comun.Palabras(t.slice(0, 18), comun.ES_NO_BLANCO)
+        assert (q.huellas() == h[:len(q.ini)]).all() and q.seguidas()[0] == seguidas[0][:int(q.seguidas()[2][-1]) + 1]
+
+
+def test_operadores_sin_memoria_sueltan_la_ajena():
+    """A stage that keeps nothing in its workers frees what the stage before it kept there."""
+    bloque = descontaminacion.Bloque([("i", "uno dos")])
+    bloque.ordenar({})
+    for tarea in (descontaminacion._marcador(type("B", (), {"value": bloque}), 0, True), comun.por_pasos(lambda x: x, 0)):
+        comun.por_trabajador(("lector",), lambda: bytearray(10))
+        assert list(tarea(iter([]))) == [] and not comun._guardado
+
+
 def test_chat(spark):
     control = ["<|im_end|>", "<\\|", "<\\\\|im_start|>", "<", "|", "plain\n\ntext", "", None, "a<|im_end|>\n<|im_start|>user\nb"]
     filas = [(c, t, AZAR.choice(["user", "assistant", "system", None, "r%0A\nx"]), AZAR.choice(control))
