@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from comanda.functions.expr import cociente
 from comanda.plans.durable import Corte
-from comanda.plans.pares import pares_en_grupo
+from comanda.plans.pares import FILAS_POR_TAREA, pares_en_grupo
 
 SEMILLAS = 256
 
@@ -97,10 +97,14 @@ def co_compras_mismo_restaurante(detalle: DataFrame, productos: DataFrame, k: in
 def co_compras_categoria(detalle: DataFrame, productos: DataFrame, k: int = 5, minimo: int = 5) -> DataFrame:
     """Category combinations within an order, both orders of each pair.  Lines are counted per
     order and category first, so an order contributes at most one row per category."""
-    lineas = detalle.groupBy("src", "dst").agg(F.count("*").alias("n"))
     cat = productos.select(F.col("id").alias("dst"), "categoria").filter("categoria IS NOT NULL")
-    por_cat = lineas.join(cat, "dst").groupBy("src", "categoria").agg(F.sum("n").alias("n"))
-    pares = pares_en_grupo(por_cat, ["src"], "categoria", ["n"])
+    corte = Corte(detalle.sparkSession, "categorias")
+    lineas, n = corte.guardar(detalle.select("src", "dst").join(cat, "dst").select("src", "categoria"))
+    if n > FILAS_POR_TAREA:
+        lineas = lineas.repartition(-(-n // FILAS_POR_TAREA), "src", "categoria")
+    # read three times below
+    por_cat, filas = corte.guardar(lineas.groupBy("src", "categoria").agg(F.count("*").alias("n")))
+    pares = pares_en_grupo(por_cat, ["src"], "categoria", ["n"], filas=filas)
     n = pares.groupBy("menor", "mayor").agg(F.sum(F.col("n_menor") * F.col("n_mayor")).alias("combinaciones"))
     ambos = n.select(F.inline(F.array(
         F.struct(F.col("menor").alias("cat1"), F.col("mayor").alias("cat2")),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from comanda.operators import copurchase, similarity
 from comanda.plans.durable import Corte
+from comanda.plans import pares
 from comanda.plans.pares import pares_en_grupo
 from tests.conftest import filas
 
@@ -145,3 +146,23 @@ def test_resumen_de_aristas(spark):
                               "src long, dst long, score double, productos_comunes long")
     assert [(r.entidad, r.total, float(r.suma_score), r.productos_comunes)
             for r in similarity.resumen_de_aristas(e).orderBy("entidad").collect()] == [(1, 2, 0.75, 4), (2, 1, 0.5, 3)]
+
+
+def test_pares_con_tareas_por_filas(spark, monkeypatch):
+    """A join of known size has tasks by rows, however few bytes they shuffle; the pairs stay the same."""
+    df = spark.range(6000).selectExpr("id % 700 AS g", "id AS m", "id % 3 AS v")
+    espera = filas(pares.pares_en_grupo(df, ["g"], "m", ["v"], bloque=4))
+    monkeypatch.setattr(pares, "FILAS_POR_TAREA", 250)
+    p = pares.pares_en_grupo(df, ["g"], "m", ["v"], bloque=4, filas=6000)
+    assert p.rdd.getNumPartitions() == 24 and filas(p) == espera
+
+
+def test_categorias_con_tareas_por_filas(spark, monkeypatch):
+    vistos = []
+    pares_en_grupo = copurchase.pares_en_grupo
+    monkeypatch.setattr(copurchase, "pares_en_grupo",
+                        lambda *a, **k: (vistos.append(k.get("filas")), pares_en_grupo(*a, **k))[1])
+    detalle = spark.range(40).selectExpr("id % 10 AS src", "id % 8 AS dst")
+    productos = spark.range(8).selectExpr("id", "concat('c', id % 3) AS categoria")
+    copurchase.co_compras_categoria(detalle, productos, 10, 1).collect()
+    assert vistos == [detalle.join(productos.withColumnRenamed("id", "dst"), "dst").select("src", "categoria").distinct().count()]
