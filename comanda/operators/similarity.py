@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from comanda.functions.expr import cociente
 from comanda.plans.durable import Corte
-from comanda.plans.pares import pares_en_grupo
+from comanda.plans.pares import FILAS_POR_TAREA, listas_en_grupo
 
 
 @dataclass
@@ -72,7 +72,7 @@ def _con_lugar(s: DataFrame, corte: Corte) -> DataFrame:
     vistos = cuentas.groupBy("perfil").agg(F.sum("_c").alias("_v"))
     inicios = inicios.join(vistos, "perfil")
     return (t.withColumn("_r", rango).join(inicios, ["perfil", "_r"])
-            .select("perfil", "item", "n", (F.col("_m") - F.col("_desde") + F.col("_a") + F.col("n") - F.col("_v"))
+            .select("perfil", "item", "n", "f", (F.col("_m") - F.col("_desde") + F.col("_a") + F.col("n") - F.col("_v"))
                     .alias("lugar")))
 
 
@@ -80,58 +80,74 @@ def _prefijo(t: float, l: int, n: str = "n") -> Column:
     return F.least(F.col(n), F.col(n) - F.ceil(F.lit(t) * F.col(n) - F.lit(1e-9)) + l)
 
 
-def _extension(s: DataFrame, t: float) -> int:
-    """The longest extension whose pairings are at most ``HOLGURA`` times those of the shortest prefix: where nearly the
-    whole set is prefix anyway, a longer one costs little and leaves nothing to verify."""
+def _extension(s: DataFrame, t: float) -> tuple[int, int]:
+    """The longest extension whose pairings are at most ``HOLGURA`` times those of the shortest prefix, and their number:
+    where nearly the whole set is prefix anyway, a longer one costs little and leaves nothing to verify."""
     en = s.groupBy("item").agg(*[F.count(F.when(F.col("lugar") < _prefijo(t, l), 1)).alias(f"l{l}") for l in EXTENSIONES])
     filas = en.agg(*[F.sum(F.col(f"l{l}").cast("double") * (F.col(f"l{l}") - 1)).alias(f"l{l}") for l in EXTENSIONES]).first()
     corto = filas[f"l{EXTENSIONES[0]}"] or 0
-    return max(l for l in EXTENSIONES if (filas[f"l{l}"] or 0) <= HOLGURA * corto)
+    l = max(l for l in EXTENSIONES if (filas[f"l{l}"] or 0) <= HOLGURA * corto)
+    return l, int((filas[f"l{l}"] or 0) / 2)
 
 
-def _minimo(t: float, na: str, nb: str) -> Column:
+def _minimo(t: float, na: Column, nb: Column) -> Column:
     """Least number of shared items with which sets of these sizes can reach t, to rounding."""
-    return F.ceil(F.lit(t / (1 + t)) * (F.col(na) + F.col(nb)) - F.lit(1e-9))
+    return F.ceil(F.lit(t / (1 + t)) * (na + nb) - F.lit(1e-9))
+
+
+#: Pairings of one task when a pair's shared items are counted.
+PAREJAS_POR_TAREA = 2 * FILAS_POR_TAREA
 
 
 def candidatos(sets: DataFrame, t: float, corte: Corte) -> tuple[DataFrame, DataFrame]:
-    """Pairs of ``sets(perfil, item, n)`` that may reach t: (a, b, na, nb, pp, la, lb, quedan), where ``pp`` items are
-    shared within both prefixes, the last one at ``la`` and ``lb``, and at most ``quedan`` more behind them; and the
-    sets' items with their places."""
+    """Pairs of ``sets(perfil, item, n)`` that may reach t: (a, b, na, nb, pp, la, quedan), where ``a`` is the smaller set,
+    ``pp`` items are shared within both prefixes, the last one at ``la`` of a, and at most ``quedan`` more behind them; and
+    the sets' items with their places.
+
+    Of two sets that share an item the smaller one gets the other's name, in one list an item; the lists of a set come
+    together, so its pairs are counted where they are read and no pair is shuffled as a row.
+    """
     frecuencia = sets.groupBy("item").agg(F.count("*").alias("f"))
-    s, _ = corte.guardar(_con_lugar(sets.join(frecuencia.filter("f > 1"), "item"), corte))
-    l = _extension(s, t)
+    s, filas = corte.guardar(_con_lugar(sets.join(frecuencia.filter("f > 1"), "item"), corte))
+    l, parejas = _extension(s, t)
     prefijos = s.filter(F.col("lugar") < _prefijo(t, l))
-    pares = pares_en_grupo(prefijos, ["item"], "perfil", ["n", "lugar"])
-    i, j, na, nb = (F.col(c) for c in ("lugar_menor", "lugar_mayor", "n_menor", "n_mayor"))
-    # before this item at most as many are shared as stand before it, behind it as many as are left
-    pares = (pares.filter(F.least(na, nb) >= F.lit(t) * F.greatest(na, nb) - F.lit(1e-9))
-             .filter(F.least(i, j) + F.least(na - i, nb - j) >= _minimo(t, "n_menor", "n_mayor")))
-    c = (pares.groupBy(F.col("menor").alias("a"), F.col("mayor").alias("b"), na.alias("na"), nb.alias("nb"))
-         .agg(F.count("*").alias("pp"), F.max("lugar_menor").alias("la"), F.max("lugar_mayor").alias("lb")))
+
+    def va(p: Column, q: Column) -> Column:
+        na, nb, i, j = p["n"], q["n"], p["lugar"], q["lugar"]
+        menor = (na < nb) | ((na == nb) & (p["perfil"] < q["perfil"]))
+        # before this item at most as many are shared as stand before it, behind it as many as are left
+        return (menor & (na >= F.lit(t) * nb - F.lit(1e-9))
+                & (F.least(i, j) + F.least(na - i, nb - j) >= _minimo(t, na, nb)))
+
+    listas = listas_en_grupo(prefijos, ["item"], ["perfil", "n", "lugar"], "perfil", va, "f", filas)
+    partes = [-(-parejas // PAREJAS_POR_TAREA)] if parejas > PAREJAS_POR_TAREA else []
+    c = (listas.select(F.col("perfil").alias("a"), F.col("n").alias("na"), F.col("lugar").alias("la"), "perfils")
+         .repartition(*partes, "a").select("a", "na", "la", F.explode("perfils").alias("b"))
+         .groupBy("a", "na", "b").agg(F.count("*").alias("pp"), F.max("la").alias("la"))
+         # the other set is not smaller
+         .filter(F.col("pp") >= F.least(F.lit(l), _minimo(t, F.col("na"), F.col("na")))))
+    # the last place of a set that shares anything is in s
+    c = c.join(s.filter("lugar = n - 1").select(F.col("perfil").alias("b"), F.col("n").alias("nb")), "b")
+    na, nb = F.col("na"), F.col("nb")
     fuera = lambda n: F.col(n) - _prefijo(t, l, n)
-    quedan = F.least(F.col("na") - 1 - F.col("la"), F.col("nb") - 1 - F.col("lb"), fuera("na") + fuera("nb"))
-    minimo = _minimo(t, "na", "nb")
-    return (c.filter(F.col("pp") >= F.least(F.lit(l), minimo)).withColumn("quedan", quedan)
-            .filter(F.col("pp") + F.col("quedan") >= minimo), s)
+    minimo = _minimo(t, na, nb)
+    return (c.withColumn("quedan", F.least(na - 1 - F.col("la"), fuera("na") + fuera("nb")))
+            .filter(F.col("pp") >= F.least(F.lit(l), minimo)).filter(F.col("pp") + F.col("quedan") >= minimo), s)
 
 
 def _pares(sets: DataFrame, t: float, corte: Corte) -> DataFrame:
     """Pairs of ``sets(perfil, item, n)`` with Jaccard >= t and their shared item count."""
     c, s = candidatos(sets, t, corte)
     c, _ = corte.guardar(c)
-    # what a pair shares behind its last shared prefix item, looked up from the side that has less left
-    por_a = F.col("na") - F.col("la") <= F.col("nb") - F.col("lb")
-    lado = lambda x, y: F.when(por_a, F.col(x)).otherwise(F.col(y))
-    faltan = c.filter("quedan > 0").select("a", "b", lado("a", "b").alias("perfil"), lado("b", "a").alias("otro"),
-                                           lado("la", "lb").alias("_ultimo"))
-    extra = (faltan.join(s.select("perfil", "item", "lugar"), "perfil").filter(F.col("lugar") > F.col("_ultimo"))
-             .join(s.select(F.col("perfil").alias("otro"), "item"), ["otro", "item"])
+    # what a pair shares behind its last shared prefix item, looked up from the smaller set
+    faltan = c.filter("quedan > 0").select("a", "b", F.col("a").alias("perfil"), "la")
+    extra = (faltan.join(s.select("perfil", "item", "lugar"), "perfil").filter(F.col("lugar") > F.col("la"))
+             .join(s.select(F.col("perfil").alias("b"), "item"), ["b", "item"])
              .groupBy("a", "b").agg(F.count("*").alias("extra")))
     comunes = F.col("pp") + F.coalesce("extra", F.lit(0))
     return (c.join(extra, ["a", "b"], "left").withColumn("comunes", comunes)
             .withColumn("score", _score(F.col("comunes"))).filter(F.col("score") >= t)
-            .select("a", "b", "comunes", "score"))
+            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "comunes", "score"))
 
 
 def _score(comunes):

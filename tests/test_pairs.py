@@ -166,3 +166,38 @@ def test_categorias_con_tareas_por_filas(spark, monkeypatch):
     productos = spark.range(8).selectExpr("id", "concat('c', id % 3) AS categoria")
     copurchase.co_compras_categoria(detalle, productos, 10, 1).collect()
     assert vistos == [detalle.join(productos.withColumnRenamed("id", "dst"), "dst").select("src", "categoria").distinct().count()]
+
+
+@pytest.mark.parametrize("bloque", [3, 512])
+def test_listas_en_grupo(spark, bloque):
+    grupos = {1: range(40), 2: [5], 3: [1, 2], 4: range(10, 17)}
+    df = spark.createDataFrame([(g, m, m % 3, len(ms)) for g, ms in grupos.items() for m in ms], "g int, m int, v int, c int")
+    va = lambda p, q: (p["m"] < q["m"]) & (p["v"] == q["v"])
+    l = pares.listas_en_grupo(df, ["g"], ["m", "v"], "m", va, "c", 50, bloque)
+    esperado = sorted((a, b) for ms in grupos.values() for a, b in itertools.combinations(ms, 2) if a % 3 == b % 3)
+    assert filas(l.select("m", F.explode("ms").alias("o"))) == esperado
+    assert l.select(F.max(F.size("ms"))).first()[0] <= (13 if bloque == 512 else 10)
+
+
+@pytest.mark.parametrize("bloque", [4, 512])
+def test_similitud_sin_filas_de_pares(spark, bloque, monkeypatch):
+    # 60 sets of 30 items that all share 20: 1,770 pairs, 35,400 and more pairings
+    conj = {e: set(range(20)) | {100 + (7 * e + i) % 90 for i in range(10)} for e in range(60)}
+    df = spark.createDataFrame([(e, i) for e, s in conj.items() for i in s], "entidad long, item long")
+    listas, vistas = similarity.listas_en_grupo, []
+
+    def contar(*args):
+        vistas.append(listas(*args, bloque=bloque))
+        return vistas[-1]
+
+    monkeypatch.setattr(similarity, "listas_en_grupo", contar)
+    monkeypatch.setattr(similarity, "PAREJAS_POR_TAREA", 5_000)
+    monkeypatch.setattr(pares, "MIEMBROS_POR_TAREA", 500)
+    s = similarity.similitud(df, 0.3)
+    esperado = {(a, b): len(conj[a] & conj[b]) for a, b in itertools.combinations(conj, 2)
+                if len(conj[a] & conj[b]) / len(conj[a] | conj[b]) >= 0.3}
+    assert {(a, b): n for a, b, n in filas(s.aristas, "a", "b", "comunes")} == esperado
+    # what is shuffled: lists of a set and an item, not pairings
+    assert vistas[0].agg(F.sum(F.size("perfils"))).first()[0] > 20_000
+    if bloque == 512:
+        assert vistas[0].count() < 60 * 30
