@@ -262,3 +262,24 @@ def test_matriz_sin_limite(spark):
     # node 2 is two segments from node 0, one from node 1 and none from itself
     assert cuenta[2, "SIN RUTA"] == (n, 0) and m.select("restaurante_id", "cliente_id").distinct().count() == 2 * n
     assert cuenta[1, "CONECTADO"] == (n, 3 * n // 3)
+
+
+@pytest.mark.parametrize("bloque", [3, 1000])
+def test_matriz_sin_barajar_pares(spark, bloque):
+    """Crowded nodes, repeated and missing ids and nodes: the rows of the join of all pairs with the joined ones."""
+    r = [(i, f"r{i}", i % 4) for i in range(20)] + [(3, "r3", 3), (None, "sin id", 1), (30, "sin nodo", None), (31, "lejos", 99)]
+    c = [(i, f"c{i}", i % 6) for i in range(15)] + [(2, "c2", 2), (None, "sin id", 1), (40, "sin nodo", None), (41, "isla", 7)]
+    e = [(0, 1, 1.0), (1, 2, 1.0), (2, 3, 1.0), (3, 4, 1.0), (6, 7, 1.0)]
+    df = lambda x: spark.createDataFrame(x, "id long, nombre string, osm_node_id long")
+    vias = spark.createDataFrame(e, "src long, dst long, distancia double")
+    hay = defaultdict(list)
+    for x in paths.rutas_entre_anclas(df(r), df(c), vias).collect():
+        hay[x[0], x[2]].append(x[4])
+    esperado = [(a, n, b, k, s, "SIN RUTA" if s is None else "CONECTADO") for a, n, _ in r for b, k, _ in c
+                for s in (None in (a, b) and [None] or hay.get((a, b), [None]))]
+    m = paths.matriz_conectividad(df(r), df(c), vias, bloque=bloque)
+    clave = lambda x: tuple(map(str, x))
+    assert sorted(map(tuple, m.collect()), key=clave) == sorted(((*x[:4], x[4] or 0, x[5]) for x in esperado), key=clave)
+    # pairs are made by the last join, from copies of the two sides: no join, and no shuffle, takes pairs in
+    plan = m._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    assert "_a#" in next(x for x in plan if "Join" in x)
