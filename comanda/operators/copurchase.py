@@ -24,9 +24,11 @@ def cestas(detalle: DataFrame) -> DataFrame:
         F.sum(F.col("subtotal").cast("decimal(18,2)")).alias("s"))
 
 
-def pares_de_productos(cesta: DataFrame, grupo: list[str] | None = None, bloque: int | None = 512) -> DataFrame:
-    """One row per product pair: times together and the summed units and amount of both lines."""
-    p = pares_en_grupo(cesta, grupo or ["src"], "dst", ["n", "u", "s"], bloque)
+def pares_de_productos(cesta: DataFrame, grupo: list[str] | None = None, bloque: int | None = 512,
+                       filas: int | None = None) -> DataFrame:
+    """One row per product pair: times together and the summed units and amount of both lines.  With ``filas``, the rows of
+    ``cesta``, they are paired in tasks of a known number of them."""
+    p = pares_en_grupo(cesta, grupo or ["src"], "dst", ["n", "u", "s"], bloque, filas)
     n1, n2 = F.col("n_menor"), F.col("n_mayor")
     return p.groupBy(F.col("menor").alias("prod1"), F.col("mayor").alias("prod2")).agg(
         F.sum(n1 * n2).alias("veces"),

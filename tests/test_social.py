@@ -4,7 +4,7 @@ from collections import Counter
 
 import pytest
 
-from comanda.operators import rank, social
+from comanda.operators import copurchase, rank, social
 from tests.conftest import filas
 
 ARISTAS = [(1, 2, "a"), (2, 1, "a"), (2, 3, "b"), (3, 4, "a"), (4, 5, "c"), (1, 2, "b"), (6, 6, "a"), (7, 1, "a"), (2, 3, "b")]
@@ -161,3 +161,12 @@ def test_recomendar_lee_solo_cabezas(spark):
     leidas = planes.selectExpr("aggregate(leidos, 0L, (s, x) -> s + x.n) AS n").agg({"n": "sum"}).first()[0]
     todas = v.compras.selectExpr("aggregate(bloques, 0L, (s, x) -> s + x.n) AS n").agg({"n": "sum"}).first()[0]
     assert leidas * 2 < todas
+
+
+def test_recomendar_con_tareas_por_filas(spark, monkeypatch):
+    vistos, pares_en_grupo = [], copurchase.pares_en_grupo
+    monkeypatch.setattr(copurchase, "pares_en_grupo", lambda *a: (vistos.append(a[5]), pares_en_grupo(*a))[1])
+    compras = spark.createDataFrame([(1, 10), (2, 11)], "usuario_id long, producto_id long")
+    d = spark.createDataFrame([(o, p, 1, 1.0) for o in range(3) for p in (10, 11, 11)], "src long, dst long, cantidad int, subtotal double")
+    assert filas(social.recomendar_productos(compras, d, 2, 5)) == [(1, 1, 11, 6), (2, 1, 10, 6)]
+    assert vistos == [6]
