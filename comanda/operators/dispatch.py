@@ -111,7 +111,7 @@ def tramos_y_resto(asignados: DataFrame, repartidores: DataFrame, destinos: Data
     ``repartidores(id, lat, lon)``.  A leg follows the path of fewest segments.
     """
     corte = Corte(asignados.sparkSession, "tramos")
-    a = asignados.select("pedido_id", "repartidor_id", "turno")
+    a, _ = corte.guardar(asignados.select("pedido_id", "repartidor_id", "turno"))
     r = repartidores.select("id", "lat", "lon").join(
         a.select(F.col("repartidor_id").alias("id")), "id", "left_semi")
     inicio = calle_mas_cercana(r, nodos).filter("calle_id IS NOT NULL").select(
@@ -124,7 +124,7 @@ def tramos_y_resto(asignados: DataFrame, repartidores: DataFrame, destinos: Data
     salidas = inicio.select("repartidor_id", F.col("calle").alias("a")).unionByName(
         p.select("repartidor_id", F.col("nodo").alias("a"))).distinct()
     pares = salidas.join(p.select("repartidor_id", F.col("nodo").alias("b")).distinct(), "repartidor_id")
-    t = entre_pares(pares.select(F.col("a").alias("origen"), F.col("b").alias("destino")), aristas, max_saltos)
+    t = entre_pares(pares.select(F.col("a").alias("origen"), F.col("b").alias("destino")), aristas, max_saltos, nodos)
     d = t.pares.select(F.col("origen").alias("a"), F.col("destino").alias("b"), "distancia")
     mapa = (pares.join(d, ["a", "b"]).groupBy("repartidor_id")
             .agg(F.map_from_entries(F.collect_list(F.struct(F.struct("a", "b"), "distancia"))).alias("d")))

@@ -283,3 +283,62 @@ def test_matriz_sin_barajar_pares(spark, bloque):
     # pairs are made by the last join, from copies of the two sides: no join, and no shuffle, takes pairs in
     plan = m._jdf.queryExecution().optimizedPlan().toString().splitlines()
     assert "_a#" in next(x for x in plan if "Join" in x)
+
+
+def _mapa(spark, largo=400):
+    """A strip of two rows, one long segment in it, and places of its nodes: one is given twice, one has no segment."""
+    e = [(i, i + 1, 1.0 + i % 3) for i in range(largo)] + [(1000 + i, 1001 + i, 2.0) for i in range(largo)]
+    e += [(i, 1000 + i, 1.0 + i % 2) for i in range(0, largo, 3)] + [(20, 28, 90.0)]
+    lugares = [(f * 1000 + i, 0.001 * f, 0.001 * i) for f in (0, 1) for i in range(largo + 1)]
+    return e, lugares + [lugares[5], (777, 0.0, 0.0), (778, None, 0.0)]
+
+
+def _nodos(spark, lugares):
+    return spark.createDataFrame(lugares, "id long, lat double, lon double")
+
+
+def test_red_cercana(spark):
+    """Only the map around the origins is searched, and the answers are those of the whole map."""
+    e, lugares = _mapa(spark)
+    red, nodos = _df(spark, e), _nodos(spark, lugares)
+    o = spark.createDataFrame([(10,), (1200,), (777,), (None,)], "origen long")
+    cerca = paths.red_cercana(o, red, nodos, 4)
+    # four segments cover at most 32 places of 0.001, so cells are as wide: three around each origin
+    assert 100 < cerca.count() < 0.6 * len(e)
+    assert filas(paths.etiquetas(o, cerca, "saltos", 4).filter("origen IS NOT NULL")) == filas(
+        paths.etiquetas(o, red, "saltos", 4).filter("origen IS NOT NULL"))
+    assert filas(paths.saltos_entre(o.na.drop(), cerca, 4)) == filas(paths.saltos_entre(o.na.drop(), red, 4))
+    assert paths.red_cercana(o.limit(0), red, nodos, 4).isEmpty()
+    assert paths.red_cercana(o, red.limit(0), nodos, 4).isEmpty()
+
+
+@pytest.mark.parametrize("malo", [(10, None, 0.0), (10, float("nan"), 0.01), (10, 5.0, 0.01), None])
+def test_red_sin_lugar(spark, malo):
+    """A segment to a node without a place, or with two, leads anywhere: then nothing is left out."""
+    e, lugares = _mapa(spark, 40)
+    nodos = _nodos(spark, lugares + [malo] if malo else [x for x in lugares if x[0] != 10])
+    assert paths.entorno(nodos, _df(spark, e), 4) is None
+    o = spark.createDataFrame([(0,)], "origen long")
+    assert paths.red_cercana(o, _df(spark, e), nodos, 4).count() == len(e)
+
+
+def test_pares_en_el_mapa(spark):
+    """Pairs beyond reach are not searched; ways, halves and reports are the same with the places of the nodes and without."""
+    e, lugares = _mapa(spark)
+    red, nodos = _df(spark, e), _nodos(spark, lugares)
+    pares = [(a, b) for a in (0, 18, 150, 777, 778, 9999) for b in (0, 3, 28, 149, 155, 1150, 390, 777, 778, 9999)]
+    df = spark.createDataFrame(pares + [(None, 3), (3, None)], "origen long, destino long")
+    cerca = paths.entorno(nodos, red, 6).pares(df)
+    assert {(150, 149), (18, 28), (778, 778), (9999, 9999)} <= set(filas(cerca)) and cerca.count() < 25
+    columnas = ("origen", "destino", "num_calles", "distancia", "calles")
+    for f in (paths.ruta_mas_corta, paths.ruta_por_tramos):
+        assert filas(f(df, red, 6, nodos=nodos), *columnas) == filas(f(df, red, 6), *columnas)
+    con, sin = paths.entre_pares(df, red, 6, nodos), paths.entre_pares(df, red, 6)
+    assert filas(con.pares) == filas(sin.pares)
+    # ends that no pair needs have no labels
+    assert {x.origen for x in con.et.select("origen").distinct().collect()} < {x.origen for x in sin.et.select("origen").distinct().collect()}
+    assert not con.et.filter("origen = 390").count() and sin.et.filter("origen = 390").count()
+    r = spark.createDataFrame([(1, "r1", 18), (2, "r2", 777), (3, "r3", 18)], "id long, nombre string, osm_node_id long")
+    c = spark.createDataFrame([(1, "c1", 28), (2, "c2", 390), (3, "c3", 777)], "id long, nombre string, osm_node_id long")
+    assert filas(paths.alcances(r, c, red, 6, nodos)) == filas(paths.alcances(r, c, red, 6))
+    assert filas(paths.matriz_conectividad(r, c, red, 6, nodos=nodos)) == filas(paths.matriz_conectividad(r, c, red, 6))
