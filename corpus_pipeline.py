@@ -50,9 +50,14 @@ def sin_pruebas(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Byte-level BPE of every text, decoded again: doc_id, n_tokens, ids_sha256, decoded_sha256."""
+    """Byte-level BPE of every text, decoded again: doc_id, n_tokens, ids_sha256, decoded_sha256.
+
+    The ids are written in between: one job that did both would take two Python workers a task, whose idle half holds
+    its memory on while later stages run.
+    """
     rangos, patron = vocabularios.path("byte_bpe_50k.tiktoken"), vocabularios.PATTERN
-    return bpe.resumir(bpe.codificar(docs, rangos, patron), rangos)
+    escritos, _ = Corte(spark, "ids_bpe").guardar(bpe.codificar(docs, rangos, patron))
+    return bpe.resumir(escritos, rangos)
 
 
 STAGES = [("calidad", calidad), ("lengua", lengua), ("sin_copias", sin_copias), ("sin_pruebas", sin_pruebas),

@@ -669,6 +669,12 @@ def test_etapas(spark, docs, vacia, carpeta, nombre, etapa):
         assert {repr(r) for r in filas} <= dadas
 
 
+def test_ids_de_a_uno(spark, docs, carpeta):
+    """The last stage never has two Python operators in one job: the second worker of a task would hold its memory on."""
+    plan = corpus_pipeline.ids(spark, docs, carpeta)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+
+
 def test_corpus(spark, carpeta):
     """The stages one after the other against each one's brute force on its own input."""
     d = spark.read.parquet(f"{carpeta}/documents.parquet")
