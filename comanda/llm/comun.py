@@ -63,14 +63,14 @@ def por_pasos(f: Callable[[pa.RecordBatch], pa.RecordBatch], campo: int) -> Call
     return aplicar
 
 
-def cortar(lote: pa.RecordBatch, campo: int) -> Iterator[pa.RecordBatch]:
+def cortar(lote: pa.RecordBatch, campo: int, paso: int = BYTES_POR_PASO) -> Iterator[pa.RecordBatch]:
     n = lote.num_rows
     if not n:
         return
     fin = np.cumsum(pc.binary_length(textos(lote, campo)).to_numpy(zero_copy_only=False).astype(np.int64))
     i = 0
     while i < n:
-        j = max(i + 1, int(np.searchsorted(fin, (fin[i - 1] if i else 0) + BYTES_POR_PASO, "right")))
+        j = max(i + 1, int(np.searchsorted(fin, (fin[i - 1] if i else 0) + paso, "right")))
         yield lote.slice(i, j - i)
         i = j
 

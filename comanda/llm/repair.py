@@ -17,12 +17,13 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
-from comanda.llm.comun import Memoria, como_fila, cortar, por_trabajador, textos
+from comanda.llm.comun import como_fila, cortar, por_trabajador, textos
 from comanda.plans.durable import Corte
 
 MAGIA = 0x32525052
@@ -32,11 +33,19 @@ _TANDA = 1 << 16
 #: Ids of a block (a longer text is a block of its own) and the least count of a pair that becomes a rule.
 IDS_POR_BLOQUE = 1 << 20
 FRECUENCIA = 16
-#: Bytes of chunks between blanks, and of half as many pre-tokens, whose ids a task remembers.
-RECUERDA = 96 << 20
-_BLANCOS = "\n\t\r\x0b\x0c"
+#: Bytes of chunks between blanks and their ids that a worker remembers, and as many again of pre-tokens; none is longer
+#: than ``LARGO`` bytes.
+RECUERDA = 48 << 20
+LARGO = 64
+#: Bytes of text that one step works on: the more, the more often a chunk repeats within it.
+BYTES_POR_PASO = 16 << 20
+#: Pre-tokens that go to the library as one text, and so many of these at a time.
+JUNTAS, LLAMADA = 256, 64
+#: Buckets that pairs are counted in.
+CUBETAS = 1 << 18
 _LLANO = re.compile("[!-;=-~À-ÖØ-öø-ÿ]*")
-_PRETOKEN = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
+# pre-tokens of plain chunks on a line each; the end of a line is a match of its own
+_PRETOKEN = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|\n|[^a-z0-9ß-öø-ÿ\n]+")
 
 
 # Fixed value: the rules of tokenizer files whose plain chunks are encoded apart.  Files with other rules go to the library.
@@ -78,8 +87,16 @@ def desempacar(b: memoryview, w: int, desde: int, hasta: int) -> np.ndarray:
     return salida
 
 
-def _cubo(par: np.ndarray) -> np.ndarray:
-    return (par * -7046029254386353131 >> 40) & 0xFFFF
+def _cubo(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Bucket of each pair of unsigned 32-bit symbols."""
+    return ((a * np.uint32(0x9E3779B1) + b) * np.uint32(0x85EBCA6B) >> np.uint32(14)).astype(np.int64)
+
+
+def _contar(par: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct pairs in rising order and how often each stands."""
+    orden = np.sort(par)
+    borde = np.flatnonzero(np.concatenate([[True], orden[1:] != orden[:-1], [True]])) if len(orden) else np.zeros(1, np.int64)
+    return orden[borde[:-1]], np.diff(borde)
 
 
 def comprimir(ids: np.ndarray, fin: np.ndarray, base: int, frecuencia: int = FRECUENCIA) \
@@ -87,36 +104,55 @@ def comprimir(ids: np.ndarray, fin: np.ndarray, base: int, frecuencia: int = FRE
     """(rules as (left, right) rows, symbols, last symbol of each text).  Symbol ``base + k`` is rule k.
 
     A round replaces all pairs at least an eighth as frequent as the most frequent one, of overlapping places
-    every other one from the left, so rounds are few and each one is a sort.
+    every other one from the left, so rounds are few.  No pair is more frequent than its bucket, so only pairs of
+    buckets that reach the bound are sorted and counted.
     """
-    s, corte = ids.astype(np.int64), fin.copy()
+    s, corte = ids.astype(np.uint32), fin.copy()
     reglas = [np.zeros((0, 2), np.int64)]
     hechas = 0
     while len(s) > 1:
-        par = s[:-1] << 32 | s[1:]
-        libre = ~corte[:-1]
-        orden = np.sort(par[libre])
-        borde = np.flatnonzero(np.concatenate([[True], orden[1:] != orden[:-1], [True]])) if len(orden) else [0]
-        veces = np.diff(borde)
-        if not len(veces) or veces.max() < frecuencia:
+        h = _cubo(s[:-1], s[1:])
+        h[corte[:-1]] = CUBETAS
+        en_cubo = np.bincount(h, minlength=CUBETAS + 1)
+        en_cubo[CUBETAS] = 0
+        if en_cubo.max() < frecuencia:
             break
-        nuevas = orden[borde[:-1][veces >= max(frecuencia, veces.max() // 8)]]
-        # a table of hashes passes few other pairs, so only likely places are searched for
-        tabla = np.zeros(1 << 16, bool)
-        tabla[_cubo(nuevas)] = True
-        en = np.flatnonzero(libre & tabla[_cubo(par)])
-        k = np.minimum(np.searchsorted(nuevas, par[en]), len(nuevas) - 1)
-        es = nuevas[k] == par[en]
-        en, k = en[es], k[es]
+        de_cubo = en_cubo.astype(np.int32).take(h)
+
+        def llenos(minimo: int) -> tuple[np.ndarray, np.ndarray]:
+            donde = np.flatnonzero(de_cubo >= minimo)
+            return donde, s.take(donde).astype(np.int64) << 32 | s.take(donde + 1)
+
+        # the fullest bucket's most frequent pair bounds the most frequent of all from below
+        cota = int(_contar(llenos(en_cubo.max())[1])[1].max())
+        en, par = llenos(max(frecuencia, cota // 8))
+        nuevas, veces = _contar(par)
+        mayor = int(veces.max(initial=0))
+        if mayor < frecuencia:
+            break
+        nuevas = nuevas[veces >= max(frecuencia, mayor // 8)]
+        # a bucket names its pair, if it has one; a bucket of several is searched
+        suyo = _cubo((nuevas >> 32).astype(np.uint32), nuevas.astype(np.uint32))
+        tabla = np.full(CUBETAS + 1, -1)
+        tabla[suyo] = np.arange(len(nuevas))
+        tabla[np.bincount(suyo, minlength=CUBETAS + 1) > 1] = len(nuevas)
+        k = tabla.take(h.take(en))
+        pasa = np.flatnonzero(k >= 0)
+        en, par, k = en.take(pasa), par.take(pasa), k.take(pasa)
+        varios = np.flatnonzero(k == len(nuevas))
+        k[varios] = np.minimum(np.searchsorted(nuevas, par[varios]), len(nuevas) - 1)
+        es = np.flatnonzero(nuevas.take(k) == par)
+        en, k = en.take(es), k.take(es)
         seguido = np.concatenate([[False], np.diff(en) == 1])
-        lugar = np.arange(len(en))
-        toma = (lugar - np.maximum.accumulate(np.where(seguido, 0, lugar))) % 2 == 0
+        lugar = np.arange(len(en), dtype=np.int32)
+        toma = (lugar - np.maximum.accumulate(np.where(seguido, np.int32(0), lugar))) & 1 == 0
         en = en[toma]
         s[en] = base + hechas + k[toma]
         corte[en] = corte[en + 1]
         queda = np.ones(len(s), bool)
         queda[en + 1] = False
-        s, corte = s[queda], corte[queda]
+        queda = np.flatnonzero(queda)
+        s, corte = s.take(queda), corte.take(queda)
         reglas.append(np.stack([nuevas >> 32, nuevas & 0xFFFFFFFF], axis=1))
         hechas += len(nuevas)
     return np.concatenate(reglas), s, np.flatnonzero(corte)
@@ -147,6 +183,34 @@ def expandir(s: np.ndarray, reglas: np.ndarray, base: int) -> np.ndarray:
     return s
 
 
+def _tramos(ini: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Places of stretches one after the other, each from ``ini`` on and ``n`` long."""
+    fin = np.cumsum(n)
+    return np.repeat(ini - (fin - n), n) + np.arange(int(fin[-1]) if len(fin) else 0)
+
+
+def expandir_todo(s: np.ndarray, reglas: np.ndarray, largo: np.ndarray, base: int) -> np.ndarray:
+    """As ``expandir``, for many symbols: every rule is expanded once, by depth, and symbols copy their stretch.
+
+    ``largo`` is the ids that each rule expands to.  A pair is made a rule where it stands several times, so the rules
+    of a round expand to fewer ids than the block has.
+    """
+    n = np.concatenate([np.ones(base, np.int64), largo])
+    ini = np.cumsum(n) - n
+    ids = np.zeros(int(n.sum()), "<u4")
+    ids[:base] = np.arange(base)
+    lista = np.arange(len(n)) < base
+    falta = np.arange(len(reglas))
+    while len(falta):
+        ya = lista[reglas[falta]].all(axis=1)
+        k = falta[ya]
+        hijos = reglas[k].ravel()
+        ids[_tramos(ini[base + k], n[base + k])] = ids[_tramos(ini[hijos], n[hijos])]
+        lista[base + k] = True
+        falta = falta[~ya]
+    return ids[_tramos(ini[s], n[s])]
+
+
 def a_bytes(docs: list[int | None], ids: list[np.ndarray], base: int) -> bytes:
     largo = np.array([len(x) for x in ids], np.int64)
     todos = np.concatenate(ids) if ids else np.zeros(0, np.int64)
@@ -199,7 +263,7 @@ class Bloque:
         return desempacar(v, ancho, desde, cuantos if hasta is None else hasta)
 
     def todos(self) -> np.ndarray:
-        return expandir(self.simbolos(), self.reglas, self.base).astype("<u4")
+        return expandir_todo(self.simbolos(), self.reglas, self.expande, self.base)
 
     def texto(self, k: int, desde: int = 0, hasta: int | None = None) -> np.ndarray:
         """Ids ``desde`` to ``hasta`` of the k-th text: expansion lengths tell which symbols to expand."""
@@ -213,13 +277,57 @@ class Bloque:
         return expandir(s[a: z + 1], self.reglas, self.base)[desde - antes: max(hasta, desde) - antes].astype("<u4")
 
 
+def _lista(ids: list) -> pa.ListArray:
+    fin = np.cumsum([0, *map(len, ids)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(fin), pa.array(np.concatenate(ids) if ids else [], pa.uint32()))
+
+
+def _agrupar(ids: pa.ListArray, fin: np.ndarray) -> pa.ListArray:
+    """Lists one after the other made one: ``fin`` are the lists before each new one, and all of them."""
+    return pa.ListArray.from_arrays(pa.array(np.asarray(ids.offsets)[fin]), ids.values)
+
+
+def _nada() -> tuple[pa.Array, pa.ListArray]:
+    return pa.array([], pa.string()), _lista([])
+
+
+class Conocidos:
+    """Ids of short texts met before, side by side in two Arrow arrays of ``tope`` bytes at most.  When they are full,
+    only the last step's stay."""
+
+    def __init__(self, tope: int):
+        self.tope = tope
+        self.textos, self.ids = _nada()
+
+    def de(self, t: pa.Array, codificar: Callable[[pa.Array], pa.ListArray]) -> pa.ListArray:
+        """Ids of each of the distinct texts ``t``, new ones by ``codificar`` all together."""
+        lugar = pc.index_in(t, value_set=self.textos)
+        falta = lugar.is_null()
+        nuevos = t.filter(falta)
+        if not len(nuevos):
+            return self.ids.take(lugar)
+        de_nuevos, es_nuevo = codificar(nuevos), falta.to_numpy(zero_copy_only=False)
+        en = np.where(es_nuevo, len(self.textos) + np.cumsum(es_nuevo) - 1, lugar.fill_null(0).to_numpy(zero_copy_only=False))
+        salida = pa.concat_arrays([self.ids, de_nuevos]).take(pa.array(en))
+        if self._guardar(self.textos, self.ids, nuevos, de_nuevos) and self._guardar(*_nada(), t, salida):
+            self.textos, self.ids = _nada()
+        return salida
+
+    def _guardar(self, t: pa.Array, ids: pa.ListArray, mas_t: pa.Array, mas_ids: pa.ListArray) -> bool:
+        """Keeps ``t`` and the short ones of ``mas_t``; whether that is too much."""
+        breves = pc.less_equal(pc.binary_length(mas_t), LARGO)
+        self.textos, self.ids = pa.concat_arrays([t, mas_t.filter(breves)]), pa.concat_arrays([ids, mas_ids.filter(breves)])
+        return self.textos.nbytes + self.ids.nbytes > self.tope
+
+
 class Tokens:
     """Ids of a text by the library, piece by piece.
 
     The tokenizer composes, lower-cases and splits inside a run without ASCII white space and drops the white
     space, so a text's ids are those of its chunks between blanks, in order.  A chunk of plain Latin letters,
-    digits and marks has only one composition and lower case: its pre-tokens are encoded apart, once each.  Any
-    other chunk, and one that might hold a special token, goes to the library as it stands.
+    digits and marks has only one composition and lower case: its pre-tokens are encoded apart, once each, many as the
+    words of one text.  Any other chunk, and one that might hold a special token, goes to the library as it stands.
+    Chunks and pre-tokens are told apart by Arrow, so Python sees only those that are new to the worker.
     """
 
     def __init__(self, ruta: str):
@@ -228,39 +336,69 @@ class Tokens:
 
         self.lib = Tokenizer.from_file(ruta)
         self.base = self.lib.get_vocab_size(with_added_tokens=True)
-        self.trozos, self.piezas = Memoria(RECUERDA), Memoria(RECUERDA // 2)
+        self.trozos, self.piezas = Conocidos(RECUERDA), Conocidos(RECUERDA)
         de_ruta = json.loads(self.lib.to_str())
         self.llana = all((de_ruta.get(k) or {}).get(c) == _REGLAS_LLANAS[k] for k, c in (
             ("normalizer", "normalizers"), ("pre_tokenizer", "pretokenizers")))
 
-    def _por_piezas(self, memo: Memoria, distintas: set[str], codificar) -> dict[str, bytes]:
-        """Ids of each, new ones by ``codificar`` all together."""
-        nuevas = memo.nuevas
-        tabla = {x: v for x in distintas if (v := nuevas.get(x)) is not None or (v := memo.get(x)) is not None}
-        faltan = [x for x in distintas if x not in tabla]
-        for x, v in zip(faltan, codificar(faltan)):
-            tabla[x] = memo.poner(x, v)
-        return tabla
-
-    def _biblioteca(self, faltan: list[str]) -> Iterator[bytes]:
-        for e in self.lib.encode_batch_fast(faltan, add_special_tokens=False):
-            yield np.array(e.ids, "<u4").tobytes()
-
-    def _trozos(self, faltan: list[str]) -> list[bytes]:
-        de = [_PRETOKEN.findall(x.lower()) if _LLANO.fullmatch(x) else [x] for x in faltan]
-        tabla = self._por_piezas(self.piezas, set().union(*de), self._biblioteca)
-        return [tabla[x[0]] if len(x) == 1 else b"".join([tabla[y] for y in x]) for x in de]
+    def _biblioteca(self, t: list[str]) -> Iterator[np.ndarray]:
+        for e in self.lib.encode_batch_fast(t, add_special_tokens=False):
+            yield np.array(e.ids, "<u4")
+
+    def _piezas(self, nuevas: pa.Array) -> pa.ListArray:
+        """Ids of pre-tokens of plain chunks.  The library says which word of a text a token is of."""
+        x, partes = nuevas.to_pylist(), []
+        for a in range(0, len(x), JUNTAS * LLAMADA):
+            tanda = x[a: a + JUNTAS * LLAMADA]
+            grupos = [" ".join(tanda[b: b + JUNTAS]) for b in range(0, len(tanda), JUNTAS)]
+            ids, de, cuantos = [], [], []
+            for e in self.lib.encode_batch(grupos, add_special_tokens=False):
+                ids += e.ids
+                de += e.word_ids
+                cuantos.append(len(de))
+            # every group but the last has as many words
+            n = (np.bincount(np.array(de) + np.repeat(np.arange(len(grupos)) * JUNTAS, np.diff(cuantos, prepend=0)),
+                             minlength=len(tanda)) if de and None not in de else np.zeros(0, np.int64))
+            if len(n) == len(tanda) and n.all():
+                partes.append(pa.ListArray.from_arrays(pa.array(np.cumsum([0, *n]).astype(np.int32)), pa.array(ids, pa.uint32())))
+            else:
+                partes.append(_lista(list(self._biblioteca(tanda))))
+        return pa.concat_arrays(partes)
+
+    def _trozos(self, nuevos: pa.Array) -> pa.ListArray:
+        t = nuevos.to_pylist()
+        llano = np.full(len(t), _LLANO.fullmatch("".join(t)) is not None)
+        if not llano.all():
+            llano = np.array([_LLANO.fullmatch(x) is not None for x in t])
+        raros = _lista(list(self._biblioteca([t[i] for i in np.flatnonzero(~llano).tolist()])))
+        if not llano.any():
+            return raros
+        juntos = "\n".join([*(t if llano.all() else [t[i] for i in np.flatnonzero(llano).tolist()]), ""])
+        piezas = pa.array(_PRETOKEN.findall(juntos.lower()), pa.string())
+        acaba = pc.equal(piezas, "\n")
+        fin = np.flatnonzero(acaba.to_numpy(zero_copy_only=False))
+        ids = self._por_distintos(self.piezas, piezas.filter(pc.invert(acaba)), self._piezas)
+        llanos = _agrupar(ids, np.concatenate([[0], fin - np.arange(len(fin))]))
+        orden = np.where(llano, np.cumsum(llano) - 1, len(fin) + np.cumsum(~llano) - 1)
+        return pa.concat_arrays([llanos, raros]).take(pa.array(orden))
+
+    @staticmethod
+    def _por_distintos(memo: Conocidos, t: pa.Array, codificar: Callable) -> pa.ListArray:
+        d = t.dictionary_encode()
+        return memo.de(d.dictionary, codificar).take(d.indices)
+
+    def ids(self, t: pa.Array) -> pa.ListArray:
+        """Ids of each text."""
+        if not self.llana:
+            return _lista(list(self._biblioteca(t.to_pylist())))
+        trozos = pc.ascii_split_whitespace(t)
+        return _agrupar(self._por_distintos(self.trozos, trozos.flatten(), self._trozos),
+                        np.asarray(trozos.offsets) - trozos.offsets[0].as_py())
 
     def textos(self, t: list[str]) -> list[bytes]:
-        if not self.llana:
-            return list(self._biblioteca(t))
-        partes = []
-        for x in t:
-            for c in _BLANCOS:
-                x = x.replace(c, " ")
-            partes.append(x.split(" "))
-        tabla = self._por_piezas(self.trozos, set().union(*partes), self._trozos)
-        return [b"".join(map(tabla.__getitem__, p)) for p in partes]
+        ids = self.ids(pa.array(t, pa.string()))
+        v, o = ids.values.to_numpy(), np.asarray(ids.offsets).tolist()
+        return [v[a:z].astype("<u4").tobytes() for a, z in zip(o, o[1:])]
 
 
 def tokens(ruta: str) -> Tokens:
@@ -286,7 +424,6 @@ def escribir(docs: DataFrame, codificador: Callable[[], Tokens], id_doc: str = "
 
     def guardar(lotes: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c, parte, bloque = codificador(), TaskContext.get().partitionId(), 0
-        cola = np.array([fin], "<u4").tobytes()
         docs_, ids, n = [], [], 0
 
         def cierra() -> pa.RecordBatch:
@@ -294,9 +431,13 @@ def escribir(docs: DataFrame, codificador: Callable[[], Tokens], id_doc: str = "
                                                "n_ids": pa.array([n], pa.int64()),
                                                "contenido": pa.array([a_bytes(docs_, ids, c.base)], pa.binary())})
 
-        for lote in (x for y in lotes for x in cortar(y, 1)):
-            for d, b in zip(lote.column(0).field(0).to_pylist(), c.textos(textos(lote, 1).to_pylist())):
-                x = np.frombuffer(b + cola, "<u4")
+        for lote in (x for y in lotes for x in cortar(y, 1, BYTES_POR_PASO)):
+            de_lote = c.ids(textos(lote, 1))
+            acaba = np.asarray(de_lote.offsets)[1:]
+            con_fin = np.insert(de_lote.values.to_numpy().astype("<u4"), acaba, fin)
+            hasta = acaba + np.arange(1, len(acaba) + 1)
+            for d, a, z in zip(lote.column(0).field(0).to_pylist(), [0, *hasta[:-1].tolist()], hasta.tolist()):
+                x = con_fin[a:z]
                 if n and n + len(x) > ids_por_bloque:
                     yield cierra()
                     docs_, ids, n, bloque = [], [], 0, bloque + 1

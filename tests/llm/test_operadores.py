@@ -311,6 +311,46 @@ def test_tokens_por_trozos():
         assert np.frombuffer(b, "<u4").tolist() == t.lib.encode(x, add_special_tokens=False).ids
 
 
+def test_tokens_conocidos():
+    """Only new pre-tokens reach the library, many in one text; a full memory keeps the last step and gives the same ids."""
+    t = repair.Tokens(vocabularios.path("word_bpe_49k.json"))
+    lib, dados = t.lib, []
+
+    class Cuenta:
+        def encode_batch(self, x, **k):
+            dados.extend(x)
+            return lib.encode_batch(x, **k)
+
+        def encode_batch_fast(self, x, **k):
+            dados.extend(x)
+            return lib.encode_batch_fast(x, **k)
+
+    t.lib = Cuenta()
+    palabras = ["".join(AZAR.choice("abcdeé") for _ in range(9)) for _ in range(2000)]
+    textos = [" ".join(AZAR.choices(palabras, k=300)) + "\x0b\x0c,\r" + "z" * 100 for _ in range(40)]
+    queda = [lib.encode(x, add_special_tokens=False).ids for x in textos]
+    for _ in range(2):
+        assert [np.frombuffer(b, "<u4").tolist() for b in t.textos(textos)] == queda
+    assert len(dados) < 2000 // 16
+    for tope in (1, 3000, 20_000):
+        t.trozos, t.piezas = repair.Conocidos(tope), repair.Conocidos(tope)
+        for k in range(0, 40, 4):
+            assert [np.frombuffer(b, "<u4").tolist() for b in t.textos(textos[k:k + 4])] == queda[k:k + 4]
+            assert t.trozos.textos.nbytes + t.trozos.ids.nbytes <= max(tope, 100)
+
+
+def test_expandir_todo():
+    """Rules expanded once give what rounds of replacing give."""
+    g = np.random.default_rng(3)
+    for n in (1, 2, 50, 3000):
+        ids = g.integers(0, 5, n).astype("<u4")
+        fin = g.random(n) < 0.02
+        fin[-1] = True
+        reglas, s, _ = repair.comprimir(ids, fin, 9, 2)
+        assert (repair.expandir_todo(s, reglas, repair.largos(reglas, 9), 9) == ids).all()
+        assert (repair.expandir(s, reglas, 9) == ids).all()
+
+
 PAGINAS = [(i, f"http://h/{i}", t) for i, t in enumerate(TEXTOS)] + [
     (50, "u", TEXTOS[7]), (51, None, TEXTOS[7]), (51, None, TEXTOS[7]), (None, "n", "only here"), (None, "n", TEXTOS[9]), (60, "a\r\nb", "")]
 
