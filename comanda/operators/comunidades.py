@@ -35,14 +35,14 @@ def _mover(g: DataFrame, filas: int, doble: int, minimo: int) -> tuple[DataFrame
     e = unir_por_clave(g.filter("a <> b"), nodos.select(F.col("id").alias("a"), F.col("k").alias("ka"), "n"), "a", filas)
     llenos = F.broadcast(nodos.filter(F.col("n") > umbral).select(F.col("id").alias("b")))
     # edges into full nodes lie apart; the others are never shuffled again
-    hacia_llenos, _ = corte.guardar(e.join(llenos, "b", "left_semi"))
+    hacia_llenos, _ = corte.guardar(e.join(llenos, "b", "left_semi"), contar=False)
     hacia_resto = corte.guardar_por_clave(e.join(llenos, "b", "left_anti"), ["b"])
 
     estado = nodos.select("id", "k", "n", F.col("id").alias("com"), F.col("id").alias("mejor"))
     q_mejor, quietas, ronda = None, 0, 0
     while True:
         total = estado.groupBy("com").agg(F.sum("k").alias("tot"), F.count("*").alias("n"))
-        con, _ = corte_con.avanzar(unir_por_clave(estado.withColumnRenamed("n", "grado"), total, "com", n_nodos))
+        con, _ = corte_con.avanzar(unir_por_clave(estado.withColumnRenamed("n", "grado"), total, "com", n_nodos), contar=False)
         fin = con.select(F.col("id").alias("b"), "com", "tot", "grado")
         vecinos = (hacia_resto.join(fin.drop("grado"), "b")
                    .unionByName(hacia_llenos.join(F.broadcast(fin.filter(F.col("grado") > umbral).drop("grado")), "b")))
@@ -64,7 +64,7 @@ def _mover(g: DataFrame, filas: int, doble: int, minimo: int) -> tuple[DataFrame
         turno = F.pmod(F.xxhash64("id", F.lit(ronda)), F.lit(2)) == 0
         hecho, _ = corte.avanzar(elegido.select(
             "id", "k", "n", "mejor", "antes", "dentro", quiere.alias("quiere"),
-            F.when(quiere & turno, -F.col("m.menos")).otherwise(F.col("antes")).alias("com")))
+            F.when(quiere & turno, -F.col("m.menos")).otherwise(F.col("antes")).alias("com")), contar=False)
         dentro, quieren, cuadrados = (
             hecho.groupBy("antes").agg(F.sum("dentro").alias("dentro"), F.count_if("quiere").alias("quieren"), F.sum("k").alias("tot"))
             .agg(F.sum("dentro"), F.sum("quieren"), F.sum(_por_exacto(F.col("tot"), F.col("tot")))).first())

@@ -33,3 +33,17 @@ def test_nada_queda(spark, carpeta):
     with pytest.raises(ZeroDivisionError), durable.trabajo(spark):
         paths.etiquetas(o, e, podar=lambda a, b: 1 // 0)
     assert _quedan(spark) == antes
+
+
+def test_sin_contar(spark):
+    """A table that nobody wants counted is written and read back without a job for the count."""
+    corte = durable.Corte(spark, "prueba")
+    grupo = spark.sparkContext
+    for contar, n in ((True, 5), (False, None)):
+        grupo.setJobGroup(corte.nombre + str(contar), "")
+        t, k = corte.guardar(spark.range(5), contar)
+        grupo.setLocalProperty("spark.jobGroup.id", None)
+        assert k == n and sorted(r.id for r in t.collect()) == [0, 1, 2, 3, 4]
+    hechos = [len(grupo.statusTracker().getJobIdsForGroup(corte.nombre + x)) for x in ("True", "False")]
+    assert hechos[1] < hechos[0]
+    assert corte.avanzar(spark.range(5), contar=False)[1] is None
