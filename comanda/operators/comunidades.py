@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,6 +15,8 @@ from comanda.plans.pares import PARTE_LLENA, unir_por_clave
 
 #: Rounds of moves without a rise of modularity after which a level is settled.
 RONDAS_QUIETAS = 4
+#: Rows of a network that one task moves and contracts to the end: about 400 MB of its memory.
+FILAS_EN_TAREA = 3_000_000
 
 
 def _por_exacto(a, b):
@@ -88,12 +94,103 @@ def _contraer(g: DataFrame, filas: int, mapa: DataFrame) -> DataFrame:
             .groupBy(F.col("ca").alias("a"), F.col("cb").alias("b")).agg(F.sum("w").alias("w")))
 
 
+def _xxhash64(ids: np.ndarray, ronda: int) -> np.ndarray:
+    """Spark's ``xxhash64(id, ronda)`` of a bigint and an int."""
+    p1, p2, p3, p4, p5 = (np.uint64(x) for x in (
+        0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
+    gira = lambda x, r: (x << np.uint64(r)) | (x >> np.uint64(64 - r))
+
+    def mezcla(h: np.ndarray) -> np.ndarray:
+        h = (h ^ (h >> np.uint64(33))) * p2
+        h = (h ^ (h >> np.uint64(29))) * p3
+        return h ^ (h >> np.uint64(32))
+
+    with np.errstate(over="ignore"):
+        h = np.uint64(42) + p5 + np.uint64(8)
+        h = mezcla(gira(h ^ (gira(ids.astype(np.int64).view(np.uint64) * p2, 31) * p1), 27) * p1 + p4)
+        return mezcla(gira((h + p5 + np.uint64(4)) ^ (np.uint64(ronda) * p1), 23) * p2 + p3)
+
+
+def _mover_en_memoria(ids: np.ndarray, a: np.ndarray, b: np.ndarray, w: np.ndarray, doble: int, minimo: int) -> tuple[np.ndarray, int]:
+    """``_mover`` on the places of ``ids`` (in order) instead of ids: the community of each, and its modularity."""
+    n = len(ids)
+    suma = lambda de, x: np.bincount(de, x, n).astype(np.int64)  # noqa: E731  (exact: sums stay below 2^31)
+    k, lazos = suma(a, w), int(w[a == b].sum())
+    fuera = a != b
+    a, b, w = a[fuera], b[fuera], w[fuera]
+    todos = np.arange(n)
+    com, mejor, q_mejor, quietas, ronda = todos, todos, None, 0, 0
+    pesos = np.concatenate([w, np.zeros(n, np.int64)])
+    while True:
+        tot = suma(com, k)
+        # one row per node and community around it, its own one among them, by node and community
+        clave = np.concatenate([a * n + com[b], todos * n + com])
+        orden = np.argsort(clave, kind="stable")
+        clave = clave[orden]
+        inicio = np.flatnonzero(np.concatenate([[True], clave[1:] != clave[:-1]]))
+        peso = np.add.reduceat(pesos[orden], inicio)
+        nodo, otra = np.divmod(clave[inicio], n)
+        propia = otra == com[nodo]
+        gana = doble * peso - k[nodo] * (tot[otra] - np.where(propia, k[nodo], 0))
+        maximo = np.maximum.reduceat(gana, np.flatnonzero(np.concatenate([[True], nodo[1:] != nodo[:-1]])))
+        # of equal gains the smallest label: written last
+        igual = np.flatnonzero(gana == maximo[nodo])[::-1]
+        elegida = np.empty(n, np.int64)
+        elegida[nodo[igual]] = otra[igual]
+        quiere = maximo > gana[propia]
+        q = doble * (int(peso[propia].sum()) + lazos) - int((tot * tot).sum())
+        quietas = 0 if q_mejor is None or q - q_mejor > minimo else quietas + 1
+        if q_mejor is None or q > q_mejor:
+            q_mejor, mejor = q, com
+        com = np.where(quiere & (_xxhash64(ids, ronda) & np.uint64(1) == 0), elegida, com)
+        ronda += 1
+        if not quiere.any() or quietas >= RONDAS_QUIETAS:
+            return mejor, q_mejor
+
+
+def _niveles_en_memoria(a: np.ndarray, b: np.ndarray, w: np.ndarray, doble: int, minimo: int,
+                        q_antes: int | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(id, com, n) of the nodes of a network after this and all further levels, as ``comunidades`` goes through them."""
+    ids, a = np.unique(a, return_inverse=True)
+    b = np.searchsorted(ids, b)
+    primeros, grado, hasta = ids, np.bincount(a, minlength=len(ids)), np.arange(len(ids))
+    com_de = ids
+    while True:
+        n = len(ids)
+        com, q = _mover_en_memoria(ids, a, b, w, doble, minimo)
+        quedan = np.unique(com)
+        lugar = np.searchsorted(quedan, com)
+        hasta, com_de = lugar[hasta], ids[quedan]
+        if len(quedan) == n or (q_antes is not None and q <= q_antes):
+            return primeros, com_de[hasta], grado
+        q_antes = q
+        m = len(quedan)
+        clave, de = np.unique(lugar[a] * m + lugar[b], return_inverse=True)
+        a, b = np.divmod(clave, m)
+        w = np.bincount(de, w, len(clave)).astype(np.int64)
+        ids = com_de
+
+
+def _en_una_tarea(g: DataFrame, doble: int, minimo: int, q_antes: int | None) -> DataFrame:
+    """(id, com, n) as ``_mover`` gives it, after this and all further levels of a network that fits one task.  A round is
+    a few array operations there, not some ten jobs; moves, ties and order are the same."""
+
+    def ir(lotes: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        t = pa.Table.from_batches(lotes)
+        if t.num_rows:
+            yield pa.record_batch(dict(zip(("id", "com", "n"), _niveles_en_memoria(
+                *(t[c].to_numpy() for c in ("a", "b", "w")), doble, minimo, q_antes))))
+
+    return g.select("a", "b", "w").coalesce(1).mapInArrow(ir, "id bigint, com bigint, n bigint")
+
+
 def comunidades(nodos: DataFrame, aristas: DataFrame, mejora: float = 1e-6) -> DataFrame:
     """Communities (id, comunidad = smallest member) of ``nodos(id)`` that raise modularity, with edges
     ``aristas(src, dst[, peso])`` taken as undirected and parallel edges added up.
 
     Nodes move between the communities of their neighbours until no round raises modularity by more than ``mejora``,
-    communities become nodes of a smaller network, and so on until nothing is joined any more.  A community that falls
+    communities become nodes of a smaller network, and so on until nothing is joined any more.  Once a network has at most
+    ``FILAS_EN_TAREA`` rows, one task goes through its rounds and levels.  A community that falls
     into parts without an edge between them is its parts, which never lowers modularity; so none spans two components.
 
     ``peso`` is a positive whole number, 1 without the column.  Edges from a node to itself or with a null end or
@@ -114,13 +211,17 @@ def comunidades(nodos: DataFrame, aristas: DataFrame, mejora: float = 1e-6) -> D
     doble = base.agg(F.sum("w")).first()[0]
     g, filas, en, q_antes = base, filas_base, None, None
     while True:
-        mapa, q, n = _mover(g, filas, doble, int(mejora * doble * doble))
+        # in a task gains are whole numbers of 64 bits
+        cabe, minimo = filas <= FILAS_EN_TAREA and doble < 1 << 31, int(mejora * doble * doble)
+        mapa, q, n = (_en_una_tarea(g, doble, minimo, q_antes), None, None) if cabe else _mover(g, filas, doble, minimo)
         if en is None:
             en, n_en = corte.avanzar(mapa)
         else:
             cuenta = en.groupBy(F.col("com").alias("id")).agg(F.count("*").alias("n"))
             nuevo = mapa.drop("n").withColumnRenamed("com", "com2").join(cuenta, "id").withColumnRenamed("id", "com")
             en, _ = corte.avanzar(unir_por_clave(en, nuevo, "com", n_en).select("id", F.col("com2").alias("com"), "n"))
+        if cabe:
+            break
         quedan = mapa.select("com").distinct().count()
         if quedan == n or (q_antes is not None and q <= q_antes):
             break

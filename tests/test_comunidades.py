@@ -1,7 +1,9 @@
 import itertools
 import random
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from comanda.operators import comunidades as com
 from comanda.operators.rank import componentes
@@ -93,3 +95,40 @@ def test_calidad(spark):
     assert {r.comunidad: (r.peso_dentro, r.peso_fuera) for r in c} == {99: (0, 0)} | {
         10 * g: (sum(de[a] == de[b] == g for a, b, _ in aristas), sum((de[a] == g) != (de[b] == g) for a, b, _ in aristas))
         for g in range(4)}
+
+
+def _al_azar(spark):
+    r = random.Random(11)
+    aristas = [(r.randint(-40, 79), r.randint(0, 79) ** 2, r.randint(1, 3)) for _ in range(260)] + [(500, i, 1) for i in range(60)]
+    n = spark.createDataFrame([(i,) for i in sorted({x for e in aristas for x in e[:2]})], "id long")
+    return n, spark.createDataFrame(aristas, "src long, dst long, peso long")
+
+
+@pytest.mark.parametrize("filas_en_tarea", [0, 400])
+def test_en_una_tarea_como_en_rondas(spark, monkeypatch, filas_en_tarea):
+    """Rounds of jobs, at no size or at the first level only, give what one task gives."""
+    n, e = _al_azar(spark)
+    en_tarea = filas(com.comunidades(n, e))
+    monkeypatch.setattr(com, "FILAS_EN_TAREA", filas_en_tarea)
+    assert filas(com.comunidades(n, e)) == en_tarea
+    assert 1 < len({c for _, c in en_tarea}) < len(en_tarea)
+
+
+def test_red_pequena_en_pocos_trabajos(spark):
+    """A round of a network that fits one task starts no job: hundreds of them before."""
+    n, e = _al_azar(spark)
+    spark.sparkContext.setJobGroup("comunidades", "comunidades")
+    try:
+        com.comunidades(n, e).count()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("comunidades")) < 100
+
+
+def test_sorteo_de_spark(spark):
+    """Whose turn it is in a round, in a task as by Spark's function."""
+    ids = [0, 1, -1, 2**40 + 7, -2**62, 12345, 2**63 - 1]
+    df = spark.createDataFrame([(i,) for i in ids], "id long")
+    for ronda in (0, 1, 77):
+        h = [r[0] for r in df.select(F.xxhash64("id", F.lit(ronda))).collect()]
+        assert com._xxhash64(np.array(ids), ronda).view(np.int64).tolist() == h
