@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from comanda.operators import vecinal
 from comanda.operators.grafo import simetrica
 from comanda.plans.durable import Corte
 from comanda.plans.pares import repartida
@@ -478,7 +479,13 @@ def ruta_por_tramos(pares: DataFrame, aristas: DataFrame, max_saltos: int = 100,
 
 
 def ruta_menor_distancia(pares: DataFrame, aristas: DataFrame) -> DataFrame:
-    """Path of fewest metres per (origen, destino); the search goes no further than landmarks say it must."""
+    """Path of fewest metres per (origen, destino).  On a network that fits one task each origin is searched in one, as far
+    as its targets lie; on a larger one in rounds, which go no further than landmarks say they must."""
+    corte = Corte(pares.sparkSession, "menor")
+    r, n = corte.guardar(red(aristas))
+    if vecinal.cabe(pares, r, n):
+        pares, m = corte.guardar(pares)
+        return vecinal.caminos_mas_cortos(pares, r, m).withColumnRenamed("saltos", "num_calles")
     podar = poda_por_hitos(pares, hitos(aristas))
     et = etiquetas(pares.select("origen"), aristas, "distancia", pasos=10, podar=podar)
     return caminos(pares, et).withColumnRenamed("saltos", "num_calles")

@@ -342,3 +342,57 @@ def test_pares_en_el_mapa(spark):
     c = spark.createDataFrame([(1, "c1", 28), (2, "c2", 390), (3, "c3", 777)], "id long, nombre string, osm_node_id long")
     assert filas(paths.alcances(r, c, red, 6, nodos)) == filas(paths.alcances(r, c, red, 6))
     assert filas(paths.matriz_conectividad(r, c, red, 6, nodos=nodos)) == filas(paths.matriz_conectividad(r, c, red, 6))
+
+
+def _ceros(azar):
+    """Segments of no length, of equal lengths and of lengths that are no whole numbers; a part of its own."""
+    return [(a, b, [0.0, 0.1, 0.2, 0.3, w][(a * 7 + b) % 5]) for a, b, w in azar] + [(300 + i, 301 + i, 0.7) for i in range(20)]
+
+
+def test_menor_distancia_en_tarea_como_en_rondas(spark, azar, monkeypatch):
+    """Whole paths, ties included, repeated pairs and other columns; nodes without a segment or an id."""
+    red = _df(spark, _ceros(azar) + [(None, 3, 1.0), (3, None, 1.0)])
+    pares = [(a, b, f"{a}-{b}") for a in (0, 7, 99, 305, 1234) for b in (*range(0, 60, 3), 99, 300, 320, 1234)]
+    df = spark.createDataFrame(pares + pares[:3] + [(None, 3, "x"), (3, None, "y")], "origen long, destino long, que string")
+    c = ["origen", "destino", "que", "num_calles", "distancia", "calles"]
+    en_tarea = filas(paths.ruta_menor_distancia(df, red), *c)
+    monkeypatch.setattr(paths.vecinal, "TRAMOS_EN_TAREA", 0)
+    en_rondas = paths.ruta_menor_distancia(df, red)
+    assert en_rondas.columns == paths.ruta_menor_distancia(df, red).columns and filas(en_rondas, *c) == en_tarea
+    assert len(en_tarea) > 60
+
+
+def test_menor_distancia_por_lotes(azar, monkeypatch):
+    """Few origins a search and few nodes a batch give the same rows."""
+    import numpy as np
+    import pyarrow as pa
+    from comanda.operators import vecinal
+
+    e = [(a, b, w) for a, b, w in _ceros(azar) if a != b]
+    peso = {}
+    for a, b, w in e + [(b, a, w) for a, b, w in e]:
+        peso[a, b] = min(w, peso.get((a, b), w))
+    red = vecinal.Red(np.array([a for a, _ in peso]), np.array([b for _, b in peso]), np.array(list(peso.values())))
+    pares = pa.table({"origen": [a for a in (0, 7, 99) for _ in range(60)], "destino": list(range(60)) * 3})
+    todas = lambda: sorted((tuple(r.values()) for b in vecinal._responder(red, pares) for r in b.to_pylist()), key=repr)
+    juntas = todas()
+    monkeypatch.setattr(vecinal, "ETIQUETAS_POR_BUSQUEDA", 1)
+    monkeypatch.setattr(vecinal, "NODOS_POR_LOTE", 7)
+    assert todas() == juntas and len(juntas) > 100
+    assert all(b.num_rows == 1 or sum(map(len, b["calles"].to_pylist())) <= 20 for b in vecinal._responder(red, pares))
+    for o, d, saltos, metros, calles in juntas:
+        assert _dijkstra(e, o, "distancia")[d] == (metros, saltos)
+        assert calles[0] == o and calles[-1] == d and len(calles) == saltos + 1
+
+
+def test_menor_distancia_larga_en_pocos_trabajos(spark):
+    """A path of 600 segments is no 60 rounds of jobs, twice."""
+    tira = [(i, i + 1, 1.0 + i % 3) for i in range(600)]
+    df = spark.createDataFrame([(0, 600), (300, 10)], "origen long, destino long")
+    spark.sparkContext.setJobGroup("menor", "menor")
+    try:
+        r = {x.origen: (x.num_calles, x.distancia, len(x.calles)) for x in paths.ruta_menor_distancia(df, _df(spark, tira)).collect()}
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert r == {0: (600, sum(w for *_, w in tira), 601), 300: (290, sum(w for *_, w in tira[10:300]), 291)}
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("menor")) < 30
