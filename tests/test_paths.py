@@ -396,3 +396,12 @@ def test_menor_distancia_larga_en_pocos_trabajos(spark):
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
     assert r == {0: (600, sum(w for *_, w in tira), 601), 300: (290, sum(w for *_, w in tira[10:300]), 291)}
     assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("menor")) < 30
+
+
+def test_matriz_sin_difusion(spark):
+    """The copies of a side for the blocks of the other one, of which files tell nothing, do not go through the driver."""
+    ancla = "id", "concat('r', id) AS nombre", "id % 3 AS osm_node_id"
+    vias = spark.createDataFrame([(0, 1, 1.0), (1, 2, 1.0)], "src long, dst long, distancia double")
+    m = paths.matriz_conectividad(spark.range(40).selectExpr(*ancla), spark.range(50).selectExpr(*ancla), vias, bloque=5)
+    plan = m._jdf.queryExecution().sparkPlan().toString()
+    assert "Broadcast" not in plan and "SortMergeJoin" in plan and m.count() == 2000
