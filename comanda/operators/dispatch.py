@@ -116,7 +116,9 @@ def tramos_y_resto(asignados: DataFrame, repartidores: DataFrame, destinos: Data
         a.select(F.col("repartidor_id").alias("id")), "id", "left_semi")
     inicio = calle_mas_cercana(r, nodos).filter("calle_id IS NOT NULL").select(
         F.col("id").alias("repartidor_id"), F.col("calle_id").alias("calle"))
-    lugar = calle_mas_cercana(destinos.join(a, "pedido_id"), nodos).filter("calle_id IS NOT NULL")
+    # read for their places and for their answers
+    destinos, _ = corte.guardar(destinos.join(a, "pedido_id"), contar=False)
+    lugar = calle_mas_cercana(destinos, nodos).filter("calle_id IS NOT NULL")
     lugar, _ = corte.guardar(lugar.select("repartidor_id", "turno", "pedido_id", F.col("calle_id").alias("nodo")))
     inicio, _ = corte.guardar(inicio)
     p = lugar.join(inicio, "repartidor_id").select("repartidor_id", "turno", "pedido_id", "nodo")

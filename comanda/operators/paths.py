@@ -411,12 +411,18 @@ def entre_pares(pares: DataFrame, aristas: DataFrame, max_saltos: int, nodos: Da
     Both ends are labelled up to half the limit and joined on the node in between: every
     shortest path has such a node, and the best sum over them is the best path.  On a road
     network that is about a quarter of the labels and half of the rounds of a full search.
-    With ``nodos``, pairs that lie too far apart for the limit are not searched.
+    With ``nodos``, pairs that lie too far apart for the limit are not searched.  A node and itself
+    need no search: an end of no other pair has its own label only.
     """
     corte = Corte(pares.sparkSession, "pares")
-    pares, aristas = _pares_y_red(pares.select("origen", "destino").distinct(), aristas, nodos, max_saltos, True, corte)
-    puntas = pares.select("origen").unionByName(pares.select(F.col("destino").alias("origen")))
-    et = etiquetas(puntas, aristas, "saltos", (max_saltos + 1) // 2)
+    pares = pares.select("origen", "destino").distinct()
+    propios, _ = corte.guardar(pares.filter("origen = destino"))
+    pares, aristas = _pares_y_red(pares.filter("origen <> destino"), aristas, nodos, max_saltos, True, corte)
+    puntas = pares.select("origen").unionByName(pares.select(F.col("destino").alias("origen"))).distinct()
+    cero = F.lit(0).alias("saltos"), F.lit(0.0).alias("distancia")
+    suyas = puntas.unionByName(propios.select("origen")).distinct().select(
+        "origen", F.col("origen").alias("nodo"), *cero, F.col("origen").alias("pred"))
+    et = etiquetas(puntas, aristas, "saltos", (max_saltos + 1) // 2).filter("origen <> nodo").unionByName(suyas)
     ida = et.select("origen", F.col("nodo").alias("medio"), F.col("saltos").alias("sa"), F.col("distancia").alias("da"))
     vuelta = et.select(F.col("origen").alias("destino"), F.col("nodo").alias("medio"), F.col("saltos").alias("sb"),
                        F.col("distancia").alias("db"))
@@ -425,6 +431,7 @@ def entre_pares(pares: DataFrame, aristas: DataFrame, max_saltos: int, nodos: Da
              .groupBy("origen", "destino")
              .agg(F.min(F.struct(saltos.alias("saltos"), (F.col("da") + F.col("db")).alias("distancia"), "medio"))
                   .alias("m")).select("origen", "destino", "m.*"))
+    mejor = mejor.unionByName(propios.select("origen", "destino", *cero, F.col("origen").alias("medio")))
     return Trayectos(corte.guardar(mejor)[0], et)
 
 

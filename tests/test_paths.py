@@ -405,3 +405,29 @@ def test_matriz_sin_difusion(spark):
     m = paths.matriz_conectividad(spark.range(40).selectExpr(*ancla), spark.range(50).selectExpr(*ancla), vias, bloque=5)
     plan = m._jdf.queryExecution().sparkPlan().toString()
     assert "Broadcast" not in plan and "SortMergeJoin" in plan and m.count() == 2000
+
+
+@pytest.mark.parametrize("con_lugares", [False, True])
+def test_par_de_un_nodo_no_se_busca(spark, con_lugares):
+    """A node and itself is answered without a search; ends of other pairs are searched, and ways and halves are whole."""
+    e, lugares = _mapa(spark)
+    red, nodos = _df(spark, e), _nodos(spark, lugares) if con_lugares else None
+    pares = [(i, i) for i in (*range(100, 160), 777, 9999)] + [(200, 206), (200, 200), (206, 1203), (100, 390), (None, 3), (3, None)]
+    t = paths.entre_pares(spark.createDataFrame(pares + pares[:5], "origen long, destino long"), red, 20, nodos)
+    cuantas = {r[0]: r[1] for r in t.et.groupBy("origen").count().collect() if r[0] is not None}
+    assert all(cuantas[i] == 1 for i in (*range(101, 160), 777, 9999)) and cuantas[200] > 20 and cuantas[206] > 20
+    hallados = {(x.origen, x.destino): (x.saltos, x.distancia) for x in t.pares.collect()}
+    buenos = {p: c for p in pares if None not in p and (c := _dijkstra(e, p[0], "saltos").get(p[1], p[0] == p[1] and (0, 0.0))) and c[0] <= 20}
+    assert hallados == buenos and t.pares.count() == len(buenos)
+    c = paths.caminos_de_trayectos(spark.createDataFrame([p for p in pares if None not in p], "origen long, destino long"), t)
+    assert {(x.origen, x.destino): (x.calles[0], x.calles[-1], len(x.calles)) for x in c.collect()} == {
+        (a, b): (a, b, s + 1) for (a, b), (s, _) in buenos.items()}
+
+
+def test_pedidos_de_entrega_una_vez(spark, carpeta):
+    """What reads the orders to deliver after their assignment does not read all order lines again."""
+    from comanda.plans.consultas import Almacen
+    from comanda.sources.derivadas import Dominio
+
+    a = Almacen(Dominio(spark, carpeta))
+    assert a.asignados.count() and not [f for f in a.asignados.inputFiles() if "lineitem" in f]
