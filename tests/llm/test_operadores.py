@@ -691,7 +691,7 @@ def test_sql(spark, carpeta, nombre):
     from comanda.llm.consultas import consultas
     from verificar import _filas
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "conversations"):
+    for t in ("documents", "benchmark", "conversations", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{carpeta}/{t}.parquet')")
     a, b = consultas()[nombre](spark, carpeta).toArrow(), con.sql(oraculo.oraculo()[nombre]).to_arrow_table()
     assert sorted(a.column_names) == sorted(b.column_names) and _filas(a) == _filas(b)
